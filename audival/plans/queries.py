@@ -1,7 +1,7 @@
 """One registered query per operator of the models and reports. Each takes
 (spark, data_dir), reads the driver's tables there and returns the
-operator's output at its place in the model chain. Doubles are rounded to
-``DIGITS`` places so that results compare across engines."""
+operator's output at its place in the model chain. Doubles are rounded to a
+fixed binary grid so that results compare exactly across engines."""
 
 from __future__ import annotations
 
@@ -22,7 +22,10 @@ from audival.plans.inputs import Inputs
 from audival.sources import adserver, fixtures
 from audival.sources.tables import Tables
 
-DIGITS = 5
+# Doubles are rounded to a binary grid of 2**-16: a decimal-valued input
+# (prices, their means) never sits exactly half-way on it, so the last-bit
+# differences of summation order between engines cannot flip a rounding.
+_SCALE = float(2 ** 16)
 
 # The report fixtures of the source scripts.
 WEB_DIMENSIONS = ["date", "eventName"]
@@ -37,8 +40,14 @@ AD_DEFINITION = {
 }
 
 
+def rounded(c: F.Column) -> F.Column:
+    """Round half away from zero on the scaled double, the same arithmetic
+    any engine does for ``round(x * 1e5) / 1e5``, so results compare exactly across engines."""
+    return F.round(c * F.lit(_SCALE)) / F.lit(_SCALE)
+
+
 def present(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), DIGITS).alias(f.name) if isinstance(f.dataType, DoubleType)
+    return df.select(*[rounded(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 

@@ -23,6 +23,8 @@ def build_session(master: str | None = None, app: str = "audival",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = os.environ.get("AUDIVAL_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in conf.items():

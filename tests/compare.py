@@ -29,7 +29,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4) + 0.0
+        return v + 0.0
     return v
 
 
