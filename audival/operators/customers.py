@@ -196,10 +196,10 @@ def assemble_customers(known: list[DataFrame], gt: DataFrame, by_device: bool =
     return unified.unionByName(residual)
 
 
-def customers(user_metrics: DataFrame, manual: DataFrame, ratios: DataFrame, publication: str,
-              start=None, end=None, by_device: bool = False, device_prefix: str = "") -> DataFrame:
-    """K3 (``by_device=False``) or K4 (``by_device=True``, clamped residual)."""
-    base = user_metrics_base(user_metrics, publication, start, end, by_device, device_prefix)
+def customers(base: DataFrame, manual: DataFrame, ratios: DataFrame,
+              by_device: bool = False) -> DataFrame:
+    """K3 (``by_device=False``) or K4 (``by_device=True``, clamped residual)
+    from O11's output ``base`` and the matching loyalty ratios."""
     reach = reach_ratio(manual, base)
     gt = ground_truth(base, reach, by_device)
     nc = no_consent_customers(gt, manual, "plain" if by_device else "ratio", ratios, by_device)

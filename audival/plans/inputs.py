@@ -6,9 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from audival.plans.stage import Stager
 from audival.sources import fixtures as fx
 from audival.sources.tables import Tables
 
+_LANDED: dict[tuple[str, str], Inputs] = {}
+
 INPUT_NAMES = ("user_metrics_monthly", "ga4_export", "ga4_device_aggregate", "manual_monthly",
                "consent_rate", "rpm", "impressions_per_view", "subscription_arpu",
                "subscription_lifetime", "subscription_lifetime_device", "manual_pageviews")
@@ -32,18 +35,37 @@ class Inputs:
     window: tuple[str, str] = field(default=fx.WINDOW)
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, data_dir: str) -> Inputs:
-        """Inputs derived from the driver's tables by the fixture adapter."""
-        t = Tables(spark, data_dir)
+    def derive(cls, spark: SparkSession, data_dir: str, facts: DataFrame | None = None) -> Inputs:
+        """Inputs derived lazily from the driver's tables by the fixture adapter."""
+        f = facts if facts is not None else fx.order_facts(Tables(spark, data_dir))
+        manual = fx.manual_monthly(f)
         return cls(
-            user_metrics_monthly=fx.user_metrics_monthly(t), ga4_export=fx.ga4_export(t),
-            ga4_device_aggregate=fx.ga4_device_aggregate(t), manual_monthly=fx.manual_monthly(t),
-            consent_rate=fx.consent_rate(t), rpm=fx.rpm(t),
-            impressions_per_view=fx.impressions_per_view(t),
-            subscription_arpu=fx.subscription_arpu(t),
-            subscription_lifetime=fx.subscription_lifetime(t),
-            subscription_lifetime_device=fx.subscription_lifetime(t, by_device=True),
-            manual_pageviews=fx.manual_pageviews(t))
+            user_metrics_monthly=fx.user_metrics_monthly(f), ga4_export=fx.ga4_export(f),
+            ga4_device_aggregate=fx.ga4_device_aggregate(f), manual_monthly=manual,
+            consent_rate=fx.consent_rate(manual), rpm=fx.rpm(f),
+            impressions_per_view=fx.impressions_per_view(f),
+            subscription_arpu=fx.subscription_arpu(f),
+            subscription_lifetime=fx.subscription_lifetime(f),
+            subscription_lifetime_device=fx.subscription_lifetime(f, by_device=True),
+            manual_pageviews=fx.manual_pageviews(f))
+
+    @classmethod
+    def land(cls, spark: SparkSession, data_dir: str, stager: Stager | None = None) -> Inputs:
+        """Inputs derived from the driver's tables and stored once: the
+        per-order facts are written first, every input is derived from that
+        stored table and written too, so each model scans stored inputs."""
+        stager = stager or Stager(spark)
+        facts = stager.write(fx.order_facts(Tables(spark, data_dir)), "order_facts")
+        lazy = cls.derive(spark, data_dir, facts)
+        return cls(**{n: stager.write(getattr(lazy, n), n) for n in INPUT_NAMES})
+
+    @classmethod
+    def from_testdata(cls, spark: SparkSession, data_dir: str) -> Inputs:
+        """Landed inputs of ``data_dir``, landed once per application."""
+        key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+        if key not in _LANDED:
+            _LANDED[key] = cls.land(spark, data_dir)
+        return _LANDED[key]
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: dict[str, str], **params) -> Inputs:

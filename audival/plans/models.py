@@ -1,9 +1,16 @@
-"""The models as compositions of operators. Each function returns a lazy
-DataFrame; upstream stored tables are passed in, so a caller can hand over
-either a lazily computed frame or a re-read of its written table."""
+"""The models as compositions of operators over one set of inputs.
+
+``Chain`` builds each stored table of the models once. With a ``Stager`` the
+stages that several later stages read (the user-metrics base, the ratio,
+customer and value tables) are written to shared storage and read back, so
+the large inputs are scanned once per chain; without one everything stays a
+single lazy plan.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,139 +19,156 @@ from audival.operators import customers as C
 from audival.operators import rollup as R
 from audival.operators import value as VL
 from audival.plans.inputs import Inputs
+from audival.plans.stage import Stager
 from audival.sources.ga4 import ga4_device_rows, ga4_export_rows
 
 
-# --- customers side -------------------------------------------------------
-
-def base(inp: Inputs, by_device: bool = False, windowed: bool = True) -> DataFrame:
-    start, end = inp.window if windowed else (None, None)
-    return C.user_metrics_base(inp.user_metrics_monthly, inp.publication, start, end,
-                               by_device, inp.device_prefix)
-
-
-def loyalty_ratio(inp: Inputs, by_device: bool = False) -> DataFrame:
-    """K1 / K2."""
-    return C.loyalty_ratio(base(inp, by_device), by_device)
-
-
-def customers(inp: Inputs, ratios: DataFrame, by_device: bool = False) -> DataFrame:
-    """K3 / K4."""
-    start, end = inp.window
-    return C.customers(inp.user_metrics_monthly, inp.manual_monthly, ratios, inp.publication,
-                       start, end, by_device, inp.device_prefix)
-
-
 def legacy_ratios(ratios: DataFrame) -> DataFrame:
     """The earlier models' ratio table: status column named login_state_raw."""
     return ratios.withColumnRenamed("user_status", "login_state_raw").drop("loyalty_pageviews_ratio")
 
 
-# --- audience side --------------------------------------------------------
-
-def clean_export(inp: Inputs, by_device: bool = False, with_pageviews: bool = True) -> DataFrame:
-    return A.clean_ga4(ga4_export_rows(inp.ga4_export), inp.publication, by_device,
-                       with_pageviews, inp.device_prefix)
-
-
-def clean_device_aggregate(inp: Inputs) -> DataFrame:
-    return A.clean_ga4(ga4_device_rows(inp.ga4_device_aggregate), inp.publication, True, False,
-                       inp.device_prefix)
-
-
-def audience_states(inp: Inputs, by_device: bool = False) -> DataFrame:
-    """Login states with the extrapolated No Consent row (current models)."""
-    if by_device:
-        clean = A.enrich_pageviews(clean_device_aggregate(inp), clean_export(inp, True, True))
-    else:
-        clean = clean_export(inp)
-    return A.add_no_consent(clean, inp.consent_rate, "extrapolate", by_device)
-
-
-def audience_cells(inp: Inputs, ratios: DataFrame, by_device: bool = False) -> DataFrame:
-    split = A.loyalty_split(audience_states(inp, by_device), ratios, by_device)
-    return A.audience_lifetime(split, by_device)
-
-
-def advertising(inp: Inputs, ratios: DataFrame, customers_df: DataFrame,
-                by_device: bool = False) -> DataFrame:
-    cells = audience_cells(inp, ratios, by_device)
-    return VL.advertising_value(cells, inp.impressions_per_view, inp.rpm,
-                                C.customers_by_cell(customers_df, by_device),
-                                rule="guard" if by_device else "override", by_device=by_device)
-
-
-def subscription(inp: Inputs, by_device: bool = False) -> DataFrame:
-    lifetime = inp.subscription_lifetime_device if by_device else inp.subscription_lifetime
-    return VL.subscription_value(lifetime, VL.subscription_arpu(inp.subscription_arpu, by_device),
-                                 by_device)
-
-
-def value_by_cell(inp: Inputs, ratios: DataFrame, customers_df: DataFrame,
-                  by_device: bool = False) -> DataFrame:
-    """K5 / K6."""
-    return VL.value_by_cell(advertising(inp, ratios, customers_df, by_device),
-                            subscription(inp, by_device), by_device)
-
-
-# --- roll-ups ---------------------------------------------------------------
-
-def weighted(values: DataFrame, customers_df: DataFrame, keep: str, by_device: bool = False) -> DataFrame:
-    """Weights of ``keep``'s cells, then the weighted sum."""
-    weight = R.customer_weight(customers_df, keep, by_device)
-    return R.weighted_rollup(values, weight, keep, by_device)
-
-
-def total_tclv_login_state(weighted_ls: DataFrame, customers_df: DataFrame) -> DataFrame:
-    """K11."""
-    return R.total_tclv(weighted_ls, customers_df, ["login_state"], calendar=True)
-
-
-def total_tclv_login_state_loyalty(values: DataFrame, customers_df: DataFrame) -> DataFrame:
-    """K12."""
-    return R.total_tclv(values, customers_df, ["login_state", "loyalty_segment"])
-
-
-# --- earlier ad-hoc models ------------------------------------------------------
-
-def legacy_states(inp: Inputs, by_device: bool = False) -> DataFrame:
-    """States with No Consent as a share of the total (earlier models)."""
-    clean = clean_device_aggregate(inp) if by_device else clean_export(inp, with_pageviews=False)
-    return A.add_no_consent(clean, inp.consent_rate, "share", by_device)
-
-
-def loyalty_split_report(inp: Inputs, ratios_device: DataFrame) -> DataFrame:
-    """Device x state x segment users, new users and lifetime."""
-    return A.loyalty_split(legacy_states(inp, True), legacy_ratios(ratios_device), True, legacy=True)
-
-
-def legacy_cells(inp: Inputs, ratios: DataFrame, per_segment: bool = True) -> DataFrame:
-    split = A.loyalty_split(legacy_states(inp), legacy_ratios(ratios), legacy=True)
-    return A.audience_lifetime(split, per_segment=per_segment)
-
-
-def advertising_v1(inp: Inputs, ratios: DataFrame) -> DataFrame:
-    """Per-state advertising value x 10, month as text with '-01'."""
-    cells = legacy_cells(inp, ratios, per_segment=False)
-    pv = A.pageviews_by_cell(inp.manual_pageviews, per_segment=False)
-    adv = VL.advertising_value(cells, inp.impressions_per_view, inp.rpm, pageviews=pv, rule="users",
-                               scale=10.0, per_segment=False)
-    return adv.select("advertising_value", F.concat(F.col("month").cast("string"), F.lit("-01")).alias("month"),
-                      "publication", "login_state", "views_per_user", "impressions_per_pageviews",
-                      "impressions_per_user", "rpm", "lifetime")
-
-
-def legacy_advertising(inp: Inputs, ratios: DataFrame, true_customer: DataFrame) -> DataFrame:
-    cells = legacy_cells(inp, ratios)
-    pv = A.pageviews_by_cell(inp.manual_pageviews)
-    return VL.advertising_value(cells, inp.impressions_per_view, inp.rpm,
-                                customers=C.customers_by_cell(true_customer), pageviews=pv,
-                                rule="customers")
-
-
-def weighted_legacy(inp: Inputs, ratios: DataFrame, true_customer: DataFrame, keep: str) -> DataFrame:
-    """The earlier login-state / loyalty models: value before weight, then
-    the roll-up with a stored customer weight table."""
-    values = VL.value_by_cell(legacy_advertising(inp, ratios, true_customer), subscription(inp))
-    weight = R.customer_weight(true_customer, keep)
-    return R.weighted_rollup(values, weight, keep)
+class Chain:
+    def __init__(self, inp: Inputs, stager: Stager | None = None):
+        self.inp = inp
+        self.stager = stager
+        self._stages: dict[str, DataFrame] = {}
+
+    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._stages:
+            df = build()
+            self._stages[name] = self.stager.write(df, name) if self.stager else df
+        return self._stages[name]
+
+    # --- customers side ------------------------------------------------------
+
+    def base(self, by_device: bool = False, windowed: bool = True) -> DataFrame:
+        """O11 over the model window (or unbounded for the earliest model)."""
+        inp = self.inp
+        start, end = inp.window if windowed else (None, None)
+        name = "base" + ("_device" if by_device else "") + ("" if windowed else "_all")
+        return self._stage(name, lambda: C.user_metrics_base(
+            inp.user_metrics_monthly, inp.publication, start, end, by_device, inp.device_prefix))
+
+    def loyalty_ratio(self, by_device: bool = False) -> DataFrame:
+        """K1 / K2."""
+        name = "loyalty_ratio_device_scope" if by_device else "loyalty_ratio"
+        return self._stage(name, lambda: C.loyalty_ratio(self.base(by_device), by_device))
+
+    def customers(self, by_device: bool = False) -> DataFrame:
+        """K3 / K4."""
+        name = "customers_device_scope" if by_device else "customers"
+        return self._stage(name, lambda: C.customers(
+            self.base(by_device), self.inp.manual_monthly, self.loyalty_ratio(by_device), by_device))
+
+    def ground_truth(self, by_device: bool = False) -> DataFrame:
+        b = self.base(by_device)
+        return C.ground_truth(b, C.reach_ratio(self.inp.manual_monthly, b), by_device)
+
+    def customers_legacy(self) -> DataFrame:
+        """Earliest customer model (O19a): no month bound, every status."""
+        b = self.base(windowed=False)
+        gt = C.ground_truth(b, C.reach_ratio(self.inp.manual_monthly, b))
+        return C.no_consent_customers(gt, self.inp.manual_monthly, "all")
+
+    # --- audience side --------------------------------------------------------
+
+    def clean_export(self, by_device: bool = False, with_pageviews: bool = True) -> DataFrame:
+        inp = self.inp
+        return A.clean_ga4(ga4_export_rows(inp.ga4_export), inp.publication, by_device,
+                           with_pageviews, inp.device_prefix)
+
+    def clean_device_aggregate(self) -> DataFrame:
+        inp = self.inp
+        return A.clean_ga4(ga4_device_rows(inp.ga4_device_aggregate), inp.publication, True, False,
+                           inp.device_prefix)
+
+    def enriched(self) -> DataFrame:
+        return A.enrich_pageviews(self.clean_device_aggregate(), self.clean_export(True, True))
+
+    def audience_states(self, by_device: bool = False) -> DataFrame:
+        """Login states plus the extrapolated No Consent row (current models)."""
+        clean = self.enriched() if by_device else self.clean_export()
+        return A.add_no_consent(clean, self.inp.consent_rate, "extrapolate", by_device)
+
+    def audience_cells(self, by_device: bool = False) -> DataFrame:
+        split = A.loyalty_split(self.audience_states(by_device), self.loyalty_ratio(by_device), by_device)
+        return A.audience_lifetime(split, by_device)
+
+    def advertising(self, by_device: bool = False) -> DataFrame:
+        inp = self.inp
+        return VL.advertising_value(self.audience_cells(by_device), inp.impressions_per_view, inp.rpm,
+                                    C.customers_by_cell(self.customers(by_device), by_device),
+                                    rule="guard" if by_device else "override", by_device=by_device)
+
+    def subscription(self, by_device: bool = False) -> DataFrame:
+        inp = self.inp
+        lifetime = inp.subscription_lifetime_device if by_device else inp.subscription_lifetime
+        return VL.subscription_value(lifetime, VL.subscription_arpu(inp.subscription_arpu, by_device),
+                                     by_device)
+
+    def value_by_cell(self, by_device: bool = False) -> DataFrame:
+        """K5 / K6."""
+        name = ("weighted_device_loyalty_login_state" if by_device
+                else "weighted_login_state_loyalty")
+        return self._stage(name, lambda: VL.value_by_cell(
+            self.advertising(by_device), self.subscription(by_device), by_device))
+
+    # --- roll-ups ----------------------------------------------------------------
+
+    def weighted(self, keep: str, by_device: bool = False) -> DataFrame:
+        """K7-K10."""
+        customers = self.customers(by_device)
+        weight = R.customer_weight(customers, keep, by_device)
+        return R.weighted_rollup(self.value_by_cell(by_device), weight, keep, by_device)
+
+    def total_tclv_login_state(self) -> DataFrame:
+        """K11."""
+        return R.total_tclv(self.weighted("login_state"), self.customers(), ["login_state"],
+                            calendar=True)
+
+    def total_tclv_login_state_loyalty(self) -> DataFrame:
+        """K12."""
+        return R.total_tclv(self.value_by_cell(), self.customers(), ["login_state", "loyalty_segment"])
+
+    # --- earlier ad-hoc models ------------------------------------------------------
+
+    def legacy_states(self, by_device: bool = False) -> DataFrame:
+        """States with No Consent as a share of the total (earlier models)."""
+        clean = self.clean_device_aggregate() if by_device else self.clean_export(with_pageviews=False)
+        return A.add_no_consent(clean, self.inp.consent_rate, "share", by_device)
+
+    def loyalty_split_report(self) -> DataFrame:
+        """Device x state x segment users, new users and lifetime."""
+        return A.loyalty_split(self.legacy_states(True), legacy_ratios(self.loyalty_ratio(True)), True,
+                               legacy=True)
+
+    def legacy_cells(self, per_segment: bool = True) -> DataFrame:
+        split = A.loyalty_split(self.legacy_states(), legacy_ratios(self.loyalty_ratio()), legacy=True)
+        return A.audience_lifetime(split, per_segment=per_segment)
+
+    def advertising_v1(self) -> DataFrame:
+        """Per-state advertising value x 10, month as text with '-01'."""
+        inp = self.inp
+        pv = A.pageviews_by_cell(inp.manual_pageviews, per_segment=False)
+        adv = VL.advertising_value(self.legacy_cells(per_segment=False), inp.impressions_per_view, inp.rpm,
+                                   pageviews=pv, rule="users", scale=10.0, per_segment=False)
+        return adv.select("advertising_value",
+                          F.concat(F.col("month").cast("string"), F.lit("-01")).alias("month"),
+                          "publication", "login_state", "views_per_user", "impressions_per_pageviews",
+                          "impressions_per_user", "rpm", "lifetime")
+
+    def legacy_advertising(self) -> DataFrame:
+        """Earlier login-state model: true customers and manual page views."""
+        inp = self.inp
+        pv = A.pageviews_by_cell(inp.manual_pageviews)
+        return VL.advertising_value(self.legacy_cells(), inp.impressions_per_view, inp.rpm,
+                                    customers=C.customers_by_cell(self.customers()), pageviews=pv,
+                                    rule="customers")
+
+    def weighted_legacy(self, keep: str) -> DataFrame:
+        """Earlier login-state / loyalty models: value before weight, then the
+        roll-up with the customer weight table (true customers = K3)."""
+        values = VL.value_by_cell(self.legacy_advertising(), self.subscription())
+        weight = R.customer_weight(self.customers(), keep)
+        return R.weighted_rollup(values, weight, keep)

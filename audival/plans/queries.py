@@ -17,8 +17,9 @@ from audival.operators import customers as C
 from audival.operators import report as RP
 from audival.operators import rollup as R
 from audival.operators import value as VL
-from audival.plans import models as M
+from audival.plans.models import Chain
 from audival.plans.inputs import Inputs
+from audival.plans.stage import Stager
 from audival.sources import adserver, fixtures
 from audival.sources.tables import Tables
 
@@ -55,10 +56,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
+def chain_for(spark: SparkSession, data_dir: str, staged: bool = True) -> Chain:
+    """A fresh chain over the landed inputs of ``data_dir``; with ``staged``
+    its shared stages are written once to the checkpoint folder."""
+    return Chain(Inputs.from_testdata(spark, data_dir), Stager(spark) if staged else None)
+
+
 def query(name: str):
-    def register(fn: Callable[[Inputs], DataFrame]):
+    def register(fn: Callable[[Chain], DataFrame]):
         def run(spark: SparkSession, data_dir: str) -> DataFrame:
-            return present(fn(Inputs.from_testdata(spark, data_dir)))
+            return present(fn(chain_for(spark, data_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _REGISTRY[name] = run
@@ -80,57 +87,28 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def _k1(inp):
-    return M.loyalty_ratio(inp)
-
-
-def _k2(inp):
-    return M.loyalty_ratio(inp, True)
-
-
-def _k3(inp):
-    return M.customers(inp, _k1(inp))
-
-
-def _k4(inp):
-    return M.customers(inp, _k2(inp), True)
-
-
-def _k5(inp):
-    return M.value_by_cell(inp, _k1(inp), _k3(inp))
-
-
-def _k6(inp):
-    return M.value_by_cell(inp, _k2(inp), _k4(inp), True)
-
-
-def _gt(inp, by_device=False):
-    b = M.base(inp, by_device)
-    return C.ground_truth(b, C.reach_ratio(inp.manual_monthly, b), by_device)
-
-
 # --- column rules ---------------------------------------------------------------
 
 @query("month_from_yearmonth")
-def q_month_from_yearmonth(inp):
-    return inp.ga4_export.select("yearMonth", FC.month_from_yearmonth("yearMonth").alias("month"))
+def q_month_from_yearmonth(ch):
+    return ch.inp.ga4_export.select("yearMonth", FC.month_from_yearmonth("yearMonth").alias("month"))
 
 
 @query("month_from_yyyy_mm")
-def q_month_from_dash(inp):
-    return inp.ga4_device_aggregate.select(F.col("month").alias("month_text"),
+def q_month_from_dash(ch):
+    return ch.inp.ga4_device_aggregate.select(F.col("month").alias("month_text"),
                                            FC.month_from_dash("month").alias("month"))
 
 
 @query("device_normalise")
-def q_device(inp):
-    return inp.user_metrics_monthly.select(
-        "requestSource", FC.normalise_device("requestSource", inp.device_prefix).alias("device"))
+def q_device(ch):
+    return ch.inp.user_metrics_monthly.select(
+        "requestSource", FC.normalise_device("requestSource", ch.inp.device_prefix).alias("device"))
 
 
 @query("login_state_classify")
-def q_classify(inp):
-    return inp.ga4_export.select(
+def q_classify(ch):
+    return ch.inp.ga4_export.select(
         "yearMonth", "customUseruser_status", "customUserproduct_name", "customEventrequestSource",
         FC.classify_login_state("customUseruser_status", "customUserproduct_name").alias("login_state"))
 
@@ -138,347 +116,346 @@ def q_classify(inp):
 # --- audience ----------------------------------------------------------------
 
 @query("clean_ga4")
-def q_clean_ga4(inp):
-    return M.clean_export(inp)
+def q_clean_ga4(ch):
+    return ch.clean_export()
 
 
 @query("clean_ga4_export_device")
-def q_clean_ga4_export_device(inp):
-    return M.clean_export(inp, by_device=True)
+def q_clean_ga4_export_device(ch):
+    return ch.clean_export(by_device=True)
 
 
 @query("clean_ga4_device_aggregate")
-def q_clean_ga4_device_aggregate(inp):
-    return M.clean_device_aggregate(inp)
+def q_clean_ga4_device_aggregate(ch):
+    return ch.clean_device_aggregate()
 
 
 @query("clean_ga4_device_enriched")
-def q_enriched(inp):
-    return A.enrich_pageviews(M.clean_device_aggregate(inp), M.clean_export(inp, True, True))
+def q_enriched(ch):
+    return ch.enriched()
 
 
 @query("no_consent_uplift_legacy")
-def q_uplift_legacy(inp):
-    return M.legacy_states(inp)
+def q_uplift_legacy(ch):
+    return ch.legacy_states()
 
 
 @query("no_consent_uplift_legacy_device")
-def q_uplift_legacy_device(inp):
-    return M.legacy_states(inp, True)
+def q_uplift_legacy_device(ch):
+    return ch.legacy_states(True)
 
 
 @query("no_consent_uplift")
-def q_uplift(inp):
-    return M.audience_states(inp)
+def q_uplift(ch):
+    return ch.audience_states()
 
 
 @query("no_consent_uplift_device")
-def q_uplift_device(inp):
-    return M.audience_states(inp, True)
+def q_uplift_device(ch):
+    return ch.audience_states(True)
 
 
 @query("user_status_of_login_state")
-def q_user_status_of(inp):
-    return M.audience_states(inp).select("month", "publication", "login_state",
-                                         FC.user_status_of("login_state").alias("user_status"))
+def q_user_status_of(ch):
+    return ch.audience_states().select("month", "publication", "login_state",
+                                          FC.user_status_of("login_state").alias("user_status"))
 
 
 @query("consent_status")
-def q_consent_status(inp):
-    return M.audience_states(inp).select("month", "publication", "login_state",
-                                         FC.consent_status("login_state").alias("consent_status"))
+def q_consent_status(ch):
+    return ch.audience_states().select("month", "publication", "login_state",
+                                          FC.consent_status("login_state").alias("consent_status"))
 
 
 @query("loyalty_split")
-def q_split(inp):
-    return A.loyalty_split(M.audience_states(inp), _k1(inp))
+def q_split(ch):
+    return A.loyalty_split(ch.audience_states(), ch.loyalty_ratio())
 
 
 @query("loyalty_split_device")
-def q_split_device(inp):
-    return A.loyalty_split(M.audience_states(inp, True), _k2(inp), True)
+def q_split_device(ch):
+    return A.loyalty_split(ch.audience_states(True), ch.loyalty_ratio(True), True)
 
 
 @query("audience_lifetime")
-def q_lifetime(inp):
-    return M.audience_cells(inp, _k1(inp))
+def q_lifetime(ch):
+    return ch.audience_cells()
 
 
 @query("audience_lifetime_device")
-def q_lifetime_device(inp):
-    return M.audience_cells(inp, _k2(inp), True)
+def q_lifetime_device(ch):
+    return ch.audience_cells(True)
 
 
 @query("loyalty_split_report")
-def q_split_report(inp):
-    return M.loyalty_split_report(inp, _k2(inp))
+def q_split_report(ch):
+    return ch.loyalty_split_report()
 
 
 @query("pageviews_by_cell")
-def q_pageviews(inp):
-    return A.pageviews_by_cell(inp.manual_pageviews)
+def q_pageviews(ch):
+    return A.pageviews_by_cell(ch.inp.manual_pageviews)
 
 
 @query("pageviews_by_login_state")
-def q_pageviews_ls(inp):
-    return A.pageviews_by_cell(inp.manual_pageviews, per_segment=False)
+def q_pageviews_ls(ch):
+    return A.pageviews_by_cell(ch.inp.manual_pageviews, per_segment=False)
 
 
 # --- customers -----------------------------------------------------------------
 
 @query("user_metrics_base")
-def q_base(inp):
-    return M.base(inp)
+def q_base(ch):
+    return ch.base()
 
 
 @query("user_metrics_base_device")
-def q_base_device(inp):
-    return M.base(inp, True)
+def q_base_device(ch):
+    return ch.base(True)
 
 
 @query("total_users")
-def q_total_users(inp):
-    return C.total_users(M.base(inp))
+def q_total_users(ch):
+    return C.total_users(ch.base())
 
 
 @query("total_users_device")
-def q_total_users_device(inp):
-    return C.total_users(M.base(inp, True), True)
+def q_total_users_device(ch):
+    return C.total_users(ch.base(True), True)
 
 
 @query("loyalty_ratio")
-def q_k1(inp):
-    return _k1(inp)
+def q_k1(ch):
+    return ch.loyalty_ratio()
 
 
 @query("loyalty_ratio_device_scope")
-def q_k2(inp):
-    return _k2(inp)
+def q_k2(ch):
+    return ch.loyalty_ratio(True)
 
 
 @query("rus_ratio")
-def q_reach(inp):
-    return C.reach_ratio(inp.manual_monthly, M.base(inp))
+def q_reach(ch):
+    return C.reach_ratio(ch.inp.manual_monthly, ch.base())
 
 
 @query("ground_truth_customers")
-def q_gt(inp):
-    return _gt(inp)
+def q_gt(ch):
+    return ch.ground_truth()
 
 
 @query("ground_truth_customers_device")
-def q_gt_device(inp):
-    return _gt(inp, True)
+def q_gt_device(ch):
+    return ch.ground_truth(True)
 
 
 @query("subscriber_mix")
-def q_mix(inp):
-    return C.subscriber_mix(inp.manual_monthly)
+def q_mix(ch):
+    return C.subscriber_mix(ch.inp.manual_monthly)
 
 
 @query("logged_in_ratio")
-def q_li(inp):
-    return C.logged_in_ratio(M.base(inp))
+def q_li(ch):
+    return C.logged_in_ratio(ch.base())
 
 
 @query("logged_in_ratio_device")
-def q_li_device(inp):
-    return C.logged_in_ratio(M.base(inp, True), True)
+def q_li_device(ch):
+    return C.logged_in_ratio(ch.base(True), True)
 
 
 @query("subscribed_ratio")
-def q_sr(inp):
-    return C.subscribed_ratio(M.base(inp))
+def q_sr(ch):
+    return C.subscribed_ratio(ch.base())
 
 
 @query("subscribed_ratio_device")
-def q_sr_device(inp):
-    return C.subscribed_ratio(M.base(inp, True), True)
+def q_sr_device(ch):
+    return C.subscribed_ratio(ch.base(True), True)
 
 
 @query("no_consent_customers_legacy")
-def q_nc_legacy(inp):
-    return C.customers_legacy(inp.user_metrics_monthly, inp.manual_monthly, inp.publication)
+def q_nc_legacy(ch):
+    return ch.customers_legacy()
 
 
 @query("no_consent_customers")
-def q_nc(inp):
-    return C.no_consent_customers(_gt(inp), inp.manual_monthly, "ratio", _k1(inp))
+def q_nc(ch):
+    return C.no_consent_customers(ch.ground_truth(), ch.inp.manual_monthly, "ratio", ch.loyalty_ratio())
 
 
 @query("no_consent_customers_device")
-def q_nc_device(inp):
-    return C.no_consent_customers(_gt(inp, True), inp.manual_monthly, "plain", by_device=True)
+def q_nc_device(ch):
+    return C.no_consent_customers(ch.ground_truth(True), ch.inp.manual_monthly, "plain", by_device=True)
 
 
 @query("logged_in_customers")
-def q_li_customers(inp):
-    return C.logged_in_customers(C.logged_in_ratio(M.base(inp)), _k1(inp), inp.manual_monthly)
+def q_li_customers(ch):
+    return C.logged_in_customers(C.logged_in_ratio(ch.base()), ch.loyalty_ratio(), ch.inp.manual_monthly)
 
 
 @query("logged_in_customers_device")
-def q_li_customers_device(inp):
-    return C.logged_in_customers(C.logged_in_ratio(M.base(inp, True), True), _k2(inp),
-                                 inp.manual_monthly, True)
+def q_li_customers_device(ch):
+    return C.logged_in_customers(C.logged_in_ratio(ch.base(True), True), ch.loyalty_ratio(True),
+                                 ch.inp.manual_monthly, True)
 
 
 @query("subscription_customers")
-def q_sub_customers(inp):
-    return C.subscription_customers(C.subscribed_ratio(M.base(inp)), _k1(inp), inp.manual_monthly)
+def q_sub_customers(ch):
+    return C.subscription_customers(C.subscribed_ratio(ch.base()), ch.loyalty_ratio(), ch.inp.manual_monthly)
 
 
 @query("subscription_customers_device")
-def q_sub_customers_device(inp):
-    return C.subscription_customers(C.subscribed_ratio(M.base(inp, True), True), _k2(inp),
-                                    inp.manual_monthly, True)
+def q_sub_customers_device(ch):
+    return C.subscription_customers(C.subscribed_ratio(ch.base(True), True), ch.loyalty_ratio(True),
+                                    ch.inp.manual_monthly, True)
 
 
 @query("customers")
-def q_k3(inp):
-    return _k3(inp)
+def q_k3(ch):
+    return ch.customers()
 
 
 @query("customers_device_scope")
-def q_k4(inp):
-    return _k4(inp)
+def q_k4(ch):
+    return ch.customers(True)
 
 
 @query("customers_by_cell")
-def q_customers_by_cell(inp):
-    return C.customers_by_cell(_k3(inp))
+def q_customers_by_cell(ch):
+    return C.customers_by_cell(ch.customers())
 
 
 @query("customers_by_cell_device")
-def q_customers_by_cell_device(inp):
-    return C.customers_by_cell(_k4(inp), True)
+def q_customers_by_cell_device(ch):
+    return C.customers_by_cell(ch.customers(True), True)
 
 
 # --- value ---------------------------------------------------------------------
 
 @query("views_per_user_plain")
-def q_vpu_plain(inp):
-    adv = M.legacy_advertising(inp, _k1(inp), _k3(inp))
+def q_vpu_plain(ch):
+    adv = ch.legacy_advertising()
     return adv.select("month", "publication", "login_state", "loyalty_segment", "views_per_user")
 
 
 @query("views_per_user_override")
-def q_vpu_override(inp):
-    adv = M.advertising(inp, _k1(inp), _k3(inp))
+def q_vpu_override(ch):
+    adv = ch.advertising()
     return adv.select("month", "publication", "login_state", "loyalty_segment", "views_per_user")
 
 
 @query("views_per_user_zero_guard")
-def q_vpu_guard(inp):
-    adv = M.advertising(inp, _k2(inp), _k4(inp), True)
+def q_vpu_guard(ch):
+    adv = ch.advertising(True)
     return adv.select("month", "publication", "device", "login_state", "loyalty_segment", "views_per_user")
 
 
 @query("advertising_value")
-def q_adv(inp):
-    return M.advertising(inp, _k1(inp), _k3(inp))
+def q_adv(ch):
+    return ch.advertising()
 
 
 @query("advertising_value_device")
-def q_adv_device(inp):
-    return M.advertising(inp, _k2(inp), _k4(inp), True)
+def q_adv_device(ch):
+    return ch.advertising(True)
 
 
 @query("advertising_v1")
-def q_adv_v1(inp):
-    return M.advertising_v1(inp, _k1(inp))
+def q_adv_v1(ch):
+    return ch.advertising_v1()
 
 
 @query("subscription_arpu")
-def q_arpu(inp):
-    return VL.subscription_arpu(inp.subscription_arpu)
+def q_arpu(ch):
+    return VL.subscription_arpu(ch.inp.subscription_arpu)
 
 
 @query("subscription_arpu_device")
-def q_arpu_device(inp):
-    return VL.subscription_arpu(inp.subscription_arpu, True)
+def q_arpu_device(ch):
+    return VL.subscription_arpu(ch.inp.subscription_arpu, True)
 
 
 @query("subscription_value")
-def q_sub_value(inp):
-    return M.subscription(inp)
+def q_sub_value(ch):
+    return ch.subscription()
 
 
 @query("subscription_value_device")
-def q_sub_value_device(inp):
-    return M.subscription(inp, True)
+def q_sub_value_device(ch):
+    return ch.subscription(True)
 
 
 @query("value_by_cell")
-def q_k5(inp):
-    return _k5(inp)
+def q_k5(ch):
+    return ch.value_by_cell()
 
 
 @query("value_by_cell_device")
-def q_k6(inp):
-    return _k6(inp)
+def q_k6(ch):
+    return ch.value_by_cell(True)
 
 
 # --- roll-ups --------------------------------------------------------------------
 
 @query("customer_weight_login_state")
-def q_w_ls(inp):
-    return R.customer_weight(_k3(inp), "login_state")
+def q_w_ls(ch):
+    return R.customer_weight(ch.customers(), "login_state")
 
 
 @query("customer_weight_loyalty")
-def q_w_loy(inp):
-    return R.customer_weight(_k3(inp), "loyalty_segment")
+def q_w_loy(ch):
+    return R.customer_weight(ch.customers(), "loyalty_segment")
 
 
 @query("customer_weight_device_login_state")
-def q_w_dls(inp):
-    return R.customer_weight(_k4(inp), "login_state", True)
+def q_w_dls(ch):
+    return R.customer_weight(ch.customers(True), "login_state", True)
 
 
 @query("customer_weight_device_loyalty")
-def q_w_dloy(inp):
-    return R.customer_weight(_k4(inp), "loyalty_segment", True)
+def q_w_dloy(ch):
+    return R.customer_weight(ch.customers(True), "loyalty_segment", True)
 
 
 @query("weighted_login_state")
-def q_k7(inp):
-    return M.weighted(_k5(inp), _k3(inp), "login_state")
+def q_k7(ch):
+    return ch.weighted("login_state")
 
 
 @query("weighted_loyalty")
-def q_k8(inp):
-    return M.weighted(_k5(inp), _k3(inp), "loyalty_segment")
+def q_k8(ch):
+    return ch.weighted("loyalty_segment")
 
 
 @query("weighted_device_login_state")
-def q_k9(inp):
-    return M.weighted(_k6(inp), _k4(inp), "login_state", True)
+def q_k9(ch):
+    return ch.weighted("login_state", True)
 
 
 @query("weighted_device_loyalty")
-def q_k10(inp):
-    return M.weighted(_k6(inp), _k4(inp), "loyalty_segment", True)
+def q_k10(ch):
+    return ch.weighted("loyalty_segment", True)
 
 
 @query("weighted_login_state_legacy")
-def q_w_legacy_ls(inp):
-    return M.weighted_legacy(inp, _k1(inp), _k3(inp), "login_state")
+def q_w_legacy_ls(ch):
+    return ch.weighted_legacy("login_state")
 
 
 @query("weighted_loyalty_legacy")
-def q_w_legacy_loy(inp):
-    return M.weighted_legacy(inp, _k1(inp), _k3(inp), "loyalty_segment")
+def q_w_legacy_loy(ch):
+    return ch.weighted_legacy("loyalty_segment")
 
 
 @query("total_tclv_login_state")
-def q_k11(inp):
-    k3 = _k3(inp)
-    return M.total_tclv_login_state(M.weighted(_k5(inp), k3, "login_state"), k3)
+def q_k11(ch):
+    return ch.total_tclv_login_state()
 
 
 @query("total_tclv_login_state_loyalty")
-def q_k12(inp):
-    return M.total_tclv_login_state_loyalty(_k5(inp), _k3(inp))
+def q_k12(ch):
+    return ch.total_tclv_login_state_loyalty()
 
 
 # --- reports -------------------------------------------------------------------------

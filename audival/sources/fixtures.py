@@ -73,8 +73,7 @@ def _both_publications(df: DataFrame) -> DataFrame:
     return df.withColumn("publication", F.explode(F.array(F.lit(PUBLICATION), F.lit(OTHER_PUBLICATION))))
 
 
-def user_metrics_monthly(t: Tables) -> DataFrame:
-    f = order_facts(t)
+def user_metrics_monthly(f: DataFrame) -> DataFrame:
     status = (F.when(F.col("prio") == "4", V.NOT_SPECIFIED)
               .when(F.col("o_orderstatus") == "F", V.SUBSCRIBED)
               .when(F.col("o_orderstatus") == "O", V.NOT_SUBSCRIBED)
@@ -84,8 +83,7 @@ def user_metrics_monthly(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("device_count"), F.sum("qty").alias("pageview_count")))
 
 
-def ga4_export(t: Tables) -> DataFrame:
-    f = order_facts(t)
+def ga4_export(f: DataFrame) -> DataFrame:
     return (f.groupBy(F.date_format("month", "yyyyMM").alias("yearMonth"),
                       _ga4_status().alias("customUseruser_status"),
                       _ga4_product().alias("customUserproduct_name"),
@@ -94,17 +92,15 @@ def ga4_export(t: Tables) -> DataFrame:
                  F.sum("qty").alias("screenPageViews")))
 
 
-def ga4_device_aggregate(t: Tables) -> DataFrame:
-    f = order_facts(t)
+def ga4_device_aggregate(f: DataFrame) -> DataFrame:
     return (f.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "request_source",
                       _ga4_status().alias("user_status"), _ga4_product().alias("product_name"))
             .agg(F.count(F.lit(1)).alias("total_users"), F.sum(_is_new()).alias("new_users")))
 
 
-def manual_monthly(t: Tables) -> DataFrame:
+def manual_monthly(f: DataFrame) -> DataFrame:
     """Monthly figures for both publications; site_b gets other factors so a
     join that forgets the publication key shows up."""
-    f = order_facts(t)
     m = f.groupBy("month").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("_nf"),
@@ -123,14 +119,13 @@ def manual_monthly(t: Tables) -> DataFrame:
     )
 
 
-def consent_rate(t: Tables) -> DataFrame:
-    return manual_monthly(t).select("month", "publication", "consent_rate")
+def consent_rate(manual: DataFrame) -> DataFrame:
+    return manual.select("month", "publication", "consent_rate")
 
 
-def rpm(t: Tables) -> DataFrame:
+def rpm(f: DataFrame) -> DataFrame:
     """Revenue per mille per month: mean order price / 10,000 (summed in
     cents so the figure is exact), x0.6 without consent; site_b x2."""
-    f = order_facts(t)
     m = f.groupBy("month").agg(
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("_cents"),
         F.count(F.lit(1)).alias("_n"))
@@ -142,8 +137,8 @@ def rpm(t: Tables) -> DataFrame:
     return m.select("month", "publication", "consent_status", (base * factor).alias("rpm"))
 
 
-def impressions_per_view(t: Tables) -> DataFrame:
-    months = _both_publications(order_facts(t).select("month").distinct())
+def impressions_per_view(f: DataFrame) -> DataFrame:
+    months = _both_publications(f.select("month").distinct())
     states = F.array(*[F.struct(F.lit(k).alias("login_state"), F.lit(v).alias("ipp"))
                        for k, v in IMPRESSIONS_PER_STATE.items()])
     return (months.select("month", "publication", F.inline(states))
@@ -152,8 +147,8 @@ def impressions_per_view(t: Tables) -> DataFrame:
                     .alias("impressions_per_pageviews")))
 
 
-def _subscriber_orders(t: Tables) -> DataFrame:
-    f = order_facts(t).filter(F.col("o_orderstatus") == "F")
+def _subscriber_orders(f: DataFrame) -> DataFrame:
+    f = f.filter(F.col("o_orderstatus") == "F")
     return f.select(
         "month", F.lit(PUBLICATION).alias("publication"),
         classify_login_state(F.lit(V.SUBSCRIBED), _ga4_product()).alias("login_state"),
@@ -162,25 +157,24 @@ def _subscriber_orders(t: Tables) -> DataFrame:
         "o_totalprice")
 
 
-def subscription_arpu(t: Tables) -> DataFrame:
+def subscription_arpu(f: DataFrame) -> DataFrame:
     """One row per subscriber order: its price / 1000 as subscription value."""
-    return _subscriber_orders(t).select(
+    return _subscriber_orders(f).select(
         "month", "publication", "login_state", "loyalty_segment", "device",
         (F.col("o_totalprice") / F.lit(1000.0)).alias("subscription_value"))
 
 
-def subscription_lifetime(t: Tables, by_device: bool = False) -> DataFrame:
+def subscription_lifetime(f: DataFrame, by_device: bool = False) -> DataFrame:
     """6 + (orders in the cell mod 7) months; site_b one month longer."""
     keys = ["month", "login_state", "loyalty_segment"] + (["device"] if by_device else [])
-    cells = _subscriber_orders(t).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cells = _subscriber_orders(f).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     cells = _both_publications(cells)
     extra = F.when(F.col("publication") == PUBLICATION, 0).otherwise(1)
     cols = ["month", "publication", "login_state", "loyalty_segment"] + (["device"] if by_device else [])
     return cells.select(*cols, (F.lit(6) + F.col("_n") % 7 + extra).cast("double").alias("average_lifetime"))
 
 
-def manual_pageviews(t: Tables) -> DataFrame:
-    f = order_facts(t)
+def manual_pageviews(f: DataFrame) -> DataFrame:
     return (f.groupBy("month", classify_login_state(_ga4_status(), _ga4_product()).alias("login_state"),
                       _segment().alias("loyalty_segment"))
             .agg(F.sum("qty").alias("page_views"))
