@@ -1,10 +1,16 @@
 """The models as compositions of operators over one set of inputs.
 
-``Chain`` builds each stored table of the models once. With a ``Stager`` the
-stages that several later stages read (the user-metrics base, the ratio,
-customer and value tables) are written to shared storage and read back, so
-the large inputs are scanned once per chain; without one everything stays a
-single lazy plan.
+``Chain`` builds each table of the models once per chain. With a ``Stager``
+the first aggregate over each large input (the user-metrics base, the GA4
+cleans, the subscription arpu) is written to shared storage and read back:
+every later stage reads those small stored tables, so each large input is
+scanned once however often the models use it, and Spark plans the joins
+above them from real file sizes. Everything after the first aggregate is
+months x devices x states x segments and is cheaper to recompute than to
+store, except the customer and value tables, which later stages read two or
+three times each: those are stored when a later stage asks for them
+(``shared=True``), or always with ``store_tables`` (the batch run, whose
+outputs they are). Without a stager everything stays one lazy plan.
 """
 
 from __future__ import annotations
@@ -29,15 +35,16 @@ def legacy_ratios(ratios: DataFrame) -> DataFrame:
 
 
 class Chain:
-    def __init__(self, inp: Inputs, stager: Stager | None = None):
+    def __init__(self, inp: Inputs, stager: Stager | None = None, store_tables: bool = False):
         self.inp = inp
         self.stager = stager
+        self.store_tables = store_tables
         self._stages: dict[str, DataFrame] = {}
 
-    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _stage(self, name: str, build: Callable[[], DataFrame], store: bool = False) -> DataFrame:
         if name not in self._stages:
             df = build()
-            self._stages[name] = self.stager.write(df, name) if self.stager else df
+            self._stages[name] = self.stager.write(df, name) if (store and self.stager) else df
         return self._stages[name]
 
     # --- customers side ------------------------------------------------------
@@ -48,18 +55,25 @@ class Chain:
         start, end = inp.window if windowed else (None, None)
         name = "base" + ("_device" if by_device else "") + ("" if windowed else "_all")
         return self._stage(name, lambda: C.user_metrics_base(
-            inp.user_metrics_monthly, inp.publication, start, end, by_device, inp.device_prefix))
+            inp.user_metrics_monthly, inp.publication, start, end, by_device, inp.device_prefix), store=True)
+
+    def _table(self, name: str, build: Callable[[], DataFrame], shared: bool) -> DataFrame:
+        lazy = self._stage(name, build)
+        if shared or self.store_tables:
+            return self._stage(name + ".stored", lambda: lazy, store=True)
+        return lazy
 
     def loyalty_ratio(self, by_device: bool = False) -> DataFrame:
         """K1 / K2."""
         name = "loyalty_ratio_device_scope" if by_device else "loyalty_ratio"
-        return self._stage(name, lambda: C.loyalty_ratio(self.base(by_device), by_device))
+        return self._table(name, lambda: C.loyalty_ratio(self.base(by_device), by_device), False)
 
-    def customers(self, by_device: bool = False) -> DataFrame:
+    def customers(self, by_device: bool = False, shared: bool = False) -> DataFrame:
         """K3 / K4."""
         name = "customers_device_scope" if by_device else "customers"
-        return self._stage(name, lambda: C.customers(
-            self.base(by_device), self.inp.manual_monthly, self.loyalty_ratio(by_device), by_device))
+        return self._table(name, lambda: C.customers(
+            self.base(by_device), self.inp.manual_monthly, self.loyalty_ratio(by_device), by_device),
+            shared)
 
     def ground_truth(self, by_device: bool = False) -> DataFrame:
         b = self.base(by_device)
@@ -75,13 +89,21 @@ class Chain:
 
     def clean_export(self, by_device: bool = False, with_pageviews: bool = True) -> DataFrame:
         inp = self.inp
-        return A.clean_ga4(ga4_export_rows(inp.ga4_export), inp.publication, by_device,
-                           with_pageviews, inp.device_prefix)
+        name = "clean_ga4" + ("_device" if by_device else "") + ("" if with_pageviews else "_np")
+        return self._stage(name, lambda: A.clean_ga4(ga4_export_rows(inp.ga4_export), inp.publication,
+                                                     by_device, with_pageviews, inp.device_prefix),
+                           store=True)
 
     def clean_device_aggregate(self) -> DataFrame:
         inp = self.inp
-        return A.clean_ga4(ga4_device_rows(inp.ga4_device_aggregate), inp.publication, True, False,
-                           inp.device_prefix)
+        return self._stage("clean_ga4_device_aggregate", lambda: A.clean_ga4(
+            ga4_device_rows(inp.ga4_device_aggregate), inp.publication, True, False, inp.device_prefix),
+            store=True)
+
+    def arpu(self, by_device: bool = False) -> DataFrame:
+        """O32 over the per-order subscription values."""
+        return self._stage("subscription_arpu" + ("_device" if by_device else ""),
+                           lambda: VL.subscription_arpu(self.inp.subscription_arpu, by_device), store=True)
 
     def enriched(self) -> DataFrame:
         return A.enrich_pageviews(self.clean_device_aggregate(), self.clean_export(True, True))
@@ -98,38 +120,38 @@ class Chain:
     def advertising(self, by_device: bool = False) -> DataFrame:
         inp = self.inp
         return VL.advertising_value(self.audience_cells(by_device), inp.impressions_per_view, inp.rpm,
-                                    C.customers_by_cell(self.customers(by_device), by_device),
+                                    C.customers_by_cell(self.customers(by_device, True), by_device),
                                     rule="guard" if by_device else "override", by_device=by_device)
 
     def subscription(self, by_device: bool = False) -> DataFrame:
         inp = self.inp
         lifetime = inp.subscription_lifetime_device if by_device else inp.subscription_lifetime
-        return VL.subscription_value(lifetime, VL.subscription_arpu(inp.subscription_arpu, by_device),
-                                     by_device)
+        return VL.subscription_value(lifetime, self.arpu(by_device), by_device)
 
-    def value_by_cell(self, by_device: bool = False) -> DataFrame:
+    def value_by_cell(self, by_device: bool = False, shared: bool = False) -> DataFrame:
         """K5 / K6."""
         name = ("weighted_device_loyalty_login_state" if by_device
                 else "weighted_login_state_loyalty")
-        return self._stage(name, lambda: VL.value_by_cell(
-            self.advertising(by_device), self.subscription(by_device), by_device))
+        return self._table(name, lambda: VL.value_by_cell(
+            self.advertising(by_device), self.subscription(by_device), by_device), shared)
 
     # --- roll-ups ----------------------------------------------------------------
 
     def weighted(self, keep: str, by_device: bool = False) -> DataFrame:
         """K7-K10."""
-        customers = self.customers(by_device)
+        customers = self.customers(by_device, True)
         weight = R.customer_weight(customers, keep, by_device)
-        return R.weighted_rollup(self.value_by_cell(by_device), weight, keep, by_device)
+        return R.weighted_rollup(self.value_by_cell(by_device, True), weight, keep, by_device)
 
     def total_tclv_login_state(self) -> DataFrame:
         """K11."""
-        return R.total_tclv(self.weighted("login_state"), self.customers(), ["login_state"],
+        return R.total_tclv(self.weighted("login_state"), self.customers(shared=True), ["login_state"],
                             calendar=True)
 
     def total_tclv_login_state_loyalty(self) -> DataFrame:
         """K12."""
-        return R.total_tclv(self.value_by_cell(), self.customers(), ["login_state", "loyalty_segment"])
+        return R.total_tclv(self.value_by_cell(shared=True), self.customers(shared=True),
+                            ["login_state", "loyalty_segment"])
 
     # --- earlier ad-hoc models ------------------------------------------------------
 
@@ -163,12 +185,12 @@ class Chain:
         inp = self.inp
         pv = A.pageviews_by_cell(inp.manual_pageviews)
         return VL.advertising_value(self.legacy_cells(), inp.impressions_per_view, inp.rpm,
-                                    customers=C.customers_by_cell(self.customers()), pageviews=pv,
+                                    customers=C.customers_by_cell(self.customers(shared=True)), pageviews=pv,
                                     rule="customers")
 
     def weighted_legacy(self, keep: str) -> DataFrame:
         """Earlier login-state / loyalty models: value before weight, then the
         roll-up with the customer weight table (true customers = K3)."""
         values = VL.value_by_cell(self.legacy_advertising(), self.subscription())
-        weight = R.customer_weight(self.customers(), keep)
+        weight = R.customer_weight(self.customers(shared=True), keep)
         return R.weighted_rollup(values, weight, keep)

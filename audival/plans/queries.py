@@ -368,12 +368,12 @@ def q_adv_v1(ch):
 
 @query("subscription_arpu")
 def q_arpu(ch):
-    return VL.subscription_arpu(ch.inp.subscription_arpu)
+    return ch.arpu()
 
 
 @query("subscription_arpu_device")
 def q_arpu_device(ch):
-    return VL.subscription_arpu(ch.inp.subscription_arpu, True)
+    return ch.arpu(True)
 
 
 @query("subscription_value")
