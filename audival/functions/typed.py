@@ -2,27 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import sys
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.functions.columns import col
 
+# The characters Python's str.strip() removes (every str.isspace() character).
+WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.isspace())
+
+
+def strip(c: Column) -> Column:
+    return F.btrim(c, F.lit(WHITESPACE))
+
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+def _parts(text: Column) -> tuple[Column, Column, Column]:
+    """kind (before the first ':'), the text after the first ':' and the text
+    between the first and second ':', each stripped."""
+    kind = F.lower(F.split_part(text, F.lit(":"), F.lit(1)))
+    after_first = strip(F.substring(text, F.instr(text, ":") + 1, F.lit(1 << 30)))
+    second = strip(F.split_part(text, F.lit(":"), F.lit(2)))
+    return kind, after_first, second
+
+
+def _value(kind: Column, after_first: Column, second: Column, is_date: bool) -> Column:
+    if is_date:
+        return F.to_date(second, "yyyyMMdd")
+    quoted = after_first.startswith('"') & after_first.endswith('"')
+    unquoted = F.when(quoted, F.substring(after_first, F.lit(2), F.length(after_first) - 2))
+    return F.when(kind == "string_value", unquoted.otherwise(after_first)).otherwise(second)
 
 
 def parse_typed_value(c: str | Column, is_date: bool = False) -> Column:
     """A date column takes the text between the first and second ``:`` as
     ``yyyyMMdd``; ``string_value`` takes everything after the first ``:``
     with one pair of surrounding quotes removed; any other kind takes the
-    text between the first and second ``:``. Results are trimmed."""
-    text = _strip(col(c))
-    second_field = _strip(F.split_part(text, F.lit(":"), F.lit(2)))
-    if is_date:
-        return F.to_date(second_field, "yyyyMMdd")
-    kind = F.lower(F.split_part(text, F.lit(":"), F.lit(1)))
-    after_first = _strip(F.substring(text, F.instr(text, ":") + 1, F.lit(1 << 30)))
-    quoted = after_first.startswith('"') & after_first.endswith('"')
-    unquoted = F.when(quoted, F.substring(after_first, F.lit(2), F.length(after_first) - 2))
-    return F.when(kind == "string_value", unquoted.otherwise(after_first)).otherwise(second_field)
+    text between the first and second ``:``. Results are stripped."""
+    return _value(*_parts(strip(col(c))), is_date)
+
+
+def parse_typed_columns(df: DataFrame, columns: dict[str, tuple[str, bool]]) -> DataFrame:
+    """``out: (source column, is_date)`` parsed in three projections, so each
+    text is stripped and split once per row rather than once per use."""
+    stripped = df.select(*[strip(F.col(src)).alias(f"_t{i}") for i, (src, _) in enumerate(columns.values())])
+    parts = []
+    for i in range(len(columns)):
+        kind, after_first, second = _parts(F.col(f"_t{i}"))
+        parts += [kind.alias(f"_k{i}"), after_first.alias(f"_a{i}"), second.alias(f"_s{i}")]
+    split = stripped.select(*parts)
+    return split.select(*[_value(F.col(f"_k{i}"), F.col(f"_a{i}"), F.col(f"_s{i}"), is_date).alias(out)
+                          for i, (out, (_, is_date)) in enumerate(columns.items())])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.functions.filters import dimension_filter
-from audival.functions.typed import parse_typed_value
+from audival.functions.typed import parse_typed_columns
 
 # Our definitions of the analytics names over an ``events`` table
 # (event_id, ts, user_id, event_type, value, props).
@@ -70,13 +70,13 @@ def parse_landed(df: DataFrame, definition: Mapping) -> DataFrame:
     """O30 over landed rows: each definition column parsed from its typed
     text (``date`` as a DATE); names resolve case-insensitively."""
     by_lower = {c.lower(): c for c in df.columns}
-    out = []
+    wanted = {}
     for name in list(definition.get("dimensions", [])) + list(definition.get("metrics", [])):
         src = by_lower.get(name.lower())
         if src is None:
             raise KeyError(f"unknown report field: {name}")
-        out.append(parse_typed_value(src, is_date=name.lower() == "date").alias(name))
-    return df.select(*out)
+        wanted[name] = (src, name.lower() == "date")
+    return parse_typed_columns(df, wanted)
 
 
 def report_from_definition(landed: DataFrame, definition: Mapping, start: str, end: str) -> DataFrame:
