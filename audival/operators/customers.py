@@ -53,7 +53,7 @@ def total_users(base: DataFrame, by_device: bool = False) -> DataFrame:
                                    F.sum("pageviews").alias("total_pageviews"))
 
 
-def loyalty_ratio(base: DataFrame, by_device: bool = False) -> DataFrame:
+def loyalty_ratio(base: DataFrame, by_device: bool = False, method: str = "window") -> DataFrame:
     """Each segment's share of users and page views within its
     month, publication and status. With devices the numerator is per device
     but the denominator is not, so shares sum to 1 over devices x segments.
@@ -61,7 +61,7 @@ def loyalty_ratio(base: DataFrame, by_device: bool = False) -> DataFrame:
     cells = base.withColumnRenamed("users", "total_users").withColumnRenamed("pageviews", "total_pageviews")
     shared = share_of_total(cells, {"loyalty_ratio": "total_users",
                                     "loyalty_pageviews_ratio": "total_pageviews"},
-                            ["month", "publication", "user_status"])
+                            ["month", "publication", "user_status"], method)
     return (shared.filter(F.col("total_users").isNotNull())
             .select("month", "user_status", *(["device"] if by_device else []),
                     "loyalty_segment", "publication", "loyalty_ratio", "loyalty_pageviews_ratio"))

@@ -16,7 +16,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from audival.operators.customers import loyalty_ratio  # noqa: E402
 from audival.plans.inputs import Inputs  # noqa: E402
+from audival.plans.models import Chain  # noqa: E402
 from audival.plans.queries import registry  # noqa: E402
 from audival.plans.run import run_models  # noqa: E402
 from audival.plans.stage import Stager  # noqa: E402
@@ -47,6 +49,12 @@ def main() -> None:
     inp = Inputs.from_testdata(spark, data_dir)
     chain_runs = [timed(lambda: run_models(inp, Stager(spark))) for _ in range(repeat + 1)][1:]
 
+    base = Chain(inp, Stager(spark)).base(True)
+    share_forms = {}
+    for method in ("window", "join"):
+        runs = [timed(lambda: loyalty_ratio(base, True, method).collect()) for _ in range(repeat + 1)][1:]
+        share_forms[method] = round(statistics.median(runs), 3)
+
     qs = registry()
     names = HEADLINE if os.environ.get("BENCH_ALL") != "1" else sorted(qs)
     times = {}
@@ -60,6 +68,7 @@ def main() -> None:
         "queries": times,
         "land_inputs_sec": round(land, 3),
         "full_chain_sec": round(statistics.median(chain_runs), 3),
+        "share_of_total_sec": share_forms,
         "sf": float(sf.group(1)) if sf else None,
         "cpus": int(cpus),
     }

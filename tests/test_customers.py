@@ -108,3 +108,11 @@ def test_share_of_total_null_key(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0)], "k string, v double")
     out = sorted((r["k"] or "", r["s"]) for r in share_of_total(df, {"s": "v"}, ["k"]).collect())
     assert out == [("", None), ("a", 0.25), ("a", 0.75)]
+
+
+def test_share_methods_agree(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 3.0), (None, "x", 2.0), ("b", "x", 0.0)],
+                               "k string, s string, v double")
+    w = sorted(tuple(r) for r in share_of_total(df, {"r": "v"}, ["k"]).fillna("").collect())
+    j = sorted(tuple(r) for r in share_of_total(df, {"r": "v"}, ["k"], "join").fillna("").collect())
+    assert w == j
