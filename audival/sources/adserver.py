@@ -31,7 +31,7 @@ def landed_rows(events: DataFrame) -> DataFrame:
     revenue = F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0))
     return events.select(
         "event_id",
-        _int(F.date_format("ts", "yyyyMMdd")).alias("date"),
+        _int(F.replace(F.to_date("ts").cast("string"), F.lit("-"))).alias("date"),
         _string(F.when(F.col("user_id").isNotNull(), "PPID_PRESENT").otherwise("PPID_ABSENT")).alias("ppid_status"),
         _string(F.when(F.col("event_type") == "error", "RESTRICTED").otherwise("UNRESTRICTED"))
         .alias("serving_restriction"),

@@ -53,6 +53,11 @@ def _mapped(c: str, mapping: dict[str, str], default: str | None = None):
     return expr.otherwise(default) if default is not None else expr
 
 
+def _date_text(c: str) -> F.Column:
+    """``yyyy-MM-dd`` of a DATE, independent of the session time zone."""
+    return F.col(c).cast("string")
+
+
 def _segment():
     return _mapped("prio", SEGMENT_BY_PRIORITY, V.CASUAL_READER)
 
@@ -84,7 +89,8 @@ def user_metrics_monthly(f: DataFrame) -> DataFrame:
 
 
 def ga4_export(f: DataFrame) -> DataFrame:
-    return (f.groupBy(F.date_format("month", "yyyyMM").alias("yearMonth"),
+    return (f.groupBy(F.concat(F.substring(_date_text("month"), 1, 4), F.substring(_date_text("month"), 6, 2))
+                      .alias("yearMonth"),
                       _ga4_status().alias("customUseruser_status"),
                       _ga4_product().alias("customUserproduct_name"),
                       F.col("request_source").alias("customEventrequestSource"))
@@ -93,7 +99,7 @@ def ga4_export(f: DataFrame) -> DataFrame:
 
 
 def ga4_device_aggregate(f: DataFrame) -> DataFrame:
-    return (f.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "request_source",
+    return (f.groupBy(F.substring(_date_text("month"), 1, 7).alias("month"), "request_source",
                       _ga4_status().alias("user_status"), _ga4_product().alias("product_name"))
             .agg(F.count(F.lit(1)).alias("total_users"), F.sum(_is_new()).alias("new_users")))
 

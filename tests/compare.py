@@ -25,6 +25,10 @@ def duck(data_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_OF_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "BOOLEAN": "boolean", "HUGEINT": "hugeint", "FLOAT": "float"}
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -48,6 +52,7 @@ def compare(spark, data_dir: str, keys=None, verbose=True) -> dict[str, str]:
             df = qs[key](spark, data_dir)
             srows = [tuple(r) for r in df.collect()]
             snames = df.columns
+            stypes = dict(df.dtypes)
         except Exception as e:  # noqa: BLE001
             out[key] = f"spark error: {str(e).splitlines()[0][:300]}"
             print(key, out[key]) if verbose else None
@@ -58,6 +63,7 @@ def compare(spark, data_dir: str, keys=None, verbose=True) -> dict[str, str]:
         try:
             res = con.execute(sqls[key])
             dnames = [d[0] for d in res.description]
+            dtypes = {d[0]: SPARK_OF_DUCK.get(str(d[1]), str(d[1])) for d in res.description}
             drows = res.fetchall()
         except Exception as e:  # noqa: BLE001
             out[key] = f"duck error: {str(e).splitlines()[0][:300]}"
@@ -65,6 +71,9 @@ def compare(spark, data_dir: str, keys=None, verbose=True) -> dict[str, str]:
             continue
         if sorted(snames) != sorted(dnames):
             out[key] = f"columns differ: spark={sorted(snames)} duck={sorted(dnames)}"
+        elif stypes != dtypes:
+            diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+            out[key] = f"types differ: {diff}"
         else:
             a, b = rows_of(snames, srows), rows_of(dnames, drows)
             if a == b:
