@@ -40,8 +40,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch folder; on a cluster a missing setting is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context
+        sc = None
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session")
+    configured = configured or sc.getCheckpointDir()
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)

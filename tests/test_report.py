@@ -107,3 +107,20 @@ def test_events_report_whole_table(spark):
     ev = spark.read.parquet(f"{SMALL}/events.parquet")
     out = RP.run_report(ev, [], ["eventCount"], "2024-01-01", "2024-01-31")
     assert out.first()[0] == ev.count()
+
+
+def test_report_jobs(spark, scratch):
+    import json
+
+    from audival.plans.report_jobs import adserver_report, web_report
+    ev_path = f"{SMALL}/events.parquet"
+    web = web_report(spark, ev_path, ["date", "eventName"], ["eventCount"], "2024-01-01", "2024-01-31",
+                     os.path.join(scratch, "web"))
+    assert web.columns == ["date", "eventName", "eventCount"]
+    assert sum(int(r["eventCount"]) for r in web.collect()) == spark.read.parquet(ev_path).count()
+    landed = os.path.join(scratch, "landed")
+    landed_rows(spark.read.parquet(ev_path)).write.parquet(landed)
+    out = adserver_report(spark, landed, json.dumps(AD_DEFINITION), "2024-01-01", "2024-01-31",
+                          os.path.join(scratch, "ad"))
+    assert out.columns == AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"]
+    assert glob.glob(os.path.join(scratch, "ad", "*.csv.gz"))
