@@ -39,13 +39,14 @@ class Chain:
         self.inp = inp
         self.stager = stager
         self.store_tables = store_tables
-        self._stages: dict[str, DataFrame] = {}
+        self._stages: dict[tuple[str, bool], DataFrame] = {}
 
     def _stage(self, name: str, build: Callable[[], DataFrame], store: bool = False) -> DataFrame:
-        if name not in self._stages:
+        key = (name, store and self.stager is not None)
+        if key not in self._stages:
             df = build()
-            self._stages[name] = self.stager.write(df, name) if (store and self.stager) else df
-        return self._stages[name]
+            self._stages[key] = self.stager.write(df, name) if key[1] else df
+        return self._stages[key]
 
     # --- customers side ------------------------------------------------------
 
@@ -59,9 +60,7 @@ class Chain:
 
     def _table(self, name: str, build: Callable[[], DataFrame], shared: bool) -> DataFrame:
         lazy = self._stage(name, build)
-        if shared or self.store_tables:
-            return self._stage(name + ".stored", lambda: lazy, store=True)
-        return lazy
+        return self._stage(name, lambda: lazy, store=True) if (shared or self.store_tables) else lazy
 
     def loyalty_ratio(self, by_device: bool = False) -> DataFrame:
         """K1 / K2."""
