@@ -35,29 +35,33 @@ class Inputs:
     window: tuple[str, str] = field(default=fx.WINDOW)
 
     @classmethod
-    def derive(cls, spark: SparkSession, data_dir: str, facts: DataFrame | None = None) -> Inputs:
+    def derive(cls, spark: SparkSession, data_dir: str, facts: DataFrame | None = None,
+               cube: DataFrame | None = None) -> Inputs:
         """Inputs derived lazily from the driver's tables by the fixture adapter."""
         f = facts if facts is not None else fx.order_facts(Tables(spark, data_dir))
-        manual = fx.manual_monthly(f)
+        c = cube if cube is not None else fx.order_cube(f)
+        manual = fx.manual_monthly(c)
         return cls(
-            user_metrics_monthly=fx.user_metrics_monthly(f), ga4_export=fx.ga4_export(f),
-            ga4_device_aggregate=fx.ga4_device_aggregate(f), manual_monthly=manual,
-            consent_rate=fx.consent_rate(manual), rpm=fx.rpm(f),
-            impressions_per_view=fx.impressions_per_view(f),
+            user_metrics_monthly=fx.user_metrics_monthly(c), ga4_export=fx.ga4_export(c),
+            ga4_device_aggregate=fx.ga4_device_aggregate(c), manual_monthly=manual,
+            consent_rate=fx.consent_rate(manual), rpm=fx.rpm(c),
+            impressions_per_view=fx.impressions_per_view(c),
             subscription_arpu=fx.subscription_arpu(f),
-            subscription_lifetime=fx.subscription_lifetime(f),
-            subscription_lifetime_device=fx.subscription_lifetime(f, by_device=True),
-            manual_pageviews=fx.manual_pageviews(f))
+            subscription_lifetime=fx.subscription_lifetime(c),
+            subscription_lifetime_device=fx.subscription_lifetime(c, by_device=True),
+            manual_pageviews=fx.manual_pageviews(c))
 
     @classmethod
     def land(cls, spark: SparkSession, data_dir: str, stager: Stager | None = None) -> Inputs:
-        """Inputs derived from the driver's tables and stored once: the
-        per-order facts are written first, every input is derived from that
-        stored table and written too, so each model scans stored inputs."""
+        """Inputs derived from the driver's tables, with the large parts stored
+        once: the per-order facts, the order cube aggregated from them and the
+        per-order subscription values. The other inputs are small aggregates
+        of the stored cube."""
         stager = stager or Stager(spark)
         facts = stager.write(fx.order_facts(Tables(spark, data_dir)), "order_facts")
-        lazy = cls.derive(spark, data_dir, facts)
-        return cls(**{n: stager.write(getattr(lazy, n), n) for n in INPUT_NAMES})
+        cube = stager.write(fx.order_cube(facts), "order_cube")
+        lazy = cls.derive(spark, data_dir, facts, cube)
+        return lazy.with_tables(subscription_arpu=stager.write(lazy.subscription_arpu, "subscription_arpu_in"))
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, data_dir: str) -> Inputs:

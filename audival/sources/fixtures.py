@@ -45,6 +45,16 @@ def order_facts(t: Tables) -> DataFrame:
     )
 
 
+def order_cube(f: DataFrame) -> DataFrame:
+    """Orders counted per month, request source, status, priority and new
+    flag, with their quantity and price in cents: every input except the
+    per-order subscription values is an aggregate of this small table."""
+    return f.groupBy("month", "request_source", "o_orderstatus", "prio",
+                     (F.col("o_orderkey") % 3 == 0).alias("is_new")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
+
+
 def _mapped(c: str, mapping: dict[str, str], default: str | None = None):
     expr = None
     for key, value in mapping.items():
@@ -70,47 +80,48 @@ def _ga4_product():
     return _mapped("prio", PRODUCT_BY_PRIORITY)
 
 
-def _is_new():
-    return F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(0)
+def _new_orders():
+    return F.when(F.col("is_new"), F.col("n")).otherwise(F.lit(0).cast("bigint"))
 
 
 def _both_publications(df: DataFrame) -> DataFrame:
     return df.withColumn("publication", F.explode(F.array(F.lit(PUBLICATION), F.lit(OTHER_PUBLICATION))))
 
 
-def user_metrics_monthly(f: DataFrame) -> DataFrame:
+def user_metrics_monthly(cube: DataFrame) -> DataFrame:
     status = (F.when(F.col("prio") == "4", V.NOT_SPECIFIED)
               .when(F.col("o_orderstatus") == "F", V.SUBSCRIBED)
               .when(F.col("o_orderstatus") == "O", V.NOT_SUBSCRIBED)
               .when(F.col("o_orderstatus") == "P", V.NOT_LOGGED_IN))
-    return (f.groupBy("month", F.col("request_source").alias("requestSource"),
-                      status.alias("user_status"), _segment().alias("loyalty_segment_1m"))
-            .agg(F.count(F.lit(1)).alias("device_count"), F.sum("qty").alias("pageview_count")))
+    return (cube.groupBy("month", F.col("request_source").alias("requestSource"),
+                         status.alias("user_status"), _segment().alias("loyalty_segment_1m"))
+            .agg(F.sum("n").alias("device_count"), F.sum("qty").alias("pageview_count")))
 
 
-def ga4_export(f: DataFrame) -> DataFrame:
-    return (f.groupBy(F.concat(F.substring(_date_text("month"), 1, 4), F.substring(_date_text("month"), 6, 2))
+def ga4_export(cube: DataFrame) -> DataFrame:
+    return (cube.groupBy(F.concat(F.substring(_date_text("month"), 1, 4), F.substring(_date_text("month"), 6, 2))
                       .alias("yearMonth"),
                       _ga4_status().alias("customUseruser_status"),
                       _ga4_product().alias("customUserproduct_name"),
                       F.col("request_source").alias("customEventrequestSource"))
-            .agg(F.count(F.lit(1)).alias("totalUsers"), F.sum(_is_new()).alias("newUsers"),
+            .agg(F.sum("n").alias("totalUsers"), F.sum(_new_orders()).alias("newUsers"),
                  F.sum("qty").alias("screenPageViews")))
 
 
-def ga4_device_aggregate(f: DataFrame) -> DataFrame:
-    return (f.groupBy(F.substring(_date_text("month"), 1, 7).alias("month"), "request_source",
+def ga4_device_aggregate(cube: DataFrame) -> DataFrame:
+    return (cube.groupBy(F.substring(_date_text("month"), 1, 7).alias("month"), "request_source",
                       _ga4_status().alias("user_status"), _ga4_product().alias("product_name"))
-            .agg(F.count(F.lit(1)).alias("total_users"), F.sum(_is_new()).alias("new_users")))
+            .agg(F.sum("n").alias("total_users"), F.sum(_new_orders()).alias("new_users")))
 
 
-def manual_monthly(f: DataFrame) -> DataFrame:
+def manual_monthly(cube: DataFrame) -> DataFrame:
     """Monthly figures for both publications; site_b gets other factors so a
     join that forgets the publication key shows up."""
-    m = f.groupBy("month").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("_nf"),
-        F.count(F.when(F.col("o_orderstatus") == "O", 1)).alias("_no"))
+    zero = F.lit(0).cast("bigint")
+    m = cube.groupBy("month").agg(
+        F.sum("n").alias("_n"),
+        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("n")).otherwise(zero)).alias("_nf"),
+        F.sum(F.when(F.col("o_orderstatus") == "O", F.col("n")).otherwise(zero)).alias("_no"))
     m = _both_publications(m)
     site_a = F.col("publication") == PUBLICATION
     consent = (F.lit(10) + F.month("month") % 8).cast("double") / F.lit(20.0)
@@ -129,12 +140,10 @@ def consent_rate(manual: DataFrame) -> DataFrame:
     return manual.select("month", "publication", "consent_rate")
 
 
-def rpm(f: DataFrame) -> DataFrame:
+def rpm(cube: DataFrame) -> DataFrame:
     """Revenue per mille per month: mean order price / 10,000 (summed in
     cents so the figure is exact), x0.6 without consent; site_b x2."""
-    m = f.groupBy("month").agg(
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("_cents"),
-        F.count(F.lit(1)).alias("_n"))
+    m = cube.groupBy("month").agg(F.sum("cents").alias("_cents"), F.sum("n").alias("_n"))
     base = F.col("_cents").cast("double") / F.col("_n") / F.lit(1000000.0)
     m = _both_publications(m).withColumn(
         "consent_status", F.explode(F.array(F.lit(V.CONSENT), F.lit(V.NO_CONSENT))))
@@ -143,8 +152,8 @@ def rpm(f: DataFrame) -> DataFrame:
     return m.select("month", "publication", "consent_status", (base * factor).alias("rpm"))
 
 
-def impressions_per_view(f: DataFrame) -> DataFrame:
-    months = _both_publications(f.select("month").distinct())
+def impressions_per_view(cube: DataFrame) -> DataFrame:
+    months = _both_publications(cube.select("month").distinct())
     states = F.array(*[F.struct(F.lit(k).alias("login_state"), F.lit(v).alias("ipp"))
                        for k, v in IMPRESSIONS_PER_STATE.items()])
     return (months.select("month", "publication", F.inline(states))
@@ -153,35 +162,34 @@ def impressions_per_view(f: DataFrame) -> DataFrame:
                     .alias("impressions_per_pageviews")))
 
 
-def _subscriber_orders(f: DataFrame) -> DataFrame:
-    f = f.filter(F.col("o_orderstatus") == "F")
-    return f.select(
+def _subscriber_cells(df: DataFrame, *extra: str) -> DataFrame:
+    """Subscriber (status F) rows with their state, segment and device."""
+    return df.filter(F.col("o_orderstatus") == "F").select(
         "month", F.lit(PUBLICATION).alias("publication"),
         classify_login_state(F.lit(V.SUBSCRIBED), _ga4_product()).alias("login_state"),
         _segment().alias("loyalty_segment"),
-        normalise_device("request_source", DEVICE_PREFIX).alias("device"),
-        "o_totalprice")
+        normalise_device("request_source", DEVICE_PREFIX).alias("device"), *extra)
 
 
 def subscription_arpu(f: DataFrame) -> DataFrame:
     """One row per subscriber order: its price / 1000 as subscription value."""
-    return _subscriber_orders(f).select(
+    return _subscriber_cells(f, "o_totalprice").select(
         "month", "publication", "login_state", "loyalty_segment", "device",
         (F.col("o_totalprice") / F.lit(1000.0)).alias("subscription_value"))
 
 
-def subscription_lifetime(f: DataFrame, by_device: bool = False) -> DataFrame:
+def subscription_lifetime(cube: DataFrame, by_device: bool = False) -> DataFrame:
     """6 + (orders in the cell mod 7) months; site_b one month longer."""
     keys = ["month", "login_state", "loyalty_segment"] + (["device"] if by_device else [])
-    cells = _subscriber_orders(f).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cells = _subscriber_cells(cube, "n").groupBy(*keys).agg(F.sum("n").alias("_n"))
     cells = _both_publications(cells)
     extra = F.when(F.col("publication") == PUBLICATION, 0).otherwise(1)
     cols = ["month", "publication", "login_state", "loyalty_segment"] + (["device"] if by_device else [])
     return cells.select(*cols, (F.lit(6) + F.col("_n") % 7 + extra).cast("double").alias("average_lifetime"))
 
 
-def manual_pageviews(f: DataFrame) -> DataFrame:
-    return (f.groupBy("month", classify_login_state(_ga4_status(), _ga4_product()).alias("login_state"),
+def manual_pageviews(cube: DataFrame) -> DataFrame:
+    return (cube.groupBy("month", classify_login_state(_ga4_status(), _ga4_product()).alias("login_state"),
                       _segment().alias("loyalty_segment"))
             .agg(F.sum("qty").alias("page_views"))
             .select("month", F.lit(PUBLICATION).alias("publication"), "login_state",
