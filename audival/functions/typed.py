@@ -14,15 +14,22 @@ WHITESPACE = "".join(ch for ch in map(chr, range(sys.maxunicode + 1)) if ch.issp
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+    """str.strip(): the full trim only runs when an end character is
+    whitespace, which keeps the common case to two one-character lookups."""
+    ws = F.lit(WHITESPACE)
+    at_ends = (F.length(c) > 0) & ((F.instr(ws, F.substring(c, 1, 1)) > 0)
+                                   | (F.instr(ws, F.substring(c, -1, 1)) > 0))
+    return F.when(at_ends, F.btrim(c, ws)).otherwise(c)
 
 
 def _parts(text: Column) -> tuple[Column, Column, Column]:
     """kind (before the first ':'), the text after the first ':' and the text
     between the first and second ':', each stripped."""
-    kind = F.lower(F.split_part(text, F.lit(":"), F.lit(1)))
+    has_colon = F.instr(text, ":") > 0
+    kind = F.lower(F.substring_index(text, ":", 1))
     after_first = strip(F.substring(text, F.instr(text, ":") + 1, F.lit(1 << 30)))
-    second = strip(F.split_part(text, F.lit(":"), F.lit(2)))
+    second = F.when(has_colon, strip(F.substring_index(F.substring_index(text, ":", 2), ":", -1))) \
+        .otherwise(F.lit(""))
     return kind, after_first, second
 
 

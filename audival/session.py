@@ -21,6 +21,7 @@ def build_session(master: str | None = None, app: str = "audival",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     if master and master.startswith("local"):
