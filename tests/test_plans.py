@@ -18,7 +18,8 @@ def plan_text(df):
 def test_base_pushes_filters_and_prunes(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     inp = Inputs.from_testdata(spark, SMALL)
-    df = Chain(inp).base()
+    stored = Stager(spark).write(inp.user_metrics_monthly, "user_metrics_monthly")  # as a real input table
+    df = Chain(inp.with_tables(user_metrics_monthly=stored)).base()
     text = plan_text(df)
     scan = [line for line in text.splitlines() if "FileScan parquet" in line][0]
     pushed = scan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
