@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from audival.functions import vocab as V
@@ -91,19 +91,28 @@ def subscriber_mix(manual: DataFrame) -> DataFrame:
                          safe_div(F.col("yearly_subscribers"), total).alias("yearly_subscribers_ratio"))
 
 
+def status_sums(base: DataFrame, by_device: bool = False) -> DataFrame:
+    """Per segment (and device): rows and users of notSubscribed and of
+    subscribed, and users of both together, in one conditional aggregation
+    shared by both status shares."""
+    keys = _keys(by_device, "loyalty_segment")
+    pool = base.filter(F.col("user_status").isin(V.SUBSCRIBED, V.NOT_SUBSCRIBED))
+    parts = []
+    for status in (V.NOT_SUBSCRIBED, V.SUBSCRIBED):
+        is_status = F.col("user_status") == status
+        parts += [F.count(F.when(is_status, 1)).alias(f"_rows_{status}"),
+                  F.sum(F.when(is_status, F.col("users"))).alias(f"_num_{status}")]
+    return pool.groupBy(*keys).agg(*parts, F.sum("users").alias("_den"))
+
+
 def status_share(base: DataFrame, status: str, out: str, by_device: bool = False) -> DataFrame:
     """Users of ``status`` / users of subscribed + notSubscribed per
-    segment (and device), in one conditional aggregation. A row exists only
-    where ``status`` has rows; NULL keys give a NULL share (as a join would)."""
+    segment (and device). A row exists only where ``status`` has rows; NULL
+    keys give a NULL share (as a join would)."""
     keys = _keys(by_device, "loyalty_segment")
-    is_status = F.col("user_status") == status
-    pool = base.filter(F.col("user_status").isin(V.SUBSCRIBED, V.NOT_SUBSCRIBED))
-    agg = pool.groupBy(*keys).agg(
-        F.count(F.when(is_status, 1)).alias("_rows"),
-        F.sum(F.when(is_status, F.col("users"))).alias("_num"),
-        F.sum("users").alias("_den"))
-    return (agg.filter(F.col("_rows") > 0)
-            .select(*keys, F.when(all_not_null(keys), safe_div("_num", "_den")).alias(out)))
+    sums = status_sums(base, by_device)
+    return (sums.filter(F.col(f"_rows_{status}") > 0)
+            .select(*keys, F.when(all_not_null(keys), safe_div(f"_num_{status}", "_den")).alias(out)))
 
 
 def logged_in_ratio(base: DataFrame, by_device: bool = False) -> DataFrame:
@@ -118,9 +127,19 @@ def _consent(manual: DataFrame) -> DataFrame:
     return manual.select("month", "publication", "consent_rate", "no_consent_rate")
 
 
+def ratios_by_status(ratios: DataFrame, by_device: bool = False) -> DataFrame:
+    """The loyalty ratio table with one column per status, so every branch
+    joins the same small table. The ratio table is unique per key and status
+    (O12/O13), so each cell holds at most one value."""
+    keys = _keys(by_device, "loyalty_segment")
+    return ratios.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("user_status") == s, F.col("loyalty_ratio"))).alias(f"_ratio_{s}")
+        for s in (V.NOT_LOGGED_IN, V.NOT_SUBSCRIBED, V.SUBSCRIBED)])
+
+
 def _ratio_of(ratios: DataFrame, status: str, by_device: bool) -> DataFrame:
-    return (ratios.filter(F.col("user_status") == status)
-            .select(*_keys(by_device, "loyalty_segment"), "loyalty_ratio"))
+    keys = _keys(by_device, "loyalty_segment")
+    return ratios_by_status(ratios, by_device).select(*keys, F.col(f"_ratio_{status}").alias("loyalty_ratio"))
 
 
 def no_consent_customers(gt: DataFrame, manual: DataFrame, mode: str,
@@ -180,20 +199,27 @@ def subscription_customers(sub_ratio: DataFrame, ratios: DataFrame, manual: Data
 def assemble_customers(known: list[DataFrame], gt: DataFrame, by_device: bool = False,
                        clamp: bool = False) -> DataFrame:
     """The known states plus Consent Only = ground truth - known,
-    per segment (and device). NULL where no known state exists; with
-    ``clamp`` anything not above 0 (NULL included) becomes 0."""
+    per segment (and device). NULL where no known state exists (or a key is
+    NULL, which a join never matches); with ``clamp`` anything not above 0
+    (NULL included) becomes 0.
+
+    The ground-truth totals are stacked under the known rows and the known
+    sum is a window over each cell, so the known branches run once instead
+    of once for the rows and once more for their totals."""
     cell = _keys(by_device, "loyalty_segment")
-    unified = known[0]
+    stacked = known[0]
     for part in known[1:]:
-        unified = unified.unionByName(part)
-    truth = gt.groupBy(*cell).agg(F.sum("customers").alias("_truth"))
-    seen = unified.groupBy(*cell).agg(F.sum("customers").alias("_known"))
-    rest = F.col("_truth") - F.col("_known")
+        stacked = stacked.unionByName(part)
+    truth = gt.groupBy(*cell).agg(F.sum("customers").alias("customers"))
+    stacked = stacked.withColumn("_truth", F.lit(False)).unionByName(
+        truth.select(*cell, F.lit(V.CONSENT_ONLY).alias("login_state"), "customers",
+                     F.lit(True).alias("_truth")))
+    known_sum = F.sum(F.when(~F.col("_truth"), F.col("customers"))).over(Window.partitionBy(*cell))
+    rest = F.when(all_not_null(cell), F.col("customers") - known_sum)
     if clamp:
         rest = F.when(rest > 0, rest).otherwise(F.lit(0.0))
-    residual = (truth.join(seen, cell, "left")
-                .select(*cell, F.lit(V.CONSENT_ONLY).alias("login_state"), rest.alias("customers")))
-    return unified.unionByName(residual)
+    return stacked.select(*cell, "login_state",
+                          F.when(F.col("_truth"), rest).otherwise(F.col("customers")).alias("customers"))
 
 
 def customers(base: DataFrame, manual: DataFrame, ratios: DataFrame,
