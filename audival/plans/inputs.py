@@ -53,15 +53,17 @@ class Inputs:
 
     @classmethod
     def land(cls, spark: SparkSession, data_dir: str, stager: Stager | None = None) -> Inputs:
-        """Inputs derived from the driver's tables, with the large parts stored
-        once: the per-order facts, the order cube aggregated from them and the
-        per-order subscription values. The other inputs are small aggregates
-        of the stored cube."""
+        """Inputs derived from the driver's tables and stored as tables, the
+        way the models find them in production. The per-order facts are
+        stored first and read twice: once for the order cube (every input but
+        one is a small aggregate of it) and once for the per-order
+        subscription values."""
         stager = stager or Stager(spark)
         facts = stager.write(fx.order_facts(Tables(spark, data_dir)), "order_facts")
         cube = stager.write(fx.order_cube(facts), "order_cube")
         lazy = cls.derive(spark, data_dir, facts, cube)
-        return lazy.with_tables(subscription_arpu=stager.write(lazy.subscription_arpu, "subscription_arpu_in"))
+        return cls(**{n: stager.write(getattr(lazy, n), n) for n in INPUT_NAMES},
+                   publication=lazy.publication, device_prefix=lazy.device_prefix, window=lazy.window)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, data_dir: str) -> Inputs:
