@@ -16,7 +16,6 @@ from audival.operators import audience as A
 from audival.operators import customers as C
 from audival.operators import report as RP
 from audival.operators import rollup as R
-from audival.operators import value as VL
 from audival.plans.models import Chain
 from audival.plans.inputs import Inputs
 from audival.plans.stage import Stager

@@ -1 +1,3 @@
-from audival.sources.tables import Tables  # noqa: F401
+from audival.sources.tables import Tables
+
+__all__ = ["Tables"]
