@@ -23,6 +23,11 @@ def build_session(master: str | None = None, app: str = "audival",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Broadcast only sides Spark has measured below 10 MB. File sizes are
+        # compressed parquet, so they are scaled by 4 before the check; at
+        # runtime AQE measures the shuffle output itself.
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+        "spark.sql.sources.fileCompressionFactor": "4.0",
     }
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = os.environ.get("AUDIVAL_DRIVER_MEMORY", "16g")
