@@ -53,15 +53,17 @@ def total_users(base: DataFrame, by_device: bool = False) -> DataFrame:
                                    F.sum("pageviews").alias("total_pageviews"))
 
 
-def loyalty_ratio(base: DataFrame, by_device: bool = False, method: str = "window") -> DataFrame:
+def loyalty_ratio(base: DataFrame, by_device: bool = False, method: str = "window",
+                  denominator_by_device: bool = False) -> DataFrame:
     """Each segment's share of users and page views within its
     month, publication and status. With devices the numerator is per device
-    but the denominator is not, so shares sum to 1 over devices x segments.
-    ``base`` is O11's output, unique per key."""
+    but, as in the models, the denominator is not, so shares sum to 1 over
+    devices x segments; ``denominator_by_device`` makes them sum to 1 within
+    each device instead. ``base`` is O11's output, unique per key."""
     cells = base.withColumnRenamed("users", "total_users").withColumnRenamed("pageviews", "total_pageviews")
+    within = ["month", "publication", "user_status"] + (["device"] if by_device and denominator_by_device else [])
     shared = share_of_total(cells, {"loyalty_ratio": "total_users",
-                                    "loyalty_pageviews_ratio": "total_pageviews"},
-                            ["month", "publication", "user_status"], method)
+                                    "loyalty_pageviews_ratio": "total_pageviews"}, within, method)
     return (shared.filter(F.col("total_users").isNotNull())
             .select("month", "user_status", *(["device"] if by_device else []),
                     "loyalty_segment", "publication", "loyalty_ratio", "loyalty_pageviews_ratio"))

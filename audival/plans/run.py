@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from audival.operators.rollup import total_tclv
+from audival.plans.checks import check_lookups
 from audival.plans.inputs import Inputs
 from audival.plans.models import Chain
 from audival.plans.stage import Stager
@@ -19,9 +20,13 @@ TABLES = [
 ]
 
 
-def run_models(inp: Inputs, stager: Stager) -> dict[str, DataFrame]:
+def run_models(inp: Inputs, stager: Stager, check_keys: bool = True) -> dict[str, DataFrame]:
     """Write K1..K12 under ``stager.root``; returns a scan of each table.
-    Upstream tables are read back from storage by the stages after them."""
+    Upstream tables are read back from storage by the stages after them.
+    ``check_keys`` first verifies that every lookup is unique on its join
+    keys (one small aggregate each); pass False to skip it."""
+    if check_keys:
+        check_lookups(inp)
     ch = Chain(inp, stager, store_tables=True)
     out: dict[str, DataFrame] = {}
     out["loyalty_ratio"] = ch.loyalty_ratio()

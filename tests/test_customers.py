@@ -116,3 +116,24 @@ def test_share_methods_agree(spark):
     w = sorted(tuple(r) for r in share_of_total(df, {"r": "v"}, ["k"]).fillna("").collect())
     j = sorted(tuple(r) for r in share_of_total(df, {"r": "v"}, ["k"], "join").fillna("").collect())
     assert w == j
+
+
+def test_device_ratio_denominator_option(spark):
+    b = base_rows(spark, [(M1, "p", "web", "subscribed", "Brand Lover", 1, 1),
+                          (M1, "p", "web", "subscribed", "Casual Reader", 1, 1),
+                          (M1, "p", "app", "subscribed", "Brand Lover", 2, 1)], device=True)
+    out = {(r["device"], r["loyalty_segment"]): r["loyalty_ratio"]
+           for r in C.loyalty_ratio(b, True, denominator_by_device=True).collect()}
+    assert out == {("web", "Brand Lover"): 0.5, ("web", "Casual Reader"): 0.5, ("app", "Brand Lover"): 1.0}
+
+
+def test_lookup_key_check(spark):
+    import pytest
+
+    from audival.plans.checks import assert_unique, duplicate_keys
+    df = spark.createDataFrame([(M1, "p", 0.5), (M1, "p", 0.6), (M1, "q", 0.7)],
+                               "month date, publication string, consent_rate double")
+    assert [tuple(r) for r in duplicate_keys(df, ["month", "publication"]).collect()] == [(M1, "p", 2)]
+    with pytest.raises(ValueError):
+        assert_unique(df, ["month", "publication"], "consent_rate")
+    assert_unique(df, ["month", "publication", "consent_rate"], "consent_rate")
