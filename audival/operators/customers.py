@@ -236,14 +236,6 @@ def customers(base: DataFrame, manual: DataFrame, ratios: DataFrame,
     return assemble_customers([nc, li, subs], gt, by_device, clamp=by_device)
 
 
-def customers_legacy(user_metrics: DataFrame, manual: DataFrame, publication: str) -> DataFrame:
-    """Earliest customer model (O19a): no month bound, No Consent customers
-    over every status."""
-    base = user_metrics_base(user_metrics, publication)
-    gt = ground_truth(base, reach_ratio(manual, base))
-    return no_consent_customers(gt, manual, "all")
-
-
 def customers_by_cell(df: DataFrame, by_device: bool = False) -> DataFrame:
     """Customers summed per month, publication, (device), state, segment."""
     keys = _keys(by_device, "login_state", "loyalty_segment")
