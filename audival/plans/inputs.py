@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from audival.plans.stage import Stager
+from audival.plans.stage import Stager, run_concurrently
 from audival.sources import fixtures as fx
 from audival.sources.tables import Tables
 
@@ -62,8 +62,9 @@ class Inputs:
         facts = stager.write(fx.order_facts(Tables(spark, data_dir)), "order_facts")
         cube = stager.write(fx.order_cube(facts), "order_cube")
         lazy = cls.derive(spark, data_dir, facts, cube)
-        return cls(**{n: stager.write(getattr(lazy, n), n) for n in INPUT_NAMES},
-                   publication=lazy.publication, device_prefix=lazy.device_prefix, window=lazy.window)
+        stored = run_concurrently({n: (lambda n=n: stager.write(getattr(lazy, n), n)) for n in INPUT_NAMES})
+        return cls(**stored, publication=lazy.publication, device_prefix=lazy.device_prefix,
+                   window=lazy.window)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, data_dir: str) -> Inputs:

@@ -25,7 +25,7 @@ from audival.operators import customers as C
 from audival.operators import rollup as R
 from audival.operators import value as VL
 from audival.plans.inputs import Inputs
-from audival.plans.stage import Stager
+from audival.plans.stage import Stager, run_concurrently
 from audival.sources.ga4 import ga4_device_rows, ga4_export_rows
 
 
@@ -116,7 +116,21 @@ class Chain:
         split = A.loyalty_split(self.audience_states(by_device), self.loyalty_ratio(by_device), by_device)
         return A.audience_lifetime(split, by_device)
 
+    def prefetch(self, by_device: bool = False) -> None:
+        """Store the first aggregates the value chain reads (user-metrics
+        base, GA4 cleans, arpu) as concurrent jobs; they are independent."""
+        if self.stager is None:
+            return
+        jobs = {"base": lambda: self.base(by_device), "arpu": lambda: self.arpu(by_device)}
+        if by_device:
+            jobs["device_aggregate"] = self.clean_device_aggregate
+            jobs["clean"] = lambda: self.clean_export(True, True)
+        else:
+            jobs["clean"] = self.clean_export
+        run_concurrently(jobs)
+
     def advertising(self, by_device: bool = False) -> DataFrame:
+        self.prefetch(by_device)
         inp = self.inp
         return VL.advertising_value(self.audience_cells(by_device), inp.impressions_per_view, inp.rpm,
                                     C.customers_by_cell(self.customers(by_device, True), by_device),

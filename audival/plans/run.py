@@ -1,5 +1,6 @@
 """Run all stored tables of the models in dependency order, each written
-once (overwrite) as parquet: the batch job the model files describe."""
+once (overwrite) as parquet: the batch job the model files describe. Tables
+of one level do not depend on each other and are written concurrently."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from audival.operators.rollup import total_tclv
 from audival.plans.checks import check_lookups
 from audival.plans.inputs import Inputs
 from audival.plans.models import Chain
-from audival.plans.stage import Stager
+from audival.plans.stage import Stager, run_concurrently
 
 # Stored table names (sanitised: no spaces or '+').
 TABLES = [
@@ -20,7 +21,7 @@ TABLES = [
 ]
 
 
-def run_models(inp: Inputs, stager: Stager, check_keys: bool = True) -> dict[str, DataFrame]:
+def run_models(inp: Inputs, stager: Stager, check_keys: bool = True, workers: int = 4) -> dict[str, DataFrame]:
     """Write K1..K12 under ``stager.root``; returns a scan of each table.
     Upstream tables are read back from storage by the stages after them.
     ``check_keys`` first verifies that every lookup is unique on its join
@@ -29,24 +30,29 @@ def run_models(inp: Inputs, stager: Stager, check_keys: bool = True) -> dict[str
         check_lookups(inp)
     ch = Chain(inp, stager, store_tables=True)
     out: dict[str, DataFrame] = {}
-    out["loyalty_ratio"] = ch.loyalty_ratio()
-    out["loyalty_ratio_device_scope"] = ch.loyalty_ratio(True)
-    out["customers"] = ch.customers()
-    out["customers_device_scope"] = ch.customers(True)
-    out["weighted_login_state_loyalty"] = ch.value_by_cell()
-    out["weighted_device_loyalty_login_state"] = ch.value_by_cell(True)
-    derived = {
-        "weighted_login_state": lambda: ch.weighted("login_state"),
-        "weighted_loyalty": lambda: ch.weighted("loyalty_segment"),
-        "weighted_device_login_state": lambda: ch.weighted("login_state", True),
-        "weighted_device_loyalty": lambda: ch.weighted("loyalty_segment", True),
+    # the stored first aggregates, then one level of tables at a time
+    run_concurrently({"base": ch.base, "base_device": lambda: ch.base(True),
+                      "clean": ch.clean_export, "clean_device": lambda: ch.clean_export(True),
+                      "device_aggregate": ch.clean_device_aggregate, "arpu": ch.arpu,
+                      "arpu_device": lambda: ch.arpu(True)}, workers)
+    out.update(run_concurrently({"loyalty_ratio": ch.loyalty_ratio,
+                                 "loyalty_ratio_device_scope": lambda: ch.loyalty_ratio(True)}, workers))
+    out.update(run_concurrently({"customers": ch.customers,
+                                 "customers_device_scope": lambda: ch.customers(True)}, workers))
+    out.update(run_concurrently({"weighted_login_state_loyalty": ch.value_by_cell,
+                                 "weighted_device_loyalty_login_state": lambda: ch.value_by_cell(True)}, workers))
+    rollups = {
+        "weighted_login_state": lambda: stager.write(ch.weighted("login_state"), "weighted_login_state"),
+        "weighted_loyalty": lambda: stager.write(ch.weighted("loyalty_segment"), "weighted_loyalty"),
+        "weighted_device_login_state": lambda: stager.write(ch.weighted("login_state", True),
+                                                            "weighted_device_login_state"),
+        "weighted_device_loyalty": lambda: stager.write(ch.weighted("loyalty_segment", True),
+                                                        "weighted_device_loyalty"),
+        "total_tclv_login_state_loyalty": lambda: stager.write(ch.total_tclv_login_state_loyalty(),
+                                                               "total_tclv_login_state_loyalty"),
     }
-    for name, build in derived.items():
-        out[name] = stager.write(build(), name)
+    out.update(run_concurrently(rollups, workers))
     out["total_tclv_login_state"] = stager.write(
         total_tclv(out["weighted_login_state"], out["customers"], ["login_state"], calendar=True),
         "total_tclv_login_state")
-    out["total_tclv_login_state_loyalty"] = stager.write(
-        ch.total_tclv_login_state_loyalty(), "total_tclv_login_state_loyalty")
     return out
-

@@ -5,6 +5,8 @@ small stored result instead of re-running its lineage."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,14 @@ class Stager:
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
+
+
+def run_concurrently(jobs: dict[str, Callable[[], DataFrame]], workers: int = 4) -> dict[str, DataFrame]:
+    """Run independent stage builds as concurrent Spark jobs (one driver
+    thread each): small jobs then share the executors instead of queueing.
+    The builds must not depend on each other."""
+    if len(jobs) <= 1 or workers <= 1:
+        return {name: build() for name, build in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
+        futures = {name: pool.submit(build) for name, build in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
