@@ -22,3 +22,8 @@ def test_landed_files_are_ingested_once(spark, scratch):
     parsed = spark.read.parquet(sink)
     assert parsed.columns == AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"]
     assert dict(parsed.dtypes)["date"] == "date"
+    # a later delivery is picked up on the next run, and only it
+    landed.limit(100).write.option("header", True).csv(os.path.join(src, "b"))
+    q = ingest_landed(spark, os.path.join(src, "*"), AD_DEFINITION, sink, ckpt)
+    q.awaitTermination()
+    assert spark.read.parquet(sink).count() == first + 100
