@@ -15,6 +15,7 @@ outputs they are). Without a stager everything stays one lazy plan.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -40,12 +41,19 @@ class Chain:
         self.stager = stager
         self.store_tables = store_tables
         self._stages: dict[tuple[str, bool], DataFrame] = {}
+        self._locks: dict[tuple[str, bool], threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def _stage(self, name: str, build: Callable[[], DataFrame], store: bool = False) -> DataFrame:
+        """Build (and store) a stage once; a per-stage lock lets concurrent
+        jobs ask for the same stage, the later one waiting for the first."""
         key = (name, store and self.stager is not None)
-        if key not in self._stages:
-            df = build()
-            self._stages[key] = self.stager.write(df, name) if key[1] else df
+        with self._guard:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._stages:
+                df = build()
+                self._stages[key] = self.stager.write(df, name) if key[1] else df
         return self._stages[key]
 
     # --- customers side ------------------------------------------------------
@@ -117,11 +125,12 @@ class Chain:
         return A.audience_lifetime(split, by_device)
 
     def prefetch(self, by_device: bool = False) -> None:
-        """Store the first aggregates the value chain reads (user-metrics
-        base, GA4 cleans, arpu) as concurrent jobs; they are independent."""
+        """Store what the value chain reads first as concurrent jobs: the GA4
+        cleans and arpu, and the customer table (which waits only for the
+        user-metrics base)."""
         if self.stager is None:
             return
-        jobs = {"base": lambda: self.base(by_device), "arpu": lambda: self.arpu(by_device)}
+        jobs = {"customers": lambda: self.customers(by_device, True), "arpu": lambda: self.arpu(by_device)}
         if by_device:
             jobs["device_aggregate"] = self.clean_device_aggregate
             jobs["clean"] = lambda: self.clean_export(True, True)
