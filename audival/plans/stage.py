@@ -27,7 +27,7 @@ class Stager:
         Each stage has its own path, so no plan reads the path it replaces."""
         path = self.path(name)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)  # schema known: no footer read
 
 
 def run_concurrently(jobs: dict[str, Callable[[], DataFrame]], workers: int = 4) -> dict[str, DataFrame]:
