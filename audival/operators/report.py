@@ -38,6 +38,26 @@ def _resolve(name: str, registry: Mapping, columns: list[str]) -> Callable[[], C
     raise KeyError(f"unknown report field: {name}")
 
 
+def _date_range(df: DataFrame, date_col: str, start: str, end: str) -> Column:
+    """Rows whose day is in [start, end]. Besides the exact day test, the
+    raw column gets the same range as plain bounds of its own type
+    (``start <= ts < end + 1 day``), which the parquet scan can push down to
+    skip row groups; the day test alone is a function of the column and
+    cannot be pushed."""
+    c = F.col(date_col)
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    kind = dict((f.name, f.dataType.typeName()) for f in df.schema.fields).get(date_col)
+    day = F.to_date(c)
+    exact = (day >= first) & (day <= last)
+    if kind in ("timestamp", "timestamp_ntz"):
+        lo = first.cast(kind)
+        hi = F.date_add(last, 1).cast(kind)
+        return (c >= lo) & (c < hi) & exact
+    if kind == "date":
+        return (c >= first) & (c <= last)
+    return exact
+
+
 def run_report(df: DataFrame, dimensions: list[str], metrics: list[str], start: str, end: str,
                dimension_filter_text: str | None = None, case_sensitive: bool = False,
                date_col: str = "ts", dimension_defs: Mapping = EVENT_DIMENSIONS,
@@ -45,8 +65,7 @@ def run_report(df: DataFrame, dimensions: list[str], metrics: list[str], start:
     """Rows whose date is in [start, end] (inclusive), optionally
     filtered on a dimension (O29), grouped by the dimensions, one column per
     metric; columns are the dimensions then the metrics, as named."""
-    day = F.to_date(F.col(date_col))
-    rows = df.filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
+    rows = df.filter(_date_range(df, date_col, start, end))
     if dimension_filter_text:
         rows = rows.filter(dimension_filter(
             dimension_filter_text, lambda f: _resolve(f, dimension_defs, df.columns)(), case_sensitive))

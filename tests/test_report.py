@@ -124,3 +124,15 @@ def test_report_jobs(spark, scratch):
                           os.path.join(scratch, "ad"))
     assert out.columns == AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"]
     assert glob.glob(os.path.join(scratch, "ad", "*.csv.gz"))
+
+
+def test_report_range_reaches_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    out = RP.run_report(ev, ["eventName"], ["eventCount"], "2024-01-05", "2024-01-09")
+    text = out._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in text.splitlines() if "FileScan parquet" in ln][0]
+    pushed = scan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in pushed and "LessThan(ts,2024-01-10T00:00)" in pushed, pushed
+    days = ev.filter(F.to_date("ts").between("2024-01-05", "2024-01-09")).count()
+    assert out.agg(F.sum("eventCount")).first()[0] == days
