@@ -10,7 +10,9 @@ months x devices x states x segments and is cheaper to recompute than to
 store, except the customer and value tables, which later stages read two or
 three times each: those are stored when a later stage asks for them
 (``shared=True``), or always with ``store_tables`` (the batch run, whose
-outputs they are). Without a stager everything stays one lazy plan.
+outputs they are). Independent stored stages are written as concurrent
+jobs (``prefetch``); a per-stage lock keeps each stage built once. Without a
+stager everything stays one lazy plan.
 """
 
 from __future__ import annotations
