@@ -21,12 +21,15 @@ def landed_schema(definition: Mapping) -> StructType:
 
 
 def ingest_landed(spark: SparkSession, source_dir: str, definition: Mapping, sink_dir: str,
-                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                  checkpoint: str, available_now: bool = True,
+                  max_files_per_trigger: int = 1000) -> StreamingQuery:
     """Start the stream: CSV files with a header of the definition's columns,
     each value typed text. ``available_now`` processes what has landed and
-    stops; otherwise the query keeps watching the folder."""
+    stops; otherwise the query keeps watching the folder. A backlog is taken
+    in micro-batches of at most ``max_files_per_trigger`` files, so one batch
+    never has to hold all of it."""
     rows = (spark.readStream.schema(landed_schema(definition)).option("header", True)
-            .csv(source_dir))
+            .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
     parsed = parse_landed(rows, definition)
     writer = (parsed.writeStream.format("parquet").option("path", sink_dir)
               .option("checkpointLocation", checkpoint).outputMode("append"))

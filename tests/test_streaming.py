@@ -11,11 +11,12 @@ def test_landed_files_are_ingested_once(spark, scratch):
     src, sink, ckpt = (os.path.join(scratch, n) for n in ("src", "sink", "ckpt"))
     ev = spark.read.parquet(f"{SMALL}/events.parquet")
     landed = landed_rows(ev).drop("event_id")
-    landed.write.option("header", True).csv(os.path.join(src, "a"))
-    q = ingest_landed(spark, os.path.join(src, "*"), AD_DEFINITION, sink, ckpt)
+    landed.repartition(4).write.option("header", True).csv(os.path.join(src, "a"))
+    q = ingest_landed(spark, os.path.join(src, "*"), AD_DEFINITION, sink, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
     first = spark.read.parquet(sink).count()
     assert first == ev.count()
+    assert len(q.recentProgress) >= 4  # one file per micro-batch
     q = ingest_landed(spark, os.path.join(src, "*"), AD_DEFINITION, sink, ckpt)  # nothing new
     q.awaitTermination()
     assert spark.read.parquet(sink).count() == first
