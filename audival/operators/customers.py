@@ -224,10 +224,85 @@ def assemble_customers(known: list[DataFrame], gt: DataFrame, by_device: bool =
                           F.when(F.col("_truth"), rest).otherwise(F.col("customers")).alias("customers"))
 
 
+def customers_wide(base: DataFrame, manual: DataFrame, by_device: bool = False) -> DataFrame:
+    """K3/K4 from one aggregate of the base pivoted by status and one window.
+
+    Every part of the customer model is a per-cell (month, publication,
+    (device), segment) quantity: the loyalty ratio of each status (its users
+    over all users of that status in the month, across devices), the
+    logged-in and subscribed shares, the no-consent, logged-in and
+    subscriber customers and the ground-truth total. So one pass over the
+    base gives every state of a cell in one row, and the Consent Only
+    residual is taken in the same row; no self-join, union or second
+    aggregate. Rows exist exactly where the models' joins produce them, and
+    a NULL key matches nothing, as in a join. ``base`` is O11's output,
+    unique per key; the ratio table is the one O12/O13 would give.
+    """
+    cell = _keys(by_device, "loyalty_segment")
+    consent = manual.select("month", "publication", "rus_WEMF_and_foreign_traffic", "no_consent_rate",
+                            "one_log_not_subscribed", "monthly_subscribers", "yearly_subscribers")
+    reach = reach_ratio(manual, base)
+    rows = base.join(reach, ["month", "publication"], "left").withColumn(
+        "customers", F.col("users") * F.col("rus_ratio"))
+    status = F.col("user_status")
+    has_reach = F.col("rus_ratio").isNotNull()
+    parts = [F.count(F.when(has_reach, 1)).alias("_gt_rows"),
+             F.sum(F.when(has_reach, F.col("customers"))).alias("_truth"),
+             F.sum(F.when(status.isin(V.SUBSCRIBED, V.NOT_SUBSCRIBED), F.col("users"))).alias("_pool")]
+    for s_ in (V.NOT_LOGGED_IN, V.NOT_SUBSCRIBED, V.SUBSCRIBED):
+        parts += [F.count(F.when(status == s_, 1)).alias(f"_n_{s_}"),
+                  F.sum(F.when(status == s_, F.col("users"))).alias(f"_u_{s_}")]
+    parts += [F.count(F.when((status == V.NOT_LOGGED_IN) & has_reach, 1)).alias("_gt_nli_rows"),
+              F.sum(F.when((status == V.NOT_LOGGED_IN) & has_reach, F.col("customers"))).alias("_c_nli")]
+    wide = rows.groupBy(*cell).agg(*parts)
+    month = Window.partitionBy("month", "publication")
+    keyed = all_not_null(cell)
+    ratio = {s_: F.when(keyed, safe_div(F.col(f"_u_{s_}"), F.sum(f"_u_{s_}").over(month)))
+             for s_ in (V.NOT_LOGGED_IN, V.NOT_SUBSCRIBED, V.SUBSCRIBED)}
+    wide = wide.select("*", *[r.alias(f"_lr_{s_}") for s_, r in ratio.items()]).join(
+        consent, ["month", "publication"], "left")
+    total = F.col("monthly_subscribers") + F.col("yearly_subscribers")
+    onelog = F.col("one_log_not_subscribed")
+    li_share = F.when(keyed, safe_div(f"_u_{V.NOT_SUBSCRIBED}", "_pool"))
+    sub_share = F.when(keyed, safe_div(f"_u_{V.SUBSCRIBED}", "_pool"))
+    nc = F.col("_c_nli") * F.col("no_consent_rate")
+    if not by_device:
+        nc = nc * F.col(f"_lr_{V.NOT_LOGGED_IN}")
+    common = onelog * F.col(f"_lr_{V.SUBSCRIBED}") * sub_share
+    known = [  # (state, exists, value)
+        (V.NO_CONSENT, F.col("_gt_nli_rows") > 0, nc),
+        (V.LOGGED_IN, F.col(f"_n_{V.NOT_SUBSCRIBED}") > 0, onelog * F.col(f"_lr_{V.NOT_SUBSCRIBED}") * li_share),
+        (V.MONTHLY, F.col(f"_n_{V.SUBSCRIBED}") > 0, common * safe_div(F.col("monthly_subscribers"), total)),
+        (V.YEARLY, F.col(f"_n_{V.SUBSCRIBED}") > 0, common * safe_div(F.col("yearly_subscribers"), total)),
+    ]
+    wide = wide.select(*cell, "_gt_rows", "_truth",
+                       *[e.alias(f"_e{i}") for i, (_, e, _) in enumerate(known)],
+                       *[v.alias(f"_v{i}") for i, (_, _, v) in enumerate(known)])
+    present = [F.col(f"_e{i}") & F.col(f"_v{i}").isNotNull() for i in range(len(known))]
+    any_known = present[0]
+    for p_ in present[1:]:
+        any_known = any_known | p_
+    known_sum = None
+    for i, p_ in enumerate(present):
+        term = F.when(p_, F.col(f"_v{i}")).otherwise(F.lit(0.0))
+        known_sum = term if known_sum is None else known_sum + term
+    rest = F.when(keyed & any_known, F.col("_truth") - known_sum)
+    if by_device:
+        rest = F.when(rest > 0, rest).otherwise(F.lit(0.0))
+    states = [F.struct(F.lit(name).alias("login_state"), F.col(f"_e{i}").alias("_keep"),
+                       F.col(f"_v{i}").alias("customers")) for i, (name, _, _) in enumerate(known)]
+    states.append(F.struct(F.lit(V.CONSENT_ONLY).alias("login_state"), (F.col("_gt_rows") > 0).alias("_keep"),
+                           rest.alias("customers")))
+    return (wide.select(*cell, F.inline(F.array(*states)))
+            .filter(F.col("_keep")).select(*cell, "login_state", "customers"))
+
+
 def customers(base: DataFrame, manual: DataFrame, ratios: DataFrame,
               by_device: bool = False) -> DataFrame:
     """K3 (``by_device=False``) or K4 (``by_device=True``, clamped residual)
-    from O11's output ``base`` and the matching loyalty ratios."""
+    from O11's output ``base`` and the matching loyalty ratios, branch by
+    branch as the models write it (O19-O22). ``customers_wide`` gives the same
+    rows in one aggregate and is what the chain uses."""
     reach = reach_ratio(manual, base)
     gt = ground_truth(base, reach, by_device)
     nc = no_consent_customers(gt, manual, "plain" if by_device else "ratio", ratios, by_device)

@@ -80,9 +80,8 @@ class Chain:
     def customers(self, by_device: bool = False, shared: bool = False) -> DataFrame:
         """K3 / K4."""
         name = "customers_device_scope" if by_device else "customers"
-        return self._table(name, lambda: C.customers(
-            self.base(by_device), self.inp.manual_monthly, self.loyalty_ratio(by_device), by_device),
-            shared)
+        return self._table(name, lambda: C.customers_wide(self.base(by_device), self.inp.manual_monthly,
+                                                          by_device), shared)
 
     def ground_truth(self, by_device: bool = False) -> DataFrame:
         b = self.base(by_device)

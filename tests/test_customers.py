@@ -137,3 +137,33 @@ def test_lookup_key_check(spark):
     with pytest.raises(ValueError):
         assert_unique(df, ["month", "publication"], "consent_rate")
     assert_unique(df, ["month", "publication", "consent_rate"], "consent_rate")
+
+
+def test_wide_customers_equal_branch_form(spark):
+    from collections import Counter
+    M2, M3 = dt.date(2025, 9, 1), dt.date(2025, 10, 1)
+    rows = [
+        (M1, "p", "web", "notLoggedIn", "Brand Lover", 10, 1), (M1, "p", "web", "notSubscribed", "Brand Lover", 4, 1),
+        (M1, "p", "web", "subscribed", "Brand Lover", 2, 1), (M1, "p", "app", "subscribed", "Casual Reader", 3, 1),
+        (M1, "p", "app", "notLoggedIn", None, 5, 1), (M1, "p", "app", "notSubscribed", None, None, 1),
+        (M1, "p", "web", "notSubscribed", "Loyal Reader", 0, 0), (M1, "p", "web", "subscribed", "Loyal Reader", 0, 0),
+        (M2, "p", "web", "notLoggedIn", "Brand Lover", 7, 1), (M2, "p", "web", "subscribed", "Brand Lover", 1, 1),
+        (M3, "p", "web", "notSubscribed", "Brand Lover", 6, 1),  # no manual figures for this month
+    ]
+    manual = spark.createDataFrame([
+        (M1, "p", 40.0, 3, 1, 0.7, 0.3, 11), (M2, "p", 20.0, 0, 0, 0.6, 0.4, 5), (M1, "q", 99.0, 1, 1, 0.5, 0.5, 1),
+    ], "month date, publication string, rus_WEMF_and_foreign_traffic double, monthly_subscribers long, "
+       "yearly_subscribers long, consent_rate double, no_consent_rate double, one_log_not_subscribed long")
+    for device in (False, True):
+        b = base_rows(spark, rows, device=True)
+        if not device:
+            b = b.groupBy("month", "publication", "user_status", "loyalty_segment").agg(
+                F.sum("users").alias("users"), F.sum("pageviews").alias("pageviews"))
+        branch = C.customers(b, manual, C.loyalty_ratio(b, device), device)
+        wide = C.customers_wide(b, manual, device)
+        cols = sorted(branch.columns)
+
+        def bag(df):
+            return Counter(tuple(None if v is None else (round(v, 9) if isinstance(v, float) else v) for v in r)
+                           for r in df.select(*cols).collect())
+        assert bag(branch) == bag(wide), device
