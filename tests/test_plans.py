@@ -53,3 +53,13 @@ def test_no_sort_under_union(spark):
     for name in ("customers", "value_by_cell", "no_consent_uplift"):
         text = plan_text(Q.registry()[name](spark, SMALL))
         assert not re.search(r"Sort \[[^\]]*\], true", text), name  # only window-local sorts
+
+
+def test_customer_model_plan_stays_small(spark):
+    for key in ("customers", "customers_device_scope"):
+        df = Q.registry()[key](spark, SMALL)
+        df.collect()
+        text = plan_text(df).split("== Initial Plan ==")[0]
+        shuffles = len(re.findall(r"(?<!ReusedExchange )(?<!\], )Exchange hashpartitioning", text))
+        assert shuffles <= 6, (key, shuffles)
+        assert "SortMergeJoin" not in text, key
