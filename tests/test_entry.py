@@ -1,12 +1,15 @@
 """The driver contract of __spark_entry__.py."""
 
+import re
+
 import __spark_entry__ as E
 
 
 def test_keys_and_oracle_agree():
     q, sql = E.queries(), E.oracle_sql()
-    assert set(q) == set(sql) and len(q) >= 70
-    assert not any(k.startswith("op") or k == "pipeline" for k in q)
+    assert set(sql) <= set(q)
+    own = {k for k in q if not re.match(r"op\d+_|pipeline$", k)}  # the text operators have tests of their own
+    assert own <= set(sql) and len(own) >= 70
 
 
 def test_entry_schema(spark):
