@@ -17,6 +17,34 @@ SELECT doc_id,
 FROM d
 """
 
+OP5 = r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+pattern AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS p
+  FROM (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT m FROM pattern),
+place AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS p
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM low, sizes WHERE len(w) >= m)),
+found AS (SELECT DISTINCT doc_id, m, i, item_id FROM place JOIN pattern USING (m, p)),
+covered AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + m)) AS x FROM (SELECT DISTINCT doc_id, i, m FROM found))
+            GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 STATEMENTS: dict[str, str] = {
     "op4_exact_dedup": OP4,
+    "op5_decontaminate": OP5,
 }

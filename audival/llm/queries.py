@@ -14,6 +14,13 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(Tables(spark, sf_dir).documents)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.decontaminate import contamination
+    t = Tables(spark, sf_dir)
+    return contamination(t.documents, t.benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_decontaminate": op5_decontaminate,
 }
