@@ -58,7 +58,6 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).alias("points"),
                        normalised(F.col("text")).alias("content"))
     rows = rows.select("*", digest(F.col("content")).alias("digest"), _order(F.col("points"), F.col("doc_id")).alias("rank"))
-    rows = store.write(rows.drop("points"), "rows")  # normalised and hashed once
 
     salted = (rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
               .groupBy("digest", "content", "salt")
