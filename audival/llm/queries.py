@@ -20,7 +20,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(t.documents, t.benchmark)
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from audival.llm.bpe import round_trip
+    return round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op10_bpe": op10_bpe,
 }
