@@ -27,8 +27,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from audival.llm.token_files import token_digests, write_tokens
+    return token_digests(write_tokens(Tables(spark, sf_dir).documents, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op3_token_files": op3_token_files,
 }
