@@ -34,9 +34,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(write_tokens(Tables(spark, sf_dir).documents, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.url_filter import judge
+    t = Tables(spark, sf_dir)
+    return judge(t.pages, t.labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op7_url_filter": op7_url_filter,
     "op3_token_files": op3_token_files,
 }
