@@ -40,10 +40,16 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(t.pages, t.labels)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.near_dedup import near_duplicates
+    return near_duplicates(Tables(spark, sf_dir).documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op1_near_dedup": op1_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op3_token_files": op3_token_files,
 }
