@@ -44,7 +44,24 @@ SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP6 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT s, min(doc_id) AS lo FROM wins GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+         FROM wins JOIN firsts USING (s) WHERE doc_id > lo),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k
+         FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 STATEMENTS: dict[str, str] = {
     "op4_exact_dedup": OP4,
     "op5_decontaminate": OP5,
+    "op6_substring_dedup": OP6,
 }

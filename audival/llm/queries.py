@@ -45,10 +45,16 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(Tables(spark, sf_dir).documents)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.substring_dedup import repeat_digests
+    return repeat_digests(Tables(spark, sf_dir).documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op6_substring_dedup": op6_substring_dedup,
     "op1_near_dedup": op1_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op3_token_files": op3_token_files,

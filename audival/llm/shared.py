@@ -8,6 +8,7 @@ segmented sum. No Python object is made per word.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -48,6 +49,13 @@ def stages(spark: SparkSession) -> Stager:
     return Stager(spark)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of stages whose result is stored by
+    now: it does so once the driver's references to them are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and the text's UTF-8 bytes (null text: empty), other columns
     pruned, so nothing can clash with an operator's own names."""
