@@ -50,10 +50,16 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(Tables(spark, sf_dir).documents)
 
 
+def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.hmm import score_texts
+    return score_texts(Tables(spark, sf_dir).documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op9_hmm": op9_hmm,
     "op6_substring_dedup": op6_substring_dedup,
     "op1_near_dedup": op1_near_dedup,
     "op7_url_filter": op7_url_filter,
