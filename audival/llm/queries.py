@@ -55,10 +55,17 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(Tables(spark, sf_dir).documents)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.quality import quality_scores
+    t = Tables(spark, sf_dir)
+    return quality_scores(t.documents, t.labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op2_quality": op2_quality,
     "op9_hmm": op9_hmm,
     "op6_substring_dedup": op6_substring_dedup,
     "op1_near_dedup": op1_near_dedup,
