@@ -61,10 +61,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(t.documents, t.labels)
 
 
+def op8_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.quotes import reply_digests
+    return reply_digests(Tables(spark, sf_dir).conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op10_bpe": op10_bpe,
+    "op8_quote_links": op8_quote_links,
     "op2_quality": op2_quality,
     "op9_hmm": op9_hmm,
     "op6_substring_dedup": op6_substring_dedup,
