@@ -23,7 +23,9 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +39,21 @@ from audival.llm.shared import stages
 #: Ids of a sequence, sequences of a record batch.
 SEQUENCE = 1024
 BATCH = 64
-#: Chunks of text remembered per Python worker, in each of two generations.
-REMEMBERED = 1 << 18
+#: Words remembered per Python worker.
+REMEMBERED = 700_000
+#: Longer words (in characters) are never remembered.
+LONGEST = 64
 #: White space other than the space and the line feed.
 _RARE = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                           0x202F, 0x205F, 0x3000)]
 
 
 class ChunkEncoder:
-    """A library tokenizer with remembered chunks.
+    """A library tokenizer with remembered words.
 
     A byte-level vocabulary never merges across a single space between two
-    other characters, so a text is cut there and each chunk (a word with its
-    space) is encoded by the library once."""
+    other characters, so a text is cut there and each word with the space
+    before it is encoded by the library once."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -58,33 +62,37 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words after a space
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
+    def words(text: str) -> list[str] | None:
+        """The text cut at its spaces, or None if they are not all single."""
         if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _RARE):
-            return [text]  # runs of white space: left whole
-        first, *rest = text.split(" ")
-        return [first] + [" " + r for r in rest]
+            return None
+        return text.split(" ")
+
+    def library_ids(self, chunks: list[str]) -> list[bytes]:
+        got = self.library.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array(self.dtype.char, e.ids).tobytes() for e in got]
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) for t in batch]
-        wanted = set().union(*cut) if cut else set()
-        known: dict[str, bytes] = {}
-        missing = []
-        for c in wanted:
-            ids = self.young.get(c) or self.old.get(c)
-            if ids is None:
-                missing.append(c)
-            else:
-                known[c] = ids
-        for c, e in zip(missing, self.library.encode_batch(missing, add_special_tokens=False)):
-            known[c] = np.array(e.ids, dtype=self.dtype).tobytes()
-        if len(self.young) >= REMEMBERED:
-            self.old, self.young = self.young, {}
-        self.young.update((c, ids) for c, ids in known.items() if len(c) <= 64 and ids)
-        return [b"".join([known[c] for c in chunk]) for chunk in cut]
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        cut = [self.words(t) for t in batch]
+        firsts = self.library_ids([t if c is None else c[0] for t, c in zip(batch, cut)])
+        rest = [c[1:] if c else [] for c in cut]
+        flat = list(chain.from_iterable(rest))
+        ids = list(map(self.known.get, flat))
+        if None in ids:
+            missing = list({w for w, i in zip(flat, ids) if i is None})
+            new = dict(zip(missing, self.library_ids([" " + w for w in missing])))
+            ids = [new[w] if i is None else i for w, i in zip(flat, ids)]
+            self.known.update((w, i) for w, i in new.items() if len(w) <= LONGEST)
+        out, at = [], 0
+        for first, words in zip(firsts, rest):
+            out.append(b"".join([first, *ids[at:at + len(words)]]))
+            at += len(words)
+        return out
 
 
 _loaded: dict[str, ChunkEncoder] = {}
