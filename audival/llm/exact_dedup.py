@@ -86,7 +86,8 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            F.col("digest"))
     # rows that repeat id and text tie for the win: exactly one of them stays
     twin = Window.partitionBy("digest", "doc_id", "winner").orderBy("keep_id")
-    out = marked.select("*", F.row_number().over(twin).alias("turn"))
+    spread = marked.repartition("digest", "doc_id")  # so that a hot digest's rows leave the join's task
+    out = spread.select("*", F.row_number().over(twin).alias("turn"))
     sha = F.col("digest")
     return out.select("doc_id", "keep_id", "group_size", (F.col("winner") & (F.col("turn") == 1)).alias("kept"),
                       sha.alias("text_sha256"))
