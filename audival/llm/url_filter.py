@@ -105,6 +105,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     best = hits.groupBy("tokens").agg(F.max(F.struct(
         "confidence", "support", F.array_join("rule_tokens", " ").alias("mined_rule"), "mined")).alias("best"))
     best = best.select("tokens", F.col("best.mined").alias("mined"), F.col("best.mined_rule").alias("mined_rule"))
-    out = rows.join(best, "tokens", "left")
+    # stored, so that a hot token set can be split in the join
+    out = rows.join(store.write(best, "best"), "tokens", "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("listed", "mined", F.lit("allow")).alias("verdict"),
                       F.when(F.col("listed").isNull(), F.col("mined_rule")).alias("mined_rule"))
