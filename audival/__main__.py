@@ -1,10 +1,12 @@
 """Command line: run the models or a report.
 
-    python -m audival models --inputs DIR --out DIR        # inputs stored as DIR/<name>
+    python -m audival models --inputs DIR --out DIR --publication P \
+        --device-prefix app_ --start 2025-01-01 --end 2026-01-01    # inputs stored as DIR/<name>
     python -m audival testdata --data DIR --out DIR        # inputs derived from TPC-H-style tables
     python -m audival web-report --events PATH --dims date,eventName \
         --metrics totalUsers,eventCount --start 2024-01-01 --end 2024-01-31 --out DIR [--filter TEXT]
-    python -m audival ad-report --landed PATH --definition FILE --start ... --end ... --out DIR
+    python -m audival ad-report --landed PATH --definition FILE --start ... --end ... --out DIR \
+        [--format parquet|csv|typed]
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ def main(argv: list[str] | None = None) -> None:
     m = sub.add_parser("models")
     m.add_argument("--inputs", required=True)
     m.add_argument("--out", required=True)
-    m.add_argument("--publication", default="site_a")
-    m.add_argument("--device-prefix", default="app_")
-    m.add_argument("--start", default="1996-01-01")
-    m.add_argument("--end", default="1996-08-01")
+    m.add_argument("--publication", required=True)
+    m.add_argument("--device-prefix", required=True)
+    m.add_argument("--start", required=True)
+    m.add_argument("--end", required=True)
     t = sub.add_parser("testdata")
     t.add_argument("--data", required=True)
     t.add_argument("--out", required=True)
@@ -38,6 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     a = sub.add_parser("ad-report")
     for arg in ("--landed", "--definition", "--start", "--end", "--out"):
         a.add_argument(arg, required=True)
+    a.add_argument("--format", default="parquet", choices=["parquet", "csv", "typed"])
     p.add_argument("--master", default=None)
     args = p.parse_args(argv)
 
@@ -54,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         web_report(spark, args.events, args.dims.split(","), args.metrics.split(","), args.start, args.end,
                    args.out, args.filter)
     else:
-        adserver_report(spark, args.landed, args.definition, args.start, args.end, args.out)
+        adserver_report(spark, args.landed, args.definition, args.start, args.end, args.out, args.format)
 
 
 if __name__ == "__main__":

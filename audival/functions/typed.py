@@ -21,21 +21,28 @@ def strip(c: Column) -> Column:
 
 def _parts(text: Column) -> tuple[Column, Column, Column]:
     """kind (before the first ':'), the text after the first ':' and the text
-    between the first and second ':', each stripped."""
-    has_colon = F.instr(text, ":") > 0
-    kind = F.lower(F.substring_index(text, ":", 1))
-    after_first = strip(F.substring(text, F.instr(text, ":") + 1, F.lit(1 << 30)))
-    second = F.when(has_colon, strip(F.substring_index(F.substring_index(text, ":", 2), ":", -1))) \
-        .otherwise(F.lit(""))
+    between the first and second ':', each stripped. A text without ':' is an
+    error; null stays null."""
+    at = F.instr(text, ":")
+    kind = F.when(at > 0, F.lower(F.substring_index(text, ":", 1))).when(
+        text.isNotNull(), F.raise_error(F.concat(F.lit("a typed value has no ':': "), text)).cast("string"))
+    after_first = strip(F.substr(text, at + 1))
+    second = strip(F.substring_index(F.substring_index(text, ":", 2), ":", -1))
     return kind, after_first, second
 
 
-def _value(kind: Column, after_first: Column, second: Column, is_date: bool) -> Column:
-    if is_date:
-        return F.to_date(second, "yyyyMMdd")
+#: Type of a parsed column by what the definition says of it.
+TYPES = {"date": "date", "int_value": "bigint", "double_value": "double", "string_value": "string"}
+
+
+def _value(kind: Column, after_first: Column, second: Column, to: str) -> Column:
+    if to == "date":
+        # the kind is looked at first, so that a text without ':' is an error
+        return F.when(kind.isNotNull(), F.to_date(second, "yyyyMMdd"))
     quoted = after_first.startswith('"') & after_first.endswith('"')
     unquoted = F.when(quoted, F.substring(after_first, F.lit(2), F.length(after_first) - 2))
-    return F.when(kind == "string_value", unquoted.otherwise(after_first)).otherwise(second)
+    text = F.when(kind == "string_value", unquoted.otherwise(after_first)).when(kind.isNotNull(), second)
+    return text if to == "string" else text.cast(to)
 
 
 def parse_typed_value(c: str | Column, is_date: bool = False) -> Column:
@@ -43,11 +50,11 @@ def parse_typed_value(c: str | Column, is_date: bool = False) -> Column:
     ``yyyyMMdd``; ``string_value`` takes everything after the first ``:``
     with one pair of surrounding quotes removed; any other kind takes the
     text between the first and second ``:``. Results are stripped."""
-    return _value(*_parts(strip(col(c))), is_date)
+    return _value(*_parts(strip(col(c))), "date" if is_date else "string")
 
 
-def parse_typed_columns(df: DataFrame, columns: dict[str, tuple[str, bool]]) -> DataFrame:
-    """``out: (source column, is_date)`` parsed in three projections, so each
+def parse_typed_columns(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """``out: (source column, type)`` parsed in three projections, so each
     text is stripped and split once per row rather than once per use."""
     stripped = df.select(*[strip(F.col(src)).alias(f"_t{i}") for i, (src, _) in enumerate(columns.values())])
     parts = []
@@ -55,5 +62,5 @@ def parse_typed_columns(df: DataFrame, columns: dict[str, tuple[str, bool]]) ->
         kind, after_first, second = _parts(F.col(f"_t{i}"))
         parts += [kind.alias(f"_k{i}"), after_first.alias(f"_a{i}"), second.alias(f"_s{i}")]
     split = stripped.select(*parts)
-    return split.select(*[_value(F.col(f"_k{i}"), F.col(f"_a{i}"), F.col(f"_s{i}"), is_date).alias(out)
-                          for i, (out, (_, is_date)) in enumerate(columns.items())])
+    return split.select(*[_value(F.col(f"_k{i}"), F.col(f"_a{i}"), F.col(f"_s{i}"), to).alias(out)
+                          for i, (out, (_, to)) in enumerate(columns.items())])

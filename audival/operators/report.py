@@ -4,31 +4,55 @@ over landed rows of typed values."""
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audival.functions.filters import dimension_filter
-from audival.functions.typed import parse_typed_columns
+from audival.functions.typed import TYPES, parse_typed_columns
+
+def _bucket() -> Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
 
 # Our definitions of the analytics names over an ``events`` table
-# (event_id, ts, user_id, event_type, value, props).
+# (event_id, ts, user_id, event_type, value, props); see FIXTURES.md.
 EVENT_DIMENSIONS: dict[str, Callable[[], Column]] = {
     "date": lambda: F.to_date("ts"),
     "eventName": lambda: F.col("event_type"),
+    "deviceCategory": lambda: F.when(_bucket() < 33, "desktop").when(_bucket() < 66, "mobile").otherwise("tablet"),
+    "customUser:user_status": lambda: F.when(F.col("user_id").isNull(), "notLoggedIn")
+    .when(F.col("event_type") == "purchase", "subscribed").otherwise("notSubscribed"),
+    "customUser:product_name": lambda: F.when(F.col("event_type") == "purchase", F.when(
+        F.col("value") < 50, "Monatsabo").otherwise("Jahresabo")).otherwise("(not set)"),
+    "pagePath": lambda: F.concat(F.lit("/"), F.element_at(F.array(*map(F.lit, ("de", "fr", "it", "en"))),
+                                                          F.coalesce(F.pmod(_bucket(), F.lit(4)), F.lit(0)) + 1),
+                                 F.lit("/"), F.col("event_type")),
 }
+#: Metrics of an event table, as sums over users: a user's rows are first
+#: combined by day, the days by user, and the users by dimension, so distinct
+#: users and sessions are counted without copying rows.
 EVENT_METRICS: dict[str, Callable[[], Column]] = {
-    "totalUsers": lambda: F.count_distinct("user_id"),
-    "newUsers": lambda: F.count_distinct(F.when(F.col("event_type") == "signup", F.col("user_id"))),
-    "sessions": lambda: F.count_distinct("user_id", F.to_date("ts")),
-    "screenPageViews": lambda: F.count(F.when(F.col("event_type") == "view", 1)),
-    "eventCount": lambda: F.count(F.lit(1)),
+    "totalUsers": lambda: F.count("user_id"),
+    "newUsers": lambda: F.count(F.when(F.col("_signed"), F.col("user_id"))),
+    "sessions": lambda: F.coalesce(F.sum(F.when(F.col("user_id").isNotNull(), F.col("_days"))), F.lit(0)),
+    "screenPageViews": lambda: F.coalesce(F.sum("_views"), F.lit(0)),
+    "eventCount": lambda: F.coalesce(F.sum("_events"), F.lit(0)),
 }
 
 
+def _by_user(rows: DataFrame, dims: list[str]) -> DataFrame:
+    """One row per dimensions and user: events, views, days, whether signed up."""
+    daily = rows.groupBy(*dims, "user_id", F.to_date("ts").alias("_day")).agg(
+        F.count(F.lit(1)).alias("_events"), F.count(F.when(F.col("event_type") == "view", 1)).alias("_views"),
+        F.max(F.col("event_type") == "signup").alias("_signed"))
+    return daily.groupBy(*dims, "user_id").agg(
+        F.sum("_events").alias("_events"), F.sum("_views").alias("_views"), F.max("_signed").alias("_signed"),
+        F.count("_day").alias("_days"))
+
+
 def _resolve(name: str, registry: Mapping, columns: list[str]) -> Callable[[], Column]:
     for key, fn in registry.items():
         if key.lower() == name.lower():
@@ -59,70 +83,93 @@ def _date_range(df: DataFrame, date_col: str, start: str, end: str) -> Column:
     return exact
 
 
-MAX_LISTED_DAYS = 3660
-
-
-def _in_days(day: Column, start: str, end: str) -> Column:
-    """``day`` in [start, end]. Up to MAX_LISTED_DAYS days the range is one
-    set test, so a parse pushed into the filter runs once, not twice."""
-    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    n = (last - first).days + 1
-    if 0 < n <= MAX_LISTED_DAYS:
-        return day.isin([first + dt.timedelta(days=i) for i in range(n)])
-    return day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-
-
 def run_report(df: DataFrame, dimensions: list[str], metrics: list[str], start: str, end: str,
                dimension_filter_text: str | None = None, case_sensitive: bool = False,
                date_col: str = "ts", dimension_defs: Mapping = EVENT_DIMENSIONS,
                metric_defs: Mapping = EVENT_METRICS) -> DataFrame:
     """Rows whose date is in [start, end] (inclusive), optionally
     filtered on a dimension (O29), grouped by the dimensions, one column per
-    metric; columns are the dimensions then the metrics, as named."""
+    metric; columns are the dimensions then the metrics, as named. Metrics
+    of other tables than events come as aggregates in ``metric_defs``."""
     rows = df.filter(_date_range(df, date_col, start, end))
     if dimension_filter_text:
         rows = rows.filter(dimension_filter(
             dimension_filter_text, lambda f: _resolve(f, dimension_defs, df.columns)(), case_sensitive))
-    dims = [_resolve(d, dimension_defs, df.columns)().alias(d) for d in dimensions]
-    mets = [_resolve(m, metric_defs, df.columns)().alias(m) for m in metrics]
-    if dims:
-        return rows.groupBy(*dims).agg(*mets)
-    return rows.agg(*mets)
-
-
-def load_definition(text_or_path: str) -> dict:
-    """A report definition from JSON text or a JSON file path."""
-    text = text_or_path
-    if not text_or_path.lstrip().startswith("{"):
-        with open(text_or_path, encoding="utf-8") as fh:
-            text = fh.read()
-    return json.loads(text)
-
-
-def parse_landed(df: DataFrame, definition: Mapping) -> DataFrame:
-    """O30 over landed rows: each definition column parsed from its typed
-    text (``date`` as a DATE); names resolve case-insensitively."""
+    mets = [_resolve(m, metric_defs, [])().alias(m) for m in metrics]
+    named = [f"_d{i}" for i in range(len(dimensions))]
+    rows = rows.withColumns({n: _resolve(d, dimension_defs, df.columns)() for n, d in zip(named, dimensions)})
+    if metric_defs is EVENT_METRICS:
+        rows = _by_user(rows, named)
+    out = rows.groupBy(*named).agg(*mets) if named else rows.agg(*mets)
+    return out.select(*[F.col(n).alias(d) for n, d in zip(named, dimensions)], *[F.col(f"`{m}`") for m in metrics])
+
+
+def load_definition(text_or_path: str, spark: SparkSession | None = None) -> dict:
+    """A report definition from JSON text or a JSON file path; with a session
+    the path may be in any store that Spark reads."""
+    if text_or_path.lstrip().startswith("{"):
+        return json.loads(text_or_path)
+    if spark is not None:
+        return json.loads(spark.read.text(text_or_path, wholetext=True).first()["value"])
+    with open(text_or_path, encoding="utf-8") as fh:
+        return json.load(fh)
+
+
+def metric_kinds(landed: DataFrame, definition: Mapping) -> dict[str, str]:
+    """What each metric's values are (``int_value`` or ``double_value``), from
+    the landed rows: whole numbers only if every value is one."""
+    by_lower = {c.lower(): c for c in landed.columns}
+    kind = lambda m: F.lower(F.trim(F.substring_index(F.col(by_lower[m.lower()]), ":", 1)))
+    names = [m for m in definition.get("metrics", []) if m.lower() in by_lower]
+    if not names:
+        return {}
+    row = landed.agg(*[F.max((kind(m) != "int_value").cast("int")).alias(m) for m in names]).first()
+    return {m: "double_value" if row[m] else "int_value" for m in names}
+
+
+def parse_landed(df: DataFrame, definition: Mapping, kinds: Mapping[str, str] | None = None) -> DataFrame:
+    """O30 over landed rows: a typed table of the definition's columns, the
+    ``date`` (always there, as reports are cut by it) a DATE, metrics BIGINT or
+    DOUBLE by their kind (``kinds``; a DOUBLE if not named). Names resolve
+    case-insensitively; rows without a date column are an error."""
     by_lower = {c.lower(): c for c in df.columns}
+    kinds = {k.lower(): v for k, v in (kinds or {}).items()}
+    metrics = list(definition.get("metrics", []))
+    names = list(definition.get("dimensions", [])) + metrics
+    if "date" not in [n.lower() for n in names]:
+        names = ["date", *names]
     wanted = {}
-    for name in list(definition.get("dimensions", [])) + list(definition.get("metrics", [])):
+    for name in names:
         src = by_lower.get(name.lower())
         if src is None:
             raise KeyError(f"unknown report field: {name}")
-        wanted[name] = (src, name.lower() == "date")
+        kind = "date" if name.lower() == "date" else (
+            kinds.get(name.lower(), "double_value") if name in metrics else "string_value")
+        wanted[name] = (src, TYPES[kind])
     return parse_typed_columns(df, wanted)
 
 
-def report_from_definition(landed: DataFrame, definition: Mapping, start: str, end: str) -> DataFrame:
-    """The definition's dimensions and metrics over the landed rows of
-    the inclusive date range: typed values parsed, rows grouped by the
-    dimensions and the metrics summed. The definition's date-range type,
-    ad-unit view and report type are not used; there are no filters.
-    Columns are the dimensions then the metrics, as named in the definition."""
-    dims = list(definition.get("dimensions", []))
-    mets = list(definition.get("metrics", []))
-    rows = parse_landed(landed, definition)
-    date_dim = next((d for d in dims if d.lower() == "date"), None)
-    if date_dim is not None:
-        rows = rows.filter(_in_days(F.col(date_dim), start, end))
-    sums = [F.sum(F.col(m).cast("double")).alias(m) for m in mets]
+def report_from_table(typed: DataFrame, definition: Mapping, start: str, end: str) -> DataFrame:
+    """O31 over a typed table (``parse_landed``, or what the stream stores):
+    rows of the inclusive range, grouped by the definition's dimensions, the
+    metrics summed in their own type (a whole-number overflow is an error).
+    The range is a plain bound on the DATE column, so a table partitioned by
+    day is read for those days only."""
+    by_lower = {c.lower(): c for c in typed.columns}
+    if "date" not in by_lower:
+        raise KeyError("the report table has no date column")
+    day = F.col(by_lower["date"])
+    rows = typed.filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
+    dims = [F.col(by_lower[d.lower()]).alias(d) for d in definition.get("dimensions", [])]
+    sums = [F.sum(by_lower[m.lower()]).alias(m) for m in definition.get("metrics", [])]
     return rows.groupBy(*dims).agg(*sums) if dims else rows.agg(*sums)
+
+
+def report_from_definition(landed: DataFrame, definition: Mapping, start: str, end: str,
+                           kinds: Mapping[str, str] | None = None) -> DataFrame:
+    """O30 then O31 straight from landed rows. Without ``kinds`` they are read
+    off the rows first. The definition's date-range type, ad-unit view and
+    report type are not used; there are no filters. Columns are the dimensions
+    then the metrics, as named in the definition."""
+    kinds = metric_kinds(landed, definition) if kinds is None else kinds
+    return report_from_table(parse_landed(landed, definition, kinds), definition, start, end)

@@ -27,10 +27,17 @@ from audival.sources.tables import Tables
 # differences of summation order between engines cannot flip a rounding.
 _SCALE = float(2 ** 16)
 
-# The report fixtures of the source scripts.
+# The ad report's definition. The web report's dimensions and
+# filters are our own choice over the events table (FIXTURES.md).
 WEB_DIMENSIONS = ["date", "eventName"]
 WEB_METRICS = ["totalUsers", "newUsers", "sessions", "screenPageViews", "eventCount"]
-WEB_FILTER = 'eventName ends_with "Up"'
+WEB_FILTERS = {"report_filter": 'eventName ends_with "Up"', "report_filter_contains": 'pagePath contains "/FR/"',
+               "report_filter_exact": "customUser:user_status exact subscribed",
+               "report_filter_begins_with": 'customUser:product_name begins_with "monat"'}
+USER_DIMENSIONS = ["deviceCategory", "customUser:user_status", "customUser:product_name"]
+AD_KINDS = {"impressions": "int_value", "revenue_without_cpd": "double_value"}
+#: A range that leaves days of the events table out.
+PART_OF_RANGE = ("2024-01-05", "2024-01-11")
 AD_DEFINITION = {
     "dimensions": ["date", "ppid_status", "serving_restriction", "ad_unit_name_level_1", "device_category"],
     "metrics": ["impressions", "revenue_without_cpd"],
@@ -465,20 +472,37 @@ def q_report(events):
     return RP.run_report(events, WEB_DIMENSIONS, WEB_METRICS, start, end)
 
 
-@events_query("report_filter")
-def q_report_filter(events):
-    start, end = fixtures.events_window()
-    return RP.run_report(events, WEB_DIMENSIONS, WEB_METRICS, start, end, WEB_FILTER)
+for _name, _text in WEB_FILTERS.items():
+    @events_query(_name)
+    def q_report_filter(events, text=_text):
+        start, end = fixtures.events_window()
+        return RP.run_report(events, WEB_DIMENSIONS, WEB_METRICS, start, end, text)
+
+
+@events_query("report_users")
+def q_report_users(events):
+    """The report by device, user status and product, over a part of the days."""
+    return RP.run_report(events, USER_DIMENSIONS, WEB_METRICS, *PART_OF_RANGE)
 
 
 @events_query("typed_value_parse")
 def q_typed(events):
-    parsed = RP.parse_landed(adserver.landed_rows(events), AD_DEFINITION)
-    return parsed.select(*[F.col(c).cast("double").alias(c) if c in AD_DEFINITION["metrics"] else F.col(c)
-                           for c in parsed.columns])
+    return RP.parse_landed(adserver.landed_rows(events), AD_DEFINITION, AD_KINDS)
 
 
 @events_query("report_from_definition")
 def q_report_definition(events):
     start, end = fixtures.events_window()
-    return RP.report_from_definition(adserver.landed_rows(events), AD_DEFINITION, start, end)
+    return RP.report_from_definition(adserver.landed_rows(events), AD_DEFINITION, start, end, AD_KINDS)
+
+
+@events_query("report_from_definition_range")
+def q_report_definition_range(events):
+    return RP.report_from_definition(adserver.landed_rows(events), AD_DEFINITION, *PART_OF_RANGE, AD_KINDS)
+
+
+@events_query("report_from_definition_no_date")
+def q_report_definition_no_date(events):
+    """The range holds although the report has no date dimension."""
+    spec = AD_DEFINITION | {"dimensions": [d for d in AD_DEFINITION["dimensions"] if d != "date"]}
+    return RP.report_from_definition(adserver.landed_rows(events), spec, *PART_OF_RANGE, AD_KINDS)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from audival.operators.report import load_definition, report_from_definition, run_report
+from audival.operators.report import load_definition, report_from_definition, report_from_table, run_report
 from audival.plans.sinks import write_report_csv
 
 
@@ -20,14 +20,15 @@ def web_report(spark: SparkSession, events_path: str, dimensions: list[str], met
 
 
 def adserver_report(spark: SparkSession, landed_path: str, definition: str | dict, start: str, end: str,
-                    out_path: str) -> DataFrame:
-    """Report of a JSON definition (text, path or dict) over landed rows
-    stored as parquet or CSV; gzip CSV with the definition's header."""
-    spec = load_definition(definition) if isinstance(definition, str) else definition
-    if landed_path.endswith(".csv") or "/csv" in landed_path:
-        landed = spark.read.option("header", True).csv(landed_path)
+                    out_path: str, landed_format: str = "parquet") -> DataFrame:
+    """Report of a JSON definition (text, path or dict); gzip CSV with the
+    definition's header. ``landed_format``: ``parquet`` or ``csv`` for rows of
+    typed text, ``typed`` for the parsed table that the stream stores."""
+    spec = load_definition(definition, spark) if isinstance(definition, str) else definition
+    if landed_format == "typed":
+        report = report_from_table(spark.read.parquet(landed_path), spec, start, end)
     else:
-        landed = spark.read.parquet(landed_path)
-    report = report_from_definition(landed, spec, start, end)
+        landed = spark.read.option("header", True).format(landed_format).load(landed_path)
+        report = report_from_definition(landed, spec, start, end)
     write_report_csv(report, out_path, gzip=True)
     return spark.read.option("header", True).csv(out_path)

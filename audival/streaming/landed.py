@@ -1,6 +1,6 @@
 """Landed report rows as a stream: report files dropped into a folder are
 picked up as they arrive, their typed values parsed (O30) and appended to a
-parquet table that the batch report (O31) reads. This replaces waiting on a
+parquet table that the batch report (O31, ``report_from_table``) reads. This replaces waiting on a
 remote report: the file source tracks which files it has read in the
 checkpoint, so a restarted or re-run job resumes where it stopped."""
 
@@ -17,21 +17,26 @@ from audival.operators.report import parse_landed
 
 def landed_schema(definition: Mapping) -> StructType:
     names = list(definition.get("dimensions", [])) + list(definition.get("metrics", []))
+    if "date" not in [n.lower() for n in names]:
+        names = ["date", *names]  # as the files have it first
     return StructType([StructField(n, StringType()) for n in names])
 
 
 def ingest_landed(spark: SparkSession, source_dir: str, definition: Mapping, sink_dir: str,
-                  checkpoint: str, available_now: bool = True,
-                  max_files_per_trigger: int = 1000) -> StreamingQuery:
+                  checkpoint: str, available_now: bool = True, max_files_per_trigger: int = 1000,
+                  kinds: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start the stream: CSV files with a header of the definition's columns,
     each value typed text. ``available_now`` processes what has landed and
     stops; otherwise the query keeps watching the folder. A backlog is taken
     in micro-batches of at most ``max_files_per_trigger`` files, so one batch
-    never has to hold all of it."""
+    never has to hold all of it. ``kinds`` names the metrics that are whole
+    numbers (``int_value``). The table is partitioned by its date column, so
+    that ``report_from_table`` reads only the days of a report."""
     rows = (spark.readStream.schema(landed_schema(definition)).option("header", True)
             .option("maxFilesPerTrigger", max_files_per_trigger).csv(source_dir))
-    parsed = parse_landed(rows, definition)
-    writer = (parsed.writeStream.format("parquet").option("path", sink_dir)
+    parsed = parse_landed(rows, definition, kinds)
+    day = next(c for c in parsed.columns if c.lower() == "date")
+    writer = (parsed.writeStream.format("parquet").option("path", sink_dir).partitionBy(day)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()

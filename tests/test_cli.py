@@ -23,5 +23,6 @@ def test_models_command(spark, scratch):
     for name in INPUT_NAMES:
         stager.write(getattr(landed, name), name)
     out = os.path.join(scratch, "tables")
-    main(["models", "--inputs", inputs, "--out", out])
+    main(["models", "--inputs", inputs, "--out", out, "--publication", "site_a", "--device-prefix", "app_",
+          "--start", "1996-01-01", "--end", "1996-08-01"])
     assert spark.read.parquet(f"{out}/total_tclv_login_state").count() > 0

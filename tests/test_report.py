@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from audival.functions.filters import parse_filter
 from audival.functions.typed import parse_typed_value
 from audival.operators import report as RP
-from audival.plans.queries import AD_DEFINITION
+from audival.plans.queries import AD_DEFINITION, AD_KINDS
 from audival.plans.sinks import write_report_csv
 from audival.sources.adserver import landed_rows
 
@@ -67,7 +67,7 @@ def test_report_from_definition(spark):
     out = RP.report_from_definition(landed_rows(events(spark)), AD_DEFINITION, "2024-01-01", "2024-01-31")
     assert out.columns == AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"]
     totals = out.agg(F.sum("impressions"), F.sum("revenue_without_cpd")).first()
-    assert tuple(totals) == (2.0, 9.5)
+    assert tuple(totals) == (2, 9.5) and dict(out.dtypes)["impressions"] == "bigint"
     with pytest.raises(KeyError):
         RP.parse_landed(landed_rows(events(spark)), {"dimensions": ["missing"], "metrics": []})
 
@@ -76,7 +76,74 @@ def test_definition_names_case_insensitive(spark):
     spec = {"dimensions": ["DATE", "Device_Category"], "metrics": ["IMPRESSIONS"]}
     out = RP.report_from_definition(landed_rows(events(spark)), spec, "2024-01-01", "2024-01-31")
     assert out.columns == ["DATE", "Device_Category", "IMPRESSIONS"]
-    assert out.agg(F.sum("IMPRESSIONS")).first()[0] == 2.0
+    assert out.agg(F.sum("IMPRESSIONS")).first()[0] == 2
+
+
+def landed(spark, days, values, kind="int_value"):
+    return spark.createDataFrame([(f"int_value: {d}", "string_value: x", f"{kind}: {v}") for d, v in zip(days, values)],
+                                 "date string, unit string, impressions string")
+
+
+SPEC = {"dimensions": ["unit"], "metrics": ["impressions"]}
+
+
+def test_range_holds_without_a_date_dimension(spark):
+    rows = landed(spark, ["20240101", "20240105", "20240201"], [1, 2, 4])
+    assert RP.report_from_definition(rows, SPEC, "2024-01-01", "2024-01-31").first()["impressions"] == 3
+    assert RP.report_from_definition(rows, SPEC, "2030-01-01", "2030-01-31").count() == 0
+    with pytest.raises(KeyError):
+        RP.report_from_definition(rows.drop("date"), SPEC, "2024-01-01", "2024-01-31")
+
+
+def test_whole_numbers_stay_exact_in_the_csv(spark, scratch):
+    rows = landed(spark, ["20240101", "20240102"], [12345678, 9007199254740993]).withColumn(
+        "unit", F.concat(F.lit("string_value: "), "date"))
+    path = os.path.join(scratch, "whole")
+    write_report_csv(RP.report_from_definition(rows, SPEC, "2024-01-01", "2024-01-31"), path, gzip=True)
+    numbers = {ln.split(",")[1] for ln in _csv_lines(path, gzip.open)} - {"impressions"}
+    assert numbers == {"12345678", "9007199254740993"}
+    mixed = landed(spark, ["20240101"], ["1.5"], "double_value").unionByName(landed(spark, ["20240101"], [2]))
+    assert RP.report_from_definition(mixed, SPEC, "2024-01-01", "2024-01-31").first()["impressions"] == 3.5
+
+
+@pytest.mark.parametrize("column", ["date", "unit", "impressions"])
+def test_value_without_a_colon_is_an_error(spark, column):
+    rows = landed(spark, ["20240101"], [1]).withColumn(column, F.lit("20240101"))
+    with pytest.raises(Exception, match="no ':'"):
+        RP.report_from_definition(rows, SPEC | {"dimensions": ["date", "unit"]}, "2024-01-01", "2024-01-31",
+                                  {"impressions": "int_value"}).collect()
+
+
+def test_day_filter_reaches_a_partitioned_table(spark, scratch):
+    path = os.path.join(scratch, "typed")
+    RP.parse_landed(landed_rows(spark.read.parquet(f"{SMALL}/events.parquet")), AD_DEFINITION, AD_KINDS).write.partitionBy(
+        "date").parquet(path)
+    out = RP.report_from_table(spark.read.parquet(path), AD_DEFINITION, "2024-01-05", "2024-01-06")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-05" in plan
+    assert {r["date"] for r in out.collect()} == {dt.date(2024, 1, 5), dt.date(2024, 1, 6)}
+
+
+@pytest.mark.parametrize("text,kept", [('eventName contains "IE"', {2, 3}), ("eventName exact VIEW", {2, 3}),
+                                       ("eventName begins_with sign", {1}), ("eventName ends_with up", {1}),
+                                       ('pagePath contains "/it/"', {2, 3, 4})])
+def test_every_filter_operator_on_rows(spark, text, kept):
+    out = RP.run_report(events(spark), ["eventName"], ["eventCount"], "2024-01-01", "2024-01-31", text)
+    names = {1: "signup", 2: "view", 3: "view", 4: "purchase"}
+    want = {}
+    for k in kept:
+        want[names[k]] = want.get(names[k], 0) + 1
+    assert {r[0]: r[1] for r in out.collect()} == want
+
+
+def test_user_dimensions_and_no_expand(spark):
+    dims = ["deviceCategory", "customUser:user_status", "customUser:product_name"]
+    out = RP.run_report(events(spark), dims, list(RP.EVENT_METRICS), "2024-01-01", "2024-01-31")
+    assert out.columns == dims + list(RP.EVENT_METRICS)
+    assert {tuple(r) for r in out.collect()} == {
+        ("desktop", "notSubscribed", "(not set)", 1, 1, 1, 0, 1), ("mobile", "notSubscribed", "(not set)", 1, 0, 2, 2, 2),
+        ("tablet", "subscribed", "Monatsabo", 1, 0, 1, 0, 1)}
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def _csv_lines(path, opener=open):

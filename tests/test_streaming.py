@@ -1,6 +1,7 @@
 import os
 
-from audival.plans.queries import AD_DEFINITION
+from audival.operators.report import report_from_definition, report_from_table
+from audival.plans.queries import AD_DEFINITION, AD_KINDS
 from audival.sources.adserver import landed_rows
 from audival.streaming.landed import ingest_landed
 
@@ -21,10 +22,25 @@ def test_landed_files_are_ingested_once(spark, scratch):
     q.awaitTermination()
     assert spark.read.parquet(sink).count() == first
     parsed = spark.read.parquet(sink)
-    assert parsed.columns == AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"]
+    assert set(parsed.columns) == set(AD_DEFINITION["dimensions"] + AD_DEFINITION["metrics"])
     assert dict(parsed.dtypes)["date"] == "date"
     # a later delivery is picked up on the next run, and only it
     landed.limit(100).write.option("header", True).csv(os.path.join(src, "b"))
     q = ingest_landed(spark, os.path.join(src, "*"), AD_DEFINITION, sink, ckpt)
     q.awaitTermination()
     assert spark.read.parquet(sink).count() == first + 100
+
+
+def test_report_over_the_streamed_table(spark, scratch):
+    """The report of the stream's table is the report of the landed rows."""
+    src, sink, ckpt = (os.path.join(scratch, n) for n in ("src", "sink", "ckpt"))
+    rows = landed_rows(spark.read.parquet(f"{SMALL}/events.parquet")).drop("event_id")
+    rows.write.option("header", True).csv(src)
+    ingest_landed(spark, src, AD_DEFINITION, sink, ckpt, kinds=AD_KINDS).awaitTermination()
+    typed = spark.read.parquet(sink)
+    assert dict(typed.dtypes)["impressions"] == "bigint"
+    for dims in (AD_DEFINITION["dimensions"], ["device_category"]):
+        spec = AD_DEFINITION | {"dimensions": dims}
+        got = report_from_table(typed, spec, "2024-01-05", "2024-01-11")
+        want = report_from_definition(rows, spec, "2024-01-05", "2024-01-11")
+        assert got.count() and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
