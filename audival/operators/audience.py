@@ -39,6 +39,12 @@ def clean_ga4(rows: DataFrame, publication: str, by_device: bool = False,
                       *(["pageviews"] if with_pageviews else []))
 
 
+def without_device(clean: DataFrame) -> DataFrame:
+    """O5 without devices from O5 by device."""
+    return clean.groupBy("month", "publication", "login_state").agg(
+        *[F.sum(c).alias(c) for c in ("users", "new_users", "pageviews")])
+
+
 def enrich_pageviews(device_agg: DataFrame, export_by_device: DataFrame) -> DataFrame:
     """Device aggregate (users, new users) + page views of the export,
     matched on month, publication, login state and device."""

@@ -46,6 +46,12 @@ def user_metrics_base(df: DataFrame, publication: str, start=None, end=None,
                       "user_status", "loyalty_segment", "users", "pageviews")
 
 
+def without_device(base: DataFrame) -> DataFrame:
+    """O11 without devices from O11 by device."""
+    keys = ["month", "publication", "user_status", "loyalty_segment"]
+    return base.groupBy(*keys).agg(F.sum("users").alias("users"), F.sum("pageviews").alias("pageviews"))
+
+
 def total_users(base: DataFrame, by_device: bool = False) -> DataFrame:
     """Users and page views per month, status, publication (, device)."""
     keys = ["month", "user_status", "publication"] + (["device"] if by_device else [])
@@ -225,7 +231,8 @@ def assemble_customers(known: list[DataFrame], gt: DataFrame, by_device: bool =
 
 
 def customers_wide(base: DataFrame, manual: DataFrame, by_device: bool = False) -> DataFrame:
-    """K3/K4 from one aggregate of the base pivoted by status and one window.
+    """K3/K4 from one aggregate of the base pivoted by status, and month totals
+    (one window; joined partial sums by device).
 
     Every part of the customer model is a per-cell (month, publication,
     (device), segment) quantity: the loyalty ratio of each status (its users
@@ -255,10 +262,17 @@ def customers_wide(base: DataFrame, manual: DataFrame, by_device: bool = False)
     parts += [F.count(F.when((status == V.NOT_LOGGED_IN) & has_reach, 1)).alias("_gt_nli_rows"),
               F.sum(F.when((status == V.NOT_LOGGED_IN) & has_reach, F.col("customers"))).alias("_c_nli")]
     wide = rows.groupBy(*cell).agg(*parts)
-    month = Window.partitionBy("month", "publication")
     keyed = all_not_null(cell)
-    ratio = {s_: F.when(keyed, safe_div(F.col(f"_u_{s_}"), F.sum(f"_u_{s_}").over(month)))
-             for s_ in (V.NOT_LOGGED_IN, V.NOT_SUBSCRIBED, V.SUBSCRIBED)}
+    statuses = (V.NOT_LOGGED_IN, V.NOT_SUBSCRIBED, V.SUBSCRIBED)
+    if by_device:  # a month may have any number of devices: partial sums, joined back
+        totals = base.groupBy("month", "publication").agg(*[
+            F.sum(F.when(status == s_, F.col("users"))).alias(f"_m_{s_}") for s_ in statuses])
+        wide = wide.join(totals, ["month", "publication"], "left")
+        month_total = {s_: F.col(f"_m_{s_}") for s_ in statuses}
+    else:
+        month = Window.partitionBy("month", "publication")
+        month_total = {s_: F.sum(f"_u_{s_}").over(month) for s_ in statuses}
+    ratio = {s_: F.when(keyed, safe_div(F.col(f"_u_{s_}"), month_total[s_])) for s_ in statuses}
     wide = wide.select("*", *[r.alias(f"_lr_{s_}") for s_, r in ratio.items()]).join(
         consent, ["month", "publication"], "left")
     total = F.col("monthly_subscribers") + F.col("yearly_subscribers")

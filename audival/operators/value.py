@@ -79,6 +79,20 @@ def subscription_arpu(df: DataFrame, by_device: bool = False) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg("subscription_value").alias("arpu"))
 
 
+def subscription_sums(df: DataFrame) -> DataFrame:
+    """Sum and count of subscription values by cell and device: what every
+    form of O32 is computed from."""
+    keys = ["month", "publication", "login_state", "loyalty_segment", "device"]
+    return df.groupBy(*keys).agg(F.sum("subscription_value").alias("total"), F.count("subscription_value").alias("n"))
+
+
+def arpu_of_sums(sums: DataFrame, by_device: bool = False) -> DataFrame:
+    """O32 from ``subscription_sums``."""
+    keys = ["month", "publication", "login_state", "loyalty_segment"] + (["device"] if by_device else [])
+    return sums.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n")).select(
+        *keys, F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("arpu"))
+
+
 def subscription_value(lifetime: DataFrame, arpu: DataFrame, by_device: bool = False) -> DataFrame:
     """Lifetime cells with their arpu; value = arpu x lifetime, /12 for
     yearly subscriptions. Cells without arpu keep a NULL value."""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from audival.plans.stage import Stager, run_concurrently
 from audival.sources import fixtures as fx
+from audival.sources.schemas import conform
 from audival.sources.tables import Tables
 
 _LANDED: dict[tuple[str, str], Inputs] = {}
@@ -16,6 +17,8 @@ INPUT_NAMES = ("user_metrics_monthly", "ga4_export", "ga4_device_aggregate", "ma
                "consent_rate", "rpm", "impressions_per_view", "subscription_arpu",
                "subscription_lifetime", "subscription_lifetime_device", "manual_pageviews")
 
+OPTIONAL_NAMES = ("loyalty_ratio_legacy", "true_customer", "customer_weight")
+
 
 @dataclass
 class Inputs:
@@ -30,6 +33,10 @@ class Inputs:
     subscription_lifetime: DataFrame
     subscription_lifetime_device: DataFrame
     manual_pageviews: DataFrame
+    # ready-made tables of the earlier models; the chain's own results if absent
+    loyalty_ratio_legacy: DataFrame | None = None
+    true_customer: DataFrame | None = None
+    customer_weight: DataFrame | None = None
     publication: str = fx.PUBLICATION
     device_prefix: str = fx.DEVICE_PREFIX
     window: tuple[str, str] = field(default=fx.WINDOW)
@@ -76,11 +83,13 @@ class Inputs:
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: dict[str, str], **params) -> Inputs:
-        """Inputs stored as parquet, one path per name in ``INPUT_NAMES``."""
-        return cls(**{n: spark.read.parquet(paths[n]) for n in INPUT_NAMES}, **params)
+        """Inputs stored as parquet, one path per name in ``INPUT_NAMES`` and,
+        if there, in ``OPTIONAL_NAMES``; typed by ``sources.schemas``."""
+        names = [*INPUT_NAMES, *(n for n in OPTIONAL_NAMES if n in paths)]
+        return cls(**{n: conform(spark.read.parquet(paths[n]), n) for n in names}, **params)
 
     def with_tables(self, **tables: DataFrame) -> Inputs:
-        values = {n: getattr(self, n) for n in INPUT_NAMES}
+        values = {n: getattr(self, n) for n in INPUT_NAMES + OPTIONAL_NAMES}
         values.update(tables)
         return Inputs(**values, publication=self.publication, device_prefix=self.device_prefix,
                       window=self.window)

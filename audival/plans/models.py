@@ -38,15 +38,18 @@ def legacy_ratios(ratios: DataFrame) -> DataFrame:
 
 
 class Chain:
-    def __init__(self, inp: Inputs, stager: Stager | None = None, store_tables: bool = False):
+    def __init__(self, inp: Inputs, stager: Stager | None = None, store_tables: bool = False,
+                 tables: Stager | None = None):
         self.inp = inp
         self.stager = stager
+        self.tables = tables or stager  # where the models' own tables go
         self.store_tables = store_tables
         self._stages: dict[tuple[str, bool], DataFrame] = {}
         self._locks: dict[tuple[str, bool], threading.Lock] = {}
         self._guard = threading.Lock()
 
-    def _stage(self, name: str, build: Callable[[], DataFrame], store: bool = False) -> DataFrame:
+    def _stage(self, name: str, build: Callable[[], DataFrame], store: bool = False,
+               into: Stager | None = None) -> DataFrame:
         """Build (and store) a stage once; a per-stage lock lets concurrent
         jobs ask for the same stage, the later one waiting for the first."""
         key = (name, store and self.stager is not None)
@@ -55,27 +58,33 @@ class Chain:
         with lock:
             if key not in self._stages:
                 df = build()
-                self._stages[key] = self.stager.write(df, name) if key[1] else df
+                self._stages[key] = (into or self.stager).write(df, name) if key[1] else df
         return self._stages[key]
 
     # --- customers side ------------------------------------------------------
 
     def base(self, by_device: bool = False, windowed: bool = True) -> DataFrame:
-        """O11 over the model window (or unbounded for the earliest model)."""
+        """O11 over the model window (or unbounded for the earliest model). The
+        input is aggregated once, by device; the table without devices is the
+        sum of that one."""
         inp = self.inp
         start, end = inp.window if windowed else (None, None)
         name = "base" + ("_device" if by_device else "") + ("" if windowed else "_all")
+        if windowed and not by_device:
+            return self._stage(name, lambda: C.without_device(self.base(True)), store=True)
         return self._stage(name, lambda: C.user_metrics_base(
             inp.user_metrics_monthly, inp.publication, start, end, by_device, inp.device_prefix), store=True)
 
     def _table(self, name: str, build: Callable[[], DataFrame], shared: bool) -> DataFrame:
         lazy = self._stage(name, build)
-        return self._stage(name, lambda: lazy, store=True) if (shared or self.store_tables) else lazy
+        return self._stage(name, lambda: lazy, store=True, into=self.tables) if (shared or self.store_tables) else lazy
 
     def loyalty_ratio(self, by_device: bool = False) -> DataFrame:
         """K1 / K2."""
         name = "loyalty_ratio_device_scope" if by_device else "loyalty_ratio"
-        return self._table(name, lambda: C.loyalty_ratio(self.base(by_device), by_device), False)
+        # cells by device have no bound of their own per month: totals by join
+        method = "join" if by_device else "window"
+        return self._table(name, lambda: C.loyalty_ratio(self.base(by_device), by_device, method), False)
 
     def customers(self, by_device: bool = False, shared: bool = False) -> DataFrame:
         """K3 / K4."""
@@ -96,11 +105,15 @@ class Chain:
     # --- audience side --------------------------------------------------------
 
     def clean_export(self, by_device: bool = False, with_pageviews: bool = True) -> DataFrame:
+        """The export is aggregated once, by device; the other forms are
+        sums and columns of that table."""
         inp = self.inp
-        name = "clean_ga4" + ("_device" if by_device else "") + ("" if with_pageviews else "_np")
-        return self._stage(name, lambda: A.clean_ga4(ga4_export_rows(inp.ga4_export), inp.publication,
-                                                     by_device, with_pageviews, inp.device_prefix),
-                           store=True)
+        if not with_pageviews:
+            return self.clean_export(by_device).drop("pageviews")
+        if not by_device:
+            return self._stage("clean_ga4", lambda: A.without_device(self.clean_export(True)), store=True)
+        return self._stage("clean_ga4_device", lambda: A.clean_ga4(
+            ga4_export_rows(inp.ga4_export), inp.publication, True, True, inp.device_prefix), store=True)
 
     def clean_device_aggregate(self) -> DataFrame:
         inp = self.inp
@@ -109,9 +122,14 @@ class Chain:
             store=True)
 
     def arpu(self, by_device: bool = False) -> DataFrame:
-        """O32 over the per-order subscription values."""
+        """O32 from the sums and counts of the per-order subscription values,
+        which are taken once, by device."""
+        sums = self.subscription_sums()
         return self._stage("subscription_arpu" + ("_device" if by_device else ""),
-                           lambda: VL.subscription_arpu(self.inp.subscription_arpu, by_device), store=True)
+                           lambda: VL.arpu_of_sums(sums, by_device), store=True)
+
+    def subscription_sums(self) -> DataFrame:
+        return self._stage("subscription_sums", lambda: VL.subscription_sums(self.inp.subscription_arpu), store=True)
 
     def enriched(self) -> DataFrame:
         return A.enrich_pageviews(self.clean_device_aggregate(), self.clean_export(True, True))
@@ -188,8 +206,18 @@ class Chain:
         return A.loyalty_split(self.legacy_states(True), legacy_ratios(self.loyalty_ratio(True)), True,
                                legacy=True)
 
+    def legacy_ratio(self) -> DataFrame:
+        """S6 if given, else K1 in its form."""
+        given = self.inp.loyalty_ratio_legacy
+        return given if given is not None else legacy_ratios(self.loyalty_ratio())
+
+    def true_customers(self) -> DataFrame:
+        """S10 if given, else K3."""
+        given = self.inp.true_customer
+        return given if given is not None else self.customers(shared=True)
+
     def legacy_cells(self, per_segment: bool = True) -> DataFrame:
-        split = A.loyalty_split(self.legacy_states(), legacy_ratios(self.loyalty_ratio()), legacy=True)
+        split = A.loyalty_split(self.legacy_states(), self.legacy_ratio(), legacy=True)
         return A.audience_lifetime(split, per_segment=per_segment)
 
     def advertising_v1(self) -> DataFrame:
@@ -208,12 +236,14 @@ class Chain:
         inp = self.inp
         pv = A.pageviews_by_cell(inp.manual_pageviews)
         return VL.advertising_value(self.legacy_cells(), inp.impressions_per_view, inp.rpm,
-                                    customers=C.customers_by_cell(self.customers(shared=True)), pageviews=pv,
+                                    customers=C.customers_by_cell(self.true_customers()), pageviews=pv,
                                     rule="customers")
 
     def weighted_legacy(self, keep: str) -> DataFrame:
         """Earlier login-state / loyalty models: value before weight, then the
-        roll-up with the customer weight table (true customers = K3)."""
+        roll-up with the customer weight table: the given tables (S6, S10,
+        S13) where there are any, else the chain's own."""
         values = VL.value_by_cell(self.legacy_advertising(), self.subscription())
-        weight = R.customer_weight(self.customers(shared=True), keep)
+        given = self.inp.customer_weight  # S13
+        weight = given if given is not None else R.customer_weight(self.true_customers(), keep)
         return R.weighted_rollup(values, weight, keep)

@@ -62,10 +62,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
+_CHAINS: dict[tuple[str, str], Chain] = {}
+
+
 def chain_for(spark: SparkSession, data_dir: str, staged: bool = True) -> Chain:
-    """A fresh chain over the landed inputs of ``data_dir``; with ``staged``
-    its shared stages are written once to the checkpoint folder."""
-    return Chain(Inputs.from_testdata(spark, data_dir), Stager(spark) if staged else None)
+    """The chain over the landed inputs of ``data_dir``. Staged, it is made
+    once per application and folder, so its stages are written to the
+    checkpoint folder once, however many queries read them."""
+    if not staged:
+        return Chain(Inputs.from_testdata(spark, data_dir), None)
+    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    if key not in _CHAINS:
+        _CHAINS[key] = Chain(Inputs.from_testdata(spark, data_dir), Stager(spark))
+    return _CHAINS[key]
 
 
 def query(name: str):

@@ -4,7 +4,11 @@ of one level do not depend on each other and are written concurrently."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from audival.operators.rollup import total_tclv
 from audival.plans.checks import check_lookups
@@ -21,20 +25,26 @@ TABLES = [
 ]
 
 
-def run_models(inp: Inputs, stager: Stager, check_keys: bool = True, workers: int = 4) -> dict[str, DataFrame]:
-    """Write K1..K12 under ``stager.root``; returns a scan of each table.
-    Upstream tables are read back from storage by the stages after them.
-    ``check_keys`` first verifies that every lookup is unique on its join
-    keys (one small aggregate each); pass False to skip it."""
+def run_models(inp: Inputs, target: Stager, check_keys: bool = True, workers: int = 4) -> dict[str, DataFrame]:
+    """Write K1..K12 as one run under ``target.root`` and publish it; returns a
+    scan of each table. Readers (``open_tables``) see the run before until all
+    twelve tables of this one exist, so a run that fails changes nothing for
+    them. Stages between go to the checkpoint folder and are removed.
+    ``check_keys`` first verifies that every lookup is unique on its join keys
+    (one small aggregate each). A window without data is an error."""
     if check_keys:
         check_lookups(inp)
-    ch = Chain(inp, stager, store_tables=True)
+    spark, run = target.spark, f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    stager, stages = Stager(spark, target.path(f"runs/{run}")), Stager(spark)
+    ch = Chain(inp, stages, store_tables=True, tables=stager)
     out: dict[str, DataFrame] = {}
-    # the stored first aggregates, then one level of tables at a time
-    run_concurrently({"base": ch.base, "base_device": lambda: ch.base(True),
-                      "clean": ch.clean_export, "clean_device": lambda: ch.clean_export(True),
-                      "device_aggregate": ch.clean_device_aggregate, "arpu": ch.arpu,
-                      "arpu_device": lambda: ch.arpu(True)}, workers)
+    # each large input is aggregated once; then one level of tables at a time
+    run_concurrently({"base_device": lambda: ch.base(True), "clean_device": lambda: ch.clean_export(True),
+                      "device_aggregate": ch.clean_device_aggregate, "subscription": ch.subscription_sums}, workers)
+    if ch.base(True).isEmpty():
+        raise ValueError(f"no user metrics of {inp.publication!r} in {inp.window[0]} .. {inp.window[1]}")
+    run_concurrently({"base": ch.base, "clean": ch.clean_export, "arpu": ch.arpu, "arpu_device": lambda: ch.arpu(True)},
+                     workers)
     out.update(run_concurrently({"loyalty_ratio": ch.loyalty_ratio,
                                  "loyalty_ratio_device_scope": lambda: ch.loyalty_ratio(True)}, workers))
     out.update(run_concurrently({"customers": ch.customers,
@@ -55,4 +65,14 @@ def run_models(inp: Inputs, stager: Stager, check_keys: bool = True, workers: in
     out["total_tclv_login_state"] = stager.write(
         total_tclv(out["weighted_login_state"], out["customers"], ["login_state"], calendar=True),
         "total_tclv_login_state")
+    # one new file, committed by a rename: the switch to this run
+    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(target.path("published"))
+    stages.discard()
     return out
+
+
+def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables of the latest published run under ``root``."""
+    published = Stager(spark, root)
+    run = spark.read.parquet(published.path("published")).agg(F.max("run")).first()[0]
+    return {t: spark.read.parquet(published.path(f"runs/{run}/{t}")) for t in TABLES}

@@ -1,5 +1,5 @@
-"""Sinks: stored tables (parquet, replaced on each run) and report files
-(CSV with a header even when empty, optionally gzip-compressed)."""
+"""Report files: CSV with a header even when empty, optionally
+gzip-compressed. The models' tables are written by ``plans.run``."""
 
 from __future__ import annotations
 
@@ -7,15 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the table at ``path`` (the models' CREATE OR REPLACE).
-    Never point it at a path the same plan reads."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
 def _as_text(df: DataFrame) -> DataFrame:
     """Report values as text, a missing value as an empty string."""
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])

@@ -29,6 +29,11 @@ class Stager:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)  # schema known: no footer read
 
+    def discard(self) -> None:
+        """Remove the folder and all stages in it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def run_concurrently(jobs: dict[str, Callable[[], DataFrame]], workers: int = 4) -> dict[str, DataFrame]:
     """Run independent stage builds as concurrent Spark jobs (one driver

@@ -2,6 +2,7 @@ import os
 
 from audival.__main__ import main
 from audival.plans.inputs import INPUT_NAMES, Inputs
+from audival.plans.run import open_tables
 from audival.plans.stage import Stager
 
 from conftest import SMALL
@@ -25,4 +26,4 @@ def test_models_command(spark, scratch):
     out = os.path.join(scratch, "tables")
     main(["models", "--inputs", inputs, "--out", out, "--publication", "site_a", "--device-prefix", "app_",
           "--start", "1996-01-01", "--end", "1996-08-01"])
-    assert spark.read.parquet(f"{out}/total_tclv_login_state").count() > 0
+    assert open_tables(spark, out)["total_tclv_login_state"].count() > 0
