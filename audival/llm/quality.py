@@ -149,7 +149,7 @@ def _loss(z: np.ndarray) -> np.ndarray:
 
 def _sums(batches: Iterator[pa.RecordBatch], scorer: Scorer, coef: tuple[float, float, float]) -> Iterator[pa.RecordBatch]:
     """A task's part of gradient and curvature: rows (place, value), the
-    curvature after the gradient. ``coef`` weighs l(f) on P, l(-f) on P and
+    upper half of the curvature after the gradient. ``coef`` weighs l(f) on P, l(-f) on P and
     l(-f) on U, each divided by its number of rows already."""
     size = len(scorer.weights)
     total, any_rows = np.zeros(size + size * size), False
@@ -165,7 +165,7 @@ def _sums(batches: Iterator[pa.RecordBatch], scorer: Scorer, coef: tuple[float,
             hot[np.arange(part.num_rows)[:, None], places] = 1
             hot[:, -1] = 1
             total[:size] += hot.T @ slope
-            total[size:] += (hot.T @ (hot * bend[:, None])).ravel()
+            total[size:] += np.triu(hot.T @ (hot * bend[:, None])).ravel()
             any_rows = True
     if any_rows:
         place = np.flatnonzero(total)
@@ -214,7 +214,8 @@ def _fit(rows: DataFrame, cuts: np.ndarray, n: tuple[int, int], coef: tuple[floa
     best = np.inf
     for _ in range(steps):
         sums = _added(rows, lambda it, s=scorer: _sums(it, s, each), size + size * size)
-        slope, bend = sums[:size] + ridge * scorer.weights, sums[size:].reshape(size, size) + ridge * np.eye(size)
+        upper = sums[size:].reshape(size, size)
+        slope, bend = sums[:size] + ridge * scorer.weights, upper + np.triu(upper, 1).T + ridge * np.eye(size)
         step = np.linalg.solve(bend, slope)
         tries = [Scorer(cuts, scorer.weights - length * step) for length in _LENGTHS]
         parts = _added(rows, lambda it, t=tries: _risks(it, t), 3 * len(tries)).reshape(-1, 3) / [n[0], n[0], n[1]]
