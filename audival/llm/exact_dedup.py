@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from audival.llm.shared import WHITE, stages
+from audival.llm.shared import WHITE, release, stages
 
 #: Salts of one digest in the middle step.
 SALTS = 16
@@ -68,6 +68,7 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_digest = store.write(
         merged.groupBy("digest").agg(F.count(F.lit(1)).alias("contents"), F.sum("n").alias("n"),
                                      F.max("best").alias("best")), "digests")
+    release(spark)  # the shuffled texts
 
     small = rows.select("doc_id", "rank", "digest", "content")
     clashing = by_digest.filter("contents > 1").select("digest")
