@@ -133,11 +133,17 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
 @dataclass(frozen=True)
 class Scorer:
     cuts: np.ndarray  # statistic x (BINS - 1)
-    weights: np.ndarray  # statistic * BINS + bin, and the constant last
+    weights: np.ndarray  # by statistic and bin, and the constant last
+
+    @staticmethod
+    def size(cuts: np.ndarray) -> int:
+        return cuts.shape[0] * (2 * cuts.shape[1] + 1) + 1
 
     def places(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(self.cuts[j], x[:, j], side="right") + j * (self.cuts.shape[1] + 1)
-                         for j in range(x.shape[1])], axis=1)
+        """The weight of each statistic. A value between two cuts has the bin
+        between them, one that equals a cut (a share of 0 or 1, often) its own."""
+        return np.stack([np.searchsorted(c, x[:, j]) + np.searchsorted(c, x[:, j], side="right")
+                         + j * (2 * len(c) + 1) for j, c in enumerate(self.cuts)], axis=1)
 
     def logit(self, places: np.ndarray) -> np.ndarray:
         return self.weights[places].sum(axis=1) + self.weights[-1]
@@ -208,7 +214,7 @@ def _added(rows: DataFrame, task, size: int) -> np.ndarray:
 
 def _fit(rows: DataFrame, cuts: np.ndarray, n: tuple[int, int], coef: tuple[float, float, float], steps: int) -> Scorer:
     """Newton steps on the risk; ``coef`` as in the formula, before dividing."""
-    size = cuts.shape[0] * (cuts.shape[1] + 1) + 1
+    size = Scorer.size(cuts)
     scorer = Scorer(cuts, np.zeros(size))
     each, ridge = (coef[0] / n[0], coef[1] / n[0], coef[2] / n[1]), RIDGE / n[0]
     best = np.inf
@@ -251,7 +257,8 @@ def trained(described: DataFrame, labels: DataFrame, store: Stager, train: Colum
     rows = store.write(rows.select("x", (F.coalesce("quality", F.lit(0)) == 1).alias("positive")), "training")
     n_p, n_u = rows.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     if not n_p or not n_u:
-        return Scorer(np.zeros((WIDTH, bins - 1)), np.zeros(WIDTH * bins + 1)), 0.5
+        cuts = np.zeros((WIDTH, bins - 1))
+        return Scorer(cuts, np.zeros(Scorer.size(cuts))), 0.5
     share = [i / bins for i in range(1, bins)]
     columns = rows.select(*[F.col("x")[j].cast("double").alias(f"x{j}") for j in range(WIDTH)])
     cuts = np.array(columns.approxQuantile([f"x{j}" for j in range(WIDTH)], share, 0.002))
