@@ -32,18 +32,20 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audival.llm.graph import components
-from audival.llm.shared import WHITE, WordBatch, grams, mix, runs_of, separators, stages, texts, word_codes
+from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, stages, texts,
+                                word_codes)
+from audival.plans.stage import Stager
 
 #: Words of a shingle; keys per side; minima per key.
 SHINGLE, SIDE, MINIMA = 5, 10, 2
 #: Similarity as a ratio of whole numbers.
 NUMERATOR, DENOMINATOR = 75, 100
 #: Rounds with hubs before the remaining pairs are listed.
-HUB_ROUNDS = 6
+HUB_ROUNDS = 3
 _U64 = np.uint64
 
 
@@ -130,48 +132,71 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _members(reps: DataFrame, store) -> DataFrame:
-    """(bucket, rep, n): tables entered by two representatives or more, each
-    set of members once."""
+def _members(reps: DataFrame, store: Stager) -> tuple[DataFrame, DataFrame]:
+    """(bucket, rep, n, size): table entries met by two representatives or
+    more, each set of members once; and all entries with their table (i, j)."""
     sides = reps.select("rep", "n", F.explode(F.concat("lefts", "rights")).alias("key"))
     shared = sides.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
     live = sides.join(shared, "key", "left_semi").groupBy("rep", "n").agg(F.collect_set("key").alias("keys"))
     # the kept keys of a representative, at most 2 * SIDE of them
-    live = live.join(reps.select("rep", "lefts", "rights"), "rep").select(
-        "rep", "n", F.explode(F.array_intersect("lefts", "keys")).alias("left"),
-        F.array_intersect("rights", "keys").alias("rights"))
-    entries = store.write(live.select("rep", "n", "left", F.explode("rights").alias("right")).select(
-        F.xxhash64("left", "right").alias("bucket"), "rep", "n"), "entries")
+    live = live.join(reps.select("rep", "lefts", "rights"), "rep")
+    live = live.select("rep", "n", "keys", "rights", F.posexplode("lefts").alias("i", "left")).filter(
+        F.array_contains("keys", F.col("left")))
+    live = live.select("rep", "n", "keys", "i", "left", F.posexplode("rights").alias("j", "right")).filter(
+        F.array_contains("keys", F.col("right")))
+    entries = store.write(live.select(F.xxhash64("left", "right").alias("bucket"), "rep", "n", "i", "j"), "entries")
     who = F.xxhash64("rep")
     kinds = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(who).alias("x"),
                                           F.bit_xor(F.xxhash64(who)).alias("y"), F.min("rep").alias("lo"),
                                           F.max("rep").alias("hi")).filter("lo < hi")
     once = kinds.groupBy("size", "x", "y", "lo", "hi").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    return store.write(entries.join(once, "bucket").distinct(), "members")
+    members = store.write(entries.select("bucket", "rep", "n").join(once, "bucket"), "members")
+    return members, entries
 
 
-def links(docs: DataFrame, reps: DataFrame, store, numerator: int, denominator: int) -> DataFrame:
-    """Component of each representative that has a link: (node, component)."""
+def _all_pairs(state: DataFrame, entries: DataFrame, reps: DataFrame, store: Stager, fits: Column) -> DataFrame:
+    """Every pair of representatives that meets in a table and is still in two
+    components, each once: in the first table (i, j) where it meets, which is
+    the one before whose row and column the two share no key."""
+    open_ = store.write(state.select("rep", "label").distinct(), "open-reps")
+    rows = entries.join(open_, "rep")
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
+    rows = rows.join(mixed, "bucket", "left_semi").join(reps.select("rep", "lefts", "rights"), "rep").select(
+        "bucket", "rep", "n", "label", F.slice("lefts", 1, F.col("i")).alias("above"),
+        F.slice("rights", 1, F.col("j")).alias("before"))
+    rows = store.write(rows, "open-entries")
+    one, two = (rows.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "label", "above", "before")])
+                for k in "ab")
+    met = one.join(two, "bucket").filter(
+        (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
+        & ~F.arrays_overlap("above_a", "above_b") & ~F.arrays_overlap("before_a", "before_b"))
+    return met.select(*[F.col(f"{c}_{k}").alias(n) for k in "ab" for c, n in (
+        ("rep", k), ("n", f"n{k}"), ("label", f"l{k}"))]).filter(fits)
+
+
+def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int) -> DataFrame:
+    """(node, component) of the representatives that meet in a table."""
     spark = docs.sparkSession
-    members = _members(reps, store)
+    members, entries = _members(reps, store)
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     members = store.write(members.join(weight, "rep"), "weighted")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = store.write(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles binary")
                        .dropDuplicates(["id"]), "sets")
+    release(spark)
     fits = (F.least("na", "nb") * denominator) >= (F.greatest("na", "nb") * numerator)  # a bound of the similarity
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = pairs.filter(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """The pairs (a, b, la, lb) that are similar, as edges of components."""
         wide = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
                 .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"))
         with small_batches(spark, 256):
-            return store.write(wide.select("a", "b", "x", "y").mapInArrow(
-                lambda it: _confirm(it, numerator, denominator), "a long, b long"), name)
+            return store.write(wide.select(F.col("la").alias("a"), F.col("lb").alias("b"), "x", "y").mapInArrow(
+                lambda it: _confirm(it, numerator, denominator), "a long, b long").distinct(), name)
 
-    edges, found = None, None
-    state = members.withColumn("label", F.col("rep"))
-    for turn in range(HUB_ROUNDS + 1):
+    labels = wanted.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
+    state, last, turn = members.withColumn("label", F.col("rep")), False, 0
+    while not last:
         # pairs of a bucket that are still in different components
         within = state.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
         open_ = within.groupBy("bucket").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"),
@@ -183,10 +208,9 @@ def links(docs: DataFrame, reps: DataFrame, store, numerator: int, denominator:
         if not load["pairs"]:
             break
         state = store.write(state.join(open_, "bucket").drop("pairs", "all"), f"state-{turn}")
-        if turn == HUB_ROUNDS or load["pairs"] <= 2 * load["rows"]:
-            one = state.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-            two = state.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-            pairs, last = one.join(two, "bucket").filter("a < b and la != lb"), True
+        last = turn == HUB_ROUNDS or load["pairs"] <= 4 * load["rows"]
+        if last:
+            pairs = _all_pairs(state, entries, reps, store, fits)
         else:
             # one hub for the bucket's members outside the component that has most of them
             outside = state if turn == 0 else state.filter("label != main")
@@ -195,20 +219,18 @@ def links(docs: DataFrame, reps: DataFrame, store, numerator: int, denominator:
             hub = hub.select("bucket", (-F.col("hub.back")).alias("b"), F.col("hub.n").alias("nb"),
                              F.col("hub.label").alias("lb"))
             pairs = state.join(hub, "bucket").select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb",
-                                                     F.col("label").alias("la"), "lb").filter("la != lb")
-            last = False
-        new = confirmed(pairs, f"links-{turn}")
-        edges = new if edges is None else edges.unionByName(new)
-        found = components(edges, store, f"components-{turn}")
-        if last:
-            break
-        found = store.write(found, f"found-{turn}")
-        state = state.drop("label", "main").join(
-            found.select(F.col("node").alias("rep"), F.col("component").alias("label")), "rep", "left").withColumn(
-            "label", F.coalesce("label", "rep"))
-    if found is None:
-        return spark.createDataFrame([], "node long, component long")
-    return store.write(found, "components")
+                                                     F.col("label").alias("la"), "lb").filter("la != lb").filter(fits)
+            pairs = pairs.select("a", "b", "la", "lb").distinct()
+        edges = confirmed(pairs, f"links-{turn}")
+        merged = components(edges, store, f"components-{turn}")
+        merged = store.write(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), f"merged-{turn}")
+        labels = store.write(labels.join(merged, "component", "left").select(
+            "node", F.coalesce("to", "component").alias("component")), f"labels-{turn}")
+        state = state.drop("main").join(merged.withColumnRenamed("component", "label"), "label", "left").withColumn(
+            "label", F.coalesce("to", "label")).drop("to")
+        release(spark)
+        turn += 1
+    return labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = SIDE,
@@ -226,6 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "lefts", "rights").dropDuplicates(["rep"])
     reps = store.write(reps, "reps")
     found = links(docs, reps, store, numerator, denominator)
+    release(docs.sparkSession)
     labels = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     rows = sketches.select("doc_id", "n_shingles", "f1", "f2")
