@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 

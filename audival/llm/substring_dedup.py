@@ -171,8 +171,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: doc_id, n_words, n_removed and the kept words joined by one
     space (``digest``: their SHA-256)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.select("id", F.coalesce("id", F.lit(_LAST)).alias("doc_id"), F.hash("t").alias("mark"),
-                       F.col("t").cast("binary").alias("text"))
+    rows = rows.select("id", F.coalesce("id", F.lit(_LAST)).alias("doc_id"), F.col("t").cast("binary").alias("text"), "t")
+    # rows of one doc_id are told apart by their texts; where ids are unique that costs nothing
+    unique = rows.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    rows = rows.withColumn("mark", F.lit(0) if unique else F.hash("t")).drop("t")
     places = repeated_places(rows.drop("id"))
     return rows.join(places, ["doc_id", "mark"], "left").select("id", "text", "places").mapInArrow(
         lambda it: _texts(it, digest), "doc_id long, n_words long, n_removed long, kept string")
