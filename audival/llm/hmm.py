@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audival.llm.shared import (WHITE, WordBatch, byte_map, mix, release, runs_of, separators, stages, texts,
-                                word_codes)
+from audival.llm.shared import (WHITE, WordBatch, byte_map, mix, release, runs_of, separators, small_batches, stages,
+                                texts, word_codes)
 
 #: States, words with a class of their own, shared classes, Baum-Welch rounds,
 #: tokens of a training piece.
@@ -106,16 +106,17 @@ def _unblob(column: pa.Array, row: int, dtype: str, n: int) -> np.ndarray:
 
 
 def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, run, n, shape): the distinct words of each run."""
+    """(token, run, place, n, shape): the distinct words of each run."""
     for got in batches:
         for row in range(got.num_rows):
             n = got.column("n_kinds")[row].as_py()
             kinds, counts, shapes = (_unblob(got.column(c), row, t, n) for c, t in
                                      (("kinds", "<i8"), ("counts", "<i4"), ("shapes", "<i4")))
-            run = np.full(n, got.column("run")[row].as_py())
+            run, place = np.full(n, got.column("run")[row].as_py()), np.arange(n, dtype=np.int32)
             for at in range(0, n, 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[at:at + 50_000]) for x in (kinds, run, counts, shapes)],
-                                                 names=["token", "run", "n", "shape"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[at:at + 50_000]) for x in (kinds, run, place, counts, shapes)],
+                    names=["token", "run", "place", "n", "shape"])
 
 
 @dataclass(frozen=True)
@@ -142,8 +143,7 @@ def _code(batches: Iterator[pa.RecordBatch], tables: ClassTables) -> Iterator[pa
     for got in batches:
         for row in range(got.num_rows):
             ids = got.column("doc_ids")[row]
-            count = np.asarray(got.column("words")[row].values.field("n"), dtype=np.int64)
-            cls = np.asarray(got.column("words")[row].values.field("cls"), dtype=np.int64)
+            count, cls = (np.asarray(got.column(c)[row].values, dtype=np.int64) for c in ("ns", "classes"))
             sizes = _unblob(got.column("lengths"), row, "<i4", len(ids)).astype(np.int64)
             number = _unblob(got.column("numbers"), row, "<i4", int(sizes.sum()))
             at = np.cumsum(sizes) - sizes
@@ -201,39 +201,34 @@ def expected_counts(model: Model, cls: np.ndarray, at: np.ndarray, sizes: np.nda
     order = np.argsort(-sizes, kind="stable")
     at, sizes, first = at[order], sizes[order], first[order]
     live = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")
-    kept, scales, steps = [], [], []
+    kept, scales = [], []
     for t, n in enumerate(live):
-        step = model.emit[cls[at[:n] + t]]
-        if t == 0:
-            alpha = np.where(first[:, None], model.start, model.inside) * step
-        else:
-            alpha = (kept[-1][:n] @ model.move) * step
+        alpha = np.where(first[:, None], model.start, model.inside) if t == 0 else kept[-1][:n] @ model.move
+        alpha = alpha * model.emit[cls[at[:n] + t]]
         scale = alpha.sum(axis=1, keepdims=True)
         alpha /= scale
         kept.append(alpha)
         scales.append(scale)
-        steps.append(step)
     move = np.zeros_like(model.move)
     beta = np.ones((0, len(model.start)))
-    seen, who = [], []
+    who = []
     for t in range(len(live) - 1, -1, -1):
         n = int(live[t])
         if t + 1 < len(live):
             m = int(live[t + 1])
-            onward = beta * steps[t + 1] / scales[t + 1]
+            onward = beta * model.emit[who[-1]] / scales[t + 1]
             move += kept[t][:m].T @ onward
             now = np.ones((n, len(model.start)))
             now[:m] = onward @ model.move.T
         else:
             now = np.ones((n, len(model.start)))
         beta = now
-        gamma = kept[t] * beta
-        gamma /= gamma.sum(axis=1, keepdims=True)
-        seen.append(gamma)
+        kept[t] *= beta  # from here on the states' posterior
+        kept[t] /= kept[t].sum(axis=1, keepdims=True)
         who.append(cls[at[:n] + t])
-    flat, which = np.concatenate(seen), np.concatenate(who)
+    opening = kept[0].copy()
+    flat, which = np.concatenate(kept[::-1]), np.concatenate(who)
     emit = np.stack([np.bincount(which, weights=flat[:, k], minlength=len(model.emit)) for k in range(flat.shape[1])], 1)
-    opening = seen[-1]
     return opening[first].sum(axis=0), opening[~first].sum(axis=0), move * model.move, emit
 
 
@@ -310,7 +305,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                   "n_kinds int, kinds binary, counts binary, shapes binary")
     runs = store.write(runs, "runs")
     kinds = runs.select("run", "n_kinds", "kinds", "counts", "shapes")
-    kinds = kinds.mapInArrow(_kinds, "token long, run long, n int, shape int")
+    kinds = kinds.mapInArrow(_kinds, "token long, run long, place int, n int, shape int")
     sums = store.write(kinds.groupBy("token").agg(F.sum("n").alias("n"), F.max("shape").alias("shape")), "sums")
     release(spark)
     top = (sums.filter(F.col("n") > 0).filter(F.col("token") != int(_END)).orderBy(F.desc("n"), "token").limit(OWN)
@@ -329,10 +324,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     weight = mass + once + 0.5
     prior = weight / weight.sum()
 
-    back = kinds.select("token", "run").join(words, "token").groupBy("run").agg(
-        F.array_sort(F.collect_list(F.struct("token", "n", "cls"))).alias("words"))  # a run's distinct words
-    coded = store.write(runs.select("run", "doc_ids", "held", "lengths", "numbers").join(back, "run").mapInArrow(
-        lambda it: _code(it, tables), _CODED), "coded")
+    # a run's distinct words, in their places
+    back = kinds.select("token", "run", "place").join(words, "token").groupBy("run").agg(
+        F.array_sort(F.collect_list(F.struct("place", "n", "cls"))).alias("words"))
+    back = store.write(back.select("run", F.col("words.n").alias("ns"), F.col("words.cls").alias("classes")), "back")
+    release(spark)
+    with small_batches(spark, 4):  # rows are whole runs
+        coded = store.write(runs.select("run", "doc_ids", "held", "lengths", "numbers").join(back, "run").mapInArrow(
+            lambda it: _code(it, tables), _CODED), "coded")
     release(spark)
     model = train(coded, prior, states, rounds, piece)
     return coded.drop("run").mapInArrow(

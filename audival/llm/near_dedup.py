@@ -28,16 +28,15 @@ table gives no rows; other columns are not touched.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.graph import components
-from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, stages, texts,
-                                word_codes)
+from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, small_batches, stages,
+                                texts, word_codes)
 from audival.plans.stage import Stager
 
 #: Words of a shingle; keys per side; minima per key.
@@ -120,18 +119,6 @@ def _confirm(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int
             pa.array(linked, pa.bool_()))
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Smaller Arrow batches while wide rows are written."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _members(reps: DataFrame, store: Stager) -> tuple[DataFrame, DataFrame]:
     """(bucket, rep, n, size): table entries met by two representatives or
     more, each set of members once; and all entries with their table (i, j)."""

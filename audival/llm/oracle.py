@@ -4,6 +4,28 @@ from __future__ import annotations
 
 _WHITE = r"[\x20\x09-\x0D]"
 
+#: Brute force: all pairs that share a shingle, then the closure of the links.
+OP1 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d)),
+size AS (SELECT doc_id, count(s) AS n FROM d LEFT JOIN shingle USING (doc_id) GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+        FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM met JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+         WHERE 100 * k >= 75 * (a.n + b.n - k)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM size
+  UNION SELECT r.doc_id, b.y FROM reach r JOIN both_ways b ON b.x = r.other)
+SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
 OP4 = rf"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -61,6 +83,7 @@ FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 STATEMENTS: dict[str, str] = {
+    "op1_near_dedup": OP1,
     "op4_exact_dedup": OP4,
     "op5_decontaminate": OP5,
     "op6_substring_dedup": OP6,

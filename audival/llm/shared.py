@@ -14,6 +14,7 @@ import tempfile
 import time
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches while wide rows are written."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and the text's UTF-8 bytes (null text: empty), other columns
     pruned, so nothing can clash with an operator's own names."""
@@ -161,7 +174,7 @@ def word_codes(lower: bool, sep: np.ndarray) -> np.ndarray:
     return codes
 
 
-def runs_of(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def runs_of(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a binary column into runs of texts of about ``limit`` bytes (one
     text is never cut): (first row, last row, bytes, offsets)."""
     if isinstance(column, pa.ChunkedArray):
