@@ -303,14 +303,11 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                             "described")
     scorer, _ = trained(described, labels, store, crc_of_id(F.col("doc_id")) % 3 != 1)
     # statistics are a map, so the rows are scored in one more scan without a join
-    packed = docs.select(F.struct("*").alias("row"), text.alias("text"))
-    kind = packed.schema["row"].dataType.simpleString()
-    kept = packed.mapInArrow(lambda it: _kept(it, scorer), f"row {kind}")
-    return kept.select("row.*")
+    return docs.mapInArrow(lambda it: _kept(it, scorer, text_col), docs.schema)
 
 
-def _kept(batches: Iterator[pa.RecordBatch], scorer: Scorer) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch], scorer: Scorer, text_col: str) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        for lo, hi, data, offsets in runs_of(got.column("text")):
+        for lo, hi, data, offsets in runs_of(got.column(text_col).fill_null("").cast(pa.binary())):
             f = scorer.logit(scorer.places(statistics(data, offsets)))
-            yield got.slice(lo, hi - lo).select(["row"]).filter(pa.array(f >= 0))
+            yield got.slice(lo, hi - lo).filter(pa.array(f >= 0))
