@@ -120,44 +120,41 @@ def _confirm(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int
             pa.array(linked, pa.bool_()))
 
 
-def _members(reps: DataFrame, store: Stager) -> tuple[DataFrame, DataFrame]:
-    """(bucket, rep, n, size): table entries met by two representatives or
-    more, each set of members once; and all entries with their table (i, j)."""
+def _members(reps: DataFrame, store: Stager) -> DataFrame:
+    """(bucket, rep, n, size): tables entered by two representatives or more,
+    each set of members once."""
     sides = reps.select("rep", "n", F.explode(F.concat("lefts", "rights")).alias("key"))
     shared = sides.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
     live = sides.join(shared, "key", "left_semi").groupBy("rep", "n").agg(F.collect_set("key").alias("keys"))
     # the kept keys of a representative, at most 2 * SIDE of them
-    live = live.join(reps.select("rep", "lefts", "rights"), "rep")
-    live = live.select("rep", "n", "keys", "rights", F.posexplode("lefts").alias("i", "left")).filter(
-        F.array_contains("keys", F.col("left")))
-    live = live.select("rep", "n", "keys", "i", "left", F.posexplode("rights").alias("j", "right")).filter(
-        F.array_contains("keys", F.col("right")))
-    entries = store.write(live.select(F.xxhash64("left", "right").alias("bucket"), "rep", "n", "i", "j"), "entries")
+    live = live.join(reps.select("rep", "lefts", "rights"), "rep").select(
+        "rep", "n", F.explode(F.array_intersect("lefts", "keys")).alias("left"),
+        F.array_intersect("rights", "keys").alias("rights"))
+    entries = store.write(live.select("rep", "n", "left", F.explode("rights").alias("right")).select(
+        F.xxhash64("left", "right").alias("bucket"), "rep", "n"), "entries")
     who = F.xxhash64("rep")
     kinds = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(who).alias("x"),
                                           F.bit_xor(F.xxhash64(who)).alias("y"), F.min("rep").alias("lo"),
                                           F.max("rep").alias("hi")).filter("lo < hi")
     once = kinds.groupBy("size", "x", "y", "lo", "hi").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    members = store.write(entries.select("bucket", "rep", "n").join(once, "bucket"), "members")
-    return members, entries
+    return store.write(entries.join(once, "bucket"), "members")
 
 
-def _all_pairs(state: DataFrame, entries: DataFrame, reps: DataFrame, store: Stager, fits: Column) -> DataFrame:
+def _all_pairs(state: DataFrame, reps: DataFrame, store: Stager, fits: Column) -> DataFrame:
     """Every pair of representatives that meets in a table and is still in two
-    components, each once: in the first table (i, j) where it meets, which is
-    the one before whose row and column the two share no key."""
+    components, each once. Two meet in a table if they share a left key and a
+    right key, so rows are joined by left key, a pair counts at its first
+    common left key, and the right keys are looked at in the join."""
     open_ = store.write(state.select("rep", "label").distinct(), "open-reps")
-    rows = entries.join(open_, "rep")
-    mixed = rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    rows = rows.join(mixed, "bucket", "left_semi").join(reps.select("rep", "lefts", "rights"), "rep").select(
-        "bucket", "rep", "n", "label", F.slice("lefts", 1, F.col("i")).alias("above"),
-        F.slice("rights", 1, F.col("j")).alias("before"))
-    rows = store.write(rows, "open-entries")
-    one, two = (rows.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "label", "above", "before")])
+    rows = reps.join(open_, "rep").select("rep", "n", "label", "lefts", "rights", F.posexplode("lefts").alias("i", "key"))
+    mixed = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+    rows = store.write(rows.join(mixed, "key", "left_semi").select(
+        "key", "rep", "n", "label", F.slice("lefts", 1, F.col("i")).alias("above"), "rights"), "open-keys")
+    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "label", "above", "rights")])
                 for k in "ab")
-    met = one.join(two, "bucket").filter(
+    met = one.join(two, "key").filter(
         (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
-        & ~F.arrays_overlap("above_a", "above_b") & ~F.arrays_overlap("before_a", "before_b"))
+        & F.arrays_overlap("rights_a", "rights_b") & ~F.arrays_overlap("above_a", "above_b"))
     return met.select(*[F.col(f"{c}_{k}").alias(n) for k in "ab" for c, n in (
         ("rep", k), ("n", f"n{k}"), ("label", f"l{k}"))]).filter(fits)
 
@@ -165,7 +162,7 @@ def _all_pairs(state: DataFrame, entries: DataFrame, reps: DataFrame, store: Sta
 def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int) -> DataFrame:
     """(node, component) of the representatives that meet in a table."""
     spark = docs.sparkSession
-    members, entries = _members(reps, store)
+    members = _members(reps, store)
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     members = store.write(members.join(weight, "rep"), "weighted")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -198,7 +195,7 @@ def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denom
         state = store.write(state.join(open_, "bucket").drop("pairs", "all"), f"state-{turn}")
         last = turn == HUB_ROUNDS or load["pairs"] <= 4 * load["rows"]
         if last:
-            pairs = _all_pairs(state, entries, reps, store, fits)
+            pairs = _all_pairs(state, reps, store, fits)
         else:
             # one hub for the bucket's members outside the component that has most of them
             outside = state if turn == 0 else state.filter("label != main")
