@@ -299,14 +299,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 rounds: int = ROUNDS, piece: int = PIECE) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (unigram), score (log10 probability under the model)."""
-    spark, store = docs.sparkSession, stages(docs.sparkSession)
+    spark, store, early = docs.sparkSession, stages(docs.sparkSession), stages(docs.sparkSession)
     rows = texts(docs, id_col, text_col).withColumn("held", crc_of_id(F.col("doc_id")) % 10 == 0)
     runs = rows.mapInArrow(_runs, "run long, doc_ids array<long>, held array<boolean>, lengths binary, numbers binary, "
                                   "n_kinds int, kinds binary, counts binary, shapes binary")
-    runs = store.write(runs, "runs")
+    runs = early.write(runs, "runs")
     kinds = runs.select("run", "n_kinds", "kinds", "counts", "shapes")
     kinds = kinds.mapInArrow(_kinds, "token long, run long, place int, n int, shape int")
-    sums = store.write(kinds.groupBy("token").agg(F.sum("n").alias("n"), F.max("shape").alias("shape")), "sums")
+    sums = early.write(kinds.groupBy("token").agg(F.sum("n").alias("n"), F.max("shape").alias("shape")), "sums")
     release(spark)
     top = (sums.filter(F.col("n") > 0).filter(F.col("token") != int(_END)).orderBy(F.desc("n"), "token").limit(OWN)
            .select("token").toPandas()["token"].to_numpy(dtype=np.int64))  # OWN rows at most
@@ -314,7 +314,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words = sums.join(F.broadcast(own), "token", "left").select(
         "token", "n", F.when(F.col("token") == int(_END), END_CLASS)
         .otherwise(F.coalesce("own", F.col("shape") + OWN)).alias("cls"))
-    words = store.write(words, "words")
+    words = early.write(words, "words")
     by_class = words.groupBy("cls").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once"),
                                         F.sum((F.col("n") > 0).cast("long")).alias("words")).toPandas()
     mass, once = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -327,11 +327,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a run's distinct words, in their places
     back = kinds.select("token", "run", "place").join(words, "token").groupBy("run").agg(
         F.array_sort(F.collect_list(F.struct("place", "n", "cls"))).alias("words"))
-    back = store.write(back.select("run", F.col("words.n").alias("ns"), F.col("words.cls").alias("classes")), "back")
+    back = early.write(back.select("run", F.col("words.n").alias("ns"), F.col("words.cls").alias("classes")), "back")
     release(spark)
     with small_batches(spark, 4):  # rows are whole runs
         coded = store.write(runs.select("run", "doc_ids", "held", "lengths", "numbers").join(back, "run").mapInArrow(
             lambda it: _code(it, tables), _CODED), "coded")
+    early.discard()  # all that is needed from here on is in the coded runs
     release(spark)
     model = train(coded, prior, states, rounds, piece)
     return coded.drop("run").mapInArrow(
