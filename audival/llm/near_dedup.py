@@ -8,8 +8,8 @@ about the square root. A pair with similarity s meets in a table with
 probability (1 - (1 - s**MINIMA)**SIDE)**2: 0.9998 at s = 0.75, 0.001 at s = 0.2
 (texts that share a passage).
 
-1. Documents with equal shingle sets (size and 128-bit sum) are one class,
-   represented by the smallest doc_id; only representatives are compared.
+1. Rows with equal shingle sets (size and 128-bit sum) are one class; each
+   class has a number, and only one row of each class is compared.
 2. Left and right keys that nobody else has are dropped before tables are
    formed; tables with the same members are kept once.
 3. Candidates are confirmed on full shingle sets. In each table every member
@@ -21,9 +21,13 @@ probability (1 - (1 - s**MINIMA)**SIDE)**2: 0.9998 at s = 0.75, 0.001 at s = 0.2
 
 Defined cases: a text without words has an empty set, is linked with nothing
 and is its own component; a text with fewer than five words has its whole word
-sequence as one shingle. Rows that repeat a doc_id are one document for
-linking. A row without a doc_id keeps a null component and is kept. An empty
-table gives no rows; other columns are not touched.
+sequence as one shingle. Rows that repeat a doc_id are linked by their own
+texts, each of them. A component is named by its smallest doc_id; rows without
+a doc_id are linked like others, and a component of such rows alone has no
+name. ``kept`` marks the rows of the named document; where a component has
+several (or no name), all of them. An empty
+table gives no rows; other columns are not touched. Rows of one doc_id are
+told apart by a 64-bit hash of the text.
 """
 
 from __future__ import annotations
@@ -36,8 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.graph import components
-from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, small_batches, stages,
-                                texts, word_codes)
+from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, small_batches,
+                                stages, texts, word_codes)
 from audival.plans.stage import Stager
 
 #: Words of a shingle; keys per side; minima per key.
@@ -46,6 +50,8 @@ SHINGLE, SIDE, MINIMA = 5, 24, 4
 NUMERATOR, DENOMINATOR = 75, 100
 #: Rounds with hubs before the remaining pairs are listed.
 HUB_ROUNDS = 3
+#: What tells shingle sets apart.
+CLASS = ["f1", "f2", "n_shingles"]
 _U64 = np.uint64
 
 
@@ -72,6 +78,13 @@ def _families(side: int, minima: int) -> tuple[np.ndarray, np.ndarray]:
             r.integers(0, 2**64 - 1, n, dtype=_U64, endpoint=True) | _U64(1))
 
 
+def _sums(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a shingle set."""
+    if not len(s):
+        return 0, 0
+    return np.add.reduce(s).astype(np.int64), np.add.reduce(mix(s ^ _U64(0xA5A5A5A5A5A5A5A5))).astype(np.int64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch], side: int, minima: int) -> Iterator[pa.RecordBatch]:
     flip, times = _families(side, minima)
     salt = np.arange(1, 2 * side + 1, dtype=_U64) * _U64(0xD6E8FEB86659FD93)
@@ -79,8 +92,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], side: int, minima: int) -> Iterat
         n, first, second, keys = [], [], [], []
         for s in shingle_sets(got.column("text")):
             n.append(len(s))
-            first.append(np.add.reduce(s).astype(np.int64) if len(s) else 0)
-            second.append(np.add.reduce(mix(s ^ _U64(0xA5A5A5A5A5A5A5A5))).astype(np.int64) if len(s) else 0)
+            one, two = _sums(s)
+            first.append(one)
+            second.append(two)
             if not len(s):
                 keys.append(None)
                 continue
@@ -92,17 +106,20 @@ def _sketch(batches: Iterator[pa.RecordBatch], side: int, minima: int) -> Iterat
                 key = mix(key + part)
             keys.append(key.astype(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [got.column("doc_id"), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
+            [got.column("doc_id"), got.column("key"), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
              pa.array([None if k is None else k[:side] for k in keys], pa.list_(pa.int64())),
              pa.array([None if k is None else k[side:] for k in keys], pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "f1", "f2", "lefts", "rights"])
+            names=["doc_id", "key", "n_shingles", "f1", "f2", "lefts", "rights"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
+        sets = list(shingle_sets(got.column("text")))
+        sums = [_sums(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [got.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(got.column("text"))], pa.binary())],
-            names=["id", "shingles"])
+            [pa.array([a for a, _ in sums], pa.int64()), pa.array([b for _, b in sums], pa.int64()),
+             pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+            names=[*CLASS, "shingles"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int) -> Iterator[pa.RecordBatch]:
@@ -159,15 +176,17 @@ def _all_pairs(state: DataFrame, reps: DataFrame, store: Stager, fits: Column) -
         ("rep", k), ("n", f"n{k}"), ("label", f"l{k}"))]).filter(fits)
 
 
-def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int
+          ) -> DataFrame:
     """(node, component) of the representatives that meet in a table."""
     spark = docs.sparkSession
     members = _members(reps, store)
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     members = store.write(members.join(weight, "rep"), "weighted")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = store.write(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles binary")
-                       .dropDuplicates(["id"]), "sets")
+    wanted = store.write(classes.join(members.select("rep").distinct(), "rep").select("rep", *CLASS, "best.key"), "wanted")
+    found = docs.join(wanted.select("key"), "key", "left_semi").mapInArrow(
+        _sets, "f1 long, f2 long, n_shingles long, shingles binary")
+    sets = store.write(found.join(wanted, CLASS).dropDuplicates(CLASS).select(F.col("rep").alias("id"), "shingles"), "sets")
     release(spark)
     fits = (F.least("na", "nb") * denominator) >= (F.greatest("na", "nb") * numerator)  # a bound of the similarity
 
@@ -179,7 +198,7 @@ def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denom
             return store.write(wide.select(F.col("la").alias("a"), F.col("lb").alias("b"), "x", "y").mapInArrow(
                 lambda it: _confirm(it, numerator, denominator), "a long, b long").distinct(), name)
 
-    labels = wanted.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
+    labels = wanted.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     state, last, turn = members.withColumn("label", F.col("rep")), False, 0
     while not last:
         # pairs of a bucket that are still in different components
@@ -218,29 +237,41 @@ def links(docs: DataFrame, reps: DataFrame, store: Stager, numerator: int, denom
     return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = SIDE,
-                    minima: int = MINIMA, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    store = stages(docs.sparkSession)
-    docs = texts(docs, id_col, text_col)
+def _key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, side: int, minima: int, numerator: int, denominator: int,
+                store: Stager) -> DataFrame:
+    """Per row: doc_id, key, n_shingles and, if it has words, component (a
+    number) and best: the row that stands for the component."""
+    docs = texts(docs, id_col, text_col).withColumn("key", _key(F.col("doc_id"), F.col("text")))
     sketches = store.write(docs.mapInArrow(
-        lambda it: _sketch(it, side, minima),
-        "doc_id long, n_shingles long, f1 long, f2 long, lefts array<long>, rights array<long>"), "sketches")
-    filled = sketches.filter("n_shingles > 0 and doc_id is not null")
-    classes = store.write(filled.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    one = classes.select("f1", "f2", "n_shingles", F.col("rep").alias("doc_id"))
-    reps = filled.join(one, ["f1", "f2", "n_shingles", "doc_id"]).select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "lefts", "rights").dropDuplicates(["rep"])
+        lambda it: _sketch(it, side, minima), "doc_id long, key long, n_shingles long, f1 long, f2 long, "
+                                              "lefts array<long>, rights array<long>"), "sketches")
+    filled = sketches.filter("n_shingles > 0")
+    # the smallest doc_id, no id last
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
+    classes = store.write(filled.groupBy(*CLASS).agg(best).withColumn("rep", F.monotonically_increasing_id()), "classes")
+    reps = filled.join(classes.select("rep", *CLASS, "best.key"), [*CLASS, "key"]).select(
+        "rep", F.col("n_shingles").alias("n"), "lefts", "rights").dropDuplicates(["rep"])
     reps = store.write(reps, "reps")
-    found = links(docs, reps, store, numerator, denominator)
+    found = links(docs, classes, reps, store, numerator, denominator)
     release(docs.sparkSession)
-    labels = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    rows = sketches.select("doc_id", "n_shingles", "f1", "f2")
-    out = rows.join(labels, ["f1", "f2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    labels = store.write(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        *CLASS, "best", F.coalesce("component", "rep").alias("component")), "labels")
+    names = labels.groupBy("component").agg(F.min("best").alias("best"))
+    labels = labels.drop("best").join(names, "component")
+    return sketches.drop("lefts", "rights").join(labels, CLASS, "left")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = SIDE,
+                    minima: int = MINIMA, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept."""
+    out = _components(docs, id_col, text_col, side, minima, numerator, denominator, stages(docs.sparkSession))
+    out = out.select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id"))
+                     .otherwise(F.col("best.doc_id")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -110,6 +110,16 @@ def test_drop_near_duplicates(docs, corpus):
     assert {r.doc_id for r in out.collect()} == {i for i in label if label[i] == i}
 
 
+def test_near_duplicates_link_every_text_of_a_repeated_id(spark):
+    """Doc 1 has two texts; each has a near copy that must be linked."""
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[:-1])), (3, " ".join(b[:-1])), (None, " ".join(b[1:]))]
+    rows += [(None, "q r s t u v")] * 2
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in got) == Counter(
+        [(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False), (None, 1, False)] + [(None, None, True)] * 2)
+
+
 def expected_cuts(corpus):
     first = {}
     words = [(i, (t or "").encode().split()) for i, t in corpus]
