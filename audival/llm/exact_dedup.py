@@ -17,10 +17,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audival.llm.shared import WHITE, release, stages
+from audival.llm.shared import WHITE, one_each, release, stages
+from audival.plans.stage import Stager
 
 #: Salts of one digest in the middle step.
 SALTS = 16
@@ -49,13 +50,17 @@ def _order(points: Column, doc_id: Column) -> Column:
     return (scaled + back.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
-def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS,
-                digest: Callable[[Column], Column] = _sha256) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
-    text_sha256. ``digest`` only routes; equality is decided on content."""
-    spark, store = docs.sparkSession, stages(docs.sparkSession)
+def _points(text: Column) -> Column:
+    return F.char_length(F.coalesce(text, F.lit("")))
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, store: Stager, salts: int = SALTS,
+            digest: Callable[[Column], Column] = _sha256) -> DataFrame:
+    """One row per row of ``docs``, numbered and stored: doc_id, keep_id,
+    group_size, winner (of the group's best rank), digest, best, number."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.select("doc_id", F.char_length(F.coalesce("text", F.lit(""))).alias("points"),
+    rows = rows.select("doc_id", _points(F.col("text")).alias("points"),
                        normalised(F.col("text")).alias("content"))
     rows = rows.select("*", digest(F.col("content")).alias("digest"), _order(F.col("points"), F.col("doc_id")).alias("rank"))
 
@@ -82,23 +87,31 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the last 20 digits hold 2**63 - doc_id (0: no id)
     back = (F.col("best") % F.lit(_ROOM)).cast("decimal(20,0)")
     keep = F.when(back > 0, (F.lit(_IDS) - back).cast("long"))
-    winner = F.col("rank") == F.col("best")
-    marked = joined.select("doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"), winner.alias("winner"),
-                           F.col("digest"))
-    # rows that repeat id and text tie for the win: exactly one of them stays
-    twin = Window.partitionBy("digest", "doc_id", "winner").orderBy("keep_id")
-    spread = marked.repartition("digest", "doc_id")  # so that a hot digest's rows leave the join's task
-    out = spread.select("*", F.row_number().over(twin).alias("turn"))
-    sha = F.col("digest")
-    return out.select("doc_id", "keep_id", "group_size", (F.col("winner") & (F.col("turn") == 1)).alias("kept"),
-                      sha.alias("text_sha256"))
+    return store.write(joined.select(
+        "doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"), (F.col("rank") == F.col("best")).alias("winner"),
+        "digest", "best", F.monotonically_increasing_id().alias("number")), "marked")
+
+
+def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS,
+                digest: Callable[[Column], Column] = _sha256) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept,
+    text_sha256. ``digest`` only routes; equality is decided on content."""
+    marked = _marked(docs, id_col, text_col, stages(docs.sparkSession), salts, digest)
+    # rows that repeat id and text tie for the win: the first number of them stays
+    first = marked.filter("winner").groupBy("digest", "best").agg(F.min("number").alias("number"))
+    out = marked.join(first.select("number", F.lit(True).alias("first")), "number", "left")
+    return out.select("doc_id", "keep_id", "group_size", F.coalesce("first", F.lit(False)).alias("kept"),
+                      F.col("digest").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are."""
-    keep = copy_groups(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"),
-                       _sha256(normalised(F.col(text_col))).alias("_digest"))
-    twins = rows.join(keep, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_digest") == F.col("_sha")))
-    return twins.select("row.*")
+    """The rows of ``docs`` that stay, one of each group, all columns as they
+    are. Winners that tie in id and length are told apart by all columns."""
+    store = stages(docs.sparkSession)
+    marked = _marked(docs, id_col, text_col, store)
+    keep = store.write(marked.filter("winner").groupBy(F.col("digest").alias("_digest"), F.col("best").alias("_rank"))
+                       .agg(F.count(F.lit(1)).alias("ties")), "keep")
+    release(docs.sparkSession)
+    rows = docs.select(F.struct("*").alias("row"), _sha256(normalised(F.col(text_col))).alias("_digest"),
+                       _order(_points(F.col(text_col)), F.col(id_col).cast("long")).alias("_rank"))
+    return one_each(rows, keep, ["_digest", "_rank"])

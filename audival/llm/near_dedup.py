@@ -25,7 +25,7 @@ sequence as one shingle. Rows that repeat a doc_id are linked by their own
 texts, each of them. A component is named by its smallest doc_id; rows without
 a doc_id are linked like others, and a component of such rows alone has no
 name. ``kept`` marks the rows of the named document; where a component has
-several (or no name), all of them. An empty
+several (or no name), ``drop_near_duplicates`` leaves one row of it. An empty
 table gives no rows; other columns are not touched. Rows of one doc_id are
 told apart by a 64-bit hash of the text.
 """
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.graph import components
-from audival.llm.shared import (WHITE, WordBatch, grams, mix, release, runs_of, separators, small_batches,
+from audival.llm.shared import (WHITE, WordBatch, grams, mix, one_each, release, runs_of, separators, small_batches,
                                 stages, texts, word_codes)
 from audival.plans.stage import Stager
 
@@ -274,9 +274,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay (one document of each component), all
-    columns as they are."""
-    keep = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(options.get("id_col", "doc_id")).cast("long").alias("_id"))
-    return rows.join(keep, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi").select("row.*")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = SIDE,
+                         minima: int = MINIMA, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component, all columns as
+    they are. Of texts without words one stays for each doc_id, and each that
+    has no doc_id."""
+    store = stages(docs.sparkSession)
+    rows = store.write(_components(docs, id_col, text_col, side, minima, numerator, denominator, store), "rows")
+    linked = rows.filter("component is not null and key = best.key and doc_id <=> best.doc_id")
+    bare = rows.filter("component is null")
+    first = bare.filter("doc_id is not null").groupBy("doc_id").agg(F.min("key").alias("key"))
+    id_ = F.coalesce("doc_id", F.lit(0)).cast("long").alias("_id")
+    keys = ["_key", "_id"]
+    keep = linked.select(F.col("key").alias("_key"), id_).unionByName(bare.join(first, ["doc_id", "key"]).select(
+        F.col("key").alias("_key"), id_)).groupBy(*keys).agg(F.count(F.lit(1)).alias("ties"))
+    alone = bare.filter("doc_id is null").select(F.col("key").alias("_key"), id_).distinct()
+    keep = store.write(keep.unionByName(alone.withColumn("ties", F.lit(1).cast("long"))), "keep")  # each row of these stays
+    release(docs.sparkSession)
+    doc_id = F.col(id_col).cast("long")
+    whole = docs.select(F.struct("*").alias("row"), _key(doc_id, F.col(text_col)).alias("_key"),
+                        F.coalesce(doc_id, F.lit(0)).alias("_id"))
+    return one_each(whole, keep, keys)

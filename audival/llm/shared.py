@@ -77,6 +77,21 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
+def one_each(rows: DataFrame, keep: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
+    """One ``row`` of ``rows`` for each row of ``keep``, a stored table of
+    ``keys`` and ``ties``, the number of rows that have them. Rows with equal
+    keys are combined per salt, then over the salts; the least as JSON stays."""
+    once = rows.join(keep.filter("ties = 1").select(*keys), keys).select("row.*")
+    tied = keep.filter("ties > 1").select(*keys, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    if tied.isEmpty():
+        return once
+    met = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))).join(tied, [*keys, "salt"])
+    met = met.withColumn("order", F.sha2(F.to_json("row"), 256))
+    for group in ([*keys, "salt"], keys):
+        met = met.groupBy(*group).agg(F.min_by("row", "order").alias("row"), F.min("order").alias("order"))
+    return once.unionByName(met.select("row.*"))
+
+
 def table_bytes(df: DataFrame, *cols: str) -> tuple[int, int]:
     """(rows, bytes) of the given text or binary columns: the size check that
     stands before anything is broadcast."""

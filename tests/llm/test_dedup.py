@@ -56,6 +56,16 @@ def test_drop_copies(docs, corpus, empty):
     assert drop_copies(empty).collect() == [] and copy_groups(empty).collect() == []
 
 
+def test_drop_copies_leaves_one_row_of_each_group(spark, docs, corpus):
+    out = Counter(squeezed(r.text) for r in drop_copies(docs).collect())
+    assert out == Counter(expected_groups(corpus).keys())
+    rows = [(7, "a b c")] * 40 + [(None, "n m")] * 9 + [(8, "x y"), (8, "x\ty"), (8, "x  y"), (9, "x  y"), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = Counter((r.doc_id, squeezed(r.text)) for r in drop_copies(df).collect())
+    assert got == Counter([(7, "abc"), (None, "nm"), (8, "xy"), (5, "")])
+    assert sum(r.kept for r in copy_groups(df).collect()) == 4
+
+
 def shingles(text):
     w = (text or "").encode().lower().split()
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
@@ -120,6 +130,15 @@ def test_near_duplicates_link_every_text_of_a_repeated_id(spark):
         [(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False), (None, 1, False)] + [(None, None, True)] * 2)
 
 
+def test_drop_near_duplicates_leaves_one_row_of_each_component(spark):
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(4, " ".join(a))] * 30 + [(4, "  ".join(a)), (5, " ".join(a[1:])), (None, " ".join(a[:-1]))]
+    rows += [(None, " ".join(b[:60 - k])) for k in range(3)] * 4 + [(6, ""), (6, " "), (7, ""), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = Counter((r.doc_id, r.text[:1].strip()) for r in drop_near_duplicates(df).collect())
+    assert got == Counter([(4, "a"), (None, "b"), (6, ""), (7, ""), (None, "")])
+
+
 def expected_cuts(corpus):
     first = {}
     words = [(i, (t or "").encode().split()) for i, t in corpus]
