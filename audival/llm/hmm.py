@@ -1,17 +1,21 @@
 """LM scoring with a hidden Markov language model.
 
 Latent states emit word classes and a class emits its words:
-P(word | state) = E[state, class] * P(word | class). The most frequent words
-are classes of their own, the others share a class by their last bytes; in a
-shared class the unseen words have the probability of its words seen once.
-The end of a text is a token. So the model has a fixed size, however many
-words the corpus has, while the counts behind it cover every training text:
+P(word | state) = E[state, class] * P(word | class). Every training word seen
+``OWN_FROM`` times or more is a class of its own; the others back off to a
+class shared by their last bytes, in which the unseen words have the
+probability of its words seen once. The end of a text is a token. So the model
+grows with the words of the corpus, and emissions are a Spark table, one row a
+class, that never passes through the driver:
 
 * ``runs``: texts become sequences of word numbers, a run of texts at a time;
 * word counts are summed over the distinct words of the runs, so a frequent
   word is one row per run, and joined back to the runs;
-* Baum-Welch: every task sums expected counts over its runs, Spark adds them up
-  by (state, class), and the driver normalises the fixed-size tables. Training
+* Baum-Welch: in every round the emission table is joined to the distinct
+  classes of the runs, each run sums its expected counts, and they are added up
+  by class into the next table. Classes are dealt into buckets by hash, and what
+  a run needs or gives of a bucket is one row. The driver has only the start
+  and transition tables and the emission totals of the states. Training
   sequences are pieces of at most ``PIECE`` tokens, all texts whole;
 * a text's score is the exact forward recursion over the whole text, scaled
   in every step.
@@ -35,15 +39,18 @@ from pyspark.sql import functions as F
 from audival.llm.shared import (WHITE, WordBatch, byte_map, mix, release, runs_of, separators, small_batches, stages,
                                 texts, word_codes)
 
-#: States, words with a class of their own, shared classes, Baum-Welch rounds,
-#: tokens of a training piece.
-STATES, OWN, SHARED, ROUNDS, PIECE = 8, 4096, 2048, 8, 256
-END_CLASS = OWN + SHARED
-CLASSES = END_CLASS + 1
+#: States, training count from which a word has a class of its own, shared
+#: classes, Baum-Welch rounds, tokens of a training piece.
+STATES, OWN_FROM, SHARED, ROUNDS, PIECE = 8, 2, 2048, 8, 256
+#: Tokens of a run (one text is never cut) and of what is trained on at a time.
+RUN_TOKENS, PART_TOKENS = 1 << 20, 1 << 17
+#: Buckets of classes for each shuffle partition.
+BUCKETS = 8
 _U64 = np.uint64
 _END = np.int64(-7046029254386353131)
 _CODED = ("run long, doc_ids array<long>, held array<boolean>, lengths binary, classes binary, "
-          "known array<long>, base array<double>, within array<double>")
+          "n_classes int, kinds binary, known array<long>, base array<double>, within array<double>")
+_EMIT = "bucket int, cls long, weight double, counts array<double>"
 
 
 def crc_of_id(doc_id: Column) -> Column:
@@ -57,6 +64,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     codes = word_codes(True, sep)
     run = TaskContext.get().partitionId() << 32
     for got in batches:
+        parts, begin = [], 0
         for lo, hi, data, offsets in runs_of(got.column("text")):
             batch = WordBatch(lower[data], offsets, sep)
             sizes = np.diff(batch.first) + 1
@@ -64,18 +72,24 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inner = np.ones(len(tokens), dtype=bool)
             inner[np.cumsum(sizes) - 1] = False
             tokens[inner] = batch.hashes(codes).view(np.int64)
-            kinds, first, number = np.unique(tokens, return_index=True, return_inverse=True)
-            train = ~got.column("held").slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)
-            count = np.bincount(number, weights=np.repeat(train, sizes).astype(float), minlength=len(kinds))
             shape = np.zeros(len(tokens), dtype=np.int32)
             shape[inner] = _shapes(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([run], pa.int64()), _row(got.column("doc_id").slice(lo, hi - lo)),
-                 _row(got.column("held").slice(lo, hi - lo)), _blob(sizes.astype("<i4")),
-                 _blob(number.astype("<i4")), pa.array([len(kinds)], pa.int32()), _blob(kinds),
-                 _blob(count.astype("<i4")), _blob(shape[first])],
-                names=["run", "doc_ids", "held", "lengths", "numbers", "n_kinds", "kinds", "counts", "shapes"])
-            run += 1
+            parts.append((sizes, tokens, shape))
+            if hi < got.num_rows and sum(len(t) for _, t, _ in parts) < RUN_TOKENS:
+                continue
+            yield _run(run, got.slice(begin, hi - begin), *(np.concatenate(x) for x in zip(*parts)))
+            parts, begin, run = [], hi, run + 1
+
+
+def _run(run: int, rows: pa.RecordBatch, sizes: np.ndarray, tokens: np.ndarray, shape: np.ndarray) -> pa.RecordBatch:
+    kinds, first, number = np.unique(tokens, return_index=True, return_inverse=True)
+    train = ~rows.column("held").to_numpy(zero_copy_only=False).astype(bool)
+    count = np.bincount(number, weights=np.repeat(train, sizes).astype(float), minlength=len(kinds))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([run], pa.int64()), _row(rows.column("doc_id")), _row(rows.column("held")), _blob(sizes.astype("<i4")),
+         _blob(number.astype("<i4")), pa.array([len(kinds)], pa.int32()), _blob(kinds), _blob(count.astype("<i4")),
+         _blob(shape[first])],
+        names=["run", "doc_ids", "held", "lengths", "numbers", "n_kinds", "kinds", "counts", "shapes"])
 
 
 def _shapes(batch: WordBatch) -> np.ndarray:
@@ -121,7 +135,7 @@ def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class ClassTables:
-    """Training totals and, by class, the words' total and those seen once."""
+    """Training totals and, by shared class, the words' total and those seen once."""
     total: int
     words: int
     mass: np.ndarray
@@ -132,14 +146,20 @@ class ClassTables:
 
     def log_within(self, count: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """log10 P(word | class)."""
-        mass, once = self.mass[cls], self.once[cls] + 0.5
-        shared = np.log10(np.where(count > 0, count, once) / (mass + once))
-        return np.where((cls < OWN) | (cls == END_CLASS), 0.0, shared)
+        shared = (cls >= 0) & (cls < SHARED)
+        at = np.where(shared, cls, 0)
+        mass, once = self.mass[at], self.once[at] + 0.5
+        return np.where(shared, np.log10(np.where(count > 0, count, once) / (mass + once)), 0.0)
+
+
+def _bucket(cls: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(cls.astype(np.int64).view(_U64) ^ _U64(0x5851F42D4C957F2D)) % _U64(buckets)).astype(np.int32)
 
 
-def _code(batches: Iterator[pa.RecordBatch], tables: ClassTables) -> Iterator[pa.RecordBatch]:
-    """Runs with their words' counts and classes: class sequences, and per
-    text the sums that do not depend on the states."""
+def _code(batches: Iterator[pa.RecordBatch], tables: ClassTables, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Runs with their words' counts and classes: class sequences as places
+    among the run's classes, in order of bucket and class, and per text the
+    sums that do not depend on the states."""
     for got in batches:
         for row in range(got.num_rows):
             ids = got.column("doc_ids")[row]
@@ -149,11 +169,27 @@ def _code(batches: Iterator[pa.RecordBatch], tables: ClassTables) -> Iterator[pa
             at = np.cumsum(sizes) - sizes
             sums = [np.add.reduceat(x[number], at) for x in
                     ((count > 0).astype(np.int64), tables.log_unigram(count), tables.log_within(count, cls))]
+            kinds, local = np.unique(cls, return_inverse=True)
+            order = np.lexsort((kinds, _bucket(kinds, buckets)))
+            place = np.empty(len(kinds), dtype="<i4")
+            place[order] = np.arange(len(kinds))
             yield pa.RecordBatch.from_arrays(
                 [got.column("run").slice(row, 1), _row(ids.values), _row(got.column("held")[row].values),
-                 got.column("lengths").slice(row, 1), _blob(cls.astype("<u2")[number])]
-                + [_row(x) for x in sums],
-                names=["run", "doc_ids", "held", "lengths", "classes", "known", "base", "within"])
+                 got.column("lengths").slice(row, 1), _blob(place[local][number]), pa.array([len(kinds)], pa.int32()),
+                 _blob(kinds[order].astype("<i8"))] + [_row(x) for x in sums],
+                names=["run", "doc_ids", "held", "lengths", "classes", "n_classes", "kinds", "known", "base", "within"])
+
+
+def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, run, kinds): a run's classes by bucket."""
+    for got in batches:
+        for row in range(got.num_rows):
+            kinds = _unblob(got.column("kinds"), row, "<i8", got.column("n_classes")[row].as_py())
+            which, at = np.unique(_bucket(kinds, buckets), return_index=True)
+            run = np.full(len(which), got.column("run")[row].as_py())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(which), pa.array(run), pa.array([x.tobytes() for x in np.split(kinds, at[1:])], pa.binary())],
+                names=["bucket", "run", "kinds"])
 
 
 # ------------------------------------------------------------------ the model
@@ -166,11 +202,17 @@ class Model:
     emit: np.ndarray  # class x state
 
 
+def first_emissions(prior: np.ndarray, cls: np.ndarray, states: int) -> np.ndarray:
+    """Near the class frequencies, with a disturbance fixed by class and state."""
+    salt = np.arange(1, 2 * states + 1, dtype=_U64) * _U64(0xD6E8FEB86659FD93)
+    even = (mix(cls.astype(np.int64).view(_U64)[:, None] ^ salt) >> _U64(11)).astype(float) / 2**53
+    normal = np.sqrt(-2 * np.log(even[:, :states] + 2**-54)) * np.cos(2 * np.pi * even[:, states:])
+    return prior[:, None] * np.exp(0.7 * normal)
+
+
 def first_model(prior: np.ndarray, states: int) -> Model:
-    """Every state near the class frequencies, with a fixed disturbance; states
-    tend to stay."""
-    r = np.random.default_rng(5)
-    emit = prior[:, None] * np.exp(0.7 * r.standard_normal((len(prior), states)))
+    """Every state near the class frequencies; states tend to stay."""
+    emit = first_emissions(prior, np.arange(len(prior)), states)
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     even = np.full(states, 1 / states)
@@ -241,64 +283,154 @@ def _pieces(sizes: np.ndarray, train: np.ndarray, piece: int) -> tuple[np.ndarra
     return at[text] + k * piece, np.minimum(piece, sizes[text] - k * piece), k == 0
 
 
-def _expect(batches: Iterator[pa.RecordBatch], model: Model, piece: int) -> Iterator[pa.RecordBatch]:
-    """One task's sums as rows (kind, state, place, value)."""
-    total = None
+def _first(batches: Iterator[pa.RecordBatch], total: float, states: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        for row in range(got.num_rows):
-            held = np.asarray(got.column("held")[row].values.to_numpy(zero_copy_only=False), dtype=bool)
-            sizes = _unblob(got.column("lengths"), row, "<i4", len(held)).astype(np.int64)
-            cls = _unblob(got.column("classes"), row, "<u2", int(sizes.sum()))
-            at, size, first = _pieces(sizes, ~held, piece)
-            if len(at):
-                sums = expected_counts(model, cls, at, size, first)
-                total = sums if total is None else tuple(a + b for a, b in zip(total, sums))
-    if total is None:
-        return
-    for kind, x in enumerate(total):
-        x = np.atleast_2d(x)  # place x state
-        place, state = np.nonzero(x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(place), kind, dtype=np.int32)), pa.array(state.astype(np.int32)),
-             pa.array(place.astype(np.int32)), pa.array(x[place, state])], names=["kind", "state", "place", "value"])
-
-
-def train(coded: DataFrame, prior: np.ndarray, states: int, rounds: int, piece: int) -> Model:
-    model = first_model(prior, states)
-    for _ in range(rounds):
-        sums = coded.select("held", "lengths", "classes").mapInArrow(
-            lambda it, model=model: _expect(it, model, piece), "kind int, state int, place int, value double")
-        # of the model's fixed size, whatever the corpus
-        rows = sums.groupBy("kind", "state", "place").agg(F.sum("value").alias("value")).toPandas()
-        start, inside = np.full(states, 1e-3), np.full(states, 1e-3)
-        move, emit = np.full((states, states), 1e-3), 5.0 * prior[:, None] * np.ones(states)
-        for kind, target in enumerate((start, inside, move, emit)):
-            part = rows[rows["kind"] == kind]
-            where = (part["state"],) if target.ndim == 1 else (part["place"], part["state"])
-            np.add.at(target, tuple(w.to_numpy() for w in where), part["value"].to_numpy())
-        model = Model(start / start.sum(), inside / inside.sum(), move / move.sum(axis=1, keepdims=True),
-                      emit / emit.sum(axis=0))
-    return model
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for got in batches:
-        for row in range(got.num_rows):
-            ids = got.column("doc_ids")[row].values
-            sizes = _unblob(got.column("lengths"), row, "<i4", len(ids)).astype(np.int64)
-            cls = _unblob(got.column("classes"), row, "<u2", int(sizes.sum()))
-            states = forward(model, cls, np.cumsum(sizes) - sizes, sizes)
-            within = got.column("within")[row].values.to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [ids, got.column("held")[row].values, pa.array(sizes), got.column("known")[row].values,
-                 got.column("base")[row].values, pa.array(states + within)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+        cls, weight = (got.column(c).to_numpy() for c in ("cls", "weight"))
+        yield _emissions(_bucket(cls, buckets), cls, weight, first_emissions(weight / total, cls, states))
+
+
+def _emissions(bucket: np.ndarray, cls: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    n, states = counts.shape
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket, pa.int32()), pa.array(cls, pa.int64()), pa.array(weight, pa.float64()),
+         pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * states, pa.int32()), pa.array(counts.ravel(), pa.float64()))],
+        names=["bucket", "cls", "weight", "counts"])
+
+
+def _words(table: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of a bucket in order, their weights and counts."""
+    cls, weight = (table.column(c).to_numpy() for c in ("cls", "weight"))
+    counts = table.column("counts").combine_chunks().flatten().to_numpy().reshape(len(cls), states)
+    order = np.argsort(cls)
+    return cls[order], weight[order], counts[order]
+
+
+def _spread(emit: pa.Table, index: pa.Table, norm: np.ndarray) -> pa.Table:
+    """(run, bucket, places, emit): what the runs need of a bucket."""
+    n, states = index.num_rows, len(norm)
+    places, values = [], []
+    if n:
+        cls, _, counts = _words(emit, states)
+        share = (counts / norm).astype("<f4")
+        for kinds in index.column("kinds"):
+            at = np.searchsorted(cls, np.frombuffer(kinds.as_buffer(), dtype="<i8")).astype("<i4")
+            places.append(at.tobytes())
+            values.append(share[at].tobytes())
+    return pa.table([index.column("run"), index.column("bucket"), pa.array(places, pa.binary()),
+                     pa.array(values, pa.binary())], names=["run", "bucket", "places", "emit"])
+
+
+def _gathered(coded: pa.Table, spread: pa.Table, states: int
+              ) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A run's rows of the emission table by bucket, and with them its
+    emissions, lengths, classes and texts held out."""
+    spread = spread.take(np.argsort(spread.column("bucket").to_numpy()))
+    emit = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<f4") for x in spread.column("emit")])
+    held = coded.column("held")[0].values.to_numpy(zero_copy_only=False).astype(bool)
+    sizes = _unblob(coded.column("lengths"), 0, "<i4", len(held)).astype(np.int64)
+    cls = _unblob(coded.column("classes"), 0, "<i4", int(sizes.sum()))
+    return spread, emit.reshape(-1, states).astype(float), sizes, cls, held
+
+
+def _expect(coded: pa.Table, spread: pa.Table, model: Model, piece: int, buckets: int) -> pa.Table:
+    """(bucket, places, sums): a run's expected counts; its starts and moves
+    are a row of a bucket below zero."""
+    states = len(model.start)
+    spread, emit, sizes, cls, held = _gathered(coded, spread, states)
+    model = Model(model.start, model.inside, model.move, emit)
+    at, size, first = _pieces(sizes, ~held, piece)
+    part = np.cumsum(size) // PART_TOKENS
+    total = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)]
+    for k in np.unique(part):
+        which = part == k
+        for x, y in zip(total, expected_counts(model, cls, at[which], size[which], first[which])):
+            x += y
+    sums, low = [], 0
+    for places in spread.column("places"):
+        high = low + len(places.as_buffer()) // 4
+        sums.append(total[3][low:high].astype("<f4").tobytes())
+        low = high
+    run = coded.column("run")[0].as_py()
+    bucket = pa.array([*spread.column("bucket").to_pylist(), -1 - ((run >> 32) + run) % buckets], pa.int32())
+    places = pa.array([*spread.column("places").to_pylist(), None], pa.binary())
+    moves = np.concatenate([x.ravel() for x in total[:3]]).tobytes()
+    return pa.table([bucket, places, pa.array([*sums, moves], pa.binary())], names=["bucket", "places", "sums"])
+
+
+def _update(sums: pa.Table, emit: pa.Table, total: float, states: int) -> pa.Table:
+    """The next emission table of a bucket; below zero one row of starts and moves."""
+    if not emit.num_rows:
+        moves = np.sum([np.frombuffer(x.as_buffer()) for x in sums.column("sums")], axis=0)
+        bucket = sums.column("bucket")[0].as_py()
+        return pa.Table.from_batches([_emissions(np.array([bucket]), np.zeros(1, int), np.zeros(1), moves[None])])
+    cls, weight, counts = _words(emit, states)
+    counts = np.repeat(5.0 * weight[:, None] / total, states, axis=1)
+    for places, x in zip(sums.column("places"), sums.column("sums")):
+        counts[np.frombuffer(places.as_buffer(), dtype="<i4")] += np.frombuffer(x.as_buffer(), dtype="<f4").reshape(-1, states)
+    bucket = np.full(len(cls), emit.column("bucket")[0].as_py())
+    return pa.Table.from_batches([_emissions(bucket, cls, weight, counts)])
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
-                rounds: int = ROUNDS, piece: int = PIECE) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
-    (unigram), score (log10 probability under the model)."""
+@dataclass(frozen=True)
+class Trained:
+    model: Model  # without emissions
+    emissions: DataFrame  # bucket, cls, weight, counts by state
+    norm: np.ndarray  # the counts' sums by state
+
+
+def _totals(emissions: DataFrame, states: int) -> np.ndarray:
+    row = emissions.filter("bucket >= 0").agg(*[F.sum(F.col("counts")[k]) for k in range(states)]).first()
+    return np.array([x or 1.0 for x in row], dtype=float)
+
+
+def spread_emissions(coded: DataFrame, emissions: DataFrame, norm: np.ndarray, buckets: int) -> DataFrame:
+    index = coded.select("run", "n_classes", "kinds").mapInArrow(
+        lambda it: _index(it, buckets), "bucket int, run long, kinds binary")
+    return emissions.filter("bucket >= 0").groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(
+        lambda a, b: _spread(a, b, norm), "run long, bucket int, places binary, emit binary")
+
+
+def train(coded: DataFrame, classes: DataFrame, states: int, rounds: int, piece: int, buckets: int) -> Trained:
+    """``classes``: (cls, weight) of all classes."""
+    spark = coded.sparkSession
+    total = classes.agg(F.sum("weight")).first()[0] or 1.0
+    model, store = first_model(np.ones(1), states), stages(spark)
+    emissions = store.write(classes.mapInArrow(lambda it: _first(it, total, states, buckets), _EMIT), "emissions")
+    norm = _totals(emissions, states)
+    for _ in range(rounds):
+        needs = spread_emissions(coded, emissions, norm, buckets)
+        sums = coded.select("run", "held", "lengths", "classes").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+            lambda a, b: _expect(a, b, model, piece, buckets), "bucket int, places binary, sums binary")
+        after, last = stages(spark), store
+        emissions = after.write(sums.groupBy("bucket").cogroup(emissions.filter("bucket >= 0").groupBy("bucket")).applyInArrow(
+            lambda a, b: _update(a, b, total, states), _EMIT), "emissions")
+        store = after
+        last.discard()
+        release(spark)
+        norm = _totals(emissions, states)
+        # of the model's fixed size, whatever the corpus
+        rows = emissions.filter("bucket < 0").select(F.posexplode("counts").alias("place", "value")).groupBy("place").agg(
+            F.sum("value").alias("value")).collect()
+        flat = np.full(2 * states + states * states, 1e-3)
+        for r in rows:
+            flat[r["place"]] += r["value"]
+        start, inside, move = flat[:states], flat[states:2 * states], flat[2 * states:].reshape(states, states)
+        model = Model(start / start.sum(), inside / inside.sum(), move / move.sum(axis=1, keepdims=True), model.emit)
+    return Trained(model, emissions, norm)
+
+
+def _score(coded: pa.Table, spread: pa.Table, model: Model) -> pa.Table:
+    _, emit, sizes, cls, held = _gathered(coded, spread, len(model.start))
+    model = Model(model.start, model.inside, model.move, emit)
+    states = forward(model, cls, np.cumsum(sizes) - sizes, sizes)
+    known, base, within = (coded.column(c)[0].values for c in ("known", "base", "within"))
+    return pa.table([coded.column("doc_ids")[0].values, pa.array(held), pa.array(sizes), known, base,
+                     pa.array(states + within.to_numpy())],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+
+def coded_runs(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[DataFrame, DataFrame, ClassTables]:
+    """The coded runs, (cls, weight) of all classes, and the totals."""
     spark, store, early = docs.sparkSession, stages(docs.sparkSession), stages(docs.sparkSession)
     rows = texts(docs, id_col, text_col).withColumn("held", crc_of_id(F.col("doc_id")) % 10 == 0)
     runs = rows.mapInArrow(_runs, "run long, doc_ids array<long>, held array<boolean>, lengths binary, numbers binary, "
@@ -308,21 +440,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kinds = kinds.mapInArrow(_kinds, "token long, run long, place int, n int, shape int")
     sums = early.write(kinds.groupBy("token").agg(F.sum("n").alias("n"), F.max("shape").alias("shape")), "sums")
     release(spark)
-    top = (sums.filter(F.col("n") > 0).filter(F.col("token") != int(_END)).orderBy(F.desc("n"), "token").limit(OWN)
-           .select("token").toPandas()["token"].to_numpy(dtype=np.int64))  # OWN rows at most
-    own = spark.createDataFrame([(int(t), i) for i, t in enumerate(top)], "token long, own int")
-    words = sums.join(F.broadcast(own), "token", "left").select(
-        "token", "n", F.when(F.col("token") == int(_END), END_CLASS)
-        .otherwise(F.coalesce("own", F.col("shape") + OWN)).alias("cls"))
-    words = early.write(words, "words")
-    by_class = words.groupBy("cls").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once"),
-                                        F.sum((F.col("n") > 0).cast("long")).alias("words")).toPandas()
-    mass, once = np.zeros(CLASSES), np.zeros(CLASSES)
-    mass[by_class["cls"]], once[by_class["cls"]] = by_class["n"], by_class["once"]
-    tables = ClassTables(int(by_class["n"].sum()), int(by_class["words"].sum()), mass, once)
+    own = (F.col("n") >= OWN_FROM) | (F.col("token") == int(_END))
+    words = early.write(sums.select("token", "n", F.when(own, F.col("token")).otherwise(F.col("shape").cast("long"))
+                                    .alias("cls")), "words")
+    classes = store.write(words.groupBy("cls").agg(
+        F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once"),
+        F.sum((F.col("n") > 0).cast("long")).alias("words")), "classes")
+    all_ = classes.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    shared = classes.filter((F.col("cls") >= 0) & (F.col("cls") < SHARED)).toPandas()  # SHARED rows at most
+    mass, once = np.zeros(SHARED), np.zeros(SHARED)
+    mass[shared["cls"]], once[shared["cls"]] = shared["n"], shared["once"]
+    tables = ClassTables(int(all_["n"] or 0), int(all_["words"] or 0), mass, once)
     # unseen words get weight in a class even where no training word is
-    weight = mass + once + 0.5
-    prior = weight / weight.sum()
+    weights = classes.select("cls", (F.col("n") + F.when((F.col("cls") >= 0) & (F.col("cls") < SHARED), F.col("once"))
+                                     .otherwise(0) + F.lit(0.5)).cast("double").alias("weight"))
 
     # a run's distinct words, in their places
     back = kinds.select("token", "run", "place").join(words, "token").groupBy("run").agg(
@@ -331,12 +462,24 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     release(spark)
     with small_batches(spark, 4):  # rows are whole runs
         coded = store.write(runs.select("run", "doc_ids", "held", "lengths", "numbers").join(back, "run").mapInArrow(
-            lambda it: _code(it, tables), _CODED), "coded")
+            lambda it: _code(it, tables, buckets), _CODED), "coded")
     early.discard()  # all that is needed from here on is in the coded runs
     release(spark)
-    model = train(coded, prior, states, rounds, piece)
-    return coded.drop("run").mapInArrow(
-        lambda it: _score(it, model),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double").select(
+    return coded, weights, tables
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
+                rounds: int = ROUNDS, piece: int = PIECE) -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
+    (unigram), score (log10 probability under the model)."""
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    coded, classes, tables = coded_runs(docs, id_col, text_col, buckets)
+    trained = train(coded, classes, states, rounds, piece, buckets)
+    needs = spread_emissions(coded, trained.emissions, trained.norm, buckets)
+    model = trained.model
+    scored = coded.drop("n_classes", "kinds").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+        lambda a, b: _score(a, b, model),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tables.total).cast("long").alias("train_tokens"),
         "base_score", "score")

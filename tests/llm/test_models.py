@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from audival.llm.hmm import Model, expected_counts, first_model, forward, score_texts
+from audival.llm.hmm import Model, coded_runs, expected_counts, first_model, forward, score_texts, train
 from audival.llm.quality import class_prior, drop_rejected, quality_scores
 from tests.conftest import MEDIUM, SMALL
 
@@ -71,6 +71,24 @@ def test_scores(docs, corpus, empty):
     assert score_texts(empty, rounds=1).collect() == []
 
 
+def test_every_training_word_has_emissions_of_its_own(spark):
+    """More words than any fixed cap, all with one ending: each has a row, with
+    its training count spread over the states."""
+    rows = [(i, " ".join(f"w{7 * i + j}zzz" for j in range(14))) for i in range(1000)] + [(5000, "once held")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    coded, classes, tables = coded_runs(df, "doc_id", "text", 16)
+    got = train(coded, classes, 4, 2, 5, 16).emissions.filter("bucket >= 0 and (cls < 0 or cls >= 2048)").toPandas()
+    count = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 10 for w in t.split())
+    n_train = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i, _ in rows)
+    want = sorted([n_train, *(n for n in count.values() if n > 1)])
+    assert len(want) > 4096 + 1
+    counts = np.array(got["counts"].tolist())
+    # the rest of a sum is what smoothing adds to each state
+    assert np.allclose(sorted(counts.sum(axis=1)), want, atol=1.5)
+    assert sum(np.ptp(c) > 0.05 for c in counts) > 4096
+    assert tables.total == sum(count.values()) + n_train
+
+
 def test_model_beats_unigrams_on_held_out_texts(spark):
     got = score_texts(spark.read.parquet(f"{MEDIUM}/documents.parquet"), rounds=4).filter("held_out").agg(
         F.sum("score"), F.sum("base_score")).first()
