@@ -153,7 +153,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     release(spark)
     placed = docs.mapInArrow(_placed_anchors, "anchor long, doc_id long, mark int, place int")
     found = store.write(placed.join(shared, "anchor").groupBy("doc_id", "mark").agg(
-        F.collect_list("place").alias("places")), "anchored")  # at most the document's length
+        F.collect_set("place").alias("places")), "anchored")  # at most the document's length, however many copies
     release(spark)
     windows = store.write(docs.join(found, ["doc_id", "mark"]).mapInArrow(
         _windows, "window long, check int, doc_id long, mark int, place int"), "windows")
@@ -162,7 +162,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "least")
     release(spark)
     out = store.write(windows.join(least, ["window", "check"]).filter("doc_id > lo").groupBy("doc_id", "mark").agg(
-        F.collect_list("place").alias("places")), "places")
+        F.collect_set("place").alias("places")), "places")
     release(spark)
     return out
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from audival.llm.exact_dedup import copy_groups, drop_copies
 from audival.llm.near_dedup import drop_near_duplicates, near_duplicates
-from audival.llm.substring_dedup import cut_repeats, repeat_digests
+from audival.llm.substring_dedup import cut_repeats, repeat_digests, repeated_places
 
 
 def squeezed(text):
@@ -177,3 +177,13 @@ def test_null_id_is_last(spark):
     run = " ".join(f"s{i}" for i in range(14))
     df = spark.createDataFrame([(None, run), (7, run)], "doc_id long, text string")
     assert {(r.doc_id, r.n_removed) for r in cut_repeats(df).collect()} == {(None, 14), (7, 0)}
+
+
+def test_copies_of_one_id_share_their_places(spark):
+    """The places of a text are collected once, however often it is repeated."""
+    text = " ".join(f"s{i}" for i in range(40))
+    rows = [(7, 1, text.encode())] + [(9, 1, text.encode())] * 30
+    got = repeated_places(spark.createDataFrame(rows, "doc_id long, mark int, text binary")).collect()
+    assert [(r.doc_id, sorted(r.places)) for r in got] == [(9, list(range(28)))]
+    df = spark.createDataFrame([(7, text)] + [(None, text)] * 30, "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_removed) for r in cut_repeats(df).collect()) == Counter([(7, 0)] + [(None, 40)] * 30)
