@@ -516,6 +516,13 @@ def q_report_users(events):
     return RP.run_report(events, USER_DIMENSIONS, WEB_METRICS, *PART_OF_RANGE)
 
 
+@events_query("report_users_all_days")
+def q_report_users_all_days(events):
+    """The same report over the whole events table."""
+    start, end = fixtures.events_window()
+    return RP.run_report(events, USER_DIMENSIONS, WEB_METRICS, start, end)
+
+
 @landed_query("typed_value_parse")
 def q_typed(landed):
     return RP.parse_landed(landed, AD_DEFINITION, AD_KINDS)
