@@ -4,13 +4,14 @@ parquet files and compare row multisets (doubles already rounded)."""
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
 
 import duckdb
 
-sys.path.insert(0, "/root/repo")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 

@@ -5,7 +5,7 @@ from audival.plans.inputs import INPUT_NAMES, Inputs
 from audival.plans.run import open_tables
 from audival.plans.stage import Stager
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_web_report_command(spark, scratch):

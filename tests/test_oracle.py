@@ -3,7 +3,7 @@
 from __spark_entry__ import oracle_sql
 from compare import compare
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_all_queries_match_duckdb(spark):

@@ -8,7 +8,7 @@ from audival.plans.inputs import Inputs
 from audival.plans.models import Chain
 from audival.plans.stage import Stager
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def plan_text(df):

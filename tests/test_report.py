@@ -13,7 +13,7 @@ from audival.plans.queries import AD_DEFINITION, AD_KINDS
 from audival.plans.sinks import write_report_csv
 from audival.sources.adserver import landed_rows
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def events(spark):

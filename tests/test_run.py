@@ -8,7 +8,7 @@ from audival.plans.queries import present, registry
 from audival.plans.run import TABLES, open_tables, run_models
 from audival.plans.stage import Stager
 
-from conftest import SMALL
+from paths import SMALL
 
 KEYS = {
     "loyalty_ratio": "loyalty_ratio", "customers": "customers",

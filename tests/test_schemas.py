@@ -12,7 +12,7 @@ from audival.plans.models import Chain, legacy_ratios
 from audival.plans.queries import present
 from audival.sources.schemas import MONTH, SCHEMAS, conform
 
-from conftest import SMALL
+from paths import SMALL
 
 
 @pytest.mark.parametrize("name", sorted(n for n, s in SCHEMAS.items() if MONTH in s.values()))

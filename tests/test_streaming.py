@@ -5,7 +5,7 @@ from audival.plans.queries import AD_DEFINITION, AD_KINDS
 from audival.sources.adserver import landed_rows
 from audival.streaming.landed import ingest_landed
 
-from conftest import SMALL
+from paths import SMALL
 
 
 def test_landed_files_are_ingested_once(spark, scratch):
