@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from audival.llm.hmm import Model, coded_runs, expected_counts, first_model, forward, score_texts, train
 from audival.llm.quality import class_prior, drop_rejected, quality_scores
-from tests.conftest import MEDIUM, SMALL
+from paths import MEDIUM, SMALL
 
 
 def tiny():
