@@ -66,6 +66,13 @@ def op8_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_digests(Tables(spark, sf_dir).conversations)
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from audival.llm.pieces import piece_round_trip
+    return piece_round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("piece_bpe_32k.model"), check=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
@@ -77,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op3_token_files": op3_token_files,
+    "op13_pieces": op13_pieces,
 }
