@@ -73,6 +73,11 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("piece_bpe_32k.model"), check=True)
 
 
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from audival.llm.periods import planted, run_digests
+    return run_digests(Tables(spark, sf_dir).documents, plant=planted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
@@ -85,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": op7_url_filter,
     "op3_token_files": op3_token_files,
     "op13_pieces": op13_pieces,
+    "op11_periods": op11_periods,
 }
