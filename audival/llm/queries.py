@@ -78,6 +78,15 @@ def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(Tables(spark, sf_dir).documents, plant=planted)
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from audival.llm.negatives import hard_negatives
+    return hard_negatives(
+        Tables(spark, sf_dir).embeddings, anchor=lambda vec_id: vec_id % 100 == 0,
+        relabel=lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontaminate": op5_decontaminate,
@@ -91,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op13_pieces": op13_pieces,
     "op11_periods": op11_periods,
+    "op12_negatives": op12_negatives,
 }
