@@ -9,8 +9,10 @@ character that is none becomes its UTF-8 bytes.
 
 No piece of such a vocabulary goes from another character into a space, and
 some control characters are in no longer piece at all. No pair ever crosses
-such a boundary, so a text is cut there, each segment has an agenda of its own
-and short segments are remembered within a task, in a table of bounded size.
+such a boundary, so a text is cut there and each segment has an agenda of its
+own: a heap, or, for the distinct short segments of an Arrow batch, a row of a
+matrix, all rows being worked on in lockstep. Short segments are remembered
+within a task, in a table of bounded size.
 
 Decoding joins the pieces, takes the space in front away and turns runs of
 byte pieces into characters, each byte that is part of none into U+FFFD.
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from audival.llm.shared import ship
 
 SPACE = "▁"
-#: Segments remembered by a task, in each of two generations, and the length
-#: in characters up to which one is remembered.
+#: Segments remembered by a task, in each of two generations (one more batch's
+#: may be added), and the length in characters up to which one is remembered.
 REMEMBERED, SHORT = 1 << 18, 32
 #: Rows coded at a time.
 ROWS = 256
@@ -53,7 +55,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MODEL_TYPE, BEGIN_ID, END_ID, SUFFIX, UNKNOWN_SURFACE = 3, 41, 42, 24, 44
 CHARACTER_MAP, DUMMY_PREFIX, EXTRA_SPACES, ESCAPE = 2, 3, 4, 5
 MERGE_TYPE = 2
-NEVER = float("inf")
+#: The place in the order of pairs that do not join.
+LAST = 2**31
 
 codecs.register_error("audival-each-byte", lambda e: ("�", e.start + 1))
 
@@ -95,7 +98,7 @@ class PieceCoder:
             raise ValueError(f"{path}: not a merge-type vocabulary with spaces in front")
         if rules.get(CHARACTER_MAP) or rules.get(EXTRA_SPACES, 1) or not rules.get(ESCAPE, 1):
             raise ValueError(f"{path}: the vocabulary maps characters or spaces")
-        self.prefix = SPACE if rules.get(DUMMY_PREFIX, 1) else ""
+        self.prefix = " " if rules.get(DUMMY_PREFIX, 1) else ""
         self.begin, self.end = trainer.get(BEGIN_ID, 1), trainer.get(END_ID, 2)
         unknown = trainer.get(UNKNOWN_SURFACE, " ⁇ ".encode())
         self.order: dict[str, float] = {}  # a piece's place in the agenda: smaller first
@@ -127,8 +130,9 @@ class PieceCoder:
         whole = any(a != SPACE and b == SPACE for p in long for a, b in zip(p, p[1:]))
         joined = set("".join(long))
         alone = "".join(c for c in map(chr, range(32)) if c not in joined)
-        self.cut = None if whole else re.compile(f"{SPACE}*[^{SPACE}{re.escape(alone)}]+|{SPACE}+|[{re.escape(alone)}]"
-                                                 if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        stop = re.escape(alone)
+        self.cut = None if whole else re.compile(f" *[^ {stop}]+| +" + f"|[{stop}]" * bool(alone))
+        self._tables()
         self.forget()
 
     def forget(self) -> None:
@@ -138,26 +142,9 @@ class PieceCoder:
     # ------------------------------------------------------------- encoding
 
     def pieces(self, segment: str) -> list[str]:
-        """The pieces of a segment by the agenda of its adjacent pairs. A short
-        segment's agenda is the plain list of its pairs' places in the order,
-        whose smallest entry is looked up; a longer one's is a heap."""
+        """The pieces of a segment by the agenda of its adjacent pairs, a heap."""
+        segment = segment.replace(" ", SPACE)
         order, n = self.order, len(segment)
-        if n <= SHORT:
-            out, never = list(segment), NEVER
-            agenda = [order.get(a + b, never) for a, b in zip(out, out[1:])]
-            while agenda:
-                best = min(agenda)
-                if best == never:
-                    break
-                i = agenda.index(best)
-                joined = out[i] + out[i + 1]
-                out[i:i + 2] = [joined]
-                del agenda[i]
-                if i:
-                    agenda[i - 1] = order.get(out[i - 1] + joined, never)
-                if i < len(agenda):
-                    agenda[i] = order.get(joined + out[i + 1], never)
-            return out
         size = [1] * n  # of the symbol that starts here, 0 inside one
         before = list(range(-1, n - 1))  # where the symbol in front starts
         agenda = []
@@ -189,35 +176,116 @@ class PieceCoder:
             i += size[i]
         return out
 
-    def segment(self, segment: str) -> bytes:
-        """Ids of a segment as little-endian 32-bit integers."""
-        got = self.old.get(segment)
-        if got is None:
-            ids = []
-            for piece in self.pieces(segment):
-                known = self.id.get(piece)
-                if known is not None:
-                    ids.append(known)
-                else:
-                    spelled = [self.byte[b] for b in piece.encode()]
-                    ids += [self.unknown] if None in spelled else spelled
-            got = struct.pack(f"<{len(ids)}I", *ids)
-        if len(segment) <= SHORT:
-            if len(self.young) >= REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[segment] = got
-        return got
+    def spelled(self, pieces: list[str]) -> bytes:
+        """Ids of pieces as little-endian 32-bit integers."""
+        ids = []
+        for piece in pieces:
+            known = self.id.get(piece)
+            if known is not None:
+                ids.append(known)
+            else:
+                raw = [self.byte[b] for b in piece.encode()]
+                ids += [self.unknown] if None in raw else raw
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tables(self) -> None:
+        """Symbols as numbers (0: a character of no piece) and the pairs that
+        join, for agendas in lockstep."""
+        names = ["", *sorted({*self.id, *"".join(self.id)})]
+        number = {name: i for i, name in enumerate(names)}
+        self.names, self.char = names, np.zeros(0x110000, dtype=np.int32)
+        for name in names:
+            if len(name) == 1:
+                self.char[ord(name)] = number[name]
+        self.char[ord(" ")] = self.char[ord(SPACE)]
+        self.token = np.array([self.id.get(name, -1) for name in names], dtype=np.int64)
+        places = {score: i for i, score in enumerate(sorted(set(self.order.values())))}
+        pairs = sorted((number[p[:k]] * len(names) + number[p[k:]], places[self.order[p]], number[p])
+                       for p in self.id for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        self.pair, self.place, self.joined = (np.array(c) for c in zip(*pairs, (2**62, LAST, 0)))
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the order and join of pairs of symbols."""
+        key = left.astype(np.int64) * len(self.names) + right
+        at = np.searchsorted(self.pair, key)
+        found = self.pair[at] == key
+        return np.where(found, self.place[at], LAST), self.joined[at]
+
+    def lockstep(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(words, their symbols) of words of one length, as they are done, each
+        with an agenda of its own, a row of a matrix: the first smallest entry
+        of each row is joined in every step."""
+        n, who = len(words[0]), np.arange(len(words))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        symbols = self.char[points].reshape(len(words), n)
+        agenda, joins = self._look(symbols[:, :-1], symbols[:, 1:])
+        while len(who):
+            row = np.arange(len(who))
+            best = agenda.argmin(axis=1) if agenda.shape[1] else np.zeros(len(who), dtype=np.int64)
+            live = agenda[row, best] < LAST if agenda.shape[1] else np.zeros(len(who), dtype=bool)
+            if not live.all():
+                yield who[~live], symbols[~live]
+                who, symbols, agenda, joins, best = who[live], symbols[live], agenda[live], joins[live], best[live]
+                row = row[:len(who)]
+                if not len(who):
+                    return
+            symbols[row, best] = joins[row, best]
+            stay = np.ones(symbols.shape, dtype=bool)
+            stay[row, best + 1] = False
+            symbols = symbols[stay].reshape(len(who), -1)
+            stay = np.ones(agenda.shape, dtype=bool)
+            stay[row, best] = False
+            agenda, joins = (m[stay].reshape(len(who), -1) for m in (agenda, joins))
+            for side in (best - 1, best):  # the pairs with the neighbours
+                r = row[(side >= 0) & (side < agenda.shape[1])]
+                k = side[r]
+                agenda[r, k], joins[r, k] = self._look(symbols[r, k], symbols[r, k + 1])
+
+    def learn(self, segments: list[str]) -> None:
+        """Remember the ids of short segments that are not known yet."""
+        groups: dict[int, list[str]] = {}
+        for s in segments:
+            groups.setdefault(len(s), []).append(s)
+        for words in groups.values():
+            for who, symbols in self.lockstep(words):
+                ids, size = self.token[symbols], 4 * symbols.shape[1]
+                raw = ids.astype("<u4").tobytes()
+                for k, (i, whole) in enumerate(zip(who.tolist(), (ids.min(axis=1) >= 0).tolist())):
+                    self.young[words[i]] = raw[k * size:(k + 1) * size] if whole else self.spelled(
+                        self.pieces(words[i]))
+
+    def _segments(self, text: str) -> list[str]:
+        """The parts of a text that no piece crosses, spaces as they are."""
+        text = self.prefix + (text.replace(SPACE, " ") if SPACE in text else text)
+        return self.cut.findall(text) if self.cut else [text]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, the begin and the end id included."""
+        begin, end = struct.pack("<I", self.begin), struct.pack("<I", self.end)
+        cut = [self._segments(t) if t else [] for t in texts]
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        known, new, out = self.young, set(), []
+        for segments in cut:
+            out.append(list(map(known.get, segments)))
+            if None in out[-1]:
+                new.update(s for s, ids in zip(segments, out[-1]) if ids is None)
+        short, long = [], {}
+        for s in new:
+            if s in self.old:
+                known[s] = self.old[s]
+            elif len(s) <= SHORT:
+                short.append(s)
+            else:
+                long[s] = self.spelled(self.pieces(s))
+        self.learn(short)
+        for segments, ids in zip(cut, out):
+            if None in ids:
+                ids[:] = [known.get(s) or long[s] if i is None else i for s, i in zip(segments, ids)]
+        return [begin + b"".join(ids) + end for ids in out]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text, the begin and the end id included."""
-        out = [struct.pack("<I", self.begin)]
-        if text:
-            text = self.prefix + text.replace(" ", SPACE)
-            for s in (self.cut.findall(text) if self.cut else [text]):
-                ids = self.young.get(s)
-                out.append(self.segment(s) if ids is None else ids)
-        out.append(struct.pack("<I", self.end))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     # ------------------------------------------------------------- decoding
 
@@ -265,7 +333,7 @@ def _round_trip(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool, ch
             for lo in range(0, got.num_rows, ROWS):
                 part = got.slice(lo, ROWS)
                 rows = part.column(1).to_pylist()
-                coded = [c.encode(text) for text in rows]
+                coded = c.encode_all(rows)
                 decoded = [c.decode(ids) for ids in coded]
                 cols = [part.column(0), pa.array([len(i) // 4 for i in coded], pa.int64()),
                         pa.array([hashlib.sha256(i).hexdigest() for i in coded]),

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from audival.llm import pieces
 from audival.llm.pieces import REMEMBERED, SHORT, PieceCoder, piece_round_trip
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -67,6 +68,11 @@ def test_the_agenda_takes_the_best_pair_first_and_the_leftmost_of_ties(coder):
     for _ in range(400):
         s = "".join(r.choice(["a", "b", "th", "e", "in", "▁", "ing", "l", "é"]) for _ in range(r.randint(0, 40)))
         assert coder.pieces(s) == plain(s)
+        if s:
+            three = [s, s[::-1], s]
+            got = {int(i): [coder.names[n] for n in row] for who, symbols in coder.lockstep(three)
+                   for i, row in zip(who, symbols)}
+            assert got == {i: plain(t) for i, t in enumerate(three)}
 
 
 def test_remembered_segments_are_bounded(coder):
@@ -74,6 +80,15 @@ def test_remembered_segments_are_bounded(coder):
     for i in range(3000):
         coder.encode(f"word{i} " + "x" * (SHORT + i % 3))
     assert len(coder.young) + len(coder.old) <= 2 * REMEMBERED
+    coder.forget()
+    texts = [f"word{i} more{i % 7}" for i in range(500)]
+    small, pieces.REMEMBERED = pieces.REMEMBERED, 40
+    try:
+        one_by_one = [coder.encode(t) for t in texts]
+        assert len(coder.young) + len(coder.old) <= 2 * (40 + 2)
+    finally:
+        pieces.REMEMBERED = small
+    assert coder.encode_all(texts) == one_by_one
     assert max(map(len, [*coder.young, *coder.old])) <= SHORT
     coder.forget()
 
