@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.shared import (WHITE, WordBatch, byte_map, mix, release, runs_of, separators, small_batches, stages,
-                                texts, word_codes)
+                                texts)
 
 #: States, training count from which a word has a class of its own, shared
 #: classes, Baum-Welch rounds, tokens of a training piece.
@@ -61,7 +61,6 @@ def crc_of_id(doc_id: Column) -> Column:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sep, lower = separators(WHITE), byte_map(True)
-    codes = word_codes(True, sep)
     run = TaskContext.get().partitionId() << 32
     for got in batches:
         parts, begin = [], 0
@@ -71,7 +70,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens = np.full(int(sizes.sum()), _END)
             inner = np.ones(len(tokens), dtype=bool)
             inner[np.cumsum(sizes) - 1] = False
-            tokens[inner] = batch.hashes(codes).view(np.int64)
+            tokens[inner] = batch.hashes(True).view(np.int64)
             shape = np.zeros(len(tokens), dtype=np.int32)
             shape[inner] = _shapes(batch)
             parts.append((sizes, tokens, shape))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from audival.llm.graph import components
 from audival.llm.shared import (WHITE, WordBatch, grams, mix, one_each, release, runs_of, separators, small_batches,
-                                stages, texts, word_codes)
+                                stages, texts)
 from audival.plans.stage import Stager
 
 #: Words of a shingle; keys per side; minima per key.
@@ -58,10 +58,9 @@ _U64 = np.uint64
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     sep = separators(WHITE)
-    codes = word_codes(True, sep)
     for lo, hi, data, offsets in runs_of(column):
         batch = WordBatch(data, offsets, sep)
-        words = batch.hashes(codes)
+        words = batch.hashes(True)
         flat = grams(words, size, size)
         for a, b in zip(batch.first[:-1].tolist(), batch.first[1:].tolist()):
             if b - a >= size:

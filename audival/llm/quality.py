@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.hmm import crc_of_id
-from audival.llm.shared import WHITE, WordBatch, byte_map, grams, runs_of, separators, stages, word_codes
+from audival.llm.shared import WHITE, WordBatch, byte_map, grams, runs_of, separators, stages
 from audival.plans.stage import Stager
 
 #: Bins of a statistic, Newton steps, weight of the ridge (over the positives).
@@ -77,7 +77,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     many = np.diff(words.first)
     text = np.repeat(np.arange(n), many)
     length = words.ends - words.starts
-    h = words.hashes(word_codes(True, white))
+    h = words.hashes(True)
     distinct, most = _runs_in(text, h, n)
     cols = [np.log1p(size), np.log1p(many), entropy]
     cols += [_ratio(kinds[k], size) for k in _KINDS]
@@ -107,7 +107,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     feeds = separators(b"\n")
     lines = WordBatch(data, offsets, feeds)
     count = np.diff(lines.first)
-    d, m = _runs_in(np.repeat(np.arange(n), count), lines.hashes(word_codes(False, feeds)), n)
+    d, m = _runs_in(np.repeat(np.arange(n), count), lines.hashes(False), n)
     cols += [np.log1p(count), _ratio(d, count), _ratio(m, count), _ratio(many, count)]
     return np.stack(cols, axis=1).astype(np.float32)
 

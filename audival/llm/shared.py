@@ -115,23 +115,7 @@ def separators(which: bytes) -> np.ndarray:
     return t
 
 
-def _byte_codes() -> np.ndarray:
-    return np.random.default_rng(20240229).integers(1, 2**64 - 1, 256, dtype=_U64, endpoint=True) | _U64(1)
-
-
-_CODES = _byte_codes()
-_STEP = _U64(0x9E3779B97F4A7C15)
-_STEP_INVERSE = _U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        up, down = np.full(size, _STEP), np.full(size, _STEP_INVERSE)
-        up[0] = down[0] = 1
-        _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
-    return _powers[0], _powers[1]
+_STEP, _LENGTH = _U64(0x9E3779B97F4A7C15), _U64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -169,24 +153,32 @@ class WordBatch:
             self.starts = self.ends = np.zeros(0, dtype=np.int64)
         self.first = np.searchsorted(self.starts, offsets)
 
-    def hashes(self, codes: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each word; ``codes`` gives a byte's code, 0 for
-        separators."""
+    def hashes(self, lower: bool, lane: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word: its 8-byte blocks are mixed one by one,
+        each with its place, and summed up with the length; no block's part in
+        it is a polynomial of its bytes. Lanes are independent of each other."""
         if not len(self.starts):
             return np.zeros(0, dtype=_U64)
-        lo = int(self.starts[0])
-        part = self.data[lo:]
-        up, down = _power_tables(len(part))
-        value = codes[part]
-        value *= up[:len(part)]
-        at = self.starts - lo
-        return mix(np.add.reduceat(value, at) * down[at])
-
-
-def word_codes(lower: bool, sep: np.ndarray) -> np.ndarray:
-    codes = _CODES[byte_map(lower)].copy()
-    codes[sep] = 0
-    return codes
+        lo, hi = int(self.starts[0]), int(self.ends[-1])
+        part = np.zeros(hi - lo + 8, dtype=np.uint8)
+        part[:hi - lo] = byte_map(True)[self.data[lo:hi]] if lower else self.data[lo:hi]
+        eight = np.ndarray(hi - lo + 1, dtype="<u8", buffer=part, strides=(1,))  # the 8 bytes from each place on
+        size = self.ends - self.starts
+        blocks = (size + 7) // 8
+        first = np.cumsum(blocks) - blocks
+        if len(blocks) == int(blocks.sum()):
+            place, value = np.zeros(len(blocks), dtype=_U64), eight[self.starts - lo]
+        else:
+            place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+            value = eight[np.repeat(self.starts - lo, blocks) + 8 * place]
+            place = place.astype(_U64)
+        last = first + blocks - 1
+        beyond = (8 * blocks - size).astype(_U64) * _U64(8)
+        value[last] &= _U64(2**64 - 1) >> beyond
+        value = mix(value ^ ((place + _U64(1 + 1_000_003 * lane)) * _STEP))
+        if len(value) != len(blocks):
+            value = np.add.reduceat(value, first)
+        return mix(value + size.astype(_U64) * _LENGTH)
 
 
 def runs_of(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

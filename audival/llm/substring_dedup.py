@@ -31,21 +31,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audival.llm.shared import WHITE, WordBatch, grams, mix, release, runs_of, separators, stages, word_codes
+from audival.llm.shared import WHITE, WordBatch, grams, release, runs_of, separators, stages
 
 #: Words of a window, the period, its difference cover, words of an anchor.
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
+#: What tells rows apart: the doc_id and 128 bits of the text (zeros where ids
+#: are unique).
+ROW = ["doc_id", "mark", "more"]
 _U64 = np.uint64
 _LAST = 2**63 - 1
 
 
 def _words(column: pa.Array) -> Iterator[tuple[int, WordBatch, np.ndarray]]:
     sep = separators(WHITE)
-    codes = word_codes(False, sep)
     for lo, _, data, offsets in runs_of(column):
         batch = WordBatch(data, offsets, sep)
-        yield lo, batch, batch.hashes(codes)
+        yield lo, batch, batch.hashes(False)
 
 
 def _anchor_places(batch: WordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,18 +86,19 @@ def _cut(columns: list[np.ndarray], names: list[str], rows: int = 50_000) -> Ite
 
 def _placed_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        ids, marks = (got.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark"))
+        owner = [got.column(c).to_numpy(zero_copy_only=False) for c in ROW]
         for lo, batch, words in _words(got.column("text")):
             at, text, place = _anchor_places(batch)
             if len(at):
-                yield from _cut([grams(words, ANCHOR, 11)[at].view(np.int64), ids[lo + text], marks[lo + text],
-                                 place.astype(np.int32)], ["anchor", "doc_id", "mark", "place"])
+                yield from _cut([grams(words, ANCHOR, 11)[at].view(np.int64), *(c[lo + text] for c in owner),
+                                 place.astype(np.int32)], ["anchor", *ROW, "place"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows around the shared anchors of each text: two hashes, 96 bits."""
+    """The windows around the shared anchors of each text: two hashes of
+    independent word hashes, 96 bits."""
     for got in batches:
-        ids, marks = (got.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark"))
+        row = [got.column(c).to_numpy(zero_copy_only=False) for c in ROW]
         places = got.column("places")
         for lo, batch, words in _words(got.column("text")):
             starts, owner = [], []
@@ -110,9 +113,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             s, d = np.concatenate(starts), np.concatenate(owner)
             at = batch.first[d] + s
-            one, two = grams(words, WINDOW, 13)[at], grams(mix(words), WINDOW, 17)[at]
-            yield from _cut([one.view(np.int64), (two >> _U64(32)).astype(np.uint32).view(np.int32), ids[lo + d],
-                             marks[lo + d], s.astype(np.int32)], ["window", "check", "doc_id", "mark", "place"])
+            one, two = grams(words, WINDOW, 13)[at], grams(batch.hashes(False, 1), WINDOW, 17)[at]
+            yield from _cut([one.view(np.int64), (two >> _U64(32)).astype(np.uint32).view(np.int32),
+                             *(c[lo + d] for c in row), s.astype(np.int32)], ["window", "check", *ROW, "place"])
 
 
 def _keep(words: list[bytes], places: np.ndarray) -> tuple[int, list[bytes]]:
@@ -143,25 +146,25 @@ def _texts(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Recor
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, places): starts of the windows to remove. ``docs`` has
-    doc_id (never null), mark (a hash that tells rows of one doc_id apart) and
-    text (bytes)."""
+    """(doc_id, mark, more, places): starts of the windows to remove. ``docs`` has
+    doc_id (never null), mark and more (hashes that tell texts of one doc_id
+    apart) and text (bytes)."""
     spark, store = docs.sparkSession, stages(docs.sparkSession)
     seen = docs.select("doc_id", "text").mapInArrow(_anchors, "anchor long, lo long, hi long")
     shared = store.write(seen.groupBy("anchor").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
                          .filter("lo < hi").select("anchor"), "shared")
     release(spark)
-    placed = docs.mapInArrow(_placed_anchors, "anchor long, doc_id long, mark int, place int")
-    found = store.write(placed.join(shared, "anchor").groupBy("doc_id", "mark").agg(
+    placed = docs.mapInArrow(_placed_anchors, "anchor long, doc_id long, mark long, more long, place int")
+    found = store.write(placed.join(shared, "anchor").groupBy(*ROW).agg(
         F.collect_set("place").alias("places")), "anchored")  # at most the document's length, however many copies
     release(spark)
-    windows = store.write(docs.join(found, ["doc_id", "mark"]).mapInArrow(
-        _windows, "window long, check int, doc_id long, mark int, place int"), "windows")
+    windows = store.write(docs.join(found, ROW).mapInArrow(
+        _windows, "window long, check int, doc_id long, mark long, more long, place int"), "windows")
     release(spark)
     least = store.write(windows.groupBy("window", "check").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "least")
     release(spark)
-    out = store.write(windows.join(least, ["window", "check"]).filter("doc_id > lo").groupBy("doc_id", "mark").agg(
+    out = store.write(windows.join(least, ["window", "check"]).filter("doc_id > lo").groupBy(*ROW).agg(
         F.collect_set("place").alias("places")), "places")
     release(spark)
     return out
@@ -174,9 +177,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.select("id", F.coalesce("id", F.lit(_LAST)).alias("doc_id"), F.col("t").cast("binary").alias("text"), "t")
     # rows of one doc_id are told apart by their texts; where ids are unique that costs nothing
     unique = rows.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    rows = rows.withColumn("mark", F.lit(0) if unique else F.hash("t")).drop("t")
+    none = F.lit(0).cast("long")
+    rows = rows.withColumn("mark", none if unique else F.xxhash64("t")).withColumn(
+        "more", none if unique else F.xxhash64(F.lit(1), "t")).drop("t")
     places = repeated_places(rows.drop("id"))
-    return rows.join(places, ["doc_id", "mark"], "left").select("id", "text", "places").mapInArrow(
+    return rows.join(places, ROW, "left").select("id", "text", "places").mapInArrow(
         lambda it: _texts(it, digest), "doc_id long, n_words long, n_removed long, kept string")
 
 

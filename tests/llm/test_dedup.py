@@ -182,8 +182,41 @@ def test_null_id_is_last(spark):
 def test_copies_of_one_id_share_their_places(spark):
     """The places of a text are collected once, however often it is repeated."""
     text = " ".join(f"s{i}" for i in range(40))
-    rows = [(7, 1, text.encode())] + [(9, 1, text.encode())] * 30
-    got = repeated_places(spark.createDataFrame(rows, "doc_id long, mark int, text binary")).collect()
+    rows = [(7, 1, 2, text.encode())] + [(9, 1, 2, text.encode())] * 30
+    got = repeated_places(spark.createDataFrame(rows, "doc_id long, mark long, more long, text binary")).collect()
     assert [(r.doc_id, sorted(r.places)) for r in got] == [(9, list(range(28)))]
     df = spark.createDataFrame([(7, text)] + [(None, text)] * 30, "doc_id long, text string")
     assert Counter((r.doc_id, r.n_removed) for r in cut_repeats(df).collect()) == Counter([(7, 0)] + [(None, 40)] * 30)
+
+
+def thue_morse(a: str, b: str, n: int = 1024) -> str:
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """A Thue-Morse word and its swap are different words: neither shingles nor
+    windows of one are those of the other."""
+    one, two = thue_morse("a", "b"), thue_morse("b", "a")
+    tail = " ".join(f"w{i}" for i in range(14))
+    rows = [(1, one), (2, two), (3, f"{one} {tail}"), (4, f"{two} {tail}"), (5, f"{two} {tail} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert got[1] == 1 and got[2] == 2 and got[4] == got[5]
+    cut = {r["doc_id"]: r["n_removed"] for r in repeat_digests(docs).collect()}
+    assert cut == {1: 0, 2: 0, 3: 0, 4: 14, 5: 15}  # 4 and 3 share the 14 words after the first
+
+
+def test_texts_of_one_id_with_equal_short_hashes(spark):
+    """Rows of a doc_id whose texts have equal 32-bit hashes are still cut by
+    their own texts."""
+    from pyspark.sql import functions as F
+    shared = " ".join(f"s{i}" for i in range(13))
+    many = spark.range(300_000).select("id", F.when(F.col("id") % 2 == 0, F.concat(F.lit(shared + " x"), "id")).otherwise(
+        F.concat_ws(" ", *[F.concat(F.lit(f"o{k}q"), "id") for k in range(14)])).alias("text"))
+    pair = many.groupBy(F.hash("text").alias("h")).agg(
+        F.count(F.when(F.col("id") % 2 == 0, 1)).alias("even"), F.count(F.when(F.col("id") % 2 == 1, 1)).alias("odd"),
+        F.sort_array(F.collect_list(F.struct((F.col("id") % 2).alias("odd"), "text"))).alias("texts")).filter(
+        "even > 0 and odd > 0").first()
+    cut, whole = pair["texts"][0]["text"], pair["texts"][-1]["text"]
+    docs = spark.createDataFrame([(1, shared), (9, cut), (9, whole)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_removed"]) for r in repeat_digests(docs).collect()) == [(1, 0), (9, 0), (9, 13)]

@@ -89,6 +89,18 @@ def test_every_training_word_has_emissions_of_its_own(spark):
     assert tables.total == sum(count.values()) + n_train
 
 
+def test_counts_tell_words_apart_that_a_polynomial_hash_confuses(spark):
+    """A Thue-Morse word is known, its swap is not."""
+    one, two = ("".join(b if i.bit_count() % 2 else a for i in range(1024)) for a, b in ("ab", "ba"))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 10][:8]
+    held = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 10 == 0)
+    docs = spark.createDataFrame([(i, f"{one} the end {i % 3}") for i in ids] + [(held, f"{two} the end")],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r for r in score_texts(docs).collect()}
+    assert got[held]["n_tokens"] == 4 and got[held]["n_known"] == 3  # the end, and the end of the text
+    assert all(got[i]["n_known"] == 5 for i in ids)
+
+
 def test_model_beats_unigrams_on_held_out_texts(spark):
     got = score_texts(spark.read.parquet(f"{MEDIUM}/documents.parquet"), rounds=4).filter("held_out").agg(
         F.sum("score"), F.sum("base_score")).first()
