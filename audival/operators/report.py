@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audival.functions.filters import dimension_filter
-from audival.functions.typed import TYPES, parse_typed_columns
+from audival.functions.typed import TYPES, parse_typed_columns, split_typed_columns
 
 def _bucket() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
@@ -127,12 +127,13 @@ def metric_kinds(landed: DataFrame, definition: Mapping) -> dict[str, str]:
     return {m: "double_value" if row[m] else "int_value" for m in names}
 
 
-def parse_landed(df: DataFrame, definition: Mapping, kinds: Mapping[str, str] | None = None) -> DataFrame:
-    """O30 over landed rows: a typed table of the definition's columns, the
+def typed_columns(columns: list[str], definition: Mapping, kinds: Mapping[str, str] | None = None
+                  ) -> dict[str, tuple[str, str]]:
+    """``out: (column, type)`` of a definition over columns of typed text: the
     ``date`` (always there, as reports are cut by it) a DATE, metrics BIGINT or
     DOUBLE by their kind (``kinds``; a DOUBLE if not named). Names resolve
-    case-insensitively; rows without a date column are an error."""
-    by_lower = {c.lower(): c for c in df.columns}
+    case-insensitively; a column that is not there is an error."""
+    by_lower = {c.lower(): c for c in columns}
     kinds = {k.lower(): v for k, v in (kinds or {}).items()}
     metrics = list(definition.get("metrics", []))
     names = list(definition.get("dimensions", [])) + metrics
@@ -146,7 +147,30 @@ def parse_landed(df: DataFrame, definition: Mapping, kinds: Mapping[str, str] |
         kind = "date" if name.lower() == "date" else (
             kinds.get(name.lower(), "double_value") if name in metrics else "string_value")
         wanted[name] = (src, TYPES[kind])
-    return parse_typed_columns(df, wanted)
+    return wanted
+
+
+def parse_landed(df: DataFrame, definition: Mapping, kinds: Mapping[str, str] | None = None) -> DataFrame:
+    """O30 over landed rows: a typed table of the definition's columns (see
+    ``typed_columns``). A value that cannot be read is an error."""
+    return parse_typed_columns(df, typed_columns(df.columns, definition, kinds))
+
+
+def split_landed(df: DataFrame, definition: Mapping, kinds: Mapping[str, str] | None = None,
+                 keep: list[str] | None = None, reason: str = "reason") -> DataFrame:
+    """O30 without an end at the first bad value: the typed columns and
+    ``reason``, null for good rows. What is left after a filter on it is what
+    ``parse_landed`` gives for the good rows alone."""
+    return split_typed_columns(df, typed_columns(df.columns, definition, kinds), keep or [], reason)
+
+
+class TooManyRejects(ValueError):
+    """More rows than allowed could not be read."""
+
+
+def check_rejects(rows: int, rejected: int, max_share: float, what: str) -> None:
+    if rejected > max_share * rows:
+        raise TooManyRejects(f"{what}: {rejected} of {rows} rows cannot be read, at most {max_share:.2%} may be")
 
 
 def report_from_table(typed: DataFrame, definition: Mapping, start: str, end: str) -> DataFrame:

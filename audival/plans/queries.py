@@ -21,6 +21,7 @@ from audival.plans.inputs import Inputs
 from audival.plans.stage import Stager
 from audival.sources import adserver, fixtures
 from audival.sources.tables import Tables
+from audival.streaming.landed import LandedTable, ingest_landed
 
 # Doubles are rounded to a binary grid of 2**-16: a decimal-valued input
 # (prices, their means) never sits exactly half-way on it, so the last-bit
@@ -120,6 +121,23 @@ def landed_query(name: str):
     return register
 
 
+_DELIVERED: dict[tuple[str, str], DataFrame] = {}
+
+
+def delivered_for(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The table that the stream makes of two deliveries of ``data_dir``: all
+    landed rows, then a correction of some days. Made once per application."""
+    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    if key not in _DELIVERED:
+        store, landed = Stager(spark), landed_for(spark, data_dir).drop("event_id")
+        for name, rows in (("1-all", landed), ("2-corrected", adserver.corrected(landed))):
+            rows.write.option("header", True).csv(store.path(f"deliveries/{name}"))
+        ingest_landed(spark, store.path("deliveries/*"), AD_DEFINITION, store.path("table"), store.path("checkpoint"),
+                      kinds=AD_KINDS).awaitTermination()
+        _DELIVERED[key] = LandedTable(spark, store.path("table"), AD_DEFINITION, AD_KINDS).table()
+    return _DELIVERED[key]
+
+
 def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
@@ -544,3 +562,26 @@ def q_report_definition_no_date(landed):
     """The range holds although the report has no date dimension."""
     spec = AD_DEFINITION | {"dimensions": [d for d in AD_DEFINITION["dimensions"] if d != "date"]}
     return RP.report_from_definition(landed, spec, *PART_OF_RANGE, AD_KINDS)
+
+
+@landed_query("typed_value_rejects")
+def q_typed_rejects(landed):
+    """Rows of a bad export that cannot be read, with the reason."""
+    out = RP.split_landed(adserver.with_faults(landed), AD_DEFINITION, AD_KINDS, ["event_id"])
+    return out.filter("reason is not null").select("event_id", "reason")
+
+
+@landed_query("typed_value_accepted")
+def q_typed_accepted(landed):
+    """The other rows, parsed as if there were no bad ones."""
+    out = RP.split_landed(adserver.with_faults(landed), AD_DEFINITION, AD_KINDS, ["event_id"])
+    return out.filter("reason is null").drop("reason")
+
+
+def _report_from_deliveries(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The report of the streamed table after a correction of some days."""
+    start, end = fixtures.events_window()
+    return present(RP.report_from_table(delivered_for(spark, data_dir), AD_DEFINITION, start, end))
+
+
+_REGISTRY["report_from_deliveries"] = _report_from_deliveries

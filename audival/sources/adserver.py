@@ -4,7 +4,7 @@ as a report export delivers them. Derived from ``events``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,24 @@ def landed_rows(events: DataFrame) -> DataFrame:
         _int(impression).alias("impressions"),
         _double(revenue).alias("revenue_without_cpd"),
     )
+
+
+def with_faults(landed: DataFrame) -> DataFrame:
+    """The rows as a bad export delivers them: by event_id, some have a value
+    without a kind, a day that is none, or a number that is none."""
+    def broken(column: str, every: int, text: str) -> Column:
+        return F.when(F.col("event_id") % every == 0, F.lit(text)).otherwise(F.col(column)).alias(column)
+    faults = {"impressions": (89, "int_value 1"), "date": (97, "int_value: 20249901"),
+              "revenue_without_cpd": (101, "double_value: n/a")}
+    return landed.select(*[broken(c, *faults[c]) if c in faults else F.col(c) for c in landed.columns])
+
+
+#: Days that the second of two deliveries corrects.
+CORRECTED = ("2024-01-10", "2024-01-16")
+
+
+def corrected(landed: DataFrame) -> DataFrame:
+    """The second delivery: the corrected days, their impressions doubled."""
+    day = F.to_date(F.substring_index("date", " ", -1), "yyyyMMdd")
+    twice = F.concat(F.lit("int_value: "), (F.substring_index("impressions", " ", -1).cast("int") * 2).cast("string"))
+    return landed.filter(day.between(*(F.lit(d).cast("date") for d in CORRECTED))).withColumn("impressions", twice)
