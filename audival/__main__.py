@@ -2,10 +2,12 @@
 
     python -m audival models --inputs DIR --out DIR --publication P \
         --device-prefix app_ --start 2025-01-01 --end 2026-01-01    # inputs stored as DIR/<name>
+        [--changed]                                        # only months whose inputs have changed
+    python -m audival expire --out DIR [--keep N]          # old publications that nobody holds
     python -m audival testdata --data DIR --out DIR        # inputs derived from TPC-H-style tables
     python -m audival web-report --events PATH --dims date,eventName \
-        --metrics totalUsers,eventCount --start 2024-01-01 --end 2024-01-31 --out DIR [--filter TEXT]
-    python -m audival ad-report --landed PATH --definition FILE --start ... --end ... --out DIR \
+        --metrics totalUsers,eventCount --start 2024-01-01 --end 2024-01-31 --out FILE.csv|DIR [--filter TEXT]
+    python -m audival ad-report --landed PATH --definition FILE --start ... --end ... --out FILE.csv.gz|DIR \
         [--format parquet|csv|typed]
 """
 
@@ -15,8 +17,9 @@ import argparse
 
 from audival.plans.inputs import INPUT_NAMES, Inputs
 from audival.plans.report_jobs import adserver_report, web_report
-from audival.plans.run import run_models
+from audival.plans.run import refresh_models, run_models
 from audival.plans.stage import Stager
+from audival.plans.store import Published
 from audival.session import build_session
 
 
@@ -30,6 +33,10 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--device-prefix", required=True)
     m.add_argument("--start", required=True)
     m.add_argument("--end", required=True)
+    m.add_argument("--changed", action="store_true")
+    x = sub.add_parser("expire")
+    x.add_argument("--out", required=True)
+    x.add_argument("--keep", type=int, default=2)
     t = sub.add_parser("testdata")
     t.add_argument("--data", required=True)
     t.add_argument("--out", required=True)
@@ -49,7 +56,9 @@ def main(argv: list[str] | None = None) -> None:
         inp = Inputs.from_paths(spark, {n: f"{args.inputs.rstrip('/')}/{n}" for n in INPUT_NAMES},
                                 publication=args.publication, device_prefix=args.device_prefix,
                                 window=(args.start, args.end))
-        run_models(inp, Stager(spark, args.out))
+        (refresh_models if args.changed else run_models)(inp, Stager(spark, args.out))
+    elif args.cmd == "expire":
+        Published(spark, args.out).expire(args.keep)
     elif args.cmd == "testdata":
         run_models(Inputs.land(spark, args.data, Stager(spark, f"{args.out.rstrip('/')}/inputs")),
                    Stager(spark, args.out))

@@ -40,6 +40,11 @@ class Inputs:
     publication: str = fx.PUBLICATION
     device_prefix: str = fx.DEVICE_PREFIX
     window: tuple[str, str] = field(default=fx.WINDOW)
+    # the tables as stored, where they are files: what a change is known by
+    sources: dict[str, DataFrame] = field(default_factory=dict)
+
+    def source(self, name: str) -> DataFrame:
+        return self.sources.get(name, getattr(self, name))
 
     @classmethod
     def derive(cls, spark: SparkSession, data_dir: str, facts: DataFrame | None = None,
@@ -86,10 +91,12 @@ class Inputs:
         """Inputs stored as parquet, one path per name in ``INPUT_NAMES`` and,
         if there, in ``OPTIONAL_NAMES``; typed by ``sources.schemas``."""
         names = [*INPUT_NAMES, *(n for n in OPTIONAL_NAMES if n in paths)]
-        return cls(**{n: conform(spark.read.parquet(paths[n]), n) for n in names}, **params)
+        stored = {n: spark.read.parquet(paths[n]) for n in names}
+        return cls(**{n: conform(df, n) for n, df in stored.items()}, sources=stored, **params)
 
     def with_tables(self, **tables: DataFrame) -> Inputs:
         values = {n: getattr(self, n) for n in INPUT_NAMES + OPTIONAL_NAMES}
         values.update(tables)
+        sources = {n: df for n, df in self.sources.items() if n not in tables}
         return Inputs(**values, publication=self.publication, device_prefix=self.device_prefix,
-                      window=self.window)
+                      window=self.window, sources=sources)

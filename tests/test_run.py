@@ -85,5 +85,5 @@ def test_failed_run_leaves_the_published_tables(spark, scratch, monkeypatch):
 def test_only_the_tables_are_left(spark, scratch):
     import os
     run_models(Inputs.from_testdata(spark, SMALL), Stager(spark, scratch))
-    (run,) = os.listdir(os.path.join(scratch, "runs"))
-    assert sorted(os.listdir(os.path.join(scratch, "runs", run))) == sorted(TABLES)
+    assert sorted(os.listdir(os.path.join(scratch, "tables"))) == sorted(TABLES)
+    assert {len(os.listdir(os.path.join(scratch, "tables", t))) for t in TABLES} == {1}
