@@ -20,6 +20,16 @@ LOOKUP_KEYS = {
     "subscription_lifetime_device": ["month", "publication", "login_state", "loyalty_segment", "device"],
 }
 
+#: The same for the ready-made tables of the earlier models, where given.
+_CELL = ["month", "publication", "login_state", "loyalty_segment"]
+GIVEN_KEYS = {
+    "loyalty_ratio_legacy": ["month", "publication", "login_state_raw", "loyalty_segment"],
+    "loyalty_ratio_legacy_device": ["month", "publication", "device", "login_state_raw", "loyalty_segment"],
+    # customers are summed by cell before they are joined, so a cell may repeat
+    "customer_weight_login_state": _CELL,
+    "customer_weight_loyalty": _CELL,
+}
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
@@ -35,3 +45,6 @@ def assert_unique(df: DataFrame, keys: list[str], name: str, examples: int = 5)
 def check_lookups(inp: Inputs) -> None:
     for name, keys in LOOKUP_KEYS.items():
         assert_unique(getattr(inp, name), keys, name)
+    for name, keys in GIVEN_KEYS.items():
+        if getattr(inp, name) is not None:
+            assert_unique(getattr(inp, name), keys, name)

@@ -17,7 +17,8 @@ INPUT_NAMES = ("user_metrics_monthly", "ga4_export", "ga4_device_aggregate", "ma
                "consent_rate", "rpm", "impressions_per_view", "subscription_arpu",
                "subscription_lifetime", "subscription_lifetime_device", "manual_pageviews")
 
-OPTIONAL_NAMES = ("loyalty_ratio_legacy", "true_customer", "customer_weight")
+OPTIONAL_NAMES = ("loyalty_ratio_legacy", "loyalty_ratio_legacy_device", "true_customer",
+                  "customer_weight_login_state", "customer_weight_loyalty")
 
 
 @dataclass
@@ -35,8 +36,10 @@ class Inputs:
     manual_pageviews: DataFrame
     # ready-made tables of the earlier models; the chain's own results if absent
     loyalty_ratio_legacy: DataFrame | None = None
+    loyalty_ratio_legacy_device: DataFrame | None = None
     true_customer: DataFrame | None = None
-    customer_weight: DataFrame | None = None
+    customer_weight_login_state: DataFrame | None = None  # a segment's weight in its login state
+    customer_weight_loyalty: DataFrame | None = None  # a login state's weight in its segment
     publication: str = fx.PUBLICATION
     device_prefix: str = fx.DEVICE_PREFIX
     window: tuple[str, str] = field(default=fx.WINDOW)

@@ -203,13 +203,12 @@ class Chain:
 
     def loyalty_split_report(self) -> DataFrame:
         """Device x state x segment users, new users and lifetime."""
-        return A.loyalty_split(self.legacy_states(True), legacy_ratios(self.loyalty_ratio(True)), True,
-                               legacy=True)
+        return A.loyalty_split(self.legacy_states(True), self.legacy_ratio(True), True, legacy=True)
 
-    def legacy_ratio(self) -> DataFrame:
-        """S6 if given, else K1 in its form."""
-        given = self.inp.loyalty_ratio_legacy
-        return given if given is not None else legacy_ratios(self.loyalty_ratio())
+    def legacy_ratio(self, by_device: bool = False) -> DataFrame:
+        """S6, in the form with or without devices, if given, else K1 / K2 in its form."""
+        given = self.inp.loyalty_ratio_legacy_device if by_device else self.inp.loyalty_ratio_legacy
+        return given if given is not None else legacy_ratios(self.loyalty_ratio(by_device))
 
     def true_customers(self) -> DataFrame:
         """S10 if given, else K3."""
@@ -241,9 +240,9 @@ class Chain:
 
     def weighted_legacy(self, keep: str) -> DataFrame:
         """Earlier login-state / loyalty models: value before weight, then the
-        roll-up with the customer weight table: the given tables (S6, S10,
+        roll-up with that roll-up's customer weights: the given tables (S6, S10,
         S13) where there are any, else the chain's own."""
         values = VL.value_by_cell(self.legacy_advertising(), self.subscription())
-        given = self.inp.customer_weight  # S13
+        given = getattr(self.inp, "customer_weight_" + {"login_state": keep, "loyalty_segment": "loyalty"}[keep])  # S13
         weight = given if given is not None else R.customer_weight(self.true_customers(), keep)
         return R.weighted_rollup(values, weight, keep)

@@ -16,7 +16,7 @@ from audival.operators import audience as A
 from audival.operators import customers as C
 from audival.operators import report as RP
 from audival.operators import rollup as R
-from audival.plans.models import Chain
+from audival.plans.models import Chain, legacy_ratios
 from audival.plans.inputs import Inputs
 from audival.plans.stage import Stager
 from audival.sources import adserver, fixtures
@@ -78,6 +78,36 @@ def chain_for(spark: SparkSession, data_dir: str, staged: bool = True) -> Chain:
     return _CHAINS[key]
 
 
+_GIVEN: dict[tuple[str, str], Chain] = {}
+
+
+def given_chain_for(spark: SparkSession, data_dir: str) -> Chain:
+    """The chain over the landed inputs and given tables of the earlier models
+    (S6, S10, S13) that are not its own results."""
+    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    if key not in _GIVEN:
+        own, store = chain_for(spark, data_dir), Stager(spark)
+        tables = fixtures.given_tables(
+            legacy_ratios(own.loyalty_ratio()), legacy_ratios(own.loyalty_ratio(True)),
+            own.customers(shared=True).select("month", "publication", "login_state", "loyalty_segment", "customers"),
+            R.customer_weight(own.customers(shared=True), "login_state"),
+            R.customer_weight(own.customers(shared=True), "loyalty_segment"))
+        stored = {n: store.write(df, n) for n, df in tables.items()}
+        _GIVEN[key] = Chain(own.inp.with_tables(**stored), Stager(spark))
+    return _GIVEN[key]
+
+
+def given_query(name: str):
+    def register(fn: Callable[[Chain], DataFrame]):
+        def run(spark: SparkSession, data_dir: str) -> DataFrame:
+            return present(fn(given_chain_for(spark, data_dir)))
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        _REGISTRY[name] = run
+        return fn
+    return register
+
+
 def query(name: str):
     def register(fn: Callable[[Chain], DataFrame]):
         def run(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -503,6 +533,24 @@ def q_w_legacy_loy(ch):
     return ch.weighted_legacy("loyalty_segment")
 
 
+@given_query("loyalty_split_report_given")
+def q_split_report_given(ch):
+    """O43 with a given ratio table by device."""
+    return ch.loyalty_split_report()
+
+
+@given_query("weighted_login_state_given")
+def q_w_given_ls(ch):
+    """The earlier login-state model with given ratios, customers and weights."""
+    return ch.weighted_legacy("login_state")
+
+
+@given_query("weighted_loyalty_given")
+def q_w_given_loy(ch):
+    """The earlier loyalty model: its weights are another table."""
+    return ch.weighted_legacy("loyalty_segment")
+
+
 @query("total_tclv_login_state")
 def q_k11(ch):
     return ch.total_tclv_login_state()

@@ -199,3 +199,18 @@ def manual_pageviews(cube: DataFrame) -> DataFrame:
 def events_window() -> tuple[str, str]:
     """Date range of the two report fixtures."""
     return ("2024-01-01", "2024-01-31")
+
+
+def given_tables(ratio: DataFrame, ratio_device: DataFrame, customers: DataFrame, weight_login_state: DataFrame,
+                 weight_loyalty: DataFrame) -> dict[str, DataFrame]:
+    """Ready-made tables for the earlier models that differ from the chain's
+    own: each is one of these with its figure scaled, by powers of two."""
+    def scaled(df: DataFrame, column: str, at: str, value: str, there: float, elsewhere: float) -> DataFrame:
+        return df.withColumn(column, F.col(column) * F.when(F.col(at) == value, there).otherwise(elsewhere))
+    return {
+        "loyalty_ratio_legacy": scaled(ratio, "loyalty_ratio", "loyalty_segment", "Brand Lover", 2.0, 0.5),
+        "loyalty_ratio_legacy_device": scaled(ratio_device, "loyalty_ratio", "loyalty_segment", "Loyal Reader", 4.0, 0.25),
+        "true_customer": scaled(customers, "customers", "login_state", "No Consent", 2.0, 4.0),
+        "customer_weight_login_state": scaled(weight_login_state, "weight", "loyalty_segment", "Casual Reader", 2.0, 0.5),
+        "customer_weight_loyalty": scaled(weight_loyalty, "weight", "login_state", "Consent Only", 0.25, 2.0),
+    }

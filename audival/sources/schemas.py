@@ -35,8 +35,12 @@ SCHEMAS: dict[str, dict[str, str]] = {
     # tables that the earlier models read ready-made
     "loyalty_ratio_legacy": {"month": MONTH, "publication": "string", "login_state_raw": "string",
                              "loyalty_segment": "string", "loyalty_ratio": "double"},
+    "loyalty_ratio_legacy_device": {"month": MONTH, "publication": "string", "device": "string",
+                                    "login_state_raw": "string", "loyalty_segment": "string",
+                                    "loyalty_ratio": "double"},
     "true_customer": _CELL | {"customers": "double"},
-    "customer_weight": _CELL | {"weight": "double"},
+    "customer_weight_login_state": _CELL | {"weight": "double"},
+    "customer_weight_loyalty": _CELL | {"weight": "double"},
 }
 #: Types that a column may be stored as besides its own: widened, never parsed.
 _WIDENS = {"bigint": ("int", "smallint", "tinyint"), "double": ("float", "int", "bigint")}

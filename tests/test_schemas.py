@@ -59,11 +59,33 @@ def test_earlier_models_run_on_given_tables(spark):
     tables = {"loyalty_ratio_legacy": legacy_ratios(own.loyalty_ratio()), "true_customer": own.customers()}
     given = Chain(landed.with_tables(**tables))
     weights = R.customer_weight(own.customers(), "login_state")
-    weighted = Chain(landed.with_tables(**tables, customer_weight=weights))
+    weighted = Chain(landed.with_tables(**tables, customer_weight_login_state=weights))
     want = present(own.weighted_legacy("login_state"))
     for chain in (given, weighted):
         got = present(chain.weighted_legacy("login_state"))
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    double = landed.with_tables(**tables, customer_weight=weights.withColumn("weight", F.col("weight") * 2))
+    double = landed.with_tables(**tables, customer_weight_login_state=weights.withColumn("weight", F.col("weight") * 2))
     more = Chain(double).weighted_legacy("login_state").agg(F.sum("weighted_value")).first()[0]
     assert abs(more / own.weighted_legacy("login_state").agg(F.sum("weighted_value")).first()[0] - 2) < 1e-9
+
+
+def test_given_tables_are_checked_and_each_serves_its_own_model(spark):
+    import pytest
+
+    from audival.plans.checks import check_lookups
+    landed = Inputs.from_testdata(spark, SMALL)
+    own = Chain(landed)
+    weights = {k: R.customer_weight(own.customers(), k) for k in ("login_state", "loyalty_segment")}
+    none = weights["login_state"].withColumn("weight", F.lit(0.0))
+    chain = Chain(landed.with_tables(customer_weight_login_state=none))
+    assert chain.weighted_legacy("login_state").agg(F.max(F.abs("weighted_value"))).first()[0] == 0
+    want = own.weighted_legacy("loyalty_segment").agg(F.sum("weighted_value")).first()[0]
+    assert abs(chain.weighted_legacy("loyalty_segment").agg(F.sum("weighted_value")).first()[0] / want - 1) < 1e-9
+    ratios = legacy_ratios(own.loyalty_ratio(True))
+    by_device = Chain(landed.with_tables(loyalty_ratio_legacy_device=ratios.withColumn("loyalty_ratio", F.lit(0.0))))
+    assert by_device.loyalty_split_report().agg(F.max("users")).first()[0] == 0
+    assert own.loyalty_split_report().agg(F.max("users")).first()[0] > 0
+    for name, df in (("customer_weight_loyalty", weights["loyalty_segment"]), ("loyalty_ratio_legacy_device", ratios)):
+        check_lookups(landed.with_tables(**{name: df}))
+        with pytest.raises(ValueError, match=f"{name}: join keys .* repeat"):
+            check_lookups(landed.with_tables(**{name: df.union(df)}))
