@@ -45,10 +45,17 @@ def ship(spark: SparkSession) -> None:
     sc._audival_shipped = True
 
 
-def stages(spark: SparkSession) -> Stager:
+class Stages(Stager):
+    def drop(self, name: str) -> None:
+        """Remove a stage that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stages(spark: SparkSession) -> Stages:
     """A fresh folder for one run's stored stages, in ``spark.checkpoint.dir``."""
     ship(spark)
-    return Stager(spark)
+    return Stages(spark)
 
 
 def release(spark: SparkSession) -> None:

@@ -5,8 +5,8 @@ holds every difference modulo 7, so for some d < 7 both i + d and j + d lie in
 it modulo 7, and the 7 words from there on are inside both runs. So only these
 7-word anchors, at 3 of 7 positions, are hashed and compared over the corpus:
 
-1. anchors found in two documents or more are shared (grouped minima and
-   maxima of doc_id; each run of texts is combined before anything is shuffled);
+1. anchors found in two rows or more are shared (each run of texts is combined
+   before anything is shuffled);
 2. each document learns its shared anchors;
 3. shared anchors are extended to the windows of 13 words around them, and the
    smallest doc_id of every such window is found the same way;
@@ -36,6 +36,8 @@ from audival.llm.shared import WHITE, WordBatch, grams, release, runs_of, separa
 #: Words of a window, the period, its difference cover, words of an anchor.
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
+#: Bytes of text whose anchors make a partition.
+PART_BYTES = 8 << 20
 #: What tells rows apart: the doc_id and 128 bits of the text (zeros where ids
 #: are unique).
 ROW = ["doc_id", "mark", "more"]
@@ -63,20 +65,21 @@ def _anchor_places(batch: WordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct anchors of each run of texts with their smallest and largest
-    doc_id."""
+    """Distinct anchors of each run of texts, and whether one text (1) or more
+    (2) of the run have them. A text is in one run, so an anchor of two texts
+    adds up to two or more."""
     for got in batches:
-        ids = got.column("doc_id").to_numpy(zero_copy_only=False)
         for lo, batch, words in _words(got.column("text")):
             at, text, _ = _anchor_places(batch)
             if not len(at):
                 continue
-            h, doc = grams(words, ANCHOR, 11)[at], ids[lo + text]
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
+            h = grams(words, ANCHOR, 11)[at]
+            order = np.lexsort((text, h))
+            h, text = h[order], text[order]
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             last = np.append(first[1:], len(h)) - 1
-            yield from _cut([h[first].view(np.int64), doc[first], doc[last]], ["anchor", "lo", "hi"])
+            yield from _cut([h[first].view(np.int64), np.where(text[first] < text[last], 2, 1).astype(np.int32)],
+                            ["anchor", "n"])
 
 
 def _cut(columns: list[np.ndarray], names: list[str], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -150,22 +153,28 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     doc_id (never null), mark and more (hashes that tell texts of one doc_id
     apart) and text (bytes)."""
     spark, store = docs.sparkSession, stages(docs.sparkSession)
-    seen = docs.select("doc_id", "text").mapInArrow(_anchors, "anchor long, lo long, hi long")
-    shared = store.write(seen.groupBy("anchor").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-                         .filter("lo < hi").select("anchor"), "shared")
+    # nearly all anchors are distinct: they are dealt as they are and counted
+    # once, in partitions whose tables stay small
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    seen = docs.select("text").mapInArrow(_anchors, "anchor long, n int").repartition(parts, "anchor")
+    shared = store.write(seen.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "shared")
     release(spark)
+    # what is looked up is distinct and small beside what looks: it is hashed, the other side is not sorted
     placed = docs.mapInArrow(_placed_anchors, "anchor long, doc_id long, mark long, more long, place int")
-    found = store.write(placed.join(shared, "anchor").groupBy(*ROW).agg(
+    found = store.write(placed.join(shared.hint("shuffle_hash"), "anchor").groupBy(*ROW).agg(
         F.collect_set("place").alias("places")), "anchored")  # at most the document's length, however many copies
     release(spark)
-    windows = store.write(docs.join(found, ROW).mapInArrow(
+    windows = store.write(docs.join(found.hint("shuffle_hash"), ROW).mapInArrow(
         _windows, "window long, check int, doc_id long, mark long, more long, place int"), "windows")
     release(spark)
     least = store.write(windows.groupBy("window", "check").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "least")
     release(spark)
-    out = store.write(windows.join(least, ["window", "check"]).filter("doc_id > lo").groupBy(*ROW).agg(
-        F.collect_set("place").alias("places")), "places")
+    out = store.write(windows.join(least.hint("shuffle_hash"), ["window", "check"]).filter("doc_id > lo").groupBy(
+        *ROW).agg(F.collect_set("place").alias("places")), "places")
+    for done in ("shared", "anchored", "windows", "least"):
+        store.drop(done)
     release(spark)
     return out
 
@@ -181,7 +190,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("mark", none if unique else F.xxhash64("t")).withColumn(
         "more", none if unique else F.xxhash64(F.lit(1), "t")).drop("t")
     places = repeated_places(rows.drop("id"))
-    return rows.join(places, ROW, "left").select("id", "text", "places").mapInArrow(
+    return rows.join(places.hint("shuffle_hash"), ROW, "left").select("id", "text", "places").mapInArrow(
         lambda it: _texts(it, digest), "doc_id long, n_words long, n_removed long, kept string")
 
 
