@@ -340,9 +340,9 @@ def _round_trip(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool, ch
                         pa.array([hashlib.sha256(t).hexdigest() for t in decoded])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if check:
-                    theirs = library.encode(rows, add_bos=True, add_eos=True, num_threads=1)
+                    theirs = library.encode(rows, add_bos=True, add_eos=True, num_threads=1, return_type="numpy")
                     again = library.decode(theirs, num_threads=1)
-                    cols.append(pa.array([np.array(t, dtype="<u4").tobytes() == i and a.encode() == d
+                    cols.append(pa.array([t.astype("<u4").tobytes() == i and a.encode() == d
                                           for t, i, a, d in zip(theirs, coded, again, decoded)], pa.bool_()))
                     names.append("same_as_library")
                 if with_ids:
