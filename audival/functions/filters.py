@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The accepted match operators.
 OPERATORS = ("contains", "exact", "begins_with", "ends_with")
 
+#: Longer lists of values are not given to a scan.
+MOST_VALUES = 1000
+
 
 _SHAPE = re.compile(r"(?P<field>[^ ]*) (?P<operator>[^ ]*) (?P<value>.*)", re.DOTALL)
 
@@ -40,3 +43,11 @@ def dimension_filter(text: str, resolve: Callable[[str], Column],
     dimension's column expression."""
     field, operator, value = parse_filter(text)
     return match(resolve(field), operator, value, case_sensitive)
+
+
+def matching_values(rows: DataFrame, column: str, test: Column, most: int = MOST_VALUES) -> list | None:
+    """The distinct values of ``column`` whose rows pass ``test`` (a function of
+    that column alone), or None if they are more than ``most``. A list of values
+    can be pushed to a scan where the test, being on a lower-cased text, cannot."""
+    found = rows.filter(test).select(column).distinct().limit(most + 1).collect()
+    return [r[0] for r in found] if len(found) <= most else None

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audival.functions.filters import dimension_filter
+from audival.functions.filters import dimension_filter, matching_values, parse_filter
 from audival.functions.typed import TYPES, parse_typed_columns, split_typed_columns
 
 def _bucket() -> Column:
@@ -43,17 +43,25 @@ EVENT_METRICS: dict[str, Callable[[], Column]] = {
 }
 
 
-def _by_user(rows: DataFrame, dims: list[str]) -> DataFrame:
-    """One row per dimensions and user: events, views, days, whether signed up."""
-    daily = rows.groupBy(*dims, "user_id", F.to_date("ts").alias("_day")).agg(
+#: Dimensions that are a column of the event table as it is.
+EVENT_SOURCES = {"eventName": "event_type"}
+
+
+def daily_rows(rows: DataFrame, dims: list[str], date_col: str = "ts") -> DataFrame:
+    """One row per dimensions, user and day: events, views, whether signed up."""
+    return rows.groupBy(*dims, "user_id", F.to_date(date_col).alias("_day")).agg(
         F.count(F.lit(1)).alias("_events"), F.count(F.when(F.col("event_type") == "view", 1)).alias("_views"),
         F.max(F.col("event_type") == "signup").alias("_signed"))
+
+
+def combine_users(daily: DataFrame, dims: list[str]) -> DataFrame:
+    """One row per dimensions and user, off the rows by day."""
     return daily.groupBy(*dims, "user_id").agg(
         F.sum("_events").alias("_events"), F.sum("_views").alias("_views"), F.max("_signed").alias("_signed"),
         F.count("_day").alias("_days"))
 
 
-def _resolve(name: str, registry: Mapping, columns: list[str]) -> Callable[[], Column]:
+def resolve(name: str, registry: Mapping, columns: list[str]) -> Callable[[], Column]:
     for key, fn in registry.items():
         if key.lower() == name.lower():
             return fn
@@ -63,7 +71,7 @@ def _resolve(name: str, registry: Mapping, columns: list[str]) -> Callable[[], C
     raise KeyError(f"unknown report field: {name}")
 
 
-def _date_range(df: DataFrame, date_col: str, start: str, end: str) -> Column:
+def date_range(df: DataFrame, date_col: str, start: str, end: str) -> Column:
     """Rows whose day is in [start, end]. Besides the exact day test, the
     raw column gets the same range as plain bounds of its own type
     (``start <= ts < end + 1 day``), which the parquet scan can push down to
@@ -86,20 +94,25 @@ def _date_range(df: DataFrame, date_col: str, start: str, end: str) -> Column:
 def run_report(df: DataFrame, dimensions: list[str], metrics: list[str], start: str, end: str,
                dimension_filter_text: str | None = None, case_sensitive: bool = False,
                date_col: str = "ts", dimension_defs: Mapping = EVENT_DIMENSIONS,
-               metric_defs: Mapping = EVENT_METRICS) -> DataFrame:
+               metric_defs: Mapping = EVENT_METRICS, sources: Mapping[str, str] | None = None) -> DataFrame:
     """Rows whose date is in [start, end] (inclusive), optionally
     filtered on a dimension (O29), grouped by the dimensions, one column per
     metric; columns are the dimensions then the metrics, as named. Metrics
-    of other tables than events come as aggregates in ``metric_defs``."""
-    rows = df.filter(_date_range(df, date_col, start, end))
+    of other tables than events come as aggregates in ``metric_defs``. A filter
+    on a dimension of ``sources`` (dimension: the column that it is) is first
+    evaluated on the column's distinct values in the range, and those that
+    match go to the scan as a list."""
+    rows = df.filter(date_range(df, date_col, start, end))
     if dimension_filter_text:
-        rows = rows.filter(dimension_filter(
-            dimension_filter_text, lambda f: _resolve(f, dimension_defs, df.columns)(), case_sensitive))
-    mets = [_resolve(m, metric_defs, [])().alias(m) for m in metrics]
+        test = dimension_filter(dimension_filter_text, lambda f: resolve(f, dimension_defs, df.columns)(), case_sensitive)
+        source = {k.lower(): c for k, c in (sources or {}).items()}.get(parse_filter(dimension_filter_text)[0].lower())
+        known = matching_values(rows, source, test) if source else None
+        rows = rows.filter(test if known is None else F.col(source).isin(known))
+    mets = [resolve(m, metric_defs, [])().alias(m) for m in metrics]
     named = [f"_d{i}" for i in range(len(dimensions))]
-    rows = rows.withColumns({n: _resolve(d, dimension_defs, df.columns)() for n, d in zip(named, dimensions)})
+    rows = rows.withColumns({n: resolve(d, dimension_defs, df.columns)() for n, d in zip(named, dimensions)})
     if metric_defs is EVENT_METRICS:
-        rows = _by_user(rows, named)
+        rows = combine_users(daily_rows(rows, named, date_col), named)
     out = rows.groupBy(*named).agg(*mets) if named else rows.agg(*mets)
     return out.select(*[F.col(n).alias(d) for n, d in zip(named, dimensions)], *[F.col(f"`{m}`") for m in metrics])
 

@@ -16,6 +16,7 @@ from audival.operators import audience as A
 from audival.operators import customers as C
 from audival.operators import report as RP
 from audival.operators import rollup as R
+from audival.plans.daily import DailyRollup, buckets_for
 from audival.plans.models import Chain, legacy_ratios
 from audival.plans.inputs import Inputs
 from audival.plans.stage import Stager
@@ -576,6 +577,14 @@ for _name, _text in WEB_FILTERS.items():
         return RP.run_report(events, WEB_DIMENSIONS, WEB_METRICS, start, end, text)
 
 
+@events_query("report_filter_listed")
+def q_report_filter_listed(events):
+    """The filter as a list of the values that match, which the scan gets."""
+    start, end = fixtures.events_window()
+    return RP.run_report(events, WEB_DIMENSIONS, WEB_METRICS, start, end, WEB_FILTERS["report_filter"],
+                         sources=RP.EVENT_SOURCES)
+
+
 @events_query("report_users")
 def q_report_users(events):
     """The report by device, user status and product, over a part of the days."""
@@ -589,6 +598,54 @@ def q_report_users_all_days(events):
     return RP.run_report(events, USER_DIMENSIONS, WEB_METRICS, start, end)
 
 
+_ROLLUPS: dict[tuple[str, str], DailyRollup] = {}
+
+
+def rollup_for(spark: SparkSession, data_dir: str) -> DailyRollup:
+    """The daily roll-up of the events of ``data_dir``, made once per
+    application; some days are refreshed after the first run."""
+    key = (spark.sparkContext.applicationId, data_dir.rstrip("/"))
+    if key not in _ROLLUPS:
+        events = Tables(spark, data_dir).events
+        daily = DailyRollup(spark, Stager(spark).path("daily"), [*WEB_DIMENSIONS, *USER_DIMENSIONS, "pagePath"],
+                            buckets_for(spark, f"{data_dir.rstrip('/')}/events.parquet"))
+        daily.refresh(events, *fixtures.events_window())
+        daily.refresh(events, *PART_OF_RANGE)
+        _ROLLUPS[key] = daily
+    return _ROLLUPS[key]
+
+
+def rollup_query(name: str):
+    def register(fn: Callable[[DailyRollup], DataFrame]):
+        def run(spark: SparkSession, data_dir: str) -> DataFrame:
+            return present(fn(rollup_for(spark, data_dir)))
+        run.__name__ = name
+        _REGISTRY[name] = run
+        return fn
+    return register
+
+
+@rollup_query("report_rollup")
+def q_report_rollup(daily):
+    return daily.report(WEB_DIMENSIONS, WEB_METRICS, *fixtures.events_window())
+
+
+for _name, _text in WEB_FILTERS.items():
+    @rollup_query(_name.replace("report", "report_rollup"))
+    def q_report_rollup_filter(daily, text=_text):
+        return daily.report(WEB_DIMENSIONS, WEB_METRICS, *fixtures.events_window(), text)
+
+
+@rollup_query("report_rollup_users")
+def q_report_rollup_users(daily):
+    return daily.report(USER_DIMENSIONS, WEB_METRICS, *PART_OF_RANGE)
+
+
+@rollup_query("report_rollup_users_all_days")
+def q_report_rollup_users_all_days(daily):
+    return daily.report(USER_DIMENSIONS, WEB_METRICS, *fixtures.events_window())
+
+
 @landed_query("typed_value_parse")
 def q_typed(landed):
     return RP.parse_landed(landed, AD_DEFINITION, AD_KINDS)
