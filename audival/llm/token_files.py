@@ -25,10 +25,10 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.ipc
 from pyspark.sql import DataFrame, Window
@@ -41,11 +41,18 @@ SEQUENCE = 1024
 BATCH = 64
 #: Words remembered per Python worker.
 REMEMBERED = 700_000
-#: Longer words (in characters) are never remembered.
+#: Longer words (in bytes) are never remembered.
 LONGEST = 64
-#: White space other than the space and the line feed.
-_RARE = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
-                          0x202F, 0x205F, 0x3000)]
+#: Texts are taken together up to so many bytes (a longer one alone).
+TOGETHER = 4 << 20
+#: Words given to the library at once.
+AT_ONCE = 4096
+#: A text with one of these is not cut: runs of white space, or white space other than the space and the line feed.
+_WHOLE = "  | \n|\n |[" + "".join(map(chr, (
+    9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+    0x3000))) + "]"
+#: Fixed: how the vocabulary's file writes a space.
+SPACE = "\u0120"
 
 
 class ChunkEncoder:
@@ -53,7 +60,9 @@ class ChunkEncoder:
 
     A byte-level vocabulary never merges across a single space between two
     other characters, so a text is cut there and each word with the space
-    before it is encoded by the library once."""
+    before it is encoded by the library once. Cutting, finding the distinct
+    words and putting their ids back in place are Arrow and numpy steps over
+    many texts; only distinct words are Python values."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -61,38 +70,82 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        vocab = self.library.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocab) <= 1 << 16 else "<u4")
+        self.opens = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)  # tokens that begin with a space
+        self.opens[[i for t, i in vocab.items() if t.startswith(SPACE)]] = True
         self.known: dict[str, bytes] = {}  # words after a space
 
-    @staticmethod
-    def words(text: str) -> list[str] | None:
-        """The text cut at its spaces, or None if they are not all single."""
-        if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _RARE):
-            return None
-        return text.split(" ")
-
     def library_ids(self, chunks: list[str]) -> list[bytes]:
         got = self.library.encode_batch_fast(chunks, add_special_tokens=False)
         return [array(self.dtype.char, e.ids).tobytes() for e in got]
 
-    def encode(self, batch: list[str]) -> list[bytes]:
+    def spaced_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word after a space. Many words are one text for the
+        library; its tokens that begin with a space are where words begin."""
+        out: list[bytes] = []
+        for at in range(0, len(words), AT_ONCE):
+            part = words[at:at + AT_ONCE]
+            raw = b"" if "" in part else self.library_ids(["".join([" " + w for w in part])])[0]
+            begin = np.flatnonzero(self.opens[np.frombuffer(raw, dtype=self.dtype)]) * self.dtype.itemsize
+            if len(begin) == len(part):
+                edges = [*begin.tolist(), len(raw)]
+                out += [raw[a:b] for a, b in zip(edges, edges[1:])]
+            else:  # a special token took a space, or another vocabulary
+                out += self.library_ids([" " + w for w in part])
+        return out
+
+    def remembered(self, words: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {}
-        cut = [self.words(t) for t in batch]
-        firsts = self.library_ids([t if c is None else c[0] for t, c in zip(batch, cut)])
-        rest = [c[1:] if c else [] for c in cut]
-        flat = list(chain.from_iterable(rest))
-        ids = list(map(self.known.get, flat))
-        if None in ids:
-            missing = list({w for w, i in zip(flat, ids) if i is None})
-            new = dict(zip(missing, self.library_ids([" " + w for w in missing])))
-            ids = [new[w] if i is None else i for w, i in zip(flat, ids)]
+        ids = list(map(self.known.get, words))
+        missing = [w for w, i in zip(words, ids) if i is None]
+        if missing:
+            new = dict(zip(missing, self.spaced_ids(missing)))
+            ids = [new[w] if i is None else i for w, i in zip(words, ids)]
             self.known.update((w, i) for w, i in new.items() if len(w) <= LONGEST)
-        out, at = [], 0
-        for first, words in zip(firsts, rest):
-            out.append(b"".join([first, *ids[at:at + len(words)]]))
-            at += len(words)
-        return out
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text (not null)."""
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        # a text that is not cut is its own first word
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        words = cut.flatten().dictionary_encode()
+        begin = cut.offsets.to_numpy()[:-1]
+        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = words.dictionary.take(pa.array(place[begin])).to_pylist()
+        for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            first[k] = texts[k].as_py()
+        inside = np.ones(len(place), dtype=bool)
+        inside[begin] = False
+        used = np.zeros(len(words.dictionary), dtype=bool)
+        used[place[inside]] = True
+        at = np.cumsum(used) - 1
+        ids = self.remembered(words.dictionary.filter(pa.array(used)).to_pylist())
+        place = at[place]
+        place[begin] = len(ids) + np.arange(len(first))
+        ids += self.library_ids(first)
+
+        # the ids of all words one after another, then those of every place
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        flat, start = np.frombuffer(b"".join(ids), dtype=self.dtype), np.cumsum(size) - size
+        long = size[place]
+        edge = np.cumsum(long) - long
+        out = flat[np.repeat(start[place] - edge, long) + np.arange(long.sum())].tobytes()
+        edges = [*(edge[begin] * self.dtype.itemsize).tolist(), len(out)]
+        return [out[a:b] for a, b in zip(edges, edges[1:])]
+
+
+def together(texts: pa.Array, most: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """(first, number) of stretches of texts of at most ``most`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        before = ends[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(ends, before + most, side="right")), lo + 1)
+        yield lo, hi - lo
+        lo = hi
 
 
 _loaded: dict[str, ChunkEncoder] = {}
@@ -180,12 +233,12 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, folder: str, end: int,
            batch: int) -> Iterator[pa.RecordBatch]:
     coder, shard, uri = encoder(path), None, f"{folder}/shard-{uuid.uuid4().hex}.arrow"
     for got in batches:
-        for lo in range(0, got.num_rows, 256):
-            part = got.slice(lo, 256)
+        for lo, n in together(got.column("text")):
+            part = got.slice(lo, n)
             if shard is None:
                 shard = ShardWriter(uri, coder.dtype, sequence, batch)
             last = np.array([end], dtype=coder.dtype).tobytes()
-            coded = [ids + last for ids in coder.encode(part.column("text").to_pylist())]
+            coded = [ids + last for ids in coder.encode(part.column("text"))]
             starts = [shard.add(ids) for ids in coded]
             n = [len(ids) // coder.dtype.itemsize for ids in coded]
             yield pa.RecordBatch.from_arrays(

@@ -6,9 +6,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from audival.llm import token_files as T
 from audival.llm.bpe import Transducer, round_trip, sufficient_lookahead
 from audival.llm.token_files import ShardReader, token_digests, write_tokens
 
@@ -100,3 +102,18 @@ def test_token_files(spark, docs, corpus, empty):
     ids, mask = reader.sequence_of(k + 1)
     assert ids.to_pylist() == streams[135][16 - lo:32 - lo].tolist() and all(mask.to_pylist())
     assert token_digests(write_tokens(empty, BYTE)).collect() == []
+
+
+def test_cut_texts_encode_as_the_library_does_whole():
+    coder = T.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = ["a", "b", " ", "  ", "\n", " \n", "\t", "é", "'s", "12", "...", "中", " ", "<|endoftext|>", "\U0001f600",
+             " don't", "\x00", "\x1c", "Ġ", "w" * 80]
+    rnd = random.Random(3)
+    texts = ["", " ", "<|endoftext|> a", "a <|endoftext|>"] + [
+        "".join(rnd.choices(parts, k=rnd.randint(0, 20))) for _ in range(3000)]
+    got, column = [], pa.array(texts)
+    for lo, n in T.together(column, 5000):
+        got += coder.encode(column.slice(lo, n))
+    assert got == coder.library_ids(texts)
+    assert [n for _, n in T.together(pa.array(["x" * 9, "y" * 30, "", "z"]), 10)] == [1, 1, 2]
+    assert list(T.together(pa.array([], pa.string()))) == []
