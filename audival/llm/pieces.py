@@ -34,20 +34,20 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audival.llm.shared import ship
+from audival.llm.shared import placed, ship, together
 
 SPACE = "▁"
 #: Segments remembered by a task, in each of two generations (one more batch's
 #: may be added), and the length in characters up to which one is remembered.
 REMEMBERED, SHORT = 1 << 18, 32
-#: Rows coded at a time.
-ROWS = 256
 
 #: Fixed values of the model file: field numbers and piece types.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -131,6 +131,9 @@ class PieceCoder:
         joined = set("".join(long))
         alone = "".join(c for c in map(chr, range(32)) if c not in joined)
         stop = re.escape(alone)
+        # other texts are their words, each with the space before it
+        self.odd = None if whole or not self.prefix else f"^$|^ |  | $|{SPACE}"
+        self.alone = "[" + "".join(f"\\x{ord(c):02x}" for c in alone) + "]" if alone else "^$"
         self.cut = None if whole else re.compile(f" *[^ {stop}]+| +" + f"|[{stop}]" * bool(alone))
         self._tables()
         self.forget()
@@ -259,19 +262,13 @@ class PieceCoder:
         text = self.prefix + (text.replace(SPACE, " ") if SPACE in text else text)
         return self.cut.findall(text) if self.cut else [text]
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts, the begin and the end id included."""
-        begin, end = struct.pack("<I", self.begin), struct.pack("<I", self.end)
-        cut = [self._segments(t) if t else [] for t in texts]
+    def _known(self, segments: list[str]) -> list[bytes]:
+        """Ids of distinct segments."""
         if len(self.young) >= REMEMBERED:
             self.old, self.young = self.young, {}
-        known, new, out = self.young, set(), []
-        for segments in cut:
-            out.append(list(map(known.get, segments)))
-            if None in out[-1]:
-                new.update(s for s, ids in zip(segments, out[-1]) if ids is None)
+        known, out = self.young, list(map(self.young.get, segments))
         short, long = [], {}
-        for s in new:
+        for s in {s for s, ids in zip(segments, out) if ids is None}:
             if s in self.old:
                 known[s] = self.old[s]
             elif len(s) <= SHORT:
@@ -279,10 +276,47 @@ class PieceCoder:
             else:
                 long[s] = self.spelled(self.pieces(s))
         self.learn(short)
-        for segments, ids in zip(cut, out):
-            if None in ids:
-                ids[:] = [known.get(s) or long[s] if i is None else i for s, i in zip(segments, ids)]
-        return [begin + b"".join(ids) + end for ids in out]
+        return [known.get(s) or long[s] if ids is None else ids for s, ids in zip(segments, out)]
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """Ids of distinct words after a space; a word with characters that
+        stand alone is several segments."""
+        spaced = [" " + w for w in words.to_pylist()]
+        several = np.flatnonzero(pc.match_substring_regex(words, self.alone).to_numpy(zero_copy_only=False)).tolist()
+        parts = [self.cut.findall(spaced[k]) for k in several]
+        for k, segments in zip(several, parts):
+            spaced[k] = segments[0]
+        rest = list(chain.from_iterable(p[1:] for p in parts))
+        out = self._known(spaced + rest)
+        at = len(spaced)
+        for k, segments in zip(several, parts):
+            out[k] = b"".join([out[k], *out[at:at + len(segments) - 1]])
+            at += len(segments) - 1
+        return out[:len(spaced)]
+
+    def encode_all(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of texts, the begin and the end id included. Cutting, finding
+        the distinct segments and putting their ids back are Arrow and numpy
+        steps; texts that are not plain are cut one by one."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        odd = (pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False) if self.odd
+               else np.ones(len(texts), dtype=bool))
+        words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        cut = [self._segments(t) if t else [] for t in texts.filter(pa.array(odd)).to_pylist()]
+        begin = np.zeros(len(texts), np.int64)  # of each text among the segments
+        plain = words.flatten().dictionary_encode()
+        begin[~odd] = words.offsets.to_numpy()[:len(words)]
+        begin[odd] = len(plain) + np.cumsum([0, *map(len, cut)])[:-1]
+        end = begin + 0
+        end[~odd] = words.offsets.to_numpy()[1:]
+        end[odd] += np.fromiter(map(len, cut), np.int64, len(cut))
+        others = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        ids = self._words(plain.dictionary) + self._known(others.dictionary.to_pylist())
+        place = np.concatenate([plain.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+                                others.indices.to_numpy(zero_copy_only=False).astype(np.int64) + len(plain.dictionary)])
+        out, edge = placed(ids, place, np.dtype("<u4"))
+        first, last = struct.pack("<I", self.begin), struct.pack("<I", self.end)
+        return [first + out[a:b] + last for a, b in zip(edge[begin].tolist(), edge[end].tolist())]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -330,17 +364,16 @@ def _round_trip(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool, ch
     library = _library(path) if check else None
     try:
         for got in batches:
-            for lo in range(0, got.num_rows, ROWS):
-                part = got.slice(lo, ROWS)
-                rows = part.column(1).to_pylist()
-                coded = c.encode_all(rows)
+            for lo, n in together(got.column(1)):
+                part = got.slice(lo, n)
+                coded = c.encode_all(part.column(1))
                 decoded = [c.decode(ids) for ids in coded]
                 cols = [part.column(0), pa.array([len(i) // 4 for i in coded], pa.int64()),
                         pa.array([hashlib.sha256(i).hexdigest() for i in coded]),
                         pa.array([hashlib.sha256(t).hexdigest() for t in decoded])]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if check:
-                    theirs = library.encode(rows, add_bos=True, add_eos=True, num_threads=1, return_type="numpy")
+                    theirs = library.encode(part.column(1).to_pylist(), add_bos=True, add_eos=True, num_threads=1, return_type="numpy")
                     again = library.decode(theirs, num_threads=1)
                     cols.append(pa.array([t.astype("<u4").tobytes() == i and a.encode() == d
                                           for t, i, a, d in zip(theirs, coded, again, decoded)], pa.bool_()))

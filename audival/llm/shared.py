@@ -18,6 +18,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -218,3 +219,28 @@ def grams(hashes: np.ndarray, n: int, seed: int) -> np.ndarray:
     for j in range(1, n):
         out += hashes[j:len(hashes) - n + 1 + j] * c[j]
     return mix(out)
+
+
+#: Texts are taken together up to so many bytes (a longer one alone).
+TOGETHER = 4 << 20
+
+
+def together(texts: pa.Array, most: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """(first, number) of stretches of texts of at most ``most`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        before = ends[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(ends, before + most, side="right")), lo + 1)
+        yield lo, hi - lo
+        lo = hi
+
+
+def placed(ids: list[bytes], place: np.ndarray, dtype: np.dtype) -> tuple[bytes, np.ndarray]:
+    """The ids that ``place`` names, one after another, and the byte at which
+    those of each place begin (and the last end)."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // dtype.itemsize
+    flat, start, long = np.frombuffer(b"".join(ids), dtype=dtype), np.cumsum(size) - size, size[place]
+    edge = np.concatenate([np.zeros(1, np.int64), np.cumsum(long)])
+    at = np.repeat(start[place] - edge[:-1], long) + np.arange(edge[-1])
+    return flat[at].tobytes(), edge * dtype.itemsize

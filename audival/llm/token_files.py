@@ -34,7 +34,7 @@ import pyarrow.ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from audival.llm.shared import stages
+from audival.llm.shared import placed, stages, together
 
 #: Ids of a sequence, sequences of a record batch.
 SEQUENCE = 1024
@@ -43,8 +43,6 @@ BATCH = 64
 REMEMBERED = 700_000
 #: Longer words (in bytes) are never remembered.
 LONGEST = 64
-#: Texts are taken together up to so many bytes (a longer one alone).
-TOGETHER = 4 << 20
 #: Words given to the library at once.
 AT_ONCE = 4096
 #: A text with one of these is not cut: runs of white space, or white space other than the space and the line feed.
@@ -127,27 +125,11 @@ class ChunkEncoder:
         place[begin] = len(ids) + np.arange(len(first))
         ids += self.library_ids(first)
 
-        # the ids of all words one after another, then those of every place
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        flat, start = np.frombuffer(b"".join(ids), dtype=self.dtype), np.cumsum(size) - size
-        long = size[place]
-        edge = np.cumsum(long) - long
-        out = flat[np.repeat(start[place] - edge, long) + np.arange(long.sum())].tobytes()
-        edges = [*(edge[begin] * self.dtype.itemsize).tolist(), len(out)]
+        out, edge = placed(ids, place, self.dtype)
+        edges = [*edge[begin].tolist(), len(out)]
         return [out[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def together(texts: pa.Array, most: int = TOGETHER) -> Iterator[tuple[int, int]]:
-    """(first, number) of stretches of texts of at most ``most`` bytes."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    lo = 0
-    while lo < len(texts):
-        before = ends[lo - 1] if lo else 0
-        hi = max(int(np.searchsorted(ends, before + most, side="right")), lo + 1)
-        yield lo, hi - lo
-        lo = hi
-
-
 _loaded: dict[str, ChunkEncoder] = {}
 
 
