@@ -5,11 +5,14 @@ the path starts with the rule's, and the longest rule that fits wins.
 
 Where no listed rule fits, association rules judge. Labelled pages (a listed
 rule's verdict, else the page's row in ``labels``: low quality or toxic is
-block) become transactions of URL tokens and a verdict item; Spark's FP-growth
-finds the frequent combinations over all of them, and rules that end in a
-verdict are kept if their confidence and support suffice. Rules are found by
-an inverted index: each is posted under its rarest token only, a URL looks up
-its own tokens, and a hit counts if all tokens of the rule are there. The most
+block) become transactions of URL tokens and a verdict item; tokens that occur
+in the same labelled pages are one item, so a section's many fixed tokens are
+not combined with each other. Spark's FP-growth finds the frequent combinations
+over all transactions, and rules that end in a verdict are kept if their
+confidence and support suffice. Rules are found by an inverted index: each is
+posted under the tokens of its rarest item only, a URL looks up its own tokens,
+and a hit counts if a token of every item of the rule is there: what the rules
+over single tokens, one for each choice of them, would match. The most
 confident rule that matches wins; without one the verdict is ``allow``.
 
 URLs that differ only in numbers share their tokens, so matching runs once per
@@ -64,14 +67,41 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         part("h:", host, r"[.:@-]"), part("p:", words, r"[/._-]+"), part("q:", names, "&")))))
 
 
+def frequent_items(labelled: DataFrame, least: float) -> DataFrame:
+    """(item, members, often): tokens in at least ``least`` of the rows of
+    (tokens, n), those that occur in the same rows as one item with its
+    smallest token as name. Equal rows are told by their number and 128 bits
+    of the token sets they are in. A row has few tokens, so there are at most
+    rows x tokens a row / least items, however many tokens there are."""
+    lanes = [F.xxhash64("tokens").alias("_h1"), F.xxhash64(F.lit(1), F.reverse("tokens")).alias("_h2")]
+    seen = (labelled.groupBy("tokens").agg(F.sum("n").alias("n")).select(F.explode("tokens").alias("token"), "n", *lanes)
+            .groupBy("token").agg(F.sum("n").alias("often"), F.bit_xor("_h1").alias("_h1"), F.bit_xor("_h2").alias("_h2"))
+            .filter(F.col("often") >= least))
+    return seen.groupBy("often", "_h1", "_h2").agg(F.sort_array(F.collect_list("token")).alias("members")).select(
+        F.col("members")[0].alias("item"), "members", "often")
+
+
 def mine_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
-    """(tokens, verdict, confidence, support) from rows of (tokens, verdict)."""
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    """(rule, mined, confidence, support) from rows of (tokens, verdict); a rule
+    is a list of items, each the list of its tokens, of which any stands for
+    all, as they always occur together in labelled rows."""
+    store = stages(labelled.sparkSession)
+    kinds = store.write(labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n")), "labelled")
+    least = support * (kinds.agg(F.sum("n")).first()[0] or 0)
+    items = store.write(frequent_items(kinds, least), "items")
+    # names of frequent items only: their number does not grow with the rows
+    names = [r[0] for r in items.select("item").collect()]
+    baskets = labelled.select(F.concat(F.filter("tokens", lambda t: t.isin(names)),
+                                       F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    return (model.associationRules
-            .filter(F.col("consequent")[0].isin("=allow", "=block") & (F.col("lift") > 1))
-            .select(F.array_sort("antecedent").alias("rule_tokens"), F.substr(F.col("consequent")[0], F.lit(2)).alias("mined"),
-                    "confidence", "support"))
+    found = (model.associationRules
+             .filter(F.col("consequent")[0].isin("=allow", "=block") & (F.col("lift") > 1))
+             .select(F.monotonically_increasing_id().alias("id"), "antecedent",
+                     F.substr(F.col("consequent")[0], F.lit(2)).alias("mined"), "confidence", "support"))
+    found = store.write(found, "found")
+    members = found.select("id", F.explode("antecedent").alias("item")).join(items, "item").groupBy("id").agg(
+        F.sort_array(F.collect_list("members")).alias("rule"))
+    return found.join(members, "id").select("rule", "mined", "confidence", "support")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] | None = None,
@@ -93,17 +123,21 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     mined = store.write(mine_rules(labelled.filter("verdict is not null"), support, confidence), "rules")
 
     kinds = store.write(rows.filter("listed is null").groupBy("tokens").agg(F.count(F.lit(1)).alias("n")), "kinds")
-    # tokens of the rules only; how often each occurs decides the posting
-    used = mined.select(F.explode(F.array_distinct("rule_tokens")).alias("token")).distinct()
+    # tokens of the rules only; how often each item occurs decides the posting
+    mined = mined.select("*", F.array_join(F.transform("rule", lambda g: F.array_join(g, "|")), " ").alias("mined_rule"))
+    used = mined.select(F.explode(F.array_distinct(F.flatten("rule"))).alias("token")).distinct()
     seen = kinds.select(F.explode("tokens").alias("token"), "n").join(used, "token", "left_semi")
     often = seen.groupBy("token").agg(F.sum("n").alias("often"))
-    posting = (mined.select("*", F.explode("rule_tokens").alias("token")).join(often, "token")
-               .withColumn("k", F.row_number().over(Window.partitionBy("rule_tokens", "mined").orderBy("often", "token")))
-               .filter("k = 1").drop("k", "often"))
+    # an item is as frequent as its tokens together; it is posted under each of them
+    parts = mined.select("*", F.posexplode("rule").alias("place", "item"))
+    totals = (parts.select("mined_rule", "mined", "place", F.explode("item").alias("token")).join(often, "token")
+              .groupBy("mined_rule", "mined", "place").agg(F.sum("often").alias("often")))
+    posting = (parts.join(totals, ["mined_rule", "mined", "place"])
+               .withColumn("k", F.row_number().over(Window.partitionBy("mined_rule", "mined").orderBy("often", "place")))
+               .filter("k = 1").select("rule", "mined", "mined_rule", "confidence", "support", F.explode("item").alias("token")))
     hits = (kinds.select("tokens", F.explode("tokens").alias("token")).join(posting, "token")
-            .filter(F.size(F.array_except("rule_tokens", "tokens")) == 0))
-    best = hits.groupBy("tokens").agg(F.max(F.struct(
-        "confidence", "support", F.array_join("rule_tokens", " ").alias("mined_rule"), "mined")).alias("best"))
+            .filter(F.forall("rule", lambda g: F.arrays_overlap(g, F.col("tokens")))))
+    best = hits.groupBy("tokens").agg(F.max(F.struct("confidence", "support", "mined_rule", "mined")).alias("best"))
     best = best.select("tokens", F.col("best.mined").alias("mined"), F.col("best.mined_rule").alias("mined_rule"))
     # stored, so that a hot token set can be split in the join
     out = rows.join(store.write(best, "best"), "tokens", "left")

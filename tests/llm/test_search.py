@@ -3,12 +3,15 @@
 import hashlib
 import random
 import re
+from collections import Counter
+from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from audival.llm.decontaminate import contaminated_spans, contamination, drop_contaminated
 from audival.llm.quotes import conversations, reply_order
-from audival.llm.url_filter import LISTED, judge
+from audival.llm.url_filter import LISTED, host_and_path, judge, url_tokens
 
 
 def words(text):
@@ -145,3 +148,51 @@ def test_long_conversation_over_many_tasks(spark):
         depth[t] = 0 if parent is None else depth[parent] + 1
         want.add((t, t, parent, depth[t]))
     assert {(r.turn, r.position, r.parent_turn, r.depth) for r in reply_order(df).collect()} == want
+
+
+def tokens_of(spark, urls):
+    rows = spark.createDataFrame(list(enumerate(urls)), "i long, url string")
+    host, path = host_and_path(F.col("url"))
+    return [r[0] for r in rows.select("i", url_tokens(F.col("url"), host, path).alias("t")).orderBy("i").select("t").collect()]
+
+
+def test_mined_verdicts_are_those_of_all_token_combinations(spark):
+    """Against an enumeration of every combination of tokens of every labelled
+    page; of equally good rules any verdict will do."""
+    r = random.Random(11)
+    urls = [f"https://{r.choice(['a', 'b'])}.org/" + "/".join(r.sample(["x", "y", "z", "w/v/u"], r.randint(0, 3)))
+            for _ in range(60)] + ["https://a.org/v", "https://b.org/x/u", None]
+    labels = [(i, r.randint(0, 1), "en", 0) for i in range(50)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    given = spark.createDataFrame(labels, "doc_id long, quality int, lang string, toxic int")
+    support, confidence = 0.1, 0.6
+    got = {x.page_id: x.verdict for x in judge(pages, given, rules=[], support=support, confidence=confidence).collect()}
+    tokens = tokens_of(spark, urls)
+    seen, share, n = Counter(), Counter(), len(labels)
+    for i, quality, _, _ in labels:
+        verdict = "allow" if quality else "block"
+        share[verdict] += 1
+        for k in range(1, len(tokens[i]) + 1):
+            for some in combinations(tokens[i], k):
+                seen[some] += 1
+                seen[some, verdict] += 1
+    mined = [(some, v, seen[some, v] / seen[some], seen[some, v] / n) for some in [s for s in seen if s[-1] not in share]
+             for v in share if seen[some, v] >= support * n and seen[some, v] / seen[some] >= confidence
+             and seen[some, v] / seen[some] > share[v] / n]
+    assert len(mined) >= 20
+    for i, ts in enumerate(tokens):
+        fit = [(c, s, v) for some, v, c, s in mined if set(some) <= set(ts)]
+        best = max(((round(c, 9), round(s, 9)) for c, s, _ in fit), default=None)
+        want = {v for c, s, v in fit if (round(c, 9), round(s, 9)) == best} or {"allow"}
+        assert got[i] in want, (urls[i], got[i], want)
+
+
+def test_a_section_of_many_fixed_tokens_is_one_item(spark):
+    deep = "/".join(f"part-{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40))
+    urls = [f"https://x.org/{deep}/{i}" for i in range(40)] + [f"https://x.org/other/{i}" for i in range(60)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, "https://y.org/ac"])], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 40), "en", 0) for i in range(100)],
+                                   "doc_id long, quality int, lang string, toxic int")
+    got = {r.page_id: r for r in judge(pages, labels, rules=[]).collect()}
+    assert [got[i].verdict for i in range(101)] == ["block"] * 40 + ["allow"] * 60 + ["block"]
+    assert got[0].mined_rule.count("|") == 40  # the 40 words that differ and "part" among them
