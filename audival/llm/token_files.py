@@ -43,8 +43,8 @@ BATCH = 64
 REMEMBERED = 700_000
 #: Longer words (in bytes) are never remembered.
 LONGEST = 64
-#: Words given to the library at once.
-AT_ONCE = 4096
+#: Bytes of texts taken together, words given to the library at once.
+TOGETHER, AT_ONCE = 8 << 20, 512
 #: A text with one of these is not cut: runs of white space, or white space other than the space and the line feed.
 _WHOLE = "  | \n|\n |[" + "".join(map(chr, (
     9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
@@ -215,7 +215,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, folder: str, end: int,
            batch: int) -> Iterator[pa.RecordBatch]:
     coder, shard, uri = encoder(path), None, f"{folder}/shard-{uuid.uuid4().hex}.arrow"
     for got in batches:
-        for lo, n in together(got.column("text")):
+        for lo, n in together(got.column("text"), TOGETHER):
             part = got.slice(lo, n)
             if shard is None:
                 shard = ShardWriter(uri, coder.dtype, sequence, batch)

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from audival.llm import token_files as T
 from audival.llm.bpe import Transducer, round_trip, sufficient_lookahead
+from audival.llm.shared import together
 from audival.llm.token_files import ShardReader, token_digests, write_tokens
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -112,8 +113,8 @@ def test_cut_texts_encode_as_the_library_does_whole():
     texts = ["", " ", "<|endoftext|> a", "a <|endoftext|>"] + [
         "".join(rnd.choices(parts, k=rnd.randint(0, 20))) for _ in range(3000)]
     got, column = [], pa.array(texts)
-    for lo, n in T.together(column, 5000):
+    for lo, n in together(column, 5000):
         got += coder.encode(column.slice(lo, n))
     assert got == coder.library_ids(texts)
-    assert [n for _, n in T.together(pa.array(["x" * 9, "y" * 30, "", "z"]), 10)] == [1, 1, 2]
-    assert list(T.together(pa.array([], pa.string()))) == []
+    assert [n for _, n in together(pa.array(["x" * 9, "y" * 30, "", "z"]), 10)] == [1, 1, 2]
+    assert list(together(pa.array([], pa.string()))) == []
