@@ -41,6 +41,10 @@ SHORT = 48
 WORD_END = "</w>"
 _WORDS = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+""")
 _SPACES = regex.compile(r"\p{White_Space}+")
+#: Letters and numbers of a later Unicode than Python's: libraries need not agree on them.
+_LATER = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
+                 if unicodedata.category(c) == "Cn")
+_HAS_LATER = regex.compile(f"[{_LATER}]" if _LATER else "(?!)")
 
 
 def byte_alphabet() -> list[str]:
@@ -74,6 +78,21 @@ class Transducer:
         self.lookahead = sufficient_lookahead(self.rules)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.path, self.settled = path, None
+
+    def settled_words(self, text: str) -> list[str]:
+        """The words of a text with some of ``_LATER``, with the vocabulary
+        library's own normal form and view of what they are."""
+        if self.settled is None:
+            from tokenizers import Tokenizer
+            library = Tokenizer.from_file(self.path)
+            self.normal, cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+            other = "".join(c for c in _LATER if len(cut("a" + c)) > 1 and len(cut("!" + c)) == 1)
+            none = f"--[{other}]" if other else ""
+            self.settled = regex.compile(
+                rf"""'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{none}]+|[\p{{N}}{none}]|"""
+                rf"""(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]{f"|[{other}]" if other else ""})+""", regex.V1)
+        return self.settled.findall(self.normal(text))
 
     # ------------------------------------------------------------- encoding
 
@@ -148,9 +167,13 @@ class Transducer:
 
     def plain(self, text: str) -> bytes:
         if not text.isascii():
+            if _HAS_LATER.search(text):
+                return self._ids(self.settled_words(text))
             # lower case is taken character by character: no final sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        words = _WORDS.findall(_SPACES.sub(" ", text).lower())
+        return self._ids(_WORDS.findall(_SPACES.sub(" ", text).lower()))
+
+    def _ids(self, words: list[str]) -> bytes:
         known, out = self.young, []
         for w in words:
             ids = known.get(w)

@@ -118,3 +118,15 @@ def test_cut_texts_encode_as_the_library_does_whole():
     assert got == coder.library_ids(texts)
     assert [n for _, n in together(pa.array(["x" * 9, "y" * 30, "", "z"]), 10)] == [1, 1, 2]
     assert list(together(pa.array([], pa.string()))) == []
+
+
+def test_letters_of_a_later_unicode_encode_as_in_the_library(coder):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    r = random.Random(9)
+    later = [chr(c) for c in (0x88F, 0x1C89, 0x1C8A, 0xA7CB, 0xA7CC, 0xA7DA, 0x10D50, 0x10D40, 0x323B0)]
+    for _ in range(1500):
+        text = "".join(r.choice([*later, "a", "B", " ", "1", "é", "!", "Σ"]) for _ in range(r.randint(1, 12)))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == want, text.encode("unicode-escape")
