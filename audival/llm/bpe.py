@@ -44,7 +44,16 @@ _SPACES = regex.compile(r"\p{White_Space}+")
 #: Letters and numbers of a later Unicode than Python's: libraries need not agree on them.
 _LATER = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)])))
                  if unicodedata.category(c) == "Cn")
-_HAS_LATER = regex.compile(f"[{_LATER}]" if _LATER else "(?!)")
+_LATER_SET = frozenset(_LATER)
+
+
+def _ranges(chars: str) -> str:
+    """The inside of a character class of the given characters, in order: a
+    class is tried part by part, so neighbours are one range."""
+    if not chars:
+        return ""
+    cuts = [i for i in range(1, len(chars)) if ord(chars[i]) != ord(chars[i - 1]) + 1]
+    return "".join(f"{chars[a]}-{chars[b - 1]}" for a, b in zip([0, *cuts], [*cuts, len(chars)]))
 
 
 def byte_alphabet() -> list[str]:
@@ -87,7 +96,7 @@ class Transducer:
             from tokenizers import Tokenizer
             library = Tokenizer.from_file(self.path)
             self.normal, cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-            other = "".join(c for c in _LATER if len(cut("a" + c)) > 1 and len(cut("!" + c)) == 1)
+            other = _ranges("".join(c for c in _LATER if len(cut("a" + c)) > 1 and len(cut("!" + c)) == 1))
             none = f"--[{other}]" if other else ""
             self.settled = regex.compile(
                 rf"""'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{none}]+|[\p{{N}}{none}]|"""
@@ -167,7 +176,7 @@ class Transducer:
 
     def plain(self, text: str) -> bytes:
         if not text.isascii():
-            if _HAS_LATER.search(text):
+            if not _LATER_SET.isdisjoint(text):
                 return self._ids(self.settled_words(text))
             # lower case is taken character by character: no final sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")

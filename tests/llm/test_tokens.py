@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -130,3 +131,12 @@ def test_letters_of_a_later_unicode_encode_as_in_the_library(coder):
         text = "".join(r.choice([*later, "a", "B", " ", "1", "é", "!", "Σ"]) for _ in range(r.randint(1, 12)))
         want = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == want, text.encode("unicode-escape")
+
+
+def test_one_letter_beyond_ascii_does_not_slow_a_text_down(coder):
+    plain = "some words that repeat " * 20_000
+    for extra in ("é", "\u1c89"):
+        coder.encode(plain + extra)  # words remembered, the library's view loaded
+        begin = time.process_time()
+        coder.encode(plain + extra)
+        assert time.process_time() - begin < 1.5  # 460,000 characters at 3 microseconds
