@@ -203,3 +203,11 @@ def test_report_range_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-05T00:00)" in pushed and "LessThan(ts,2024-01-10T00:00)" in pushed, pushed
     days = ev.filter(F.to_date("ts").between("2024-01-05", "2024-01-09")).count()
     assert out.agg(F.sum("eventCount")).first()[0] == days
+
+
+def test_a_filter_on_the_reason_does_not_parse_again(spark):
+    landed = spark.createDataFrame([("int_value: 20240101", "double_value: x"), ("int_value: 20240102", "double_value: 1")],
+                                   "date string, paid string")
+    good = RP.split_landed(landed, {"dimensions": ["date"], "metrics": ["paid"]}).filter("reason is null")
+    assert str(good._jdf.queryExecution().optimizedPlan()).count("gettimestamp") == 1
+    assert [tuple(r)[1:] for r in good.collect()] == [(1.0, None)]
