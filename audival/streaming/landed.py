@@ -100,37 +100,42 @@ class LandedTable:
         """Columns of a file by position, as its header is a row like others."""
         return StructType([StructField(f"c{i}", StringType()) for i in range(len(self.names) + SPARE)])
 
-    def _rows(self, raw: DataFrame) -> DataFrame:
-        """The rows of files as (delivery, file, row, header, names...), by the
-        names in each file's header; ``header`` is null where there is none."""
-        lower = {n.lower(): n for n in self.names}
-        cells = F.array(*[F.col(f"c{i}") for i in range(len(self.names) + SPARE)])
+    def _rows(self, raw: DataFrame, store: Stager) -> DataFrame:
+        """The rows of files as (delivery, file, cells, missing, names...), by
+        the names in each file's header; ``missing`` names those that it lacks
+        and is null where there is no header."""
+        lower = [n.lower() for n in self.names]
+        spots = [F.col(f"c{i}") for i in range(len(self.names) + SPARE)]
         file = F.col("_metadata.file_path")
-        place = F.regexp_extract(file, r"([^/]+)/[^/]+$" if self.delivery == "folder" else r"([^/]+)$", 1)
-        raw = raw.select(place.alias(DELIVERY), file.alias(FILE), cells.alias("cells"))
-        first = F.lower(F.trim(F.element_at("cells", 1)))
-        # a value is "kind: value", a header's cells are names
-        is_header = F.exists("cells", lambda c: F.lower(F.trim(c)).isin(list(lower))) & ~F.contains(
-            F.coalesce(first, F.lit("")), F.lit(":"))
-        # one row per file, however often it repeats the header
+        place = F.substring_index(file, "/", -1)  # no pattern: it would be tried from every place of the path, on every row
+        if self.delivery == "folder":
+            place = F.substring_index(F.substring_index(file, "/", -2), "/", 1)
+        raw = raw.filter(F.coalesce(*spots).isNotNull()).select(
+            place.alias(DELIVERY), file.alias(FILE), F.col("c0").alias("first"), F.array(*spots).alias("cells"))
+        # a value is "kind: value", a header's cells are names; nearly all rows are told by their first cell
+        is_header = ~F.contains(F.coalesce("first", F.lit("")), F.lit(":")) & F.exists(
+            "cells", lambda c: F.lower(F.trim(c)).isin(lower))
+        # one row per file, however often it repeats the header: stored, so that Spark knows how small it is and
+        # the rows stay where they are, whatever the size of their file
         headers = raw.filter(is_header).groupBy(F.col(FILE)).agg(F.min(F.transform(
             "cells", lambda c: F.lower(F.trim(c)))).alias("header"))
+        headers = store.write(headers.select(
+            FILE, F.array_join(F.array_except(F.array(*map(F.lit, lower)), "header"), ", ").alias("missing"),
+            *[(F.array_position("header", n).cast("int") - 1).alias(f"at{i}") for i, n in enumerate(lower)]), "headers")
         rows = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, FILE, "left")
-        cell = lambda n: F.get("cells", F.array_position("header", n.lower()).cast("int") - 1)
-        text = F.to_json(F.slice("cells", 1, len(self.names) + SPARE))
-        there = F.filter("cells", lambda c: c.isNotNull())
-        return rows.filter(F.size(there) > 0).select(
-            DELIVERY, FILE, text.alias("row"), "header", *[F.when(F.array_contains("header", n.lower()), cell(n)).alias(n)
-                                                           for n in self.names])
-
-    def _tagged(self, raw: DataFrame) -> DataFrame:
-        """Typed columns, where rows are from, and the reason of rejects."""
-        rows = split_landed(self._rows(raw), self.definition, self.kinds, [DELIVERY, FILE, "row", "header"], "reason")
-        missing = F.array_join(F.array_except(F.array(*[F.lit(n.lower()) for n in self.names]), "header"), ", ")
-        reason = F.when(F.col("header").isNull(), F.lit("the file has no header")).when(
-            missing != "", F.concat(F.lit("the file has no column "), missing)).otherwise(
+        return rows.select(DELIVERY, FILE, "cells", "missing",
+                           *[F.get("cells", F.col(f"at{i}")).alias(n) for i, n in enumerate(self.names)])
+
+    def _tagged(self, raw: DataFrame, store: Stager) -> DataFrame:
+        """Typed columns, where rows are from, and of rejects the reason and
+        the row as text."""
+        rows = split_landed(self._rows(raw, store), self.definition, self.kinds, [DELIVERY, FILE, "cells", "missing"],
+                            "reason")
+        reason = F.when(F.col("missing").isNull(), F.lit("the file has no header")).when(
+            F.col("missing") != "", F.concat(F.lit("the file has no column "), F.col("missing"))).otherwise(
             F.coalesce("reason", F.when(F.col(self.day).isNull(), F.lit(f"{self.day}: missing"))))
-        return rows.withColumn("reason", reason).drop("header")
+        rows = rows.withColumn("reason", reason).withColumn("row", F.when(F.col("reason").isNotNull(), F.to_json("cells")))
+        return rows.drop("cells", "missing")
 
     def _merged(self, good: DataFrame) -> DataFrame:
         """The days of a batch as they are after it."""
@@ -154,7 +159,7 @@ class LandedTable:
         if not self.ledger().filter(mine).isEmpty():
             return
         store = Stager(self.spark)
-        tagged = store.write(self._tagged(raw), "tagged")
+        tagged = store.write(self._tagged(raw, store), "tagged")
         counts = store.write(tagged.groupBy(DELIVERY, F.col(self.day).alias("day")).agg(
             F.count(F.when(F.col("reason").isNull(), 1)).alias("rows"), F.count("reason").alias("rejected")), "counts")
         total = counts.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")).first()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from audival.operators.report import TooManyRejects, report_from_definition, report_from_table
 from audival.plans.queries import AD_DEFINITION, AD_KINDS, present
+from audival.plans.stage import Stager
 from audival.sources.adserver import landed_rows
 from audival.streaming.landed import DELIVERY, FILE, LandedTable, ingest_landed
 
@@ -207,3 +208,13 @@ def test_each_file_as_a_delivery(place):
     place.land("x", "2024-02-02.csv", rows_of([2, 3], shown=7))
     place.run(delivery="file")
     assert place.report() == sorted(clean([1]) + clean([2, 3], shown=7))
+
+
+def test_rows_of_a_batch_stay_where_they_are(spark, place, scratch):
+    """Headers are looked up file by file: no row moves to the task of its file, however large that is."""
+    place.land("1", "a.csv", rows_of(range(1, 20)))
+    place.land("1", "b.csv", rows_of(range(1, 9)), order=[1, 0, 2, 3], header=HEADER)
+    raw = spark.read.schema(place.table.positions()).csv(os.path.join(place.src, "*")).select("*", "_metadata")
+    tagged = place.table._tagged(raw, Stager(spark))
+    assert "hashpartitioning" not in tagged._jdf.queryExecution().executedPlan().toString()
+    assert {r["reason"] for r in tagged.collect()} == {None} and tagged.count() == 54
