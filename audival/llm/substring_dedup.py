@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Bytes of text whose anchors make a partition.
 PART_BYTES = 8 << 20
+#: Parts in which windows are compared.
+SLICES = 4
 #: What tells rows apart: the doc_id and 128 bits of the text (zeros where ids
 #: are unique).
 ROW = ["doc_id", "mark", "more"]
@@ -168,13 +171,22 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     windows = store.write(docs.join(found.hint("shuffle_hash"), ROW).mapInArrow(
         _windows, "window long, check int, doc_id long, mark long, more long, place int"), "windows")
     release(spark)
-    least = store.write(windows.groupBy("window", "check").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "least")
-    release(spark)
-    out = store.write(windows.join(least.hint("shuffle_hash"), ["window", "check"]).filter("doc_id > lo").groupBy(
-        *ROW).agg(F.collect_set("place").alias("places")), "places")
-    for done in ("shared", "anchored", "windows", "least"):
+    # windows are looked at a part of their hashes at a time, so that only a part of them is being shuffled
+    hits = []
+    for k in range(SLICES):
+        part = windows.filter(F.pmod("window", F.lit(SLICES)) == k)
+        least = store.write(part.groupBy("window", "check").agg(
+            F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi"), "least")
+        release(spark)
+        hits.append(store.write(part.join(least.hint("shuffle_hash"), ["window", "check"]).filter("doc_id > lo").select(
+            *ROW, "place"), f"hits-{k}"))
+        store.drop("least")
+        release(spark)
+    for done in ("shared", "anchored", "windows"):
         store.drop(done)
+    out = store.write(reduce(DataFrame.unionByName, hits).groupBy(*ROW).agg(F.collect_set("place").alias("places")), "places")
+    for k in range(SLICES):
+        store.drop(f"hits-{k}")
     release(spark)
     return out
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from audival.llm.exact_dedup import copy_groups, drop_copies
 from audival.llm.near_dedup import drop_near_duplicates, near_duplicates
+from audival.llm.shared import Stages
 from audival.llm.substring_dedup import cut_repeats, repeat_digests, repeated_places
 
 
@@ -220,3 +221,21 @@ def test_texts_of_one_id_with_equal_short_hashes(spark):
     cut, whole = pair["texts"][0]["text"], pair["texts"][-1]["text"]
     docs = spark.createDataFrame([(1, shared), (9, cut), (9, whole)], "doc_id long, text string")
     assert sorted((r["doc_id"], r["n_removed"]) for r in repeat_digests(docs).collect()) == [(1, 0), (9, 0), (9, 13)]
+
+
+def test_windows_are_compared_a_part_at_a_time(spark, monkeypatch):
+    """No one shuffle holds all windows: the least doc_ids come in parts, which together find what one part does."""
+    words = " ".join(f"w{i}" for i in range(200)).encode()
+    rows = [(i, 0, 0, words) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, mark long, more long, text binary")
+    parts, write = [], Stages.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        if name == "least":
+            parts.append(out.count())
+        return out
+    monkeypatch.setattr(Stages, "write", counted)
+    got = {r["doc_id"]: sorted(r["places"]) for r in repeated_places(docs).collect()}
+    assert got == {1: list(range(188)), 2: list(range(188))}
+    assert sum(parts) == 188 and max(parts) < 188
