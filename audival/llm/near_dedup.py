@@ -10,14 +10,17 @@ probability (1 - (1 - s**MINIMA)**SIDE)**2: 0.9998 at s = 0.75, 0.001 at s = 0.2
 
 1. Rows with equal shingle sets (size and 128-bit sum) are one class; each
    class has a number, and only one row of each class is compared.
-2. Left and right keys that nobody else has are dropped before tables are
-   formed; tables with the same members are kept once.
-3. Candidates are confirmed on full shingle sets. In each table every member
-   is first compared with one hub (the member with most table mates), then the
-   members outside the hub's component with a second hub, and so on while that
-   saves work; at the end all pairs of a table whose members are still in
-   different components are compared. No candidate is skipped: a pair is left
-   out only when both are already connected.
+2. Tables are not listed: members are dealt by left key, those without a shared
+   left and a shared right key being dropped, and right keys are looked at
+   when two are compared.
+3. Candidates are confirmed on full shingle sets. Under each left key every member
+   is first compared with one hub (the member with most mates), then the
+   members outside the largest component with a second hub. What is then
+   still with members of other components is looked at by its rarest shingles:
+   two sets that are similar enough have one of those in common, so texts that
+   share most of their words but are not similar are never listed pair by
+   pair. No candidate is skipped: a pair is left out only when both are already
+   connected or their sets cannot be similar enough.
 
 Defined cases: a text without words has an empty set, is linked with nothing
 and is its own component; a text with fewer than five words has its whole word
@@ -48,8 +51,8 @@ from audival.plans.stage import Stager
 SHINGLE, SIDE, MINIMA = 5, 24, 4
 #: Similarity as a ratio of whole numbers.
 NUMERATOR, DENOMINATOR = 75, 100
-#: Rounds with hubs before the remaining pairs are listed.
-HUB_ROUNDS = 3
+#: Rounds with hubs before the remaining pairs are looked for by rare shingles.
+HUB_ROUNDS = 2
 #: What tells shingle sets apart.
 CLASS = ["f1", "f2", "n_shingles"]
 _U64 = np.uint64
@@ -137,94 +140,119 @@ def _confirm(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int
 
 
 def _members(reps: DataFrame, store: Stager) -> DataFrame:
-    """(bucket, rep, n, size): tables entered by two representatives or more,
-    each set of members once."""
-    sides = reps.select("rep", "n", F.explode(F.concat("lefts", "rights")).alias("key"))
-    shared = sides.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
-    live = sides.join(shared, "key", "left_semi").groupBy("rep", "n").agg(F.collect_set("key").alias("keys"))
-    # the kept keys of a representative, at most 2 * SIDE of them
-    live = live.join(reps.select("rep", "lefts", "rights"), "rep").select(
-        "rep", "n", F.explode(F.array_intersect("lefts", "keys")).alias("left"),
-        F.array_intersect("rights", "keys").alias("rights"))
-    entries = store.write(live.select("rep", "n", "left", F.explode("rights").alias("right")).select(
-        F.xxhash64("left", "right").alias("bucket"), "rep", "n"), "entries")
-    who = F.xxhash64("rep")
-    kinds = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(who).alias("x"),
-                                          F.bit_xor(F.xxhash64(who)).alias("y"), F.min("rep").alias("lo"),
-                                          F.max("rep").alias("hi")).filter("lo < hi")
-    once = kinds.groupBy("size", "x", "y", "lo", "hi").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    return store.write(entries.join(once, "bucket"), "members")
-
-
-def _all_pairs(state: DataFrame, reps: DataFrame, store: Stager, fits: Column) -> DataFrame:
-    """Every pair of representatives that meets in a table and is still in two
-    components, each once. Two meet in a table if they share a left key and a
-    right key, so rows are joined by left key, a pair counts at its first
-    common left key, and the right keys are looked at in the join."""
-    open_ = store.write(state.select("rep", "label").distinct(), "open-reps")
-    rows = reps.join(open_, "rep").select("rep", "n", "label", "lefts", "rights", F.posexplode("lefts").alias("i", "key"))
-    mixed = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    rows = store.write(rows.join(mixed, "key", "left_semi").select(
-        "key", "rep", "n", "label", F.slice("lefts", 1, F.col("i")).alias("above"), "rights"), "open-keys")
-    one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "label", "above", "rights")])
-                for k in "ab")
-    met = one.join(two, "key").filter(
-        (F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b"))
-        & F.arrays_overlap("rights_a", "rights_b") & ~F.arrays_overlap("above_a", "above_b"))
-    return met.select(*[F.col(f"{c}_{k}").alias(n) for k in "ab" for c, n in (
-        ("rep", k), ("n", f"n{k}"), ("label", f"l{k}"))]).filter(fits)
+    """(key, rep, n, weight): left keys shared by two representatives or more.
+    Only those take part that share a left key with one and a right key with
+    one, so two that meet in a table are together under a left key; rows grow
+    with the keys of a side, not with the tables."""
+    lefts = reps.select("rep", "n", F.explode("lefts").alias("key"))
+    near = store.write(_shared(lefts).select("rep").distinct(), "near-left")
+    rights = reps.join(near, "rep").select("rep", F.explode("rights").alias("key"))
+    near = store.write(_shared(rights).select("rep").distinct(), "near-right")
+    members = store.write(_shared(lefts.join(near, "rep")), "members")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    weight = members.join(sizes, "key").groupBy("rep").agg(F.sum("size").alias("weight"))
+    return store.write(members.join(weight, "rep"), "weighted")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows whose key two representatives or more have."""
+    keys = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
+    return rows.join(keys.select("key"), "key", "left_semi")
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for got in batches:
+        for rep, n, label, x in zip(*(got.column(c) for c in ("rep", "n", "label", "shingles"))):
+            s = np.frombuffer(x.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s), *(pa.array(np.full(len(s), v.as_py())) for v in (rep, n, label))],
+                names=["shingle", "rep", "n", "label"])
+
+
+def _rare_pairs(state: DataFrame, sets: DataFrame, store: Stager, fits: Column, numerator: int, denominator: int
+                ) -> DataFrame:
+    """Every pair of representatives that are still in two components and can
+    be similar at all, each once. Shingles have one order: first those that only
+    one component has, then by the number of sets that have them. Two similar
+    sets of n and m shingles have one in common among the first
+    n - ceil(n * ratio) + 1 and m - ceil(m * ratio) + 1, and behind the first
+    such one there are enough left. Shingles of one component pair nothing."""
+    open_ = store.write(state.select("rep", "n", "label").distinct(), "open-reps")
+    rows = sets.select(F.col("id").alias("rep"), "shingles").join(open_, "rep").select(
+        "rep", "n", "label", "shingles").mapInArrow(_exploded, "shingle long, rep long, n long, label long")
+    rows = store.write(rows, "open-shingles")
+    mixed = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("x"),
+                                        F.max("label").alias("y")).filter("x < y").select("shingle", "many")
+    # at most the shingles of a text
+    order = rows.join(mixed, "shingle").groupBy("rep", "n", "label").agg(
+        F.sort_array(F.collect_list(F.struct("many", "shingle"))).alias("order"))
+    first = F.col("n") - F.ceil(F.col("n") * numerator / denominator) + 1 - (F.col("n") - F.size("order"))
+    order = order.withColumn("first", first.cast("int")).filter("first > 0")
+    rare = order.select("rep", "n", "label", (F.col("n") - F.size("order")).alias("before"),
+                        F.posexplode(F.slice("order", F.lit(1), F.col("first"))).alias("i", "at"))
+    # what stands from this place on
+    rare = store.write(rare.select(F.col("at.shingle").alias("shingle"), "rep", "n", "label",
+                                   (F.col("n") - F.col("before") - F.col("i")).alias("left")), "rare")
+    one, two = (rare.select("shingle", F.col("rep").alias(k), *[F.col(c).alias(f"{v}{k}") for c, v in (
+        ("n", "n"), ("label", "l"), ("left", "left"))]) for k in "ab")
+    enough = F.least("lefta", "leftb") * (numerator + denominator) >= (F.col("na") + F.col("nb")) * numerator
+    return one.join(two, "shingle").filter(F.col("a") < F.col("b")).filter("la != lb").filter(fits).filter(enough).select(
+        "a", "b", "la", "lb").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int
           ) -> DataFrame:
     """(node, component) of the representatives that meet in a table."""
     spark = docs.sparkSession
-    members = _members(reps, store)
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = store.write(members.join(weight, "rep"), "weighted")
-    wanted = store.write(classes.join(members.select("rep").distinct(), "rep").select("rep", *CLASS, "best.key"), "wanted")
+    state = _members(reps, store)
+    release(spark)
+    wanted = store.write(classes.join(state.select("rep").distinct(), "rep").select("rep", *CLASS, "best.key"), "wanted")
     found = docs.join(wanted.select("key"), "key", "left_semi").mapInArrow(
         _sets, "f1 long, f2 long, n_shingles long, shingles binary")
-    sets = store.write(found.join(wanted, CLASS).dropDuplicates(CLASS).select(F.col("rep").alias("id"), "shingles"), "sets")
+    sets = found.join(wanted, CLASS).dropDuplicates(CLASS).select(F.col("rep").alias("id"), "shingles")
+    sets = store.write(sets.join(reps.select(F.col("rep").alias("id"), "rights"), "id"), "sets")
     release(spark)
     fits = (F.least("na", "nb") * denominator) >= (F.greatest("na", "nb") * numerator)  # a bound of the similarity
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b, la, lb) that are similar, as edges of components."""
-        wide = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-                .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"))
+    def confirmed(pairs: DataFrame, name: str, tables: bool) -> DataFrame:
+        """The pairs (a, b, la, lb) that are similar, as edges of components
+        (``tables``: of those that have a right key in common)."""
+        wide = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"), F.col("rights").alias("ra")), "a")
+                .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"), F.col("rights").alias("rb")), "b"))
+        if tables:
+            wide = wide.filter(F.arrays_overlap("ra", "rb"))
         with small_batches(spark, 256):
             return store.write(wide.select(F.col("la").alias("a"), F.col("lb").alias("b"), "x", "y").mapInArrow(
                 lambda it: _confirm(it, numerator, denominator), "a long, b long").distinct(), name)
 
     labels = wanted.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
-    state, last, turn = members.withColumn("label", F.col("rep")), False, 0
+    state, last, turn = state.withColumn("label", F.col("rep")), False, 0
     while not last:
-        # pairs of a bucket that are still in different components
-        within = state.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-        open_ = within.groupBy("bucket").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"),
-                                             F.max(F.struct("k", "label")).alias("top"))
+        # pairs under a left key that are still in different components
+        within = state.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+        open_ = within.groupBy("key").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"),
+                                          F.max(F.struct("k", "label")).alias("top"))
         open_ = store.write(open_.filter("all * all > same").select(
-            "bucket", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs"), "all",
+            "key", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs"), "all",
             F.col("top.label").alias("main")), f"open-{turn}")
         load = open_.agg(F.sum("pairs").alias("pairs"), F.sum("all").alias("rows")).first()
         if not load["pairs"]:
             break
-        state = store.write(state.join(open_, "bucket").drop("pairs", "all"), f"state-{turn}")
-        last = turn == HUB_ROUNDS or load["pairs"] <= 4 * load["rows"]
+        state = store.write(state.join(open_, "key").drop("pairs", "all"), f"state-{turn}")
+        last = turn == HUB_ROUNDS
         if last:
-            pairs = _all_pairs(state, reps, store, fits)
+            pairs = _rare_pairs(state, sets, store, fits, numerator, denominator)
         else:
-            # one hub for the bucket's members outside the component that has most of them
+            # one hub for the key's members outside the component that has most of them
             outside = state if turn == 0 else state.filter("label != main")
-            hub = outside.groupBy("bucket").agg(F.max(F.struct(
+            hub = outside.groupBy("key").agg(F.max(F.struct(
                 "weight", (-F.col("rep")).alias("back"), "n", "label")).alias("hub"))
-            hub = hub.select("bucket", (-F.col("hub.back")).alias("b"), F.col("hub.n").alias("nb"),
+            hub = hub.select("key", (-F.col("hub.back")).alias("b"), F.col("hub.n").alias("nb"),
                              F.col("hub.label").alias("lb"))
-            pairs = state.join(hub, "bucket").select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb",
-                                                     F.col("label").alias("la"), "lb").filter("la != lb").filter(fits)
+            pairs = state.join(hub, "key").select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb",
+                                                  F.col("label").alias("la"), "lb").filter("la != lb").filter(fits)
             pairs = pairs.select("a", "b", "la", "lb").distinct()
-        edges = confirmed(pairs, f"links-{turn}")
+        edges = confirmed(pairs, f"links-{turn}", tables=not last)
         merged = components(edges, store, f"components-{turn}")
         merged = store.write(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), f"merged-{turn}")
         labels = store.write(labels.join(merged, "component", "left").select(

@@ -239,3 +239,46 @@ def test_windows_are_compared_a_part_at_a_time(spark, monkeypatch):
     got = {r["doc_id"]: sorted(r["places"]) for r in repeated_places(docs).collect()}
     assert got == {1: list(range(188)), 2: list(range(188))}
     assert sum(parts) == 188 and max(parts) < 188
+
+
+def test_group_that_is_alike_but_not_similar_is_not_listed_pair_by_pair(spark, monkeypatch):
+    """150 texts at a similarity of about 0.5, of which two are linked: rows
+    that are compared do not grow with the square of the group."""
+    import audival.llm.near_dedup as near_dedup
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(base + [f"n{i}x{j}" for j in range(40)])) for i in range(150)]
+    rows.append((400, rows[77][1].replace("w3 ", "v3 ")))
+    label, _ = expected_components(rows)
+    compared = []
+    write = Stages.write
+
+    def counted(store, df, name):
+        out = write(store, df, name)
+        if name == "rare":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(Stages, "write", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_dedup.near_duplicates(df).collect()
+    assert {r.doc_id: r.component_id for r in got} == label and label[400] == 77
+    # a text whose first quarter of shingles nobody else has takes no part
+    assert compared and max(compared) <= len(rows)
+
+
+def test_tables_are_not_listed(spark, monkeypatch):
+    """Members are a row for each key of a side, not for each table."""
+    import audival.llm.near_dedup as near_dedup
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(base[:i] + [f"e{i}"] + base[i + 1:])) for i in range(40)]
+    sizes, write = {}, Stages.write
+
+    def counted(store, df, name):
+        out = write(store, df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(Stages, "write", counted)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    assert max(sizes.values()) <= len(rows) * near_dedup.SIDE
