@@ -36,6 +36,7 @@ told apart by a 64-bit hash of the text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audival.llm.graph import components
-from audival.llm.shared import (WHITE, WordBatch, grams, mix, one_each, release, runs_of, separators, small_batches,
-                                stages, texts)
-from audival.plans.stage import Stager
+from audival.llm.shared import (WHITE, Stages, WordBatch, grams, mix, one_each, release, runs_of, separators,
+                                small_batches, stages, texts)
 
 #: Words of a shingle; keys per side; minima per key.
 SHINGLE, SIDE, MINIMA = 5, 24, 4
@@ -53,6 +53,8 @@ SHINGLE, SIDE, MINIMA = 5, 24, 4
 NUMERATOR, DENOMINATOR = 75, 100
 #: Rounds with hubs before the remaining pairs are looked for by rare shingles.
 HUB_ROUNDS = 2
+#: Keys of texts that are sent to the tasks at a time, parts in which texts are looked for.
+SENT, PARTS = 1 << 20, 8
 #: What tells shingle sets apart.
 CLASS = ["f1", "f2", "n_shingles"]
 _U64 = np.uint64
@@ -139,7 +141,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int
             pa.array(linked, pa.bool_()))
 
 
-def _members(reps: DataFrame, store: Stager) -> DataFrame:
+def _members(reps: DataFrame, store: Stages) -> DataFrame:
     """(key, rep, n, weight): left keys shared by two representatives or more.
     Only those take part that share a left key with one and a right key with
     one, so two that meet in a table are together under a left key; rows grow
@@ -154,6 +156,23 @@ def _members(reps: DataFrame, store: Stager) -> DataFrame:
     return store.write(members.join(weight, "rep"), "weighted")
 
 
+def _full_sets(docs: DataFrame, wanted: DataFrame, store: Stages) -> DataFrame:
+    """(rep, shingles, rights) of the representatives ``wanted``. Their texts are
+    looked for by the keys, which are sent to the tasks while they are few; texts
+    are shuffled only for more, and a part of them at a time."""
+    many, out = wanted.count(), []
+    parts = max(1, min(PARTS, -(-many // SENT)))
+    for k in range(parts):
+        part = wanted.filter(F.pmod("key", F.lit(parts)) == k)
+        keys = part.select("key")
+        texts_ = docs.filter(F.pmod("key", F.lit(parts)) == k).join(
+            keys.hint("broadcast") if many <= SENT * parts else keys, "key", "left_semi")
+        found = texts_.mapInArrow(_sets, "f1 long, f2 long, n_shingles long, shingles binary")
+        out.append(store.write(found.join(part, CLASS).dropDuplicates(CLASS).select("rep", "shingles", "rights"), f"sets-{k}"))
+        release(docs.sparkSession)
+    return reduce(DataFrame.unionByName, out)
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """The rows whose key two representatives or more have."""
     keys = rows.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi")
@@ -162,14 +181,14 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        for rep, n, label, x in zip(*(got.column(c) for c in ("rep", "n", "label", "shingles"))):
+        for rep, label, x in zip(*(got.column(c) for c in ("rep", "label", "shingles"))):
             s = np.frombuffer(x.as_buffer(), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s), *(pa.array(np.full(len(s), v.as_py())) for v in (rep, n, label))],
-                names=["shingle", "rep", "n", "label"])
+                [pa.array(s), *(pa.array(np.full(len(s), v.as_py())) for v in (rep, label))],
+                names=["shingle", "rep", "label"])
 
 
-def _rare_pairs(state: DataFrame, sets: DataFrame, store: Stager, fits: Column, numerator: int, denominator: int
+def _rare_pairs(state: DataFrame, sets: DataFrame, store: Stages, fits: Column, numerator: int, denominator: int
                 ) -> DataFrame:
     """Every pair of representatives that are still in two components and can
     be similar at all, each once. Shingles have one order: first those that only
@@ -179,13 +198,14 @@ def _rare_pairs(state: DataFrame, sets: DataFrame, store: Stager, fits: Column,
     such one there are enough left. Shingles of one component pair nothing."""
     open_ = store.write(state.select("rep", "n", "label").distinct(), "open-reps")
     rows = sets.select(F.col("id").alias("rep"), "shingles").join(open_, "rep").select(
-        "rep", "n", "label", "shingles").mapInArrow(_exploded, "shingle long, rep long, n long, label long")
-    rows = store.write(rows, "open-shingles")
+        "rep", "label", "shingles").mapInArrow(_exploded, "shingle long, rep long, label long")
+    rows = rows.repartition("shingle")  # dealt once, for the counts and for what is looked up in them
     mixed = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("x"),
                                         F.max("label").alias("y")).filter("x < y").select("shingle", "many")
     # at most the shingles of a text
-    order = rows.join(mixed, "shingle").groupBy("rep", "n", "label").agg(
-        F.sort_array(F.collect_list(F.struct("many", "shingle"))).alias("order"))
+    order = store.write(rows.join(mixed, "shingle").groupBy("rep").agg(
+        F.sort_array(F.collect_list(F.struct("many", "shingle"))).alias("order")), "order").join(open_, "rep")
+    release(state.sparkSession)
     first = F.col("n") - F.ceil(F.col("n") * numerator / denominator) + 1 - (F.col("n") - F.size("order"))
     order = order.withColumn("first", first.cast("int")).filter("first > 0")
     rare = order.select("rep", "n", "label", (F.col("n") - F.size("order")).alias("before"),
@@ -200,18 +220,17 @@ def _rare_pairs(state: DataFrame, sets: DataFrame, store: Stager, fits: Column,
         "a", "b", "la", "lb").distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, reps: DataFrame, store: Stager, numerator: int, denominator: int
+def links(docs: DataFrame, classes: DataFrame, reps: DataFrame, store: Stages, numerator: int, denominator: int
           ) -> DataFrame:
     """(node, component) of the representatives that meet in a table."""
     spark = docs.sparkSession
     state = _members(reps, store)
     release(spark)
-    wanted = store.write(classes.join(state.select("rep").distinct(), "rep").select("rep", *CLASS, "best.key"), "wanted")
-    found = docs.join(wanted.select("key"), "key", "left_semi").mapInArrow(
-        _sets, "f1 long, f2 long, n_shingles long, shingles binary")
-    sets = found.join(wanted, CLASS).dropDuplicates(CLASS).select(F.col("rep").alias("id"), "shingles")
-    sets = store.write(sets.join(reps.select(F.col("rep").alias("id"), "rights"), "id"), "sets")
-    release(spark)
+    wanted = classes.join(state.select("rep").distinct(), "rep").select("rep", *CLASS, "best.key")
+    wanted = store.write(wanted.join(reps.select("rep", "rights"), "rep"), "wanted")
+    sets = _full_sets(docs, wanted, store).withColumnRenamed("rep", "id")
+    for done in ("reps", "near-left", "near-right", "members"):
+        store.drop(done)
     fits = (F.least("na", "nb") * denominator) >= (F.greatest("na", "nb") * numerator)  # a bound of the similarity
 
     def confirmed(pairs: DataFrame, name: str, tables: bool) -> DataFrame:
@@ -269,7 +288,7 @@ def _key(doc_id: Column, text: Column) -> Column:
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, side: int, minima: int, numerator: int, denominator: int,
-                store: Stager) -> DataFrame:
+                store: Stages) -> DataFrame:
     """Per row: doc_id, key, n_shingles and, if it has words, component (a
     number) and best: the row that stands for the component."""
     docs = texts(docs, id_col, text_col).withColumn("key", _key(F.col("doc_id"), F.col("text")))
@@ -283,13 +302,16 @@ def _components(docs: DataFrame, id_col: str, text_col: str, side: int, minima:
     reps = filled.join(classes.select("rep", *CLASS, "best.key"), [*CLASS, "key"]).select(
         "rep", F.col("n_shingles").alias("n"), "lefts", "rights").dropDuplicates(["rep"])
     reps = store.write(reps, "reps")
+    rows = store.write(sketches.drop("lefts", "rights"), "row-classes")
+    store.drop("sketches")
+    release(docs.sparkSession)
     found = links(docs, classes, reps, store, numerator, denominator)
     release(docs.sparkSession)
     labels = store.write(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         *CLASS, "best", F.coalesce("component", "rep").alias("component")), "labels")
     names = labels.groupBy("component").agg(F.min("best").alias("best"))
     labels = labels.drop("best").join(names, "component")
-    return sketches.drop("lefts", "rights").join(labels, CLASS, "left")
+    return rows.join(labels, CLASS, "left")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = SIDE,
