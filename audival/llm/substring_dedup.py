@@ -39,8 +39,10 @@ WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Bytes of text whose anchors make a partition.
 PART_BYTES = 8 << 20
-#: Parts in which windows are compared.
+#: Parts in which windows are compared and texts are dealt to their anchors.
 SLICES = 4
+#: Parts in which anchors are looked up, a power of two.
+LOOKUPS = 2
 #: What tells rows apart: the doc_id and 128 bits of the text (zeros where ids
 #: are unique).
 ROW = ["doc_id", "mark", "more"]
@@ -90,14 +92,17 @@ def _cut(columns: list[np.ndarray], names: list[str], rows: int = 50_000) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c[at:at + rows]) for c in columns], names=names)
 
 
-def _placed_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed_anchors(batches: Iterator[pa.RecordBatch], part: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The anchors whose lowest bits are ``part``."""
     for got in batches:
         owner = [got.column(c).to_numpy(zero_copy_only=False) for c in ROW]
         for lo, batch, words in _words(got.column("text")):
             at, text, place = _anchor_places(batch)
             if len(at):
-                yield from _cut([grams(words, ANCHOR, 11)[at].view(np.int64), *(c[lo + text] for c in owner),
-                                 place.astype(np.int32)], ["anchor", *ROW, "place"])
+                h = grams(words, ANCHOR, 11)[at]
+                mine = h & _U64(parts - 1) == _U64(part)
+                yield from _cut([h[mine].view(np.int64), *(c[lo + text[mine]] for c in owner),
+                                 place[mine].astype(np.int32)], ["anchor", *ROW, "place"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +168,29 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     seen = docs.select("text").mapInArrow(_anchors, "anchor long, n int").repartition(parts, "anchor")
     shared = store.write(seen.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "shared")
     release(spark)
-    # what is looked up is distinct and small beside what looks: it is hashed, the other side is not sorted
-    placed = docs.mapInArrow(_placed_anchors, "anchor long, doc_id long, mark long, more long, place int")
-    found = store.write(placed.join(shared.hint("shuffle_hash"), "anchor").groupBy(*ROW).agg(
-        F.collect_set("place").alias("places")), "anchored")  # at most the document's length, however many copies
-    release(spark)
-    windows = store.write(docs.join(found.hint("shuffle_hash"), ROW).mapInArrow(
-        _windows, "window long, check int, doc_id long, mark long, more long, place int"), "windows")
-    release(spark)
+    # what is looked up is distinct and small beside what looks: it is hashed, the other side is not sorted; a part of
+    # the anchors at a time, so that only a part of the places is being shuffled
+    found = []
+    for k in range(LOOKUPS):
+        placed = docs.mapInArrow(lambda it, k=k: _placed_anchors(it, k, LOOKUPS),
+                                 "anchor long, doc_id long, mark long, more long, place int")
+        mine = shared.filter(F.pmod("anchor", F.lit(LOOKUPS)) == k)
+        found.append(store.write(placed.join(mine.hint("shuffle_hash"), "anchor").groupBy(*ROW).agg(
+            F.collect_set("place").alias("places")), f"anchored-{k}"))  # at most the document's length, however many copies
+        del placed
+        release(spark)
+    store.drop("shared")
+    # a place has one anchor, so no place is in two parts; texts are dealt a part of the rows at a time
+    found = reduce(DataFrame.unionByName, found).groupBy(*ROW).agg(F.flatten(F.collect_list("places")).alias("places"))
+    windows = []
+    slice_ = F.pmod(F.xxhash64(*ROW), F.lit(SLICES))
+    for k in range(SLICES):
+        windows.append(store.write(docs.filter(slice_ == k).join(found.filter(slice_ == k).hint("shuffle_hash"), ROW).mapInArrow(
+            _windows, "window long, check int, doc_id long, mark long, more long, place int"), f"windows-{k}"))
+        release(spark)
+    for k in range(LOOKUPS):
+        store.drop(f"anchored-{k}")
+    windows = reduce(DataFrame.unionByName, windows)
     # windows are looked at a part of their hashes at a time, so that only a part of them is being shuffled
     hits = []
     for k in range(SLICES):
@@ -182,8 +202,8 @@ def repeated_places(docs: DataFrame) -> DataFrame:
             *ROW, "place"), f"hits-{k}"))
         store.drop("least")
         release(spark)
-    for done in ("shared", "anchored", "windows"):
-        store.drop(done)
+    for k in range(SLICES):
+        store.drop(f"windows-{k}")
     out = store.write(reduce(DataFrame.unionByName, hits).groupBy(*ROW).agg(F.collect_set("place").alias("places")), "places")
     for k in range(SLICES):
         store.drop(f"hits-{k}")

@@ -282,3 +282,22 @@ def test_tables_are_not_listed(spark, monkeypatch):
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {0}
     assert max(sizes.values()) <= len(rows) * near_dedup.SIDE
+
+
+def test_anchors_and_texts_are_dealt_a_part_at_a_time(spark, monkeypatch):
+    """No one shuffle holds all places of anchors or all texts."""
+    words = [" ".join(f"w{k}" for k in range(j % 4 * 50, j % 4 * 50 + 60)).encode() for j in range(40)]
+    docs = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(words)], "doc_id long, mark long, more long, text binary")
+    places, texts, write = [], [], Stages.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        if name.startswith("anchored"):
+            places.append(out.agg(F.sum(F.size("places"))).first()[0] or 0)
+        if name.startswith("windows"):
+            texts.append(out.select("doc_id").distinct().count())
+        return out
+    monkeypatch.setattr(Stages, "write", counted)
+    got = {r["doc_id"]: sorted(r["places"]) for r in repeated_places(docs).collect()}
+    assert {i for i in got if got[i] == list(range(48))} == set(range(4, 40)) == {i for i in got if len(got[i]) == 48}
+    assert sum(texts) == 40 and max(texts) < 40 and 0 < max(places) < sum(places)
