@@ -9,14 +9,17 @@ grows with the words of the corpus, and emissions are a Spark table, one row a
 class, that never passes through the driver:
 
 * ``runs``: texts become sequences of word numbers, a run of texts at a time;
-* word counts are summed over the distinct words of the runs, so a frequent
-  word is one row per run, and joined back to the runs;
-* Baum-Welch: in every round the emission table is joined to the distinct
-  classes of the runs, each run sums its expected counts, and they are added up
-  by class into the next table. Classes are dealt into buckets by hash, and what
-  a run needs or gives of a bucket is one row. The driver has only the start
-  and transition tables and the emission totals of the states. Training
-  sequences are pieces of at most ``PIECE`` tokens, all texts whole;
+* words are dealt into buckets by hash; a run's words of a bucket are one row,
+  and so is what comes back to the run: their training counts and classes;
+* the emission table has one row a bucket: its classes, their counts by state
+  and, for each run, the places of the run's classes among them;
+* Baum-Welch: in every round a bucket sends each run the emissions of its
+  classes, the run sums its expected counts, and they are added up by bucket
+  into the next table. The runs go through a round in ``PARTS`` parts, one
+  after another, so only one part's emissions and counts are being shuffled.
+  The driver has only the start and transition tables and the emission totals
+  of the states. Training sequences are pieces of at most ``PIECE`` tokens, all
+  texts whole;
 * a text's score is the exact forward recursion over the whole text, scaled
   in every step.
 
@@ -36,21 +39,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audival.llm.shared import (WHITE, WordBatch, byte_map, mix, release, runs_of, separators, small_batches, stages,
-                                texts)
+from audival.llm.shared import (WHITE, Stages, WordBatch, byte_map, mix, release, runs_of, separators, small_batches,
+                                stages, texts)
 
 #: States, training count from which a word has a class of its own, shared
 #: classes, Baum-Welch rounds, tokens of a training piece.
 STATES, OWN_FROM, SHARED, ROUNDS, PIECE = 8, 2, 2048, 8, 256
 #: Tokens of a run (one text is never cut) and of what is trained on at a time.
-RUN_TOKENS, PART_TOKENS = 1 << 20, 1 << 17
-#: Buckets of classes for each shuffle partition.
-BUCKETS = 8
+RUN_TOKENS, PART_TOKENS = 1 << 22, 1 << 19
+#: Buckets of words for each shuffle partition, parts of the runs in a round.
+BUCKETS, PARTS = 2, 3
 _U64 = np.uint64
 _END = np.int64(-7046029254386353131)
 _CODED = ("run long, doc_ids array<long>, held array<boolean>, lengths binary, classes binary, "
-          "n_classes int, kinds binary, known array<long>, base array<double>, within array<double>")
-_EMIT = "bucket int, cls long, weight double, counts array<double>"
+          "known array<long>, base array<double>, within array<double>")
+_RUNS = ("run long, doc_ids array<long>, held array<boolean>, lengths binary, numbers binary, "
+         "n_kinds int, kinds binary, counts binary, shapes binary")
+_TABLE = ("bucket int, cls binary, weight binary, counts binary, runs array<long>, sizes array<int>, "
+          "places array<binary>, sums array<double>")
+_NEEDS = "run long, bucket int, n int, of int, places binary, emit binary"
+_SUMS = "bucket int, n int, of int, places binary, sums binary"
 
 
 def crc_of_id(doc_id: Column) -> Column:
@@ -59,7 +67,7 @@ def crc_of_id(doc_id: Column) -> Column:
 
 # ------------------------------------------------------------------ the runs
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     sep, lower = separators(WHITE), byte_map(True)
     run = TaskContext.get().partitionId() << 32
     for got in batches:
@@ -73,21 +81,38 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens[inner] = batch.hashes(True).view(np.int64)
             shape = np.zeros(len(tokens), dtype=np.int32)
             shape[inner] = _shapes(batch)
-            parts.append((sizes, tokens, shape))
-            if hi < got.num_rows and sum(len(t) for _, t, _ in parts) < RUN_TOKENS:
+            train = ~got.column("held").slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)
+            kinds, at, number = _distinct(tokens)
+            count = np.bincount(number, weights=np.repeat(train, sizes), minlength=len(kinds))
+            parts.append((sizes, number.astype(np.int32), kinds, count, shape[at]))
+            if hi < got.num_rows and sum(len(x[1]) for x in parts) < RUN_TOKENS:
                 continue
-            yield _run(run, got.slice(begin, hi - begin), *(np.concatenate(x) for x in zip(*parts)))
+            yield _run(run, got.slice(begin, hi - begin), buckets, parts)
             parts, begin, run = [], hi, run + 1
 
 
-def _run(run: int, rows: pa.RecordBatch, sizes: np.ndarray, tokens: np.ndarray, shape: np.ndarray) -> pa.RecordBatch:
-    kinds, first, number = np.unique(tokens, return_index=True, return_inverse=True)
-    train = ~rows.column("held").to_numpy(zero_copy_only=False).astype(bool)
-    count = np.bincount(number, weights=np.repeat(train, sizes).astype(float), minlength=len(kinds))
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and the number of each value."""
+    kinds, number = np.unique(x, return_inverse=True)
+    at = np.empty(len(kinds), dtype=np.int64)
+    at[number[::-1]] = np.arange(len(x))[::-1]
+    return kinds, at, number
+
+
+def _run(run: int, rows: pa.RecordBatch, buckets: int, parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Texts as numbers among the run's distinct words, which are in order of bucket."""
+    sizes, _, words, counts, shapes = (np.concatenate(x) for x in zip(*parts))
+    kinds, at, number = _distinct(words)
+    count = np.bincount(number, weights=counts, minlength=len(kinds))
+    order = np.argsort(_bucket(kinds, buckets), kind="stable")
+    place = np.empty(len(kinds), dtype="<i4")
+    place[order] = np.arange(len(kinds))
+    each = np.split(place[number], np.cumsum([len(x[2]) for x in parts])[:-1])
+    numbers = np.concatenate([x[part[1]] for x, part in zip(each, parts)])
     return pa.RecordBatch.from_arrays(
         [pa.array([run], pa.int64()), _row(rows.column("doc_id")), _row(rows.column("held")), _blob(sizes.astype("<i4")),
-         _blob(number.astype("<i4")), pa.array([len(kinds)], pa.int32()), _blob(kinds), _blob(count.astype("<i4")),
-         _blob(shape[first])],
+         _blob(numbers), pa.array([len(kinds)], pa.int32()), _blob(kinds[order]), _blob(count[order].astype("<i4")),
+         _blob(shapes[at][order])],
         names=["run", "doc_ids", "held", "lengths", "numbers", "n_kinds", "kinds", "counts", "shapes"])
 
 
@@ -118,18 +143,59 @@ def _unblob(column: pa.Array, row: int, dtype: str, n: int) -> np.ndarray:
     return np.frombuffer(raw, dtype=dtype)
 
 
-def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, run, place, n, shape): the distinct words of each run."""
+def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, run, tokens, counts, shapes): the distinct words of each run by bucket."""
     for got in batches:
         for row in range(got.num_rows):
             n = got.column("n_kinds")[row].as_py()
             kinds, counts, shapes = (_unblob(got.column(c), row, t, n) for c, t in
                                      (("kinds", "<i8"), ("counts", "<i4"), ("shapes", "<i4")))
-            run, place = np.full(n, got.column("run")[row].as_py()), np.arange(n, dtype=np.int32)
-            for at in range(0, n, 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[at:at + 50_000]) for x in (kinds, run, place, counts, shapes)],
-                    names=["token", "run", "place", "n", "shape"])
+            which, at = np.unique(_bucket(kinds, buckets), return_index=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(which), pa.array(np.full(len(which), got.column("run")[row].as_py()))]
+                + [_cut(x, at) for x in (kinds, counts, shapes)], names=["bucket", "run", "tokens", "counts", "shapes"])
+
+
+def _cut(x: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes of each stretch that begins at ``at``."""
+    return pa.array([part.tobytes() for part in np.split(x, at[1:])], pa.binary())
+
+
+def _joined(column: pa.ChunkedArray, dtype: str) -> np.ndarray:
+    """All rows of a binary column, one after another."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
+
+
+def _counted(dealt: pa.Table) -> pa.Table:
+    """(run, bucket, classes, ns): each run's words of a bucket with their
+    training counts and classes; and, as run -1, the bucket's classes with
+    their counts and numbers of words seen once and seen."""
+    dealt = dealt.take(np.argsort(dealt.column("run").to_numpy()))
+    tokens, first, number = _distinct(_joined(dealt.column("tokens"), "<i8"))
+    n = np.bincount(number, weights=_joined(dealt.column("counts"), "<i4")).astype("<i8")
+    cls = np.where((n >= OWN_FROM) | (tokens == _END), tokens, _joined(dealt.column("shapes"), "<i4")[first])
+    sizes = np.array([len(x) // 8 for x in dealt.column("tokens").to_pylist()])
+    at = np.cumsum(sizes) - sizes
+    kinds, which = np.unique(cls, return_inverse=True)
+    totals = [np.bincount(which, weights=x).astype("<i8").tobytes() for x in (n, n == 1, n > 0)]
+    runs = pa.concat_arrays([dealt.column("run").combine_chunks(), pa.array([-1], pa.int64())])
+    bucket = pa.array(np.full(len(runs), dealt.column("bucket")[0].as_py()), pa.int32())
+    return pa.table(
+        [runs, bucket, pa.concat_arrays([_cut(cls[number], at), pa.array([kinds.astype("<i8").tobytes()], pa.binary())]),
+         pa.concat_arrays([_cut(n[number], at), pa.array([b"".join(totals)], pa.binary())])],
+        names=["run", "bucket", "classes", "ns"])
+
+
+def _class_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, n, once, words, classes) of a bucket's shared classes, and of all others together as class -1."""
+    for got in batches:
+        for cls, ns in zip(got.column("classes"), got.column("ns")):
+            cls, ns = (np.frombuffer(x.as_buffer(), dtype="<i8") for x in (cls, ns))
+            ns = np.concatenate([ns.reshape(3, -1), np.ones((1, len(cls)), dtype="<i8")])
+            own = (cls < 0) | (cls >= SHARED)
+            ns = np.concatenate([ns[:, ~own], ns[:, own].sum(axis=1, keepdims=True)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.append(cls[~own], -1), *ns)],
+                                             names=["cls", "n", "once", "words", "classes"])
 
 
 @dataclass(frozen=True)
@@ -151,44 +217,62 @@ class ClassTables:
         return np.where(shared, np.log10(np.where(count > 0, count, once) / (mass + once)), 0.0)
 
 
+@dataclass(frozen=True)
+class Words:
+    """The stored words of all runs by bucket, and the weight of all classes."""
+    rows: DataFrame
+    tables: ClassTables
+    weight: float
+    store: Stages
+
+
 def _bucket(cls: np.ndarray, buckets: int) -> np.ndarray:
     return (mix(cls.astype(np.int64).view(_U64) ^ _U64(0x5851F42D4C957F2D)) % _U64(buckets)).astype(np.int32)
 
 
-def _code(batches: Iterator[pa.RecordBatch], tables: ClassTables, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Runs with their words' counts and classes: class sequences as places
+def _code(run: pa.Table, words: pa.Table, tables: ClassTables, buckets: int) -> pa.Table:
+    """A run with its words' counts and classes: class sequences as places
     among the run's classes, in order of bucket and class, and per text the
     sums that do not depend on the states."""
-    for got in batches:
-        for row in range(got.num_rows):
-            ids = got.column("doc_ids")[row]
-            count, cls = (np.asarray(got.column(c)[row].values, dtype=np.int64) for c in ("ns", "classes"))
-            sizes = _unblob(got.column("lengths"), row, "<i4", len(ids)).astype(np.int64)
-            number = _unblob(got.column("numbers"), row, "<i4", int(sizes.sum()))
-            at = np.cumsum(sizes) - sizes
-            sums = [np.add.reduceat(x[number], at) for x in
-                    ((count > 0).astype(np.int64), tables.log_unigram(count), tables.log_within(count, cls))]
-            kinds, local = np.unique(cls, return_inverse=True)
-            order = np.lexsort((kinds, _bucket(kinds, buckets)))
-            place = np.empty(len(kinds), dtype="<i4")
-            place[order] = np.arange(len(kinds))
-            yield pa.RecordBatch.from_arrays(
-                [got.column("run").slice(row, 1), _row(ids.values), _row(got.column("held")[row].values),
-                 got.column("lengths").slice(row, 1), _blob(place[local][number]), pa.array([len(kinds)], pa.int32()),
-                 _blob(kinds[order].astype("<i8"))] + [_row(x) for x in sums],
-                names=["run", "doc_ids", "held", "lengths", "classes", "n_classes", "kinds", "known", "base", "within"])
+    words = words.take(np.argsort(words.column("bucket").to_numpy()))
+    count, cls = _joined(words.column("ns"), "<i8"), _joined(words.column("classes"), "<i8")
+    ids, held = (run.column(c)[0].values for c in ("doc_ids", "held"))
+    sizes = _unblob(run.column("lengths"), 0, "<i4", len(ids)).astype(np.int64)
+    number = _unblob(run.column("numbers"), 0, "<i4", int(sizes.sum()))
+    at = np.cumsum(sizes) - sizes
+    sums = [np.add.reduceat(x[number], at) for x in
+            ((count > 0).astype(np.int64), tables.log_unigram(count), tables.log_within(count, cls))]
+    kinds, local = np.unique(cls, return_inverse=True)
+    place = np.empty(len(kinds), dtype="<i4")
+    place[np.argsort(_bucket(kinds, buckets), kind="stable")] = np.arange(len(kinds))
+    return pa.table(
+        [run.column("run"), _row(ids), _row(held), run.column("lengths"), _blob(place[local][number])]
+        + [_row(x) for x in sums],
+        names=["run", "doc_ids", "held", "lengths", "classes", "known", "base", "within"])
 
 
 def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, run, kinds): a run's classes by bucket."""
+    """(bucket, run, kinds, ns): a run's classes by bucket; as run -1 the
+    bucket's classes of one word with their counts. A word's bucket is that of
+    its own class; shared classes have others."""
     for got in batches:
         for row in range(got.num_rows):
-            kinds = _unblob(got.column("kinds"), row, "<i8", got.column("n_classes")[row].as_py())
-            which, at = np.unique(_bucket(kinds, buckets), return_index=True)
-            run = np.full(len(which), got.column("run")[row].as_py())
+            run, cls = got.column("run")[row].as_py(), np.frombuffer(got.column("classes")[row].as_buffer(), dtype="<i8")
+            ns = [None]
+            if run < 0:
+                own = (cls < 0) | (cls >= SHARED)
+                if not own.any():
+                    continue
+                ns = [np.frombuffer(got.column("ns")[row].as_buffer(), dtype="<i8")[:len(cls)][own].tobytes()]
+                which, at, cls = got.column("bucket").slice(row, 1), np.zeros(1, dtype=int), cls[own]
+            else:
+                cls = np.unique(cls)
+                bucket = _bucket(cls, buckets)
+                cls = cls[np.argsort(bucket, kind="stable")]
+                which, at = np.unique(np.sort(bucket), return_index=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(which), pa.array(run), pa.array([x.tobytes() for x in np.split(kinds, at[1:])], pa.binary())],
-                names=["bucket", "run", "kinds"])
+                [pa.array(which), pa.array(np.full(len(at), run)), _cut(cls, at), pa.array(ns * len(at), pa.binary())],
+                names=["bucket", "run", "kinds", "ns"])
 
 
 # ------------------------------------------------------------------ the model
@@ -238,39 +322,41 @@ def forward(model: Model, cls: np.ndarray, at: np.ndarray, sizes: np.ndarray) ->
 
 def expected_counts(model: Model, cls: np.ndarray, at: np.ndarray, sizes: np.ndarray, first: np.ndarray
                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch sums over pieces: starts, inside starts, moves, emissions."""
+    """Baum-Welch sums over pieces: starts, inside starts, moves, emissions.
+    All pieces in step, a row a state; floats are those of ``model.emit``."""
+    states, real = len(model.start), model.emit.dtype
     order = np.argsort(-sizes, kind="stable")
     at, sizes, first = at[order], sizes[order], first[order]
     live = np.searchsorted(-sizes, -np.arange(1, int(sizes[0]) + 1), side="right")
-    kept, scales = [], []
+    edge = np.concatenate([[0], np.cumsum(live)])
+    which = np.concatenate([cls[at[:n] + t] for t, n in enumerate(live)]).astype(np.intp)
+    step = np.take(np.ascontiguousarray(model.emit.T), which, axis=1)  # each token's emissions, then over its scale
+    post = np.empty_like(step)
+    on, back = np.ascontiguousarray(model.move.T, dtype=real), model.move.astype(real)
+    alpha = np.where(first, model.start[:, None], model.inside[:, None]).astype(real)
     for t, n in enumerate(live):
-        alpha = np.where(first[:, None], model.start, model.inside) if t == 0 else kept[-1][:n] @ model.move
-        alpha = alpha * model.emit[cls[at[:n] + t]]
-        scale = alpha.sum(axis=1, keepdims=True)
-        alpha /= scale
-        kept.append(alpha)
-        scales.append(scale)
-    move = np.zeros_like(model.move)
-    beta = np.ones((0, len(model.start)))
-    who = []
+        now = step[:, edge[t]:edge[t + 1]]
+        alpha = (on @ alpha[:, :n] if t else alpha) * now
+        scale = 1 / alpha.sum(axis=0)
+        alpha *= scale
+        now *= scale
+        post[:, edge[t]:edge[t + 1]] = alpha
+    move = np.zeros((states, states))
+    beta = np.ones((states, 0), dtype=real)
     for t in range(len(live) - 1, -1, -1):
-        n = int(live[t])
-        if t + 1 < len(live):
-            m = int(live[t + 1])
-            onward = beta * model.emit[who[-1]] / scales[t + 1]
-            move += kept[t][:m].T @ onward
-            now = np.ones((n, len(model.start)))
-            now[:m] = onward @ model.move.T
-        else:
-            now = np.ones((n, len(model.start)))
-        beta = now
-        kept[t] *= beta  # from here on the states' posterior
-        kept[t] /= kept[t].sum(axis=1, keepdims=True)
-        who.append(cls[at[:n] + t])
-    opening = kept[0].copy()
-    flat, which = np.concatenate(kept[::-1]), np.concatenate(who)
-    emit = np.stack([np.bincount(which, weights=flat[:, k], minlength=len(model.emit)) for k in range(flat.shape[1])], 1)
-    return opening[first].sum(axis=0), opening[~first].sum(axis=0), move * model.move, emit
+        here, now = post[:, edge[t]:edge[t + 1]], np.ones((states, int(live[t])), dtype=real)
+        if m := beta.shape[1]:
+            onward = beta * step[:, edge[t + 1]:edge[t + 2]]
+            move += here[:, :m] @ onward.T
+            now[:, :m] = back @ onward
+        here *= now  # from here on the states' posterior
+        scale = 1 / here.sum(axis=0)
+        here *= scale
+        beta = now * scale
+    emit = np.stack([np.bincount(which, weights=x, minlength=len(model.emit)) for x in post]).T
+    opening = post[:, :len(sizes)]
+    return (opening[:, first].sum(axis=1, dtype=float), opening[:, ~first].sum(axis=1, dtype=float), move * model.move,
+            emit)
 
 
 def _pieces(sizes: np.ndarray, train: np.ndarray, piece: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,145 +368,204 @@ def _pieces(sizes: np.ndarray, train: np.ndarray, piece: int) -> tuple[np.ndarra
     return at[text] + k * piece, np.minimum(piece, sizes[text] - k * piece), k == 0
 
 
-def _first(batches: Iterator[pa.RecordBatch], total: float, states: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for got in batches:
-        cls, weight = (got.column(c).to_numpy() for c in ("cls", "weight"))
-        yield _emissions(_bucket(cls, buckets), cls, weight, first_emissions(weight / total, cls, states))
+def _first(index: pa.Table, tables: ClassTables, total: float, states: int) -> pa.Table:
+    """A bucket's row of the first emission table."""
+    kinds = {}
+    for run, x in zip(index.column("run").to_pylist(), index.column("kinds").to_pylist()):
+        kinds.setdefault(run, []).append(np.frombuffer(x, dtype="<i8"))
+    own = kinds.pop(-1, [np.zeros(0, dtype="<i8")])[0]
+    runs = {run: np.unique(np.concatenate(x)) for run, x in sorted(kinds.items())}
+    shared = np.unique(np.concatenate([own[:0], *(x[(x >= 0) & (x < SHARED)] for x in runs.values())]))
+    # unseen words get weight in a class even where no training word is
+    weight = np.concatenate([_joined(index.column("ns").drop_null(), "<i8"), tables.mass[shared] + tables.once[shared]]) + 0.5
+    cls = np.concatenate([own, shared])
+    order = np.argsort(cls)
+    cls, weight = cls[order], weight[order]
+    places = [np.searchsorted(cls, x) for x in runs.values()]
+    counts = first_emissions(weight / total, cls, states)
+    return _bucket_row(index.column("bucket")[0].as_py(), cls.tobytes(), weight.tobytes(), counts, counts.sum(axis=0),
+                       list(runs), [len(at) for at in places],
+                       [_blob(np.diff(at, prepend=0).astype("<i4"))[0].as_py() for at in places])
 
 
-def _emissions(bucket: np.ndarray, cls: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    n, states = counts.shape
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket, pa.int32()), pa.array(cls, pa.int64()), pa.array(weight, pa.float64()),
-         pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * states, pa.int32()), pa.array(counts.ravel(), pa.float64()))],
-        names=["bucket", "cls", "weight", "counts"])
+def _bucket_row(bucket: int, cls: bytes, weight: bytes, counts: np.ndarray, sums: np.ndarray, runs: list, sizes: list,
+                places: list) -> pa.Table:
+    return pa.table(
+        [pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (cls, weight, counts.astype("<f4").tobytes())),
+         pa.array([runs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+         pa.array([places], pa.list_(pa.binary())), _row(sums)],
+        names=["bucket", "cls", "weight", "counts", "runs", "sizes", "places", "sums"])
 
 
-def _words(table: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of a bucket in order, their weights and counts."""
-    cls, weight = (table.column(c).to_numpy() for c in ("cls", "weight"))
-    counts = table.column("counts").combine_chunks().flatten().to_numpy().reshape(len(cls), states)
-    order = np.argsort(cls)
-    return cls[order], weight[order], counts[order]
+def _places(blob: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(pa.decompress(blob, decompressed_size=4 * n, codec="zstd"), dtype="<i4"))
 
 
-def _spread(emit: pa.Table, index: pa.Table, norm: np.ndarray) -> pa.Table:
-    """(run, bucket, places, emit): what the runs need of a bucket."""
-    n, states = index.num_rows, len(norm)
-    places, values = [], []
-    if n:
-        cls, _, counts = _words(emit, states)
-        share = (counts / norm).astype("<f4")
-        for kinds in index.column("kinds"):
-            at = np.searchsorted(cls, np.frombuffer(kinds.as_buffer(), dtype="<i8")).astype("<i4")
-            places.append(at.tobytes())
-            values.append(share[at].tobytes())
-    return pa.table([index.column("run"), index.column("bucket"), pa.array(places, pa.binary()),
-                     pa.array(values, pa.binary())], names=["run", "bucket", "places", "emit"])
+def _part(run: int, parts: int) -> int:
+    return ((run >> 32) + run) % parts
 
 
-def _gathered(coded: pa.Table, spread: pa.Table, states: int
+def _spread(batches: Iterator[pa.RecordBatch], norm: np.ndarray, part: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """What the runs of a part need of each bucket."""
+    states = len(norm)
+    for got in batches:
+        for row in range(got.num_rows):
+            share = np.frombuffer(got.column("counts")[row].as_buffer(), dtype="<f4").reshape(-1, states)
+            share = (share / norm).astype("<f4")
+            for run, n, places in zip(*(got.column(c)[row].as_py() for c in ("runs", "sizes", "places"))):
+                if _part(run, parts) == part:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([run], pa.int64()), got.column("bucket").slice(row, 1), pa.array([n], pa.int32()),
+                         pa.array([len(share)], pa.int32()), pa.array([places], pa.binary()),
+                         pa.array([share[_places(places, n)].tobytes()], pa.binary())],
+                        names=["run", "bucket", "n", "of", "places", "emit"])
+
+
+def _gathered(coded: pa.Table, needs: pa.Table, states: int
               ) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A run's rows of the emission table by bucket, and with them its
     emissions, lengths, classes and texts held out."""
-    spread = spread.take(np.argsort(spread.column("bucket").to_numpy()))
-    emit = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<f4") for x in spread.column("emit")])
+    needs = needs.take(np.argsort(needs.column("bucket").to_numpy()))
+    emit = _joined(needs.column("emit"), "<f4").reshape(-1, states)
     held = coded.column("held")[0].values.to_numpy(zero_copy_only=False).astype(bool)
     sizes = _unblob(coded.column("lengths"), 0, "<i4", len(held)).astype(np.int64)
     cls = _unblob(coded.column("classes"), 0, "<i4", int(sizes.sum()))
-    return spread, emit.reshape(-1, states).astype(float), sizes, cls, held
+    return needs, emit, sizes, cls, held
 
 
-def _expect(coded: pa.Table, spread: pa.Table, model: Model, piece: int, buckets: int) -> pa.Table:
-    """(bucket, places, sums): a run's expected counts; its starts and moves
-    are a row of a bucket below zero."""
+def _expect(coded: pa.Table, needs: pa.Table, model: Model, piece: int, buckets: int) -> pa.Table:
+    """A run's expected counts by bucket; its starts and moves are a row of a
+    bucket below zero."""
     states = len(model.start)
-    spread, emit, sizes, cls, held = _gathered(coded, spread, states)
-    model = Model(model.start, model.inside, model.move, emit)
+    needs, emit, sizes, cls, held = _gathered(coded, needs, states)
+    # what a class's emissions have in common does not change the states' posterior
+    model = Model(model.start, model.inside, model.move, emit / emit.sum(axis=1, keepdims=True))
     at, size, first = _pieces(sizes, ~held, piece)
     part = np.cumsum(size) // PART_TOKENS
-    total = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)]
+    total = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape[::-1]).T]
     for k in np.unique(part):
         which = part == k
         for x, y in zip(total, expected_counts(model, cls, at[which], size[which], first[which])):
             x += y
-    sums, low = [], 0
-    for places in spread.column("places"):
-        high = low + len(places.as_buffer()) // 4
-        sums.append(total[3][low:high].astype("<f4").tobytes())
-        low = high
+    n = needs.column("n").to_numpy()
+    sums = _cut(total[3].astype("<f4"), np.cumsum(n) - n)
     run = coded.column("run")[0].as_py()
-    bucket = pa.array([*spread.column("bucket").to_pylist(), -1 - ((run >> 32) + run) % buckets], pa.int32())
-    places = pa.array([*spread.column("places").to_pylist(), None], pa.binary())
     moves = np.concatenate([x.ravel() for x in total[:3]]).tobytes()
-    return pa.table([bucket, places, pa.array([*sums, moves], pa.binary())], names=["bucket", "places", "sums"])
+    return pa.table([pa.array([*needs.column("bucket").to_pylist(), -1 - _part(run, buckets)], pa.int32()),
+                     pa.array([*n, 0], pa.int32()), pa.array([*needs.column("of").to_pylist(), 0], pa.int32()),
+                     pa.array([*needs.column("places").to_pylist(), None], pa.binary()),
+                     pa.concat_arrays([sums, pa.array([moves], pa.binary())])], names=["bucket", "n", "of", "places", "sums"])
+
+
+def _add(sums: pa.Table, counts: np.ndarray) -> np.ndarray:
+    """Rows without places are sums of all the bucket's classes."""
+    for n, places, x in zip(*(sums.column(c) for c in ("n", "places", "sums"))):
+        x = np.frombuffer(x.as_buffer(), dtype="<f4").reshape(-1, counts.shape[1])
+        if places.is_valid:
+            counts[_places(places.as_py(), n.as_py())] += x
+        else:
+            counts += x
+    return counts
 
 
-def _update(sums: pa.Table, emit: pa.Table, total: float, states: int) -> pa.Table:
-    """The next emission table of a bucket; below zero one row of starts and moves."""
-    if not emit.num_rows:
-        moves = np.sum([np.frombuffer(x.as_buffer()) for x in sums.column("sums")], axis=0)
-        bucket = sums.column("bucket")[0].as_py()
-        return pa.Table.from_batches([_emissions(np.array([bucket]), np.zeros(1, int), np.zeros(1), moves[None])])
-    cls, weight, counts = _words(emit, states)
-    counts = np.repeat(5.0 * weight[:, None] / total, states, axis=1)
-    for places, x in zip(sums.column("places"), sums.column("sums")):
-        counts[np.frombuffer(places.as_buffer(), dtype="<i4")] += np.frombuffer(x.as_buffer(), dtype="<f4").reshape(-1, states)
-    bucket = np.full(len(cls), emit.column("bucket")[0].as_py())
-    return pa.Table.from_batches([_emissions(bucket, cls, weight, counts)])
+def _moves(sums: pa.Table) -> np.ndarray:
+    return np.sum([np.frombuffer(x.as_buffer()) for x in sums.column("sums")], axis=0)
+
+
+def _so_far(sums: pa.Table, states: int) -> pa.Table:
+    """The sums of a bucket over the parts up to now, a row without places."""
+    bucket, of = sums.column("bucket")[0].as_py(), sums.column("of")[0].as_py()
+    got = _moves(sums) if bucket < 0 else _add(sums, np.zeros((of, states))).astype("<f4")
+    return pa.table([pa.array([bucket], pa.int32()), pa.array([of], pa.int32()), pa.array([of], pa.int32()),
+                     pa.array([None], pa.binary()), pa.array([got.tobytes()], pa.binary())],
+                    names=["bucket", "n", "of", "places", "sums"])
+
+
+def _update(sums: pa.Table, table: pa.Table, total: float, states: int) -> pa.Table:
+    """The next row of a bucket; below zero one row of starts and moves."""
+    if not table.num_rows:
+        return _bucket_row(sums.column("bucket")[0].as_py(), b"", b"", np.zeros((0, states)), _moves(sums), [], [], [])
+    row = table.to_pylist()[0]
+    counts = _add(sums, np.repeat(5.0 * np.frombuffer(row["weight"])[:, None] / total, states, axis=1))
+    return _bucket_row(row["bucket"], row["cls"], row["weight"], counts, counts.sum(axis=0), row["runs"], row["sizes"],
+                       row["places"])
+
+
+def _emissions(batches: Iterator[pa.RecordBatch], states: int) -> Iterator[pa.RecordBatch]:
+    for got in batches:
+        for row in range(got.num_rows):
+            cls, weight, counts = (np.frombuffer(got.column(c)[row].as_buffer(), dtype=t) for c, t in
+                                   (("cls", "<i8"), ("weight", "<f8"), ("counts", "<f4")))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(cls), got.column("bucket")[row].as_py(), dtype="<i4")), pa.array(cls),
+                 pa.array(weight), pa.ListArray.from_arrays(pa.array(np.arange(len(cls) + 1) * states, pa.int32()),
+                                                            pa.array(counts.astype(float)))],
+                names=["bucket", "cls", "weight", "counts"])
 
 
 @dataclass(frozen=True)
 class Trained:
     model: Model  # without emissions
-    emissions: DataFrame  # bucket, cls, weight, counts by state
-    norm: np.ndarray  # the counts' sums by state
+    table: DataFrame  # the emission table, a row a bucket
+    norm: np.ndarray  # its counts' sums by state
+    emissions: DataFrame  # bucket, cls, weight, counts by state: a row a class
 
 
-def _totals(emissions: DataFrame, states: int) -> np.ndarray:
-    row = emissions.filter("bucket >= 0").agg(*[F.sum(F.col("counts")[k]) for k in range(states)]).first()
-    return np.array([x or 1.0 for x in row], dtype=float)
+def _totals(table: DataFrame, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the counts by state, and of starts and moves: of the model's
+    fixed size, whatever the corpus."""
+    norm, flat = np.zeros(states), np.full(2 * states + states * states, 1e-3)
+    for r in table.select((F.col("bucket") < 0).alias("moves"), F.posexplode("sums").alias("place", "value")).groupBy(
+            "moves", "place").agg(F.sum("value").alias("value")).collect():
+        (flat if r["moves"] else norm)[r["place"]] += r["value"]
+    return np.where(norm > 0, norm, 1.0), flat
 
 
-def spread_emissions(coded: DataFrame, emissions: DataFrame, norm: np.ndarray, buckets: int) -> DataFrame:
-    index = coded.select("run", "n_classes", "kinds").mapInArrow(
-        lambda it: _index(it, buckets), "bucket int, run long, kinds binary")
-    return emissions.filter("bucket >= 0").groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(
-        lambda a, b: _spread(a, b, norm), "run long, bucket int, places binary, emit binary")
+def spread_emissions(table: DataFrame, norm: np.ndarray, part: int = 0, parts: int = 1) -> DataFrame:
+    return table.filter("bucket >= 0").select("bucket", "counts", "runs", "sizes", "places").mapInArrow(
+        lambda it: _spread(it, norm, part, parts), _NEEDS)
 
 
-def train(coded: DataFrame, classes: DataFrame, states: int, rounds: int, piece: int, buckets: int) -> Trained:
-    """``classes``: (cls, weight) of all classes."""
-    spark = coded.sparkSession
-    total = classes.agg(F.sum("weight")).first()[0] or 1.0
+def train(coded: DataFrame, words: Words, states: int, rounds: int, piece: int, buckets: int, parts: int = PARTS
+          ) -> Trained:
+    """Removes the stored words once the emission table is made of them."""
+    spark, tables, total = coded.sparkSession, words.tables, words.weight
     model, store = first_model(np.ones(1), states), stages(spark)
-    emissions = store.write(classes.mapInArrow(lambda it: _first(it, total, states, buckets), _EMIT), "emissions")
-    norm = _totals(emissions, states)
+    index = words.rows.mapInArrow(lambda it: _index(it, buckets), "bucket int, run long, kinds binary, ns binary")
+    with small_batches(spark, 16):
+        table = store.write(index.groupBy("bucket").applyInArrow(lambda a: _first(a, tables, total, states), _TABLE), "table")
+    words.store.discard()
+    release(spark)
+    norm, _ = _totals(table, states)
     for _ in range(rounds):
-        needs = spread_emissions(coded, emissions, norm, buckets)
-        sums = coded.select("run", "held", "lengths", "classes").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
-            lambda a, b: _expect(a, b, model, piece, buckets), "bucket int, places binary, sums binary")
-        after, last = stages(spark), store
-        emissions = after.write(sums.groupBy("bucket").cogroup(emissions.filter("bucket >= 0").groupBy("bucket")).applyInArrow(
-            lambda a, b: _update(a, b, total, states), _EMIT), "emissions")
-        store = after
+        so_far, last = None, store
+        for part in range(parts):
+            needs = spread_emissions(table, norm, part, parts)
+            rows = coded.filter(F.pmod(F.shiftright("run", 32) + F.col("run"), F.lit(parts)) == part)
+            sums = rows.select("run", "held", "lengths", "classes").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+                lambda a, b: _expect(a, b, model, piece, buckets), _SUMS)
+            sums, before, store = sums.unionByName(so_far) if part else sums, store, stages(spark)
+            with small_batches(spark, 16):
+                if part < parts - 1:
+                    so_far = store.write(sums.groupBy("bucket").applyInArrow(lambda a: _so_far(a, states), _SUMS), "sums")
+                else:
+                    table = store.write(sums.groupBy("bucket").cogroup(table.filter("bucket >= 0").groupBy("bucket")).applyInArrow(
+                        lambda a, b: _update(a, b, total, states), _TABLE), "table")
+            if part:
+                before.discard()
+            release(spark)
         last.discard()
-        release(spark)
-        norm = _totals(emissions, states)
-        # of the model's fixed size, whatever the corpus
-        rows = emissions.filter("bucket < 0").select(F.posexplode("counts").alias("place", "value")).groupBy("place").agg(
-            F.sum("value").alias("value")).collect()
-        flat = np.full(2 * states + states * states, 1e-3)
-        for r in rows:
-            flat[r["place"]] += r["value"]
+        norm, flat = _totals(table, states)
         start, inside, move = flat[:states], flat[states:2 * states], flat[2 * states:].reshape(states, states)
         model = Model(start / start.sum(), inside / inside.sum(), move / move.sum(axis=1, keepdims=True), model.emit)
-    return Trained(model, emissions, norm)
+    emissions = table.filter("bucket >= 0").select("bucket", "cls", "weight", "counts").mapInArrow(
+        lambda it: _emissions(it, states), "bucket int, cls long, weight double, counts array<double>")
+    return Trained(model, table, norm, emissions)
 
 
-def _score(coded: pa.Table, spread: pa.Table, model: Model) -> pa.Table:
-    _, emit, sizes, cls, held = _gathered(coded, spread, len(model.start))
-    model = Model(model.start, model.inside, model.move, emit)
+def _score(coded: pa.Table, needs: pa.Table, model: Model) -> pa.Table:
+    _, emit, sizes, cls, held = _gathered(coded, needs, len(model.start))
+    model = Model(model.start, model.inside, model.move, emit.astype(float))
     states = forward(model, cls, np.cumsum(sizes) - sizes, sizes)
     known, base, within = (coded.column(c)[0].values for c in ("known", "base", "within"))
     return pa.table([coded.column("doc_ids")[0].values, pa.array(held), pa.array(sizes), known, base,
@@ -428,43 +573,36 @@ def _score(coded: pa.Table, spread: pa.Table, model: Model) -> pa.Table:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
-def coded_runs(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[DataFrame, DataFrame, ClassTables]:
-    """The coded runs, (cls, weight) of all classes, and the totals."""
-    spark, store, early = docs.sparkSession, stages(docs.sparkSession), stages(docs.sparkSession)
+def coded_runs(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> tuple[DataFrame, Words, ClassTables]:
+    """The coded runs, the words of all runs, and the totals."""
+    spark = docs.sparkSession
+    store, early, kept = (stages(spark) for _ in range(3))
     rows = texts(docs, id_col, text_col).withColumn("held", crc_of_id(F.col("doc_id")) % 10 == 0)
-    runs = rows.mapInArrow(_runs, "run long, doc_ids array<long>, held array<boolean>, lengths binary, numbers binary, "
-                                  "n_kinds int, kinds binary, counts binary, shapes binary")
-    runs = early.write(runs, "runs")
-    kinds = runs.select("run", "n_kinds", "kinds", "counts", "shapes")
-    kinds = kinds.mapInArrow(_kinds, "token long, run long, place int, n int, shape int")
-    sums = early.write(kinds.groupBy("token").agg(F.sum("n").alias("n"), F.max("shape").alias("shape")), "sums")
+    runs = early.write(rows.mapInArrow(lambda it: _runs(it, buckets), _RUNS), "runs")
+    dealt = runs.select("run", "n_kinds", "kinds", "counts", "shapes").mapInArrow(
+        lambda it: _dealt(it, buckets), "bucket int, run long, tokens binary, counts binary, shapes binary")
+    with small_batches(spark, 4):  # rows are whole runs
+        words = kept.write(dealt.groupBy("bucket").applyInArrow(
+            _counted, "run long, bucket int, classes binary, ns binary"), "words")
     release(spark)
-    own = (F.col("n") >= OWN_FROM) | (F.col("token") == int(_END))
-    words = early.write(sums.select("token", "n", F.when(own, F.col("token")).otherwise(F.col("shape").cast("long"))
-                                    .alias("cls")), "words")
-    classes = store.write(words.groupBy("cls").agg(
-        F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once"),
-        F.sum((F.col("n") > 0).cast("long")).alias("words")), "classes")
-    all_ = classes.agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
-    shared = classes.filter((F.col("cls") >= 0) & (F.col("cls") < SHARED)).toPandas()  # SHARED rows at most
+    sums = words.filter("run < 0").select("classes", "ns").mapInArrow(
+        _class_totals, "cls long, n long, once long, words long, classes long").groupBy("cls").agg(
+        *[F.sum(c).alias(c) for c in ("n", "once", "words", "classes")]).toPandas()  # SHARED + 1 rows at most
+    shared = sums[sums["cls"] >= 0]
     mass, once = np.zeros(SHARED), np.zeros(SHARED)
     mass[shared["cls"]], once[shared["cls"]] = shared["n"], shared["once"]
-    tables = ClassTables(int(all_["n"] or 0), int(all_["words"] or 0), mass, once)
-    # unseen words get weight in a class even where no training word is
-    weights = classes.select("cls", (F.col("n") + F.when((F.col("cls") >= 0) & (F.col("cls") < SHARED), F.col("once"))
-                                     .otherwise(0) + F.lit(0.5)).cast("double").alias("weight"))
-
-    # a run's distinct words, in their places
-    back = kinds.select("token", "run", "place").join(words, "token").groupBy("run").agg(
-        F.array_sort(F.collect_list(F.struct("place", "n", "cls"))).alias("words"))
-    back = early.write(back.select("run", F.col("words.n").alias("ns"), F.col("words.cls").alias("classes")), "back")
-    release(spark)
-    with small_batches(spark, 4):  # rows are whole runs
-        coded = store.write(runs.select("run", "doc_ids", "held", "lengths", "numbers").join(back, "run").mapInArrow(
-            lambda it: _code(it, tables, buckets), _CODED), "coded")
-    early.discard()  # all that is needed from here on is in the coded runs
+    tables = ClassTables(int(sums["n"].sum()), int(sums["words"].sum()), mass, once)
+    classes = len(shared) + int(sums[sums["cls"] < 0]["classes"].sum())
+    weight = float(tables.total + once.sum() + 0.5 * classes) or 1.0
+
+    with small_batches(spark, 4):
+        coded = store.write(
+            runs.select("run", "doc_ids", "held", "lengths", "numbers").groupBy("run").cogroup(
+                words.filter("run >= 0").groupBy("run")).applyInArrow(lambda a, b: _code(a, b, tables, buckets), _CODED),
+            "coded")
+    early.discard()  # all that is needed from here on is in the coded runs and the words
     release(spark)
-    return coded, weights, tables
+    return coded, Words(words, tables, weight, kept), tables
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
@@ -472,11 +610,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (unigram), score (log10 probability under the model)."""
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    coded, classes, tables = coded_runs(docs, id_col, text_col, buckets)
-    trained = train(coded, classes, states, rounds, piece, buckets)
-    needs = spread_emissions(coded, trained.emissions, trained.norm, buckets)
+    coded, words, tables = coded_runs(docs, id_col, text_col, buckets)
+    trained = train(coded, words, states, rounds, piece, buckets)
+    needs = spread_emissions(trained.table, trained.norm)
     model = trained.model
-    scored = coded.drop("n_classes", "kinds").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+    scored = coded.groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
         lambda a, b: _score(a, b, model),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(
