@@ -46,13 +46,13 @@ from audival.llm.shared import (WHITE, Stages, WordBatch, byte_map, mix, release
 #: classes, Baum-Welch rounds, tokens of a training piece.
 STATES, OWN_FROM, SHARED, ROUNDS, PIECE = 8, 2, 2048, 8, 256
 #: Tokens of a run (one text is never cut) and of what is trained on at a time.
-RUN_TOKENS, PART_TOKENS = 1 << 22, 1 << 19
+RUN_TOKENS, PART_TOKENS = 1 << 22, 1 << 20
 #: Buckets of words for each shuffle partition, parts of the runs in a round.
 BUCKETS, PARTS = 2, 3
 _U64 = np.uint64
 _END = np.int64(-7046029254386353131)
 _CODED = ("run long, doc_ids array<long>, held array<boolean>, lengths binary, classes binary, "
-          "known array<long>, base array<double>, within array<double>")
+          "n_classes int, places binary, shared binary, known array<long>, base array<double>, within array<double>")
 _RUNS = ("run long, doc_ids array<long>, held array<boolean>, lengths binary, numbers binary, "
          "n_kinds int, kinds binary, counts binary, shapes binary")
 _TABLE = ("bucket int, cls binary, weight binary, counts binary, runs array<long>, sizes array<int>, "
@@ -231,9 +231,10 @@ def _bucket(cls: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _code(run: pa.Table, words: pa.Table, tables: ClassTables, buckets: int) -> pa.Table:
-    """A run with its words' counts and classes: class sequences as places
-    among the run's classes, in order of bucket and class, and per text the
-    sums that do not depend on the states."""
+    """A run with its words' counts and classes: class sequences as ranks
+    among the run's classes, most frequent first, each rank's place among them
+    in order of bucket and class, and per text the sums that do not depend on
+    the states."""
     words = words.take(np.argsort(words.column("bucket").to_numpy()))
     count, cls = _joined(words.column("ns"), "<i8"), _joined(words.column("classes"), "<i8")
     ids, held = (run.column(c)[0].values for c in ("doc_ids", "held"))
@@ -245,34 +246,46 @@ def _code(run: pa.Table, words: pa.Table, tables: ClassTables, buckets: int) ->
     kinds, local = np.unique(cls, return_inverse=True)
     place = np.empty(len(kinds), dtype="<i4")
     place[np.argsort(_bucket(kinds, buckets), kind="stable")] = np.arange(len(kinds))
+    local = local.astype("<i4")[number]
+    order = np.argsort(-np.bincount(local, minlength=len(kinds)), kind="stable")
+    rank = np.empty(len(kinds), dtype="<i4")
+    rank[order] = np.arange(len(kinds))
+    shared = kinds[(kinds >= 0) & (kinds < SHARED)].astype("<i8")
     return pa.table(
-        [run.column("run"), _row(ids), _row(held), run.column("lengths"), _blob(place[local][number])]
+        [run.column("run"), _row(ids), _row(held), run.column("lengths"), _blob(rank[local]),
+         pa.array([len(kinds)], pa.int32()), _blob(place[order]), pa.array([shared.tobytes()], pa.binary())]
         + [_row(x) for x in sums],
-        names=["run", "doc_ids", "held", "lengths", "classes", "known", "base", "within"])
+        names=["run", "doc_ids", "held", "lengths", "classes", "n_classes", "places", "shared", "known", "base", "within"])
 
 
-def _index(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """(bucket, run, kinds, ns): a run's classes by bucket; as run -1 the
-    bucket's classes of one word with their counts. A word's bucket is that of
-    its own class; shared classes have others."""
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, run, kinds, ns): a run's words of a bucket that are classes of
+    their own; as run -1 the bucket's with their counts."""
     for got in batches:
         for row in range(got.num_rows):
             run, cls = got.column("run")[row].as_py(), np.frombuffer(got.column("classes")[row].as_buffer(), dtype="<i8")
-            ns = [None]
+            own, ns = (cls < 0) | (cls >= SHARED), None
             if run < 0:
-                own = (cls < 0) | (cls >= SHARED)
-                if not own.any():
-                    continue
-                ns = [np.frombuffer(got.column("ns")[row].as_buffer(), dtype="<i8")[:len(cls)][own].tobytes()]
-                which, at, cls = got.column("bucket").slice(row, 1), np.zeros(1, dtype=int), cls[own]
-            else:
-                cls = np.unique(cls)
-                bucket = _bucket(cls, buckets)
-                cls = cls[np.argsort(bucket, kind="stable")]
-                which, at = np.unique(np.sort(bucket), return_index=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(which), pa.array(np.full(len(at), run)), _cut(cls, at), pa.array(ns * len(at), pa.binary())],
-                names=["bucket", "run", "kinds", "ns"])
+                ns = np.frombuffer(got.column("ns")[row].as_buffer(), dtype="<i8")[:len(cls)][own].tobytes()
+            if own.any():
+                yield pa.RecordBatch.from_arrays(
+                    [got.column("bucket").slice(row, 1), got.column("run").slice(row, 1),
+                     pa.array([np.unique(cls[own]).tobytes()], pa.binary()), pa.array([ns], pa.binary())],
+                    names=["bucket", "run", "kinds", "ns"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The same of a run's shared classes, whose buckets are not their words'."""
+    for got in batches:
+        for row in range(got.num_rows):
+            kinds = np.frombuffer(got.column("shared")[row].as_buffer(), dtype="<i8")
+            bucket = _bucket(kinds, buckets)
+            which, at = np.unique(np.sort(bucket), return_index=True)
+            if len(which):
+                run = np.full(len(which), got.column("run")[row].as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which), pa.array(run), _cut(kinds[np.argsort(bucket, kind="stable")], at),
+                     pa.nulls(len(which), pa.binary())], names=["bucket", "run", "kinds", "ns"])
 
 
 # ------------------------------------------------------------------ the model
@@ -422,24 +435,26 @@ def _spread(batches: Iterator[pa.RecordBatch], norm: np.ndarray, part: int, part
 
 
 def _gathered(coded: pa.Table, needs: pa.Table, states: int
-              ) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+              ) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A run's rows of the emission table by bucket, and with them its
-    emissions, lengths, classes and texts held out."""
+    emissions by rank, the ranks' places, lengths, classes and texts held out."""
     needs = needs.take(np.argsort(needs.column("bucket").to_numpy()))
-    emit = _joined(needs.column("emit"), "<f4").reshape(-1, states)
+    places = _unblob(coded.column("places"), 0, "<i4", coded.column("n_classes")[0].as_py())
+    emit = _joined(needs.column("emit"), "<f4").reshape(-1, states)[places]
     held = coded.column("held")[0].values.to_numpy(zero_copy_only=False).astype(bool)
     sizes = _unblob(coded.column("lengths"), 0, "<i4", len(held)).astype(np.int64)
     cls = _unblob(coded.column("classes"), 0, "<i4", int(sizes.sum()))
-    return needs, emit, sizes, cls, held
+    return needs, emit, places, sizes, cls, held
 
 
 def _expect(coded: pa.Table, needs: pa.Table, model: Model, piece: int, buckets: int) -> pa.Table:
     """A run's expected counts by bucket; its starts and moves are a row of a
     bucket below zero."""
     states = len(model.start)
-    needs, emit, sizes, cls, held = _gathered(coded, needs, states)
+    needs, emit, places, sizes, cls, held = _gathered(coded, needs, states)
     # what a class's emissions have in common does not change the states' posterior
-    model = Model(model.start, model.inside, model.move, emit / emit.sum(axis=1, keepdims=True))
+    model = Model(model.start, model.inside, model.move,
+                  np.asfortranarray(emit / emit.sum(axis=1, keepdims=True)))
     at, size, first = _pieces(sizes, ~held, piece)
     part = np.cumsum(size) // PART_TOKENS
     total = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape[::-1]).T]
@@ -448,7 +463,9 @@ def _expect(coded: pa.Table, needs: pa.Table, model: Model, piece: int, buckets:
         for x, y in zip(total, expected_counts(model, cls, at[which], size[which], first[which])):
             x += y
     n = needs.column("n").to_numpy()
-    sums = _cut(total[3].astype("<f4"), np.cumsum(n) - n)
+    sums = np.empty(emit.shape, dtype="<f4")
+    sums[places] = total[3]
+    sums = _cut(sums, np.cumsum(n) - n)
     run = coded.column("run")[0].as_py()
     moves = np.concatenate([x.ravel() for x in total[:3]]).tobytes()
     return pa.table([pa.array([*needs.column("bucket").to_pylist(), -1 - _part(run, buckets)], pa.int32()),
@@ -531,7 +548,9 @@ def train(coded: DataFrame, words: Words, states: int, rounds: int, piece: int,
     """Removes the stored words once the emission table is made of them."""
     spark, tables, total = coded.sparkSession, words.tables, words.weight
     model, store = first_model(np.ones(1), states), stages(spark)
-    index = words.rows.mapInArrow(lambda it: _index(it, buckets), "bucket int, run long, kinds binary, ns binary")
+    parted = "bucket int, run long, kinds binary, ns binary"
+    index = words.rows.mapInArrow(_own, parted).unionByName(
+        coded.select("run", "shared").mapInArrow(lambda it: _shared(it, buckets), parted))
     with small_batches(spark, 16):
         table = store.write(index.groupBy("bucket").applyInArrow(lambda a: _first(a, tables, total, states), _TABLE), "table")
     words.store.discard()
@@ -542,7 +561,7 @@ def train(coded: DataFrame, words: Words, states: int, rounds: int, piece: int,
         for part in range(parts):
             needs = spread_emissions(table, norm, part, parts)
             rows = coded.filter(F.pmod(F.shiftright("run", 32) + F.col("run"), F.lit(parts)) == part)
-            sums = rows.select("run", "held", "lengths", "classes").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+            sums = rows.select("run", "held", "lengths", "classes", "n_classes", "places").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
                 lambda a, b: _expect(a, b, model, piece, buckets), _SUMS)
             sums, before, store = sums.unionByName(so_far) if part else sums, store, stages(spark)
             with small_batches(spark, 16):
@@ -564,7 +583,7 @@ def train(coded: DataFrame, words: Words, states: int, rounds: int, piece: int,
 
 
 def _score(coded: pa.Table, needs: pa.Table, model: Model) -> pa.Table:
-    _, emit, sizes, cls, held = _gathered(coded, needs, len(model.start))
+    _, emit, _, sizes, cls, held = _gathered(coded, needs, len(model.start))
     model = Model(model.start, model.inside, model.move, emit.astype(float))
     states = forward(model, cls, np.cumsum(sizes) - sizes, sizes)
     known, base, within = (coded.column(c)[0].values for c in ("known", "base", "within"))
@@ -614,7 +633,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     trained = train(coded, words, states, rounds, piece, buckets)
     needs = spread_emissions(trained.table, trained.norm)
     model = trained.model
-    scored = coded.groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
+    scored = coded.drop("shared").groupBy("run").cogroup(needs.groupBy("run")).applyInArrow(
         lambda a, b: _score(a, b, model),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(

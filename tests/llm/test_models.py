@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
+from audival.llm import hmm
 from audival.llm.hmm import Model, coded_runs, expected_counts, first_model, forward, score_texts, train
 from audival.llm.quality import class_prior, drop_rejected, quality_scores
 from paths import MEDIUM, SMALL
@@ -89,6 +90,27 @@ def test_every_training_word_has_emissions_of_its_own(spark):
     assert tables.total == sum(count.values()) + n_train
 
 
+def test_rounds_by_parts_of_the_runs(spark, monkeypatch):
+    """Each part's emissions are a fraction of all; the model is that of one part."""
+    monkeypatch.setattr(hmm, "stages", lambda s, make=hmm.stages: stored.append(make(s)) or stored[-1])
+    stored = []
+    rows = [(i, " ".join(f"w{i * j % 97}" for j in range(40))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    got = []
+    for parts in (1, 3):
+        coded, words, _ = coded_runs(df, "doc_id", "text", 6)
+        got.append(train(coded, words, 3, 2, 16, 6, parts))
+    sent = [hmm.spread_emissions(got[1].table, got[1].norm, k, n).agg(F.sum(F.length("emit"))).first()[0]
+            for k, n in ((0, 1), (0, 3), (1, 3), (2, 3))]
+    assert sum(sent[1:]) == sent[0] and max(sent[1:]) < 0.6 * sent[0]
+    one, three = (np.array(x.emissions.orderBy("cls").toPandas()["counts"].tolist()) for x in got)
+    assert one.shape == three.shape and np.allclose(one, three, rtol=1e-3, atol=1e-3)
+    assert np.allclose(got[0].model.move, got[1].model.move, atol=1e-4)
+    # of two trainings the coded runs and the last tables are left
+    left = [s for s in stored if spark._jvm.java.io.File(s.root.removeprefix("file:")).exists()]
+    assert len(left) == 4
+
+
 def test_counts_tell_words_apart_that_a_polynomial_hash_confuses(spark):
     """A Thue-Morse word is known, its swap is not."""
     one, two = ("".join(b if i.bit_count() % 2 else a for i in range(1024)) for a, b in ("ab", "ba"))
