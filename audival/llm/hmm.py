@@ -46,7 +46,7 @@ from audival.llm.shared import (WHITE, Stages, WordBatch, byte_map, mix, release
 #: classes, Baum-Welch rounds, tokens of a training piece.
 STATES, OWN_FROM, SHARED, ROUNDS, PIECE = 8, 2, 2048, 8, 256
 #: Tokens of a run (one text is never cut) and of what is trained on at a time.
-RUN_TOKENS, PART_TOKENS = 1 << 22, 1 << 20
+RUN_TOKENS, PART_TOKENS = 1 << 22, 1 << 19
 #: Buckets of words for each shuffle partition, parts of the runs in a round.
 BUCKETS, PARTS = 2, 3
 _U64 = np.uint64
@@ -366,10 +366,12 @@ def expected_counts(model: Model, cls: np.ndarray, at: np.ndarray, sizes: np.nda
         scale = 1 / here.sum(axis=0)
         here *= scale
         beta = now * scale
-    emit = np.stack([np.bincount(which, weights=x, minlength=len(model.emit)) for x in post]).T
+    emit = np.empty((states, len(model.emit)))
+    for k in range(states):
+        emit[k] = np.bincount(which, weights=post[k], minlength=len(model.emit))
     opening = post[:, :len(sizes)]
     return (opening[:, first].sum(axis=1, dtype=float), opening[:, ~first].sum(axis=1, dtype=float), move * model.move,
-            emit)
+            emit.T)
 
 
 def _pieces(sizes: np.ndarray, train: np.ndarray, piece: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -453,8 +455,9 @@ def _expect(coded: pa.Table, needs: pa.Table, model: Model, piece: int, buckets:
     states = len(model.start)
     needs, emit, places, sizes, cls, held = _gathered(coded, needs, states)
     # what a class's emissions have in common does not change the states' posterior
-    model = Model(model.start, model.inside, model.move,
-                  np.asfortranarray(emit / emit.sum(axis=1, keepdims=True)))
+    emit = np.asfortranarray(emit)
+    emit /= emit.sum(axis=1, keepdims=True)
+    model = Model(model.start, model.inside, model.move, emit)
     at, size, first = _pieces(sizes, ~held, piece)
     part = np.cumsum(size) // PART_TOKENS
     total = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape[::-1]).T]
